@@ -1,8 +1,9 @@
 from refinery.functions.columns import (
-    is_absent,
+    has_rating,
     instant,
+    is_absent,
+    is_valid,
     normalized,
-    quality_flags,
     sortable_values,
     tier,
     tier_position,
@@ -13,10 +14,11 @@ from refinery.functions.columns import (
 )
 
 __all__ = [
-    "is_absent",
+    "has_rating",
     "instant",
+    "is_absent",
+    "is_valid",
     "normalized",
-    "quality_flags",
     "sortable_values",
     "tier",
     "tier_position",

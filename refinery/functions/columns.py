@@ -33,12 +33,13 @@ def is_absent(df: DataFrame, name: str) -> Column:
     return missing
 
 
-def quality_flags(rating: Column, price: Column, title: Column) -> dict[str, Column]:
-    """``has_rating`` and ``is_valid``; the latter is NULL where price is NULL and title is not empty."""
-    return {
-        "has_rating": rating.isNotNull(),
-        "is_valid": (price > 0) & (F.length(title) > 0),
-    }
+def has_rating(rating: Column) -> Column:
+    return rating.isNotNull()
+
+
+def is_valid(price: Column, title: Column) -> Column:
+    """Positive price and non-empty title; NULL where price is NULL and title is not empty."""
+    return (price > 0) & (F.length(title) > 0)
 
 
 def tier(value: Column, bounds: Sequence, labels: Sequence[str]) -> Column:

@@ -1,4 +1,4 @@
-from refinery.operators.merge import late_arrivals, upsert
+from refinery.operators.merge import late_arrivals, merge_unique, upsert
 from refinery.operators.ranking import latest_per_key, top_n, top_n_per_group
 from refinery.operators.rejects import REASON, accepted, label_rejects, rejected, require_fields
 from refinery.operators.shares import share_of_total
@@ -9,6 +9,7 @@ __all__ = [
     "label_rejects",
     "late_arrivals",
     "latest_per_key",
+    "merge_unique",
     "rejected",
     "require_fields",
     "share_of_total",

@@ -11,41 +11,35 @@ SOURCE_FILE = "_source_file"
 LANDED_ON = "ingest_date"
 
 
-def upsert(
-    target: DataFrame,
-    changes: DataFrame,
-    key: str,
-    order: str,
-    *,
-    target_is_unique: bool = False,
-) -> DataFrame:
-    """Target with the changes applied: per key the row with the greatest ``order`` stays.
+def upsert(target: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
+    """Per key the row with the greatest ``order`` from either side; keys may repeat in both.
 
     An older change therefore never replaces a newer target row, and applying the
-    same changes twice gives the same table.
-
-    ``target_is_unique`` says that the target holds one row per key already, as a silver
-    table does. The target then takes part in joins on a unique key only. Spark broadcasts
-    the changes where their size is under its threshold, and the target is not shuffled;
-    above it both sides are shuffled, on keys that occur once.
+    same changes twice gives the same table. The whole target is shuffled, one row per
+    key and map task; :func:`merge_unique` avoids that for a stored silver table.
     """
-    if not target_is_unique:
-        both = target.unionByName(changes, allowMissingColumns=True)
-        return latest_per_key(both, key, [instant(both, order).desc()])
+    both = target.unionByName(changes, allowMissingColumns=True)
+    return latest_per_key(both, key, [instant(both, order).desc()])
 
-    target, changes = _same_columns(target, changes)
-    fresh = latest_per_key(changes, key, [instant(changes, order).desc()])
 
+def merge_unique(target: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
+    """:func:`upsert` for a target and changes that both hold one row per key.
+
+    Joins on a key that occurs once on each side, so no key is hot. Spark broadcasts the
+    changes where their size is under its threshold, and then the target is not shuffled;
+    above it both sides are. Both inputs are read more than once: store them first.
+    """
+    target, changes = _same_columns(target, changes)
     names = target.columns
-    incoming = fresh.select(key, F.struct(*names).alias("__new"))
+    incoming = changes.select(key, F.struct(*[f"`{n}`" for n in names]).alias("__new"))
     # One comparison of structs: by order column, then by all the others, NULL lowest.
     newer = _rank_of(target, key, order, "__new.") > _rank_of(target, key, order)
     replaced = F.col("__new").isNotNull() & newer
     kept_or_replaced = target.join(incoming, key, "left").select(
         *[F.when(replaced, F.col(f"__new.`{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in names]
     )
-    known = target.select(key).join(fresh.select(key), key, "left_semi")
-    added = fresh.join(known, key, "left_anti").select(*names)
+    known = target.select(key).join(changes.select(key), key, "left_semi")
+    added = changes.join(known, key, "left_anti").select(*[f"`{n}`" for n in names])
     return kept_or_replaced.unionByName(added)
 
 
@@ -57,7 +51,7 @@ def _same_columns(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFra
         return df.withColumns(missing) if missing else df
 
     left, right = filled(left, right), filled(right, left)
-    return left, right.select(*left.columns)
+    return left, right.select(*[f"`{name}`" for name in left.columns])
 
 
 def _rank_of(df: DataFrame, key: str, order: str, inside: str = "") -> Column:

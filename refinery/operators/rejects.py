@@ -14,8 +14,13 @@ CORRUPT = "_corrupt_record"
 
 
 def require_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Keep the rows in which none of the named columns is NULL (or NaN)."""
-    return df.dropna(subset=list(names))
+    """Keep the rows in which none of the named columns is NULL (or NaN).
+
+    One condition per column: each can be pushed into the scan, or to its side of a join.
+    """
+    for name in names:
+        df = df.where(~is_absent(df, name))
+    return df
 
 
 def typed_key(roles: Roles) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from refinery.contracts import SILVER
-from refinery.functions import instant, normalized, quality_flags, to_whole_number
+from refinery.functions import has_rating, instant, is_valid, normalized, to_whole_number
 from refinery.operators.ranking import latest_per_key
 from refinery.operators.rejects import (
     CORRUPT,
@@ -56,7 +56,10 @@ def conform(taken: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     )
     flat = flatten_rating(typed, roles)
     flat = flat.withColumns(
-        quality_flags(F.col("rating_rate"), F.col(roles.price), F.col(roles.title))
+        {
+            "has_rating": has_rating(F.col("rating_rate")),
+            "is_valid": is_valid(F.col(roles.price), F.col(roles.title)),
+        }
     )
     first = [name for name in SILVER.names if name in flat.columns]
     rest = [f"`{name}`" for name in flat.columns if name not in first]

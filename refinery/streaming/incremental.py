@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from refinery.contracts import BRONZE, RAW
-from refinery.operators.merge import upsert
+from refinery.operators.merge import merge_unique
 from refinery.operators.rejects import accepted, label_rejects, rejected
 from refinery.plans.silver import conform, deduplicated, stamp_silver, write_silver
 from refinery.roles import DEFAULT_ROLES, Roles
@@ -65,8 +65,10 @@ def merge_new_rows(
 ) -> StreamingQuery:
     """Upsert the bronze rows that no earlier call has seen into silver, then stop.
 
-    A batch that is repeated after a failure changes nothing: the upsert keeps the
-    newest row per key, and each batch's rejects have a folder of their own.
+    A batch that is repeated after a failure changes nothing: the merge keeps the
+    newest row per key, and each batch's rejects have a folder of their own. Plain Parquet
+    has no update in place, so a batch rewrites the table; leave ``max_files`` unset to
+    take all that is new in one batch.
     """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
@@ -95,7 +97,7 @@ def merge_batch(
     labelled = label_rejects(batch, roles)
     rejected(labelled).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
 
-    # The batch is cleaned once, into a table of its own: the upsert reads it more than
+    # The batch is cleaned once, into a table of its own: the merge reads it more than
     # once, and the size of a stored table is known when the join is planned.
     changes_path = f"{silver_path.rstrip('/')}__changes"
     changes = stamp_silver(deduplicated(conform(accepted(labelled), roles), roles))
@@ -107,5 +109,5 @@ def merge_batch(
         write_silver(changes, silver_path, roles=roles)
         return
     target = read_silver(spark, silver_path, roles=roles)
-    merged = upsert(target, changes, roles.key, roles.ingested_at, target_is_unique=True)
+    merged = merge_unique(target, changes, roles.key, roles.ingested_at)
     write_silver(merged, silver_path, roles=roles)

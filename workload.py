@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from refinery.contracts import CATEGORY_KPIS, RAW, enforce_contract
-from refinery.functions import normalized, quality_flags
+from refinery.functions import has_rating, is_valid, normalized
 from refinery.operators import (
     REASON,
     label_rejects,
     late_arrivals,
     latest_per_key,
+    merge_unique,
     rejected,
     require_fields,
     upsert,
@@ -100,13 +101,17 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.expr("quantity * 10 div n").cast(MONEY) / 100).cast(MONEY).alias("rating_rate"),
         F.col("n").cast("int").alias("rating_count"),
     )
-    return items.withColumns(quality_flags(F.col("rating_rate"), F.col("price"), F.col("title")))
+    return items.withColumns(
+        {
+            "has_rating": has_rating(F.col("rating_rate")),
+            "is_valid": is_valid(F.col("price"), F.col("title")),
+        }
+    )
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the quality label some of them have: the source of real NULLs."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality label that some documents have: the source of real NULLs."""
+    return table(spark, sf_dir, "labels").select("doc_id", "quality")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,14 +208,18 @@ def dedup(spark, sf_dir):
 
 
 def required(spark, sf_dir):
-    complete = require_fields(labelled_documents(spark, sf_dir), ["quality", "text"])
-    return complete.select("doc_id", "lang", "quality")
+    documents = table(spark, sf_dir, "documents")
+    labelled = documents.join(labels(spark, sf_dir), "doc_id", "left")
+    return require_fields(labelled, ["quality", "text"]).select("doc_id", "lang", "quality")
 
 
 def flags(spark, sf_dir):
-    docs = labelled_documents(spark, sf_dir)
-    flagged = docs.withColumns(
-        quality_flags(F.col("quality"), F.col("n_chars"), normalized(F.col("text")))
+    # The texts are trimmed before the join, so that it moves a flag and not the texts.
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", is_valid(F.col("n_chars"), normalized(F.col("text"))).alias("is_valid")
+    )
+    flagged = documents.join(labels(spark, sf_dir), "doc_id", "left").withColumn(
+        "has_rating", has_rating(F.col("quality"))
     )
     return flagged.groupBy("has_rating", "is_valid").agg(F.count(F.lit(1)).alias("n"))
 
@@ -246,9 +255,13 @@ def upsert_union(spark, sf_dir):
 
 
 def upsert_join(spark, sf_dir):
-    early, changes = _split_events(spark, sf_dir)
-    target = latest_per_key(early, "user_id", [F.desc("ts")])
-    merged = upsert(target, changes, "user_id", "ts", target_is_unique=True)
+    """The same upsert on stored tables with one row per user."""
+    place = Layout(shared_dir(spark, "upsert_join"))
+    sides = []
+    for name, rows in zip(("target", "changes"), _split_events(spark, sf_dir)):
+        latest_per_key(rows, "user_id", [F.desc("ts")]).write.parquet(place.at(name))
+        sides.append(spark.read.parquet(place.at(name)))
+    merged = merge_unique(*sides, "user_id", "ts")
     return merged.select("user_id", "event_id", "event_type", "value")
 
 

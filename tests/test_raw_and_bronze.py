@@ -1,0 +1,139 @@
+from datetime import datetime, timezone
+
+import pytest
+
+from records import DAY1, DAY2, T1, T2, record, write_array, write_lines, write_text
+from refinery.contracts import RAW
+from refinery.plans import land_records, merge_schema, stamped, verify_bronze, write_bronze
+from refinery.sources import discover_schema, read_bronze, read_raw
+
+
+def test_array_and_lines_layouts_give_the_same_rows(spark, root):
+    rows = [record(n, rating=(4, n)) for n in range(5)]
+    write_array(root + "/a", DAY1, "x.json", rows)
+    write_lines(root + "/l", DAY1, "x.json", rows)
+    array = read_raw(spark, root + "/a", schema=RAW, layout="array").drop("_source_file", "_bronze_loaded_at")
+    lines = read_raw(spark, root + "/l", schema=RAW, layout="lines").drop("_source_file", "_bronze_loaded_at")
+    assert sorted(map(str, array.collect())) == sorted(map(str, lines.collect()))
+    assert array.count() == 5
+
+
+def test_unknown_layout_is_refused(spark, root):
+    with pytest.raises(ValueError):
+        read_raw(spark, root, schema=RAW, layout="csv")
+
+
+def test_scan_is_recursive_keeps_raw_text_and_lineage(spark, root):
+    write_array(root, DAY1, "a.json", [record(1, price=109.95)])
+    write_array(root, DAY2, "b.json", [record("x9", price="n/a")])
+    rows = {r.id: r for r in read_raw(spark, root, schema=RAW, layout="array").collect()}
+    assert (rows["1"].price, rows["x9"].price) == ("109.95", "n/a")
+    assert rows["1"]._source_file.endswith(f"ingest_date={DAY1}/a.json")
+    assert rows["x9"]._source_file.endswith(f"ingest_date={DAY2}/b.json")
+    assert "ingest_date" not in rows["1"]
+
+
+def test_one_landing_day(spark, root):
+    write_lines(root, DAY1, "a.json", [record(1)])
+    write_lines(root, DAY2, "b.json", [record(2)])
+    assert [r.id for r in read_raw(spark, root, schema=RAW, ingest_date=DAY2).collect()] == ["2"]
+
+
+def test_truncated_and_empty_files(spark, root):
+    write_text(root, DAY1, "bad.json", '[{"id": 9, ')
+    write_text(root, DAY1, "none.json", "[]")
+    write_array(root, DAY1, "good.json", [record(1)])
+    rows = read_raw(spark, root, schema=RAW, layout="array").collect()
+    assert len(rows) == 2
+    assert [r._corrupt_record for r in rows if r.id is None] == ['[{"id": 9, ']
+    assert [r._corrupt_record for r in rows if r.id == "1"] == [None]
+
+
+def test_one_bad_record_does_not_mark_its_neighbours(spark, root):
+    write_array(root, DAY1, "a.json", [record(1), {**record(2), "rating": "oops"}, record(3, rating=(4, 7))])
+    rows = {r.id: r for r in read_raw(spark, root, schema=RAW, layout="array").collect()}
+    assert len(rows) == 3 and all(r._corrupt_record is None for r in rows.values())
+    assert rows["2"].rating is None and rows["3"].rating["count"] == "7"
+
+
+def test_new_fields_are_discovered_as_text(spark, root):
+    write_array(root, DAY1, "a.json", [record(1)])
+    write_array(root, DAY2, "b.json", [record(2, at=T2, stock=5, dims={"w": 1.5}, rating=(1, 2))])
+    schema = discover_schema(spark, root, layout="array")
+    assert schema.names == RAW.names + ["dims", "stock"]
+    assert schema["rating"] == RAW["rating"]
+    rows = {r.id: r for r in read_raw(spark, root, layout="array").collect()}
+    assert rows["2"].stock == "5" and rows["2"].dims.w == "1.5" and rows["1"].stock is None
+
+
+def test_one_bad_value_does_not_change_the_schema(spark, root):
+    write_array(root, DAY1, "a.json", [record(1), {**record("x", price="free"), "rating": "oops"}])
+    assert discover_schema(spark, root, layout="array") == RAW
+
+
+def test_landing_stamps_once_and_counts(spark, root):
+    moment = datetime(2026, 5, 8, 23, 59, 59, tzinfo=timezone.utc)
+    batch = spark.createDataFrame([(1, "a"), (2, "b")], "id int, title string")
+    assert land_records(batch, root, moment=moment) == 2
+    assert land_records(batch, root, moment=moment) == 2  # runs accumulate
+    rows = read_raw(spark, root, schema=RAW).collect()
+    assert len(rows) == 4
+    assert {r._ingested_at for r in rows} == {moment.isoformat()}
+    assert all(f"ingest_date={DAY1}/" in r._source_file for r in rows)
+
+
+def test_landing_dates_do_not_depend_on_the_session_zone(spark, root):
+    rows = [(1, "2026-05-08T23:30:00-02:00"), (2, "2026-05-08T01:00:00+00:00")]
+    batch = spark.createDataFrame(rows, "id int, _ingested_at string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        land_records(batch, root, keep_stamp=True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    found = {r.id: r._source_file for r in read_raw(spark, root, schema=RAW).collect()}
+    assert f"ingest_date={DAY2}/" in found["1"] and f"ingest_date={DAY1}/" in found["2"]
+
+
+def test_stamp_needs_a_zone(spark):
+    with pytest.raises(ValueError):
+        stamped(spark.range(1), datetime(2026, 5, 8))
+
+
+def test_empty_batch_is_refused(spark, root):
+    with pytest.raises(ValueError):
+        land_records(spark.createDataFrame([], "id int, title string"), root)
+    with pytest.raises(ValueError):
+        land_records(spark.range(10).where("id > 99"), root)
+
+
+def test_bronze_overwrite_merges_schemas(spark, root):
+    path = root + "/bronze"
+    assert write_bronze(spark.createDataFrame([(1, "a")], "id int, old string"), path) == 1
+    assert write_bronze(spark.createDataFrame([(2, 5), (3, 6)], "id int, new int"), path) == 2
+    stored = read_bronze(spark, path)
+    assert stored.columns == ["id", "old", "new"]
+    assert sorted(tuple(r) for r in stored.collect()) == [(2, None, 5), (3, None, 6)]
+
+
+def test_merge_schema_keeps_stored_order(spark):
+    stored = spark.createDataFrame([], "b int, a int").schema
+    assert merge_schema(spark.createDataFrame([(1, 2)], "a int, c int"), stored).columns == ["b", "a", "c"]
+
+
+def test_bronze_append_keeps_both(spark, root):
+    path = root + "/bronze"
+    write_bronze(spark.createDataFrame([(1,)], "id int"), path, mode="append")
+    write_bronze(spark.createDataFrame([(2, "x")], "id int, extra string"), path, mode="append")
+    stored = read_bronze(spark, path, merge_schema=True)
+    assert sorted((r.id, r.extra) for r in stored.collect()) == [(1, None), (2, "x")]
+
+
+def test_bronze_count_is_verified(spark, root):
+    path = root + "/bronze"
+    rows = write_bronze(spark.range(100).toDF("id"), path)
+    assert verify_bronze(spark, path, rows) == 100
+    with pytest.raises(ValueError):
+        verify_bronze(spark, path, 99)
+    with pytest.raises(ValueError):
+        write_bronze(spark.range(1), path, mode="ignore")

@@ -83,6 +83,13 @@ FROM (SELECT u.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, even
       FROM u) x
 WHERE rn = 1"""
 
+Q5 = f"""WITH {KPIS}
+SELECT category, avg_rating, total_inventory_value,
+       CAST(round(CAST(CAST(avg_rating AS DECIMAL(4,2))
+            * CAST(total_inventory_value AS DECIMAL(14,2)) AS DECIMAL(22,4)), 2) AS DOUBLE)
+         AS rating_value_score
+FROM kpis"""
+
 SQL: dict[str, str] = {
     "kpis": f"WITH {KPIS} SELECT * FROM kpis",
     "top": f"WITH {TOP} SELECT * FROM top",
@@ -96,12 +103,7 @@ SQL: dict[str, str] = {
                     / CAST(sum(product_count) OVER () AS DOUBLE) AS DECIMAL(18,6)), 2) AS DOUBLE)
                  AS pct_of_total
         FROM buckets""",
-    "q5": f"""WITH {KPIS}
-        SELECT category, avg_rating, total_inventory_value,
-               CAST(round(CAST(CAST(avg_rating AS DECIMAL(4,2))
-                    * CAST(total_inventory_value AS DECIMAL(14,2)) AS DECIMAL(22,4)), 2) AS DOUBLE)
-                 AS rating_value_score
-        FROM kpis""",
+    "q5": Q5,
     "q6": f"""WITH {TOP}
         SELECT category, id, title, rating_rate, rating_count
         FROM (SELECT t.*, row_number() OVER (
@@ -162,6 +164,7 @@ SQL: dict[str, str] = {
                CAST(sum(rating_count) AS BIGINT) AS total_reviews
         FROM silver WHERE is_valid GROUP BY category""",
     "serving_buckets": f"WITH {SILVER} {BUCKET_ROWS} FROM silver GROUP BY 1",
+    "report_sql": Q5,
     "contract": f"WITH {KPIS} SELECT * FROM kpis",
     "late": """
         SELECT event_id, ingested_on, ingest_date,

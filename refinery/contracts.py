@@ -35,7 +35,13 @@ BRONZE_AUDIT = T.StructType(
     ]
 )
 
-BRONZE = T.StructType(RAW.fields + BRONZE_AUDIT.fields)
+
+def bronze_schema(raw: T.StructType = RAW) -> T.StructType:
+    """Columns of a bronze table loaded under the given raw schema."""
+    return T.StructType(raw.fields + BRONZE_AUDIT.fields)
+
+
+BRONZE = bronze_schema()
 
 SILVER = T.StructType(
     [

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from refinery.contracts import RAW, bronze_schema
 from refinery.plans.bronze import verify_bronze, write_bronze
 from refinery.plans.gold import category_kpis, price_buckets, top_products, write_gold
 from refinery.plans.landing import land_records
@@ -15,6 +16,7 @@ from refinery.plans.silver import SilverRun, refine
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.raw_json import read_raw
 from refinery.sources.tables import read_silver
+from refinery.streaming.incremental import ingest_new_files, merge_new_rows
 
 
 @dataclass(frozen=True)
@@ -64,9 +66,8 @@ def load_bronze(
     *,
     layout: str = "lines",
     schema: T.StructType | None = None,
-    ingest_date: str | None = None,
 ) -> int:
-    raw = read_raw(spark, place.raw, schema=schema, layout=layout, ingest_date=ingest_date)
+    raw = read_raw(spark, place.raw, schema=schema, layout=layout)
     return verify_bronze(spark, place.bronze, write_bronze(raw, place.bronze))
 
 
@@ -86,7 +87,6 @@ def run(
     moment: datetime | None = None,
     layout: str = "lines",
     schema: T.StructType | None = None,
-    ingest_date: str | None = None,
     roles: Roles = DEFAULT_ROLES,
     export: bool = True,
 ) -> Run:
@@ -98,7 +98,7 @@ def run(
     place = Layout(root)
     if records is not None:
         land_records(records, place.raw, moment=moment)
-    loaded = load_bronze(spark, place, layout=layout, schema=schema, ingest_date=ingest_date)
+    loaded = load_bronze(spark, place, layout=layout, schema=schema)
     silver = refine(spark, place.bronze, place.silver, place.rejects, roles=roles)
     build_gold(spark, place, roles)
     exported = export_tables(spark, place.gold, directory=place.serving) if export else {}
@@ -111,3 +111,37 @@ def replay(spark: SparkSession, root: str, *, roles: Roles = DEFAULT_ROLES) -> S
     silver = refine(spark, place.bronze, place.silver, place.rejects, roles=roles)
     build_gold(spark, place, roles)
     return silver
+
+
+def run_new(
+    spark: SparkSession,
+    root: str,
+    *,
+    records: DataFrame | None = None,
+    moment: datetime | None = None,
+    layout: str = "lines",
+    schema: T.StructType = RAW,
+    roles: Roles = DEFAULT_ROLES,
+    export: bool = True,
+) -> dict[str, bool]:
+    """The daily job: load only the raw files no earlier call has seen, and merge them.
+
+    Use either this or :func:`run` on a root, since each keeps bronze in its own way.
+    """
+    place = Layout(root)
+    if records is not None:
+        land_records(records, place.raw, moment=moment)
+    ingest_new_files(
+        spark, place.raw, place.bronze, place.at("ingest_state"), schema=schema, layout=layout
+    ).awaitTermination()
+    merge_new_rows(
+        spark,
+        place.bronze,
+        place.silver,
+        place.rejects,
+        place.at("merge_state"),
+        schema=bronze_schema(schema),
+        roles=roles,
+    ).awaitTermination()
+    build_gold(spark, place, roles)
+    return export_tables(spark, place.gold, directory=place.serving) if export else {}

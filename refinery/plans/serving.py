@@ -57,3 +57,20 @@ def export_tables(
         else:
             writer.format(fmt).save(f"{directory.rstrip('/')}/{table}")
     return exported
+
+
+def serve_views(
+    spark: SparkSession,
+    root: str,
+    *,
+    contracts: Mapping[str, T.StructType] = SERVING,
+    fmt: str = "parquet",
+) -> list[str]:
+    """Make the tables stored below ``root`` temporary views, for reports in SQL."""
+    served = []
+    for table in contracts:
+        stored = read_if_exists(spark, root, table, fmt=fmt)
+        if stored is not None:
+            stored.createOrReplaceTempView(table)
+            served.append(table)
+    return served

@@ -1,13 +1,14 @@
+import os
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 import refinery.storage as storage
-from records import DAY1, DAY2, T2, record, write_array
-from refinery.contracts import CATEGORY_KPIS, SERVING, TOP_PRODUCTS, enforce_contract, widened
-from refinery.plans import export_tables, reports, write_gold
-from refinery.plans.medallion import Layout, replay, run
+from records import DAY1, DAY2, T2, record, write_array, write_text
+from refinery.contracts import CATEGORY_KPIS, RAW, SERVING, TOP_PRODUCTS, enforce_contract, widened
+from refinery.plans import export_tables, reports, serve_views, write_gold
+from refinery.plans.medallion import Layout, replay, run, run_new
 from refinery.plans.serving import jdbc_options
 from refinery.sources import read_gold, read_if_exists, read_silver
 
@@ -161,3 +162,53 @@ def test_chain_lands_records_itself(spark, root):
     assert (done.bronze, done.silver.rows) == (2, 2)
     run(spark, root, records=records)
     assert read_silver(spark, root + "/silver").count() == 2
+
+
+def test_daily_runs_equal_one_full_run(spark, root):
+    landed(root + "/full")
+    run(spark, root + "/full", layout="array")
+
+    daily = Layout(root + "/daily")
+    landed(root + "/history")
+    for day in (DAY1, DAY2):
+        [name] = os.listdir(f"{root}/history/raw/ingest_date={day}")
+        with open(f"{root}/history/raw/ingest_date={day}/{name}") as source:
+            write_text(daily.raw, day, name, source.read())
+        assert all(run_new(spark, daily.root, layout="array").values())
+    assert tables(spark, daily) == tables(spark, Layout(root + "/full"))
+    again = tables(spark, daily)
+    run_new(spark, daily.root, layout="array")
+    assert tables(spark, daily) == again
+
+
+def test_daily_run_lands_records_and_takes_a_schema(spark, root):
+    schema = T.StructType(RAW.fields + [T.StructField("stock", T.StringType())])
+    for stock in (5, 6):
+        rows = [(1, "a", 5.0, "x", stock)]
+        batch = spark.createDataFrame(rows, "id int, title string, price double, category string, stock int")
+        run_new(spark, root, records=batch, schema=schema)
+    [row] = read_silver(spark, root + "/silver").collect()
+    assert row.stock == "6"
+
+
+def test_reports_as_sql(spark, root):
+    landed(root)
+    run(spark, root, layout="array")
+    place = Layout(root)
+    assert serve_views(spark, place.serving) == list(SERVING)
+    kpis = read_gold(spark, place.serving, "gold_category_kpis")
+    by_value = spark.sql("SELECT category FROM gold_category_kpis ORDER BY total_inventory_value DESC")
+    assert by_value.collect() == reports.inventory_by_category(kpis).select("category").collect()
+    share = spark.sql(
+        "SELECT price_bucket, ROUND(100.0 * product_count / SUM(product_count) OVER (), 2) AS pct FROM gold_price_buckets"
+    )
+    buckets = read_gold(spark, place.serving, "gold_price_buckets")
+    expected = {r.price_bucket: r.pct_of_total for r in reports.price_distribution(buckets).collect()}
+    assert {r.price_bucket: r.pct for r in share.collect()} == expected
+    best = spark.sql(
+        """SELECT category, id FROM (
+             SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY rating_rate DESC, rating_count DESC, id) AS place
+             FROM gold_top_products) WHERE place = 1 ORDER BY category"""
+    )
+    top = read_gold(spark, place.serving, "gold_top_products")
+    assert best.collect() == reports.best_per_category(top).select("category", "id").collect()

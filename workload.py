@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from refinery.contracts import CATEGORY_KPIS, RAW, enforce_contract
+from refinery.contracts import CATEGORY_KPIS, RAW, bronze_schema, enforce_contract
 from refinery.functions import has_rating, is_valid, normalized
 from refinery.operators import (
     REASON,
@@ -26,12 +26,15 @@ from refinery.plans import (
     category_kpis,
     land_records,
     price_buckets,
+    refine,
+    serve_views,
     top_products,
     verify_bronze,
     write_bronze,
+    write_gold,
 )
 from refinery.plans import reports
-from refinery.plans.medallion import Layout, run
+from refinery.plans.medallion import Layout, load_bronze, run
 from refinery.plans.silver import flatten_rating
 from refinery.sources import read_bronze, read_gold, read_raw, read_silver
 from refinery.storage import shared_dir
@@ -347,26 +350,46 @@ def _silver_rows(silver: DataFrame) -> DataFrame:
     )
 
 
+def _refined(spark, sf_dir, name: str) -> Layout:
+    place = _land(spark, sf_dir, shared_dir(spark, name))
+    load_bronze(spark, place, schema=RAW_EVENTS)
+    refine(spark, place.bronze, place.silver, place.rejects)
+    return place
+
+
 def silver(spark, sf_dir):
-    place = _land(spark, sf_dir, shared_dir(spark, "silver"))
-    run(spark, place.root, schema=RAW_EVENTS, export=False)
+    place = _refined(spark, sf_dir, "silver")
     return _silver_rows(read_silver(spark, place.silver))
 
 
 def gold_kpis(spark, sf_dir):
-    place = _land(spark, sf_dir, shared_dir(spark, "gold_kpis"))
-    run(spark, place.root, schema=RAW_EVENTS, export=False)
+    place = _refined(spark, sf_dir, "gold_kpis")
+    write_gold(category_kpis(read_silver(spark, place.silver)), place.gold, "gold_category_kpis")
     stored = read_gold(spark, place.gold, "gold_category_kpis").drop("_gold_loaded_at")
     return doubles(stored, *KPI_MONEY)
 
 
 def serving_buckets(spark, sf_dir):
+    """The whole chain up to the serving tables."""
     place = _land(spark, sf_dir, shared_dir(spark, "serving_buckets"))
     run(spark, place.root, schema=RAW_EVENTS)
     served = read_gold(spark, place.serving, "gold_price_buckets").drop("_gold_loaded_at")
     return doubles(served, "avg_price")
 
 
+def report_sql(spark, sf_dir):
+    """A report as SQL text over the stored gold tables."""
+    place = Layout(shared_dir(spark, "report_sql"))
+    write_gold(_kpis(spark, sf_dir), place.gold, "gold_category_kpis")
+    serve_views(spark, place.gold)
+    report = spark.sql(
+        """SELECT category, avg_rating, total_inventory_value,
+                  round(avg_rating * total_inventory_value, 2) AS rating_value_score
+           FROM gold_category_kpis ORDER BY rating_value_score DESC"""
+    )
+    return doubles(report, "avg_rating", "total_inventory_value", "rating_value_score")
+
+
 def contract(spark, sf_dir):
     stamped = _kpis(spark, sf_dir).withColumn("_gold_loaded_at", F.current_timestamp())
     held = enforce_contract(stamped, CATEGORY_KPIS).drop("_gold_loaded_at")
@@ -406,14 +429,13 @@ def incremental(spark, sf_dir):
 
 def incremental_silver(spark, sf_dir):
     def merge(place: Layout) -> None:
-        bronze_schema = read_bronze(spark, place.bronze).schema
         merge_new_rows(
             spark,
             place.bronze,
             place.silver,
             place.rejects,
             place.at("merge_state"),
-            schema=bronze_schema,
+            schema=bronze_schema(RAW_EVENTS),
         ).awaitTermination()
 
     place = _two_loads(spark, sf_dir, "incremental_silver", merge)
@@ -448,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "silver": silver,
     "gold_kpis": gold_kpis,
     "serving_buckets": serving_buckets,
+    "report_sql": report_sql,
     "contract": contract,
     "late": late,
     "incremental": incremental,

@@ -22,24 +22,34 @@ def upsert(target: DataFrame, changes: DataFrame, key: str, order: str) -> DataF
     return latest_per_key(both, key, [instant(both, order).desc()])
 
 
-def merge_unique(target: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
+def merge_unique(
+    target: DataFrame,
+    changes: DataFrame,
+    key: str,
+    order: str,
+    *,
+    broadcast_changes: bool = False,
+) -> DataFrame:
     """:func:`upsert` for a target and changes that both hold one row per key.
 
-    Joins on a key that occurs once on each side, so no key is hot. Spark broadcasts the
-    changes where their size is under its threshold, and then the target is not shuffled;
-    above it both sides are. Both inputs are read more than once: store them first.
+    Joins on a key that occurs once on each side, so no key is hot. With
+    ``broadcast_changes``, for changes of a checked size, target rows stay in the task that
+    read them. Otherwise Spark chooses by its own threshold, above which both sides are
+    shuffled. Both inputs are read more than once: store them first.
     """
     target, changes = _same_columns(target, changes)
     names = target.columns
+    hinted = F.broadcast if broadcast_changes else lambda side: side
+
     incoming = changes.select(key, F.struct(*[f"`{n}`" for n in names]).alias("__new"))
     # One comparison of structs: by order column, then by all the others, NULL lowest.
     newer = _rank_of(target, key, order, "__new.") > _rank_of(target, key, order)
     replaced = F.col("__new").isNotNull() & newer
-    kept_or_replaced = target.join(incoming, key, "left").select(
+    kept_or_replaced = target.join(hinted(incoming), key, "left").select(
         *[F.when(replaced, F.col(f"__new.`{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in names]
     )
-    known = target.select(key).join(changes.select(key), key, "left_semi")
-    added = changes.join(known, key, "left_anti").select(*[f"`{n}`" for n in names])
+    known = target.select(key).join(hinted(changes.select(key)), key, "left_semi")
+    added = changes.join(hinted(known), key, "left_anti").select(*[f"`{n}`" for n in names])
     return kept_or_replaced.unionByName(added)
 
 

@@ -89,18 +89,19 @@ def write_silver(
     roles: Roles = DEFAULT_ROLES,
     fmt: str = "parquet",
     swap: bool = True,
+    arranged: bool = False,
 ) -> int:
     """Replace the silver table, one folder per category; return its number of rows.
 
     Deduplication leaves the rows spread by key, so each task would open a file in each
     category. The rebalance brings a category's rows together, and AQE splits a
     category that is too large for one task and joins those that are too small.
+    ``arranged`` leaves it out, for rows that lie together by category already.
     """
     seen = Observation()
-    arranged = silver.hint("rebalance", roles.category).observe(
-        seen, F.count(F.lit(1)).alias("rows")
-    )
-    publish(arranged, path, partition_by=roles.category, fmt=fmt, swap=swap)
+    rows = silver if arranged else silver.hint("rebalance", roles.category)
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    publish(rows, path, partition_by=roles.category, fmt=fmt, swap=swap)
     return seen.get["rows"]
 
 

@@ -23,6 +23,12 @@ def table_exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def stored_bytes(spark: SparkSession, uri: str) -> int:
+    """Size of the files below ``uri``."""
+    fs, path = _file_system(spark, uri)
+    return fs.getContentSummary(path).getLength()
+
+
 def _move(spark: SparkSession, source: str, destination: str) -> None:
     fs, path = _file_system(spark, source)
     if not fs.rename(path, _file_system(spark, destination)[1]):

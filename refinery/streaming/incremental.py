@@ -12,7 +12,10 @@ from refinery.plans.silver import conform, deduplicated, stamp_silver, write_sil
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.raw_json import LAYOUTS, shape_raw, with_corrupt
 from refinery.sources.tables import read_silver
-from refinery.storage import recover, table_exists
+from refinery.storage import recover, stored_bytes, table_exists
+
+# On disk; the rows take a few times as much in memory.
+BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def ingest_new_files(
@@ -62,6 +65,7 @@ def merge_new_rows(
     schema: T.StructType = BRONZE,
     roles: Roles = DEFAULT_ROLES,
     max_files: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Upsert the bronze rows that no earlier call has seen into silver, then stop.
 
@@ -75,7 +79,7 @@ def merge_new_rows(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, silver_path, rejects_path, roles)
+        merge_batch(batch, batch_id, silver_path, rejects_path, roles, broadcast_bytes)
 
     return (
         reader.parquet(bronze_path)
@@ -92,22 +96,29 @@ def merge_batch(
     silver_path: str,
     rejects_path: str,
     roles: Roles = DEFAULT_ROLES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
+    """Clean one batch and merge it into the silver table.
+
+    Changes whose stored size is at most ``broadcast_bytes`` are broadcast, and the target's
+    rows are written back as they lie, without a shuffle. Larger changes shuffle both sides by
+    key, and the result is arranged by category again.
+    """
     spark = batch.sparkSession
     labelled = label_rejects(batch, roles)
     rejected(labelled).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
 
-    # The batch is cleaned once, into a table of its own: the merge reads it more than
-    # once, and the size of a stored table is known when the join is planned.
-    changes_path = f"{silver_path.rstrip('/')}__changes"
     changes = stamp_silver(deduplicated(conform(accepted(labelled), roles), roles))
-    changes.write.mode("overwrite").parquet(changes_path)
-    changes = spark.read.schema(changes.schema).parquet(changes_path)
-
     recover(spark, silver_path)
     if not table_exists(spark, silver_path):
         write_silver(changes, silver_path, roles=roles)
         return
+
+    # Cleaned once, into a table of its own: the merge reads the changes more than once.
+    changes_path = f"{silver_path.rstrip('/')}__changes"
+    changes.hint("rebalance", roles.category).write.mode("overwrite").parquet(changes_path)
+    stored = spark.read.schema(changes.schema).parquet(changes_path)
+    small = stored_bytes(spark, changes_path) <= broadcast_bytes
     target = read_silver(spark, silver_path, roles=roles)
-    merged = merge_unique(target, changes, roles.key, roles.ingested_at)
-    write_silver(merged, silver_path, roles=roles)
+    merged = merge_unique(target, stored, roles.key, roles.ingested_at, broadcast_changes=small)
+    write_silver(merged, silver_path, roles=roles, arranged=small)

@@ -93,11 +93,13 @@ def test_only_new_files_are_loaded(spark, root, max_files):
     assert ingest(spark, root, max_files=max_files) == ["1", "2", "3", "4"]
 
 
-def test_incremental_silver_equals_a_full_rebuild(spark, root):
+@pytest.mark.parametrize("broadcast_bytes", [10**7, 0])
+def test_incremental_silver_equals_a_full_rebuild(spark, root, broadcast_bytes):
     def load():
         ingest(spark, root)
         merge_new_rows(
-            spark, root + "/bronze", root + "/silver", root + "/rejects", root + "/merge_state", schema=BRONZE
+            spark, root + "/bronze", root + "/silver", root + "/rejects", root + "/merge_state",
+            schema=BRONZE, broadcast_bytes=broadcast_bytes,
         ).awaitTermination()
         stored = read_silver(spark, root + "/silver").drop("_silver_loaded_at")
         full = clean(read_bronze(spark, root + "/bronze")).drop("_silver_loaded_at")

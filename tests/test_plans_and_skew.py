@@ -133,6 +133,15 @@ def test_changes_over_the_threshold_are_not_broadcast(spark, root):
     assert sorted(map(str, merge_unique(target, changes, "id", "at").collect())) == expected
 
 
+def test_broadcast_on_request_whatever_the_threshold(spark, root):
+    target, changes = unique_sides(spark, root)
+    expected = sorted(map(str, upsert(target, changes, "id", "at").collect()))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        merged = merge_unique(target, changes, "id", "at", broadcast_changes=True)
+        assert set(re.findall(r"(\w*Exchange)", plan(merged).split("\n\n")[0])) == {"BroadcastExchange"}
+        assert sorted(map(str, merged.collect())) == expected
+
+
 def files_of(path, category):
     return glob.glob(f"{path}/category={category}/*.parquet")
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from refinery.contracts import BRONZE, RAW
 from refinery.operators.merge import merge_unique
-from refinery.operators.rejects import accepted, label_rejects, rejected
+from refinery.operators.rejects import REASON, accepted, label_rejects, rejected
 from refinery.plans.silver import conform, deduplicated, stamp_silver, write_silver
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.raw_json import LAYOUTS, shape_raw, with_corrupt
@@ -100,25 +100,32 @@ def merge_batch(
 ) -> None:
     """Clean one batch and merge it into the silver table.
 
-    Changes whose stored size is at most ``broadcast_bytes`` are broadcast, and the target's
-    rows are written back as they lie, without a shuffle. Larger changes shuffle both sides by
-    key, and the result is arranged by category again.
+    The batch is read again only if it holds rejects. Changes whose stored size is at most
+    ``broadcast_bytes`` are broadcast, and the target's rows are written back as they lie,
+    without a shuffle. Larger changes shuffle both sides by key, and the result is arranged by
+    category again.
     """
     spark = batch.sparkSession
     labelled = label_rejects(batch, roles)
-    rejected(labelled).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+    refused = Observation()
+    watched = labelled.observe(refused, F.count_if(F.col(REASON).isNotNull()).alias("rows"))
+    changes = stamp_silver(deduplicated(conform(accepted(watched), roles), roles))
 
-    changes = stamp_silver(deduplicated(conform(accepted(labelled), roles), roles))
     recover(spark, silver_path)
     if not table_exists(spark, silver_path):
         write_silver(changes, silver_path, roles=roles)
-        return
-
-    # Cleaned once, into a table of its own: the merge reads the changes more than once.
-    changes_path = f"{silver_path.rstrip('/')}__changes"
-    changes.hint("rebalance", roles.category).write.mode("overwrite").parquet(changes_path)
-    stored = spark.read.schema(changes.schema).parquet(changes_path)
-    small = stored_bytes(spark, changes_path) <= broadcast_bytes
-    target = read_silver(spark, silver_path, roles=roles)
-    merged = merge_unique(target, stored, roles.key, roles.ingested_at, broadcast_changes=small)
-    write_silver(merged, silver_path, roles=roles, arranged=small)
+    else:
+        # Cleaned once, into a table of its own: the merge reads the changes more than once.
+        changes_path = f"{silver_path.rstrip('/')}__changes"
+        changes.hint("rebalance", roles.category).write.mode("overwrite").parquet(changes_path)
+        stored = spark.read.schema(changes.schema).parquet(changes_path)
+        small = stored_bytes(spark, changes_path) <= broadcast_bytes
+        target = read_silver(spark, silver_path, roles=roles)
+        merged = merge_unique(
+            target, stored, roles.key, roles.ingested_at, broadcast_changes=small
+        )
+        write_silver(merged, silver_path, roles=roles, arranged=small)
+
+    if refused.get["rows"]:
+        folder = f"{rejects_path.rstrip('/')}/batch_id={batch_id}"
+        rejected(labelled).write.mode("overwrite").parquet(folder)

@@ -83,11 +83,10 @@ FROM (SELECT u.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, even
       FROM u) x
 WHERE rn = 1"""
 
-Q5 = f"""WITH {KPIS}
-SELECT category, avg_rating, total_inventory_value,
-       CAST(round(CAST(CAST(avg_rating AS DECIMAL(4,2))
-            * CAST(total_inventory_value AS DECIMAL(14,2)) AS DECIMAL(22,4)), 2) AS DOUBLE)
-         AS rating_value_score
+CARD = f"""WITH {KPIS}
+SELECT CAST(sum(product_count) AS BIGINT) AS total_products,
+       CAST(round(CAST(sum(avg_rating * product_count) / sum(product_count)
+            AS DECIMAL(14,6)), 2) AS DOUBLE) AS avg_rating
 FROM kpis"""
 
 SQL: dict[str, str] = {
@@ -97,24 +96,24 @@ SQL: dict[str, str] = {
     "q1": f"WITH {KPIS} SELECT category, product_count, avg_price, total_inventory_value FROM kpis",
     "q2": f"WITH {KPIS} SELECT category, avg_rating, total_reviews FROM kpis WHERE total_reviews > 0",
     "q3": f"WITH {TOP} SELECT * FROM top ORDER BY rating_rate DESC, rating_count DESC, id",
-    "q4": f"""WITH {BUCKETS}
+    "q4": f"""WITH {BUCKETS}, whole AS (SELECT CAST(sum(product_count) AS DOUBLE) AS n FROM buckets)
         SELECT price_bucket, product_count, avg_price,
-               CAST(round(CAST(CAST(100.0 * product_count AS DOUBLE)
-                    / CAST(sum(product_count) OVER () AS DOUBLE) AS DECIMAL(18,6)), 2) AS DOUBLE)
+               CAST(round(CAST(product_count * 100 / whole.n AS DECIMAL(18,6)), 2) AS DOUBLE)
                  AS pct_of_total
-        FROM buckets""",
-    "q5": Q5,
-    "q6": f"""WITH {TOP}
-        SELECT category, id, title, rating_rate, rating_count
-        FROM (SELECT t.*, row_number() OVER (
-                PARTITION BY category ORDER BY rating_rate DESC, rating_count DESC, id) AS rn
-              FROM top t) r
-        WHERE rn = 1""",
-    "card": f"""WITH {KPIS}
-        SELECT CAST(sum(product_count) AS BIGINT) AS total_products,
-               CAST(round(CAST(sum(avg_rating * product_count) / sum(product_count)
-                    AS DECIMAL(14,6)), 2) AS DOUBLE) AS avg_rating
+        FROM buckets, whole""",
+    "q5": f"""WITH {KPIS}
+        SELECT category, avg_rating, total_inventory_value,
+               CAST(round(CAST(CAST(avg_rating AS DECIMAL(4,2))
+                    * CAST(total_inventory_value AS DECIMAL(14,2)) AS DECIMAL(22,4)), 2) AS DOUBLE)
+                 AS rating_value_score
         FROM kpis""",
+    "q6": f"""WITH {TOP}
+        SELECT b.category, b.id, b.title, b.rating_rate, b.rating_count
+        FROM top b
+        WHERE NOT EXISTS (
+          SELECT 1 FROM top o WHERE o.category = b.category
+            AND (-o.rating_rate, -o.rating_count, o.id) < (-b.rating_rate, -b.rating_count, b.id))""",
+    "card": CARD,
     "slicer": f"WITH {KPIS} SELECT category, total_inventory_value FROM kpis WHERE category = 'promo'",
     "dedup": f"""WITH {FEED}
         SELECT id, lower(trim(category)) AS category, trim(title) AS title,
@@ -164,7 +163,7 @@ SQL: dict[str, str] = {
                CAST(sum(rating_count) AS BIGINT) AS total_reviews
         FROM silver WHERE is_valid GROUP BY category""",
     "serving_buckets": f"WITH {SILVER} {BUCKET_ROWS} FROM silver GROUP BY 1",
-    "report_sql": Q5,
+    "report_sql": CARD,
     "contract": f"WITH {KPIS} SELECT * FROM kpis",
     "late": """
         SELECT event_id, ingested_on, ingest_date,

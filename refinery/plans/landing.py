@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from refinery.functions import utc_date, utc_stamp
+from refinery.storage import together_by
 
 STAMP = "_ingested_at"
 LANDED_ON = "ingest_date"
@@ -36,7 +37,7 @@ def land_records(
         batch = records
         if LANDED_ON not in batch.columns:
             batch = batch.withColumn(LANDED_ON, utc_date(batch, STAMP))
-        batch = batch.hint("rebalance", LANDED_ON)
+        batch = together_by(batch, LANDED_ON)
     else:
         batch = stamped(records, moment)
     seen = Observation()

@@ -20,7 +20,7 @@ from refinery.operators.rejects import (
 )
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.tables import read_bronze
-from refinery.storage import publish
+from refinery.storage import publish, together_by
 
 LOADED_AT = "_silver_loaded_at"
 
@@ -99,7 +99,7 @@ def write_silver(
     ``arranged`` leaves it out, for rows that lie together by category already.
     """
     seen = Observation()
-    rows = silver if arranged else silver.hint("rebalance", roles.category)
+    rows = silver if arranged else together_by(silver, roles.category)
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     publish(rows, path, partition_by=roles.category, fmt=fmt, swap=swap)
     return seen.get["rows"]

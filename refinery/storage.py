@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def _file_system(spark: SparkSession, uri: str):
@@ -53,6 +53,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Without AQE a large group is cut into at most this many pieces.
+SALTS = 32
+
+
+def together_by(df: DataFrame, column: str) -> DataFrame:
+    """Bring rows with equal ``column`` together for a write, without one task for a hot value.
+
+    AQE splits what is too large and joins what is too small. In a session without it,
+    rows are salted by the task they come from.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", column)
+    return df.repartition(F.col(column), F.spark_partition_id() % SALTS)
+
+
 def publish(
     df: DataFrame,
     uri: str,

@@ -12,7 +12,7 @@ from refinery.plans.silver import conform, deduplicated, stamp_silver, write_sil
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.raw_json import LAYOUTS, shape_raw, with_corrupt
 from refinery.sources.tables import read_silver
-from refinery.storage import recover, stored_bytes, table_exists
+from refinery.storage import recover, stored_bytes, table_exists, together_by
 
 # On disk; the rows take a few times as much in memory.
 BROADCAST_BYTES = 10 * 1024 * 1024
@@ -117,7 +117,7 @@ def merge_batch(
     else:
         # Cleaned once, into a table of its own: the merge reads the changes more than once.
         changes_path = f"{silver_path.rstrip('/')}__changes"
-        changes.hint("rebalance", roles.category).write.mode("overwrite").parquet(changes_path)
+        together_by(changes, roles.category).write.mode("overwrite").parquet(changes_path)
         stored = spark.read.schema(changes.schema).parquet(changes_path)
         small = stored_bytes(spark, changes_path) <= broadcast_bytes
         target = read_silver(spark, silver_path, roles=roles)

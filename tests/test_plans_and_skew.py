@@ -163,6 +163,14 @@ def test_a_hot_category_is_split_over_tasks(spark, root):
     assert stored.where("category = 'hot'").count() == 10_000
 
 
+def test_a_hot_category_is_split_without_aqe(spark, root):
+    path = root + "/silver"
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        assert write_silver(skewed(spark).repartition(16), path) == 30_000
+        assert len(files_of(path, "hot")) > 1
+        assert read_silver(spark, path).count() == 30_000
+
+
 def test_landing_a_hot_day(spark, root):
     stamp = F.when(F.col("id") == 0, "2026-05-08T00:00:00+00:00").otherwise("2026-05-09T00:00:00+00:00")
     rows = skewed(spark).select("id", "payload", stamp.alias("_ingested_at")).repartition(16)

@@ -139,4 +139,5 @@ def _held_to(field: T.StructField) -> Column:
     checked = F.when(raw.isNull(), F.raise_error(F.lit(f"{field.name}: NULL not allowed"))).otherwise(checked)
     # The default is never reached; it only lets Spark see that the column has no NULLs,
     # which the JDBC writer turns into NOT NULL.
-    return F.coalesce(checked, F.lit("" if isinstance(field.dataType, T.StringType) else 0).cast(field.dataType))
+    unreached = "" if isinstance(field.dataType, T.StringType) else 0
+    return F.coalesce(checked, F.lit(unreached).cast(field.dataType))

@@ -2,7 +2,7 @@ from datetime import datetime, timezone
 
 import pytest
 
-from records import DAY1, DAY2, T1, T2, record, write_array, write_lines, write_text
+from records import DAY1, DAY2, T2, record, write_array, write_lines, write_text
 from refinery.contracts import RAW
 from refinery.plans import land_records, merge_schema, stamped, verify_bronze, write_bronze
 from refinery.sources import discover_schema, read_bronze, read_raw

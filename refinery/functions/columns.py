@@ -14,15 +14,64 @@ def normalized(text: Column, *, fold_case: bool = False) -> Column:
     return F.lower(stripped) if fold_case else stripped
 
 
-def to_whole_number(value: Column, type_name: str = "int") -> Column:
+# A failed conversion of text costs an exception, some hundred times the price of a good
+# one. The guards below keep the usual junk (``n/a``, ``x9``, ``12 USD``, empty text) away from
+# it by looking at the first and last character only. They are comparisons and not patterns,
+# which would cost more per good row than the conversion itself.
+
+
+def _ascii_number(text: Column) -> Column:
+    """No letter, nor anything beyond ASCII digits in the code table, at either end."""
+    return (text > "") & (text < ":") & (F.right(text, F.lit(1)) < ":")
+
+
+def _any_number(text: Column) -> Column:
+    """No ASCII letter at either end; decimals accept the digits of other scripts."""
+
+    def no_letter(edge: Column) -> Column:
+        return (edge < ":") | (edge >= "{")
+
+    return (text > "") & no_letter(text) & no_letter(F.right(text, F.lit(1)))
+
+
+def to_decimal(value: Column, type_name: str, *, text: bool) -> Column:
+    """Decimal by half-up rounding; NULL for junk or where it does not fit.
+
+    ``text`` tells whether the column holds text.
+    """
+    number = value.try_cast(type_name)
+    return F.when(_any_number(value), number) if text else number
+
+
+def to_double(value: Column, *, text: bool) -> Column:
+    """Double, ``NaN`` and ``Infinity`` included; NULL for junk."""
+    number = value.try_cast("double")
+    if not text:
+        return number
+    special = value.rlike(r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$")
+    return F.when(_ascii_number(value) | special, number)
+
+
+def to_whole_number(value: Column, type_name: str = "int", *, text: bool) -> Column:
     """Lenient integer: ``'7'``, ``'7.0'`` and ``'3.9'`` give 7, 7 and 3; junk gives NULL.
 
-    The direct cast comes first, so a 64-bit integer never passes through a double.
+    Text goes through a double, which holds every 32-bit integer exactly. For ``bigint`` only
+    text with a fraction or an exponent does.
     """
-    return F.coalesce(
-        value.try_cast(type_name),
-        value.try_cast("double").try_cast(type_name),
-    )
+    number = value.try_cast(type_name)
+    if not text:
+        return number
+    # A double is also written in hexadecimal (``0x1p3``), a whole number is not.
+    decimal_digits = ~value.contains("x") & ~value.contains("X")
+    through_double = value.try_cast("double").try_cast(type_name)
+    if type_name == "bigint":
+        fractional = value.contains(".") | value.contains("e") | value.contains("E")
+        through_double = F.when(fractional, through_double).otherwise(number)
+    return F.when(_ascii_number(value) & decimal_digits, through_double)
+
+
+def is_text(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StringType)
 
 
 def is_absent(df: DataFrame, name: str) -> Column:
@@ -61,7 +110,7 @@ def instant(df: DataFrame, name: str, inside: str = "") -> Column:
     ``inside`` is the prefix of a struct that holds a row of ``df``, for example ``"new."``.
     """
     column = F.col(f"{inside}`{name}`")
-    if isinstance(df.schema[name].dataType, T.StringType):
+    if is_text(df.schema[name].dataType):
         return column.try_cast("timestamp")
     return column
 

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refinery.functions import is_absent, to_whole_number
+from refinery.functions import is_absent, is_text, to_decimal, to_whole_number
 from refinery.roles import DEFAULT_ROLES, Roles
 
 REASON = "_reject_reason"
 CORRUPT = "_corrupt_record"
+# Converted once, for the check and for the silver row.
+KEY, PRICE = "__key", "__price"
 
 
 def require_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -23,16 +25,18 @@ def require_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df
 
 
-def typed_key(roles: Roles) -> Column:
-    return to_whole_number(F.col(roles.key), roles.key_type)
+def typed_key(df: DataFrame, roles: Roles) -> Column:
+    text = is_text(df.schema[roles.key].dataType)
+    return to_whole_number(F.col(roles.key), roles.key_type, text=text)
 
 
-def typed_price(roles: Roles) -> Column:
-    return F.col(roles.price).try_cast(roles.price_type)
+def typed_price(df: DataFrame, roles: Roles) -> Column:
+    text = is_text(df.schema[roles.price].dataType)
+    return to_decimal(F.col(roles.price), roles.price_type, text=text)
 
 
-def label_rejects(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Add the reason why silver refuses a row, or NULL where it takes it.
+def checked(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """Add the converted key and price, and the reason why silver refuses a row, or NULL.
 
     The first that applies: ``corrupt`` (unreadable file or line), ``required:<column>``,
     ``type:<column>`` (text that is no number, or one outside the column's range).
@@ -42,9 +46,15 @@ def label_rejects(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
         checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("corrupt")))
     for name in roles.required:
         checks.append(F.when(is_absent(bronze, name), F.lit(f"required:{name}")))
-    for name, typed in ((roles.key, typed_key(roles)), (roles.price, typed_price(roles))):
-        checks.append(F.when(typed.isNull(), F.lit(f"type:{name}")))
-    return bronze.withColumn(REASON, F.coalesce(*checks))
+    for name, typed in ((roles.key, KEY), (roles.price, PRICE)):
+        checks.append(F.when(F.col(typed).isNull(), F.lit(f"type:{name}")))
+    converted = {KEY: typed_key(bronze, roles), PRICE: typed_price(bronze, roles)}
+    return bronze.withColumns(converted).withColumn(REASON, F.coalesce(*checks))
+
+
+def label_rejects(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """The rows as they are, with the reason of :func:`checked`."""
+    return checked(bronze, roles).drop(KEY, PRICE)
 
 
 def accepted(labelled: DataFrame) -> DataFrame:
@@ -54,4 +64,4 @@ def accepted(labelled: DataFrame) -> DataFrame:
 
 def rejected(labelled: DataFrame) -> DataFrame:
     """Rows with a reject reason, raw text untouched."""
-    return labelled.filter(F.col(REASON).isNotNull())
+    return labelled.filter(F.col(REASON).isNotNull()).drop(KEY, PRICE)

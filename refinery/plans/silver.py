@@ -7,13 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from refinery.contracts import SILVER
-from refinery.functions import has_rating, instant, is_valid, normalized, to_whole_number
+from refinery.functions import (
+    has_rating,
+    instant,
+    is_text,
+    is_valid,
+    normalized,
+    to_double,
+    to_whole_number,
+)
 from refinery.operators.ranking import latest_per_key
 from refinery.operators.rejects import (
     CORRUPT,
+    KEY,
+    PRICE,
     REASON,
     accepted,
-    label_rejects,
+    checked,
     rejected,
     typed_key,
     typed_price,
@@ -34,25 +44,28 @@ def flatten_rating(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
                 "rating_count": F.lit(None).cast("int"),
             }
         )
-    rating = F.col(roles.rating)
+    fields = df.schema[roles.rating].dataType
+    rate, count = (F.col(roles.rating)[name] for name in (roles.rate_field, roles.count_field))
     return df.withColumns(
         {
-            "rating_rate": rating[roles.rate_field].try_cast("double"),
-            "rating_count": to_whole_number(rating[roles.count_field]),
+            "rating_rate": to_double(rate, text=is_text(fields[roles.rate_field].dataType)),
+            "rating_count": to_whole_number(count, text=is_text(fields[roles.count_field].dataType)),
         }
     ).drop(roles.rating)
 
 
 def conform(taken: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Types, text and flags for rows that passed the checks; still several rows per key."""
+    if KEY not in taken.columns:
+        taken = taken.withColumns({KEY: typed_key(taken, roles), PRICE: typed_price(taken, roles)})
     text = {
         roles.title: normalized(F.col(roles.title)),
         roles.category: normalized(F.col(roles.category), fold_case=True),
     }
     if roles.description in taken.columns:
         text[roles.description] = normalized(F.col(roles.description))
-    typed = taken.drop(CORRUPT).withColumns(
-        {roles.key: typed_key(roles), roles.price: typed_price(roles), **text}
+    typed = taken.withColumns({roles.key: F.col(KEY), roles.price: F.col(PRICE), **text}).drop(
+        CORRUPT, KEY, PRICE
     )
     flat = flatten_rating(typed, roles)
     flat = flat.withColumns(
@@ -74,7 +87,7 @@ def deduplicated(conformed: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFram
 
 def clean(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Bronze rows to silver rows: check, conform, deduplicate, stamp."""
-    taken = accepted(label_rejects(bronze, roles))
+    taken = accepted(checked(bronze, roles))
     return stamp_silver(deduplicated(conform(taken, roles), roles))
 
 
@@ -128,7 +141,7 @@ def refine(
     scanned again to write them; a task repeated after a lost executor can raise that
     count but not hide a reject, so the number returned is taken from the rejects written.
     """
-    labelled = label_rejects(read_bronze(spark, bronze_path, schema=schema, fmt=fmt), roles)
+    labelled = checked(read_bronze(spark, bronze_path, schema=schema, fmt=fmt), roles)
     refused = Observation()
     watched = labelled.observe(refused, F.count_if(F.col(REASON).isNotNull()).alias("rows"))
     silver = stamp_silver(deduplicated(conform(accepted(watched), roles), roles))

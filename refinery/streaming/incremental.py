@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from refinery.contracts import BRONZE, RAW
 from refinery.operators.merge import merge_unique
-from refinery.operators.rejects import REASON, accepted, label_rejects, rejected
+from refinery.operators.rejects import REASON, accepted, checked, rejected
 from refinery.plans.silver import conform, deduplicated, stamp_silver, write_silver
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.raw_json import LAYOUTS, shape_raw, with_corrupt
@@ -106,7 +106,7 @@ def merge_batch(
     category again.
     """
     spark = batch.sparkSession
-    labelled = label_rejects(batch, roles)
+    labelled = checked(batch, roles)
     refused = Observation()
     watched = labelled.observe(refused, F.count_if(F.col(REASON).isNotNull()).alias("rows"))
     changes = stamp_silver(deduplicated(conform(accepted(watched), roles), roles))

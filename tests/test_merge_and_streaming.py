@@ -80,7 +80,7 @@ def test_a_late_file_does_not_change_the_target(spark, root):
 
 def ingest(spark, root, **more):
     ingest_new_files(spark, root + "/raw", root + "/bronze", root + "/state", **more).awaitTermination()
-    return sorted(r.id for r in read_bronze(spark, root + "/bronze").collect())
+    return sorted(r.id for r in read_bronze(spark, root + "/bronze").collect() if r.id)
 
 
 @pytest.mark.parametrize("max_files", [None, 1])
@@ -121,3 +121,23 @@ def test_corrupt_line_reaches_incremental_rejects(spark, root):
     ingest_new_files(spark, root + "/raw", root + "/bronze", root + "/state").awaitTermination()
     [row] = read_bronze(spark, root + "/bronze").collect()
     assert row._corrupt_record == '{"id": 1'
+
+
+@pytest.mark.parametrize("first", [[record("x"), record(None)], [record(1)]])
+def test_a_batch_of_rejects_only(spark, root, first):
+    def load():
+        ingest(spark, root)
+        merge_new_rows(
+            spark, root + "/bronze", root + "/silver", root + "/rejects", root + "/merge_state", schema=BRONZE
+        ).awaitTermination()
+
+    write_lines(root + "/raw", DAY1, "a.json", first)
+    load()
+    write_lines(root + "/raw", DAY2, "b.json", [record("y"), record(2, price="free")])
+    load()
+    bad = [r for r in first if r["id"] != 1]
+    assert spark.read.parquet(root + "/rejects").count() == len(bad) + 2
+    assert read_silver(spark, root + "/silver").count() == len(first) - len(bad)
+    write_lines(root + "/raw", "2026-05-10", "c.json", [record(7)])
+    load()
+    assert {r.id for r in read_silver(spark, root + "/silver").collect()} == {7} | {r["id"] for r in first} - {"x", None}

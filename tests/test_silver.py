@@ -203,3 +203,17 @@ def test_results_do_not_depend_on_ansi_mode(spark, root, ansi):
 def test_conform_keeps_every_accepted_row(spark, root):
     raw = bronze(spark, root, [record(1), record(1), record("x")])
     assert conform(accepted(label_rejects(raw))).count() == 2
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_rejects_are_written_when_every_row_is_one(spark, root, aqe):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        rows = [record("x"), record(None), record(3, price="n/a")]
+        write_bronze(bronze(spark, root, rows).repartition(4), root + "/bronze")
+        done = refine(spark, root + "/bronze", root + "/silver", root + "/rejects")
+        assert (done.rejected, done.rows) == (3, 0)
+        assert spark.read.parquet(root + "/rejects").count() == 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -7,6 +7,7 @@ from refinery.operators import late_arrivals, merge_unique, upsert
 from refinery.plans import clean
 from refinery.sources import read_bronze, read_raw, read_silver
 from refinery.streaming import ingest_new_files, merge_new_rows
+from refinery.streaming.incremental import merge_batch
 
 SCHEMA = "k int, at int, v string"
 
@@ -141,3 +142,21 @@ def test_a_batch_of_rejects_only(spark, root, first):
     write_lines(root + "/raw", "2026-05-10", "c.json", [record(7)])
     load()
     assert {r.id for r in read_silver(spark, root + "/silver").collect()} == {7} | {r["id"] for r in first} - {"x", None}
+
+
+def test_a_repeated_batch_changes_nothing(spark, root):
+    """A run that died after the swap is repeated under the same batch id."""
+    write_lines(root + "/1", DAY1, "a.json", [record(1, "old"), record(2)])
+    write_lines(root + "/2", DAY2, "b.json", [record(1, "new", at=T2), record(3), record("x")])
+    first, second = (read_raw(spark, f"{root}/{n}", schema=RAW) for n in (1, 2))
+
+    def state_after(batch, batch_id):
+        merge_batch(batch, batch_id, root + "/silver", root + "/rejects")
+        silver = read_silver(spark, root + "/silver").drop("_silver_loaded_at", "_bronze_loaded_at")
+        return sorted(map(str, silver.collect()))
+
+    state_after(first, 0)
+    once = state_after(second, 1)
+    assert state_after(second, 1) == once and len(once) == 3
+    assert state_after(first, 0) == once
+    assert spark.read.parquet(root + "/rejects").count() == 1

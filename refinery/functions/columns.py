@@ -14,8 +14,8 @@ def normalized(text: Column, *, fold_case: bool = False) -> Column:
     return F.lower(stripped) if fold_case else stripped
 
 
-# A failed conversion of text costs an exception, some hundred times the price of a good
-# one. The guards below keep the usual junk (``n/a``, ``x9``, ``12 USD``, empty text) away from
+# A failed conversion of text costs an exception, many times the price of a good one. The
+# guards below keep the usual junk (``n/a``, ``x9``, ``12 USD``, empty text) away from
 # it by looking at the first and last character only. They are comparisons and not patterns,
 # which would cost more per good row than the conversion itself.
 

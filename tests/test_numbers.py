@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refinery.functions import to_decimal, to_double, to_whole_number
+from refinery.functions.columns import _any_number, _ascii_number
 
 WHOLE = {
     "7": 7, "+7": 7, "-7": -7, " 7 ": 7, "\t7": 7, "7.0": 7, "3.9": 3, "-3.9": -3, "1e3": 1000, "1E3": 1000,
@@ -66,3 +67,14 @@ def test_numbers_stay_numbers(spark):
         to_decimal(F.col("p"), "decimal(10,2)", text=False).alias("p"),
     ).collect()[0]
     assert (row.d, row.l, row.p) == (3, None, Decimal("2.67"))
+
+
+@pytest.mark.parametrize("guard", [_ascii_number, _any_number])
+def test_usual_junk_never_reaches_the_conversion(spark, guard):
+    """A failing conversion raises inside Spark, which costs many times a good one."""
+    junk = ["n/a", "x9", "9x", "12 USD", "USD 12", "free", "", "NaN", "null", "N/A", "-", "--"]
+    numbers = [text for text, n in {**WHOLE, **MONEY}.items() if n is not None]
+    passed = convert(spark, junk + numbers, guard(F.col("t")))
+    assert [text for text in numbers if not passed[text]] == []
+    # A lone sign is not caught; it converts to NULL like the rest.
+    assert [text for text in junk if passed[text]] == ["-", "--"]

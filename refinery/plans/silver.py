@@ -27,6 +27,7 @@ from refinery.operators.rejects import (
     rejected,
     typed_key,
     typed_price,
+    usable,
 )
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.tables import read_bronze
@@ -87,7 +88,7 @@ def deduplicated(conformed: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFram
 
 def clean(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Bronze rows to silver rows: check, conform, deduplicate, stamp."""
-    taken = accepted(checked(bronze, roles))
+    taken = usable(bronze, roles)
     return stamp_silver(deduplicated(conform(taken, roles), roles))
 
 

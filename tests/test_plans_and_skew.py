@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import workload
 from refinery.operators import latest_per_key, merge_unique, require_fields, share_of_total, upsert
-from refinery.plans import category_kpis, land_records, top_products, write_silver
+from refinery.plans import category_kpis, clean, land_records, top_products, write_silver
 from refinery.plans.reports import best_per_category
 from refinery.sources import read_silver
 
@@ -225,3 +225,5 @@ def test_generated_code_stays_compilable_for_a_wide_table(spark, root):
     bronze = spark.read.parquet(root + "/bronze")
     watched = checked(bronze).observe(Observation(), F.count(F.lit(1)).alias("rows"))
     assert max(code_sizes(conform(accepted(watched)))) < 8000
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        assert max(code_sizes(clean(bronze))) < 8000

@@ -5,6 +5,7 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from refinery.operators import accepted, label_rejects, rejected
+from refinery.operators.rejects import usable
 from refinery.plans import category_kpis, clean, price_buckets, top_products
 from refinery.plans.silver import conform
 
@@ -31,6 +32,11 @@ def test_layers(spark, rows):
     labelled = label_rejects(bronze)
     assert accepted(labelled).count() + rejected(labelled).count() == len(rows)
 
+    same = ["id", "title", "price", "category", "_ingested_at"]
+    assert sorted(map(str, usable(bronze).select(same).collect())) == sorted(
+        map(str, accepted(labelled).select(same).collect())
+    )
+
     taken = [
         r for r in rows
         if None not in r[:4] and r[0] != "x" and r[2] not in ("n/a", "1e12")

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from refinery.llm.bitmask_lang import fit, predict
+from refinery.llm.packing import pack_documents
+from refinery.llm.quality_rules import judge
 from refinery.llm.stored import table
 from refinery.llm.superminhash import near_duplicates
 
@@ -40,3 +44,32 @@ def registered(name: str):
 @registered("op8_superminhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+def fold(modulus: int) -> Column:
+    """crc32 of the document id as text, modulo ``modulus``."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
+
+
+@registered("op3_bitmask_language")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(3) == 1
+    # The training columns stay out of the scoring pass.
+    filters = fit(documents, ~held_out)
+    found = predict(documents.select("doc_id", "text"), filters)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@registered("op5_swap_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@registered("op6_certified_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = judge(documents, table(spark, sf_dir, "labels"), keep_text=False)
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )

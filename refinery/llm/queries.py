@@ -11,7 +11,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from refinery.llm.bitmask_lang import fit, predict
+from refinery.llm.bpe_automaton import encode_decode
+from refinery.llm.chat import digests, format_conversations
 from refinery.llm.packing import pack_documents
+from refinery.llm.pairwise_quality import fit as fit_ranking, score
 from refinery.llm.quality_rules import judge
 from refinery.llm.stored import table
 from refinery.llm.superminhash import near_duplicates
@@ -73,3 +76,32 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@registered("op2_bradley_terry")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(5) == 0
+    ranking = fit_ranking(documents, table(spark, sf_dir, "labels"), ~held_out)
+    return score(documents, ranking).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@registered("op4_chat_bytes")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    control = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_conversations(turns.union(control)))
+
+
+@registered("op7_bpe_automaton")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = encode_decode(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from refinery.llm.bitmask_lang import fit, predict
 from refinery.llm.bpe_automaton import encode_decode
 from refinery.llm.chat import digests, format_conversations
+from refinery.llm.html_density import extract
 from refinery.llm.packing import pack_documents
 from refinery.llm.pairwise_quality import fit as fit_ranking, score
 from refinery.llm.quality_rules import judge
@@ -105,3 +106,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@registered("op10_text_density")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")

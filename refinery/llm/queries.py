@@ -19,6 +19,7 @@ from refinery.llm.pairwise_quality import fit as fit_ranking, score
 from refinery.llm.quality_rules import judge
 from refinery.llm.stored import table
 from refinery.llm.superminhash import near_duplicates
+from refinery.llm.url_models import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,3 +112,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op10_text_density")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@registered("op1_url_models")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from refinery.llm.bitmask_lang import fit, predict
 from refinery.llm.bpe_automaton import encode_decode
 from refinery.llm.chat import digests, format_conversations
+from refinery.llm.epsilon_grid import near_vectors
 from refinery.llm.html_density import extract
 from refinery.llm.packing import pack_documents
 from refinery.llm.pairwise_quality import fit as fit_ranking, score
@@ -123,3 +124,8 @@ URL_RULES = [
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@registered("op9_epsilon_grid")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)

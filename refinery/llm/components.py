@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from refinery.llm.stored import stored
@@ -17,12 +21,37 @@ def _state(edges: DataFrame) -> tuple:
     )
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch's edges as stars: every node with the least node that the batch links it to."""
+    for batch in batches:
+        edges = np.stack([np.asarray(batch.column(c)) for c in ("u", "v")])
+        nodes, index = np.unique(edges, return_inverse=True)
+        root = list(range(len(nodes)))
+        index = index.reshape(2, -1)
+        for i, j in zip(index[0].tolist(), index[1].tolist()):
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            while root[j] != j:
+                root[j] = j = root[root[j]]
+            if i < j:
+                root[j] = i
+            else:
+                root[i] = j
+        for i in range(len(root)):  # a node's root is never larger than the node
+            root[i] = root[root[i]]
+        least = nodes[root] if len(nodes) else nodes
+        moved = least < nodes
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(least[moved])], ["u", "v"])
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    return stored(edges.mapInArrow(_forest, "u bigint, v bigint"), "stars")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (
-        both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    ).distinct()
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -35,22 +64,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (two bigint columns), component the least node.
 
-    Loops and nulls are ignored. In each round a node's neighbours move to its least neighbour,
-    until all nodes of a component point at its least one. Each round is written to the shared
-    folder; only counts and one checksum reach the driver. A node with many links is met by a
-    join against rows that are unique by node, which AQE can split.
+    Loops and nulls are ignored. First the edges of each batch become stars. Then, in each round, a
+    node's neighbours move to its least neighbour, until all nodes of a component point at its
+    least one. Each round is written to the shared folder; only counts and one checksum reach the
+    driver. A node with many links is met by a join against rows that are unique by node, which
+    AQE can split.
     """
     u, v = edges.columns
-    edges = edges.filter(F.col(u) != F.col(v)).select(
-        F.greatest(u, v).cast("bigint").alias("u"), F.least(u, v).cast("bigint").alias("v")
-    )
-    edges = stored(edges.distinct(), "links")
+    edges = edges.select(F.greatest(u, v).cast("bigint").alias("u"), F.least(u, v).cast("bigint").alias("v"))
+    edges = _stars(edges.filter("u <> v"))
     before = _state(edges)
     while before[0]:
-        edges = stored(_small_star(_large_star(edges)), "links")
+        edges = _stars(_small_star(stored(_large_star(edges), "large-stars")))
         after = _state(edges)
         if after == before:
             break
         before = after
+    edges = edges.distinct()
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -1,3 +1,223 @@
-"""SQL for the registered queries that SQL can express, run by another engine on the same tables."""
+"""SQL for the registered queries that SQL can express, run by another engine on the same tables.
 
-SQL: dict[str, str] = {}
+The others have none: learned weights (op2), Bloom filters (op3), local search (op5), tokenizers
+(op5, op7) and a parser (op10) have no SQL form. Their tests compare with brute force.
+"""
+
+URLS = r"""
+WITH base AS (
+  SELECT page_id, url, regexp_extract(url, '://([^/?#]*)([^?#]*)', ['h', 'p']) AS x,
+         coalesce(regexp_extract(url, '(?s)://(.*)', 1), '') AS said
+  FROM pages
+), named AS (
+  SELECT page_id, url, translate(coalesce(x.h, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(x.p, '') AS path,
+         translate(regexp_replace(
+           translate(said, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ_', 'abcdefghijklmnopqrstuvwxyz-'), '[^a-z0-9./-]', '?', 'g'),
+           '123456789', '000000000') AS plain
+  FROM base
+), rules(verdict, rule, h, p) AS (
+  VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+         ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
+         ('block', 'com/de/', 'com', '/de/')
+), numbered AS (
+  SELECT row_number() OVER () AS rid, * FROM named
+), ruled AS (
+  SELECT n.rid, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS label
+  FROM numbered n JOIN rules r
+    ON (n.host = r.h OR ends_with(n.host, '.' || r.h)) AND starts_with(n.path, r.p)
+  GROUP BY n.rid
+), coded AS (
+  SELECT n.*, r.rule, r.label,
+         list_concat([0, 0], list_transform(
+           list_filter(string_split(n.plain, ''), lambda c: c <> ''),
+           lambda c: instr('abcdefghijklmnopqrstuvwxyz0./-?', c)), [0]) AS codes
+  FROM numbered n LEFT JOIN ruled r USING (rid)
+), listed AS (
+  SELECT rid, url, page_id, host, path, rule, label, ('0x' || md5(url)[1:6])::BIGINT % 5 = 0 AS held,
+         list_transform(range(1, len(codes) - 1), lambda i: codes[i] * 1024 + codes[i + 1] * 32 + codes[i + 2]) AS grams
+  FROM coded
+), seen AS (
+  SELECT g, count(*) FILTER (label = 'allow') AS allow, count(*) FILTER (label = 'block') AS block
+  FROM (SELECT label, unnest(grams) AS g FROM listed WHERE label IS NOT NULL AND NOT held) GROUP BY g
+), n AS (
+  SELECT kind, g, g // 1024 AS a, g % 1024 // 32 AS b, g % 32 AS c,
+         coalesce(CASE WHEN kind = 'allow' THEN allow ELSE block END, 0) AS n
+  FROM range(32768) r(g) CROSS JOIN (VALUES ('allow'), ('block')) k(kind) LEFT JOIN seen USING (g)
+), two AS (SELECT kind, b, c, sum(n) AS n FROM n GROUP BY ALL
+), one AS (SELECT kind, c, sum(n) AS n FROM two GROUP BY ALL
+), zero AS (SELECT kind, sum(n) AS n, count(*) FILTER (n > 0) AS t FROM one GROUP BY kind
+), after_b AS (SELECT kind, b, sum(n) AS n, count(*) FILTER (n > 0) AS t FROM two GROUP BY ALL
+), after_ab AS (SELECT kind, a, b, sum(n) AS n, count(*) FILTER (n > 0) AS t FROM n GROUP BY ALL
+), p0 AS (
+  SELECT kind, c, CASE WHEN zero.n > 0 THEN (one.n + zero.t * (1 / 32)) / (zero.n + zero.t) ELSE 1 / 32 END AS p
+  FROM one JOIN zero USING (kind)
+), p1 AS (
+  SELECT kind, b, c, CASE WHEN after_b.n > 0 THEN (two.n + after_b.t * p0.p) / (after_b.n + after_b.t) ELSE p0.p END AS p
+  FROM two JOIN after_b USING (kind, b) JOIN p0 USING (kind, c)
+), p2 AS (
+  SELECT kind, g, CASE WHEN after_ab.n > 0 THEN (n.n + after_ab.t * p1.p) / (after_ab.n + after_ab.t) ELSE p1.p END AS p
+  FROM n JOIN after_ab USING (kind, a, b) JOIN p1 USING (kind, b, c)
+), model AS (
+  SELECT list(r ORDER BY g) AS ratios FROM (
+    SELECT g, round(1e6 * (ln(max(p) FILTER (kind = 'allow')) - ln(max(p) FILTER (kind = 'block'))))::BIGINT AS r FROM p2 GROUP BY g)
+), scored AS (
+  SELECT * EXCLUDE (grams, ratios), len(grams) AS size,
+         list_sum(list_transform(grams, lambda g: ratios[g + 1]))::BIGINT AS total
+  FROM listed CROSS JOIN model
+), stepped AS (
+  SELECT *, greatest(least(floor(total / (size * 10000)), 1000), -1000)::INT AS step FROM scored
+), steps AS (
+  SELECT step, count(*) FILTER (label = 'allow') AS allow, count(*) FILTER (label = 'block') AS block
+  FROM stepped WHERE held AND label IS NOT NULL GROUP BY step
+), tried AS (
+  SELECT s.step, sum(o.allow) AS all_allow, sum(o.block) AS all_block,
+         coalesce(sum(o.allow) FILTER (o.step < s.step), 0) AS lost, coalesce(sum(o.block) FILTER (o.step < s.step), 0) AS stopped
+  FROM steps s CROSS JOIN steps o GROUP BY s.step
+), cut AS (
+  SELECT coalesce(arg_min(step, (lost * all_block + (all_block - stopped) * all_allow) * 10000 + step), 0) AS step
+  FROM tried WHERE all_allow > 0 AND all_block > 0
+)
+SELECT page_id, host, path, rule, coalesce(label, CASE WHEN step >= (SELECT step FROM cut) THEN 'allow' ELSE 'block' END) AS verdict,
+       total / (size * 1000000.0::DOUBLE) AS score
+FROM stepped
+"""
+
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok',
+         unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'
+), escaped AS (
+  SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS safe,
+         regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g') AS safe_role
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, r NULLS FIRST, t NULLS FIRST) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       sum(12 + length(safe_role) + 1 + length(safe) + 11)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+RULES = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT rid, unnest(range(1, len(words) - 6)) AS i, words FROM split WHERE len(words) >= 8
+), keyed AS (
+  SELECT rid, i, array_to_string(words[i:i + 7], ' ') AS w FROM windows
+), again AS (
+  SELECT k.rid, k.i FROM keyed k JOIN (SELECT rid, w FROM keyed GROUP BY rid, w HAVING count(*) > 1) USING (rid, w)
+), covered AS (
+  SELECT rid, count(DISTINCT place) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS place FROM again) GROUP BY rid
+), counted AS (
+  SELECT rid, doc_id, stratum, len(words)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+         len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1]))::BIGINT AS n_stutters,
+         coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (rid)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+), parts AS (
+  SELECT rid, doc_id, stratum, base_failed, unnest([
+    {'rule': 'symbols', 'part': n_symbols, 'whole': word_chars}, {'rule': 'capitals', 'part': n_capitals, 'whole': word_chars},
+    {'rule': 'stutter', 'part': n_stutters, 'whole': n_words}, {'rule': 'lines', 'part': n_dup_lines, 'whole': n_lines},
+    {'rule': 'repeats', 'part': n_repeat_words, 'whole': n_words}]) AS r
+  FROM judged
+), levels AS (
+  SELECT rid, doc_id, stratum, base_failed, r.rule AS rule,
+         len(list_filter([50, 40, 30, 25, 20, 15, 12, 10, 8, 6, 5, 4, 3, 2, 1], lambda c: 100 * r.part > c * r.whole)) AS above
+  FROM parts
+), truth AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), held AS (
+  SELECT stratum, rule, above, quality FROM levels JOIN truth USING (doc_id) WHERE NOT base_failed
+), chains AS (
+  SELECT stratum, rule, count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality = 0) AS n_bad FROM held GROUP BY ALL
+), tried AS (
+  SELECT c.*, l.above, (SELECT count(*) FROM chains) AS chains,
+         count(*) FILTER (h.quality = 1 AND h.above >= l.above) AS k_good,
+         count(*) FILTER (h.quality = 0 AND h.above >= l.above) AS k_bad
+  FROM chains c JOIN held h USING (stratum, rule) CROSS JOIN (SELECT unnest(range(1, 16)) AS above) l
+  GROUP BY ALL
+), tested AS (
+  SELECT *, CASE WHEN k_good >= n_good * 0.01 THEN 1.0 ELSE
+    list_sum(list_transform(range(0, k_good + 1), lambda i:
+      exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln(0.01) + (n_good - i) * ln(0.99)))) END AS tail
+  FROM tried
+), cutoffs AS (
+  SELECT stratum, rule, arg_max(above, (k_bad * n_good - k_good * n_bad) * 100 + above) AS least
+  FROM tested WHERE tail <= 0.05 / chains AND k_bad * n_good - k_good * n_bad > 0 GROUP BY ALL
+), over AS (
+  SELECT DISTINCT rid FROM levels JOIN cutoffs USING (stratum, rule) WHERE above >= least
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rid NOT IN (SELECT rid FROM over) AS kept
+FROM judged
+"""
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS s
+  FROM split
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(b, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = d.doc_id
+"""
+
+NEAR_VECTORS = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), degree AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN degree d ON d.a = vec_id LEFT JOIN least l ON l.a = vec_id
+"""
+
+SQL: dict[str, str] = {
+    "op1_url_models": URLS,
+    "op4_chat_bytes": CHAT,
+    "op6_certified_rules": RULES,
+    "op8_superminhash": NEAR_DUPLICATES,
+    "op9_epsilon_grid": NEAR_VECTORS,
+}

@@ -139,16 +139,69 @@ def _similar(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, size: int, percent: int, name: str) -> DataFrame:
-    """Those of the pairs (a, b) whose full shingle sets are similar enough."""
-    pairs = stored(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.join(ids, "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(_set_bytes(size), "doc_id bigint, shingles binary"), f"{name}-sets")
+def difference_prefix(leader: np.ndarray, other: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
+    """Whether two sets are linked; the part of their difference that partners must meet; its short part.
+
+    Let B be the leader's set and D(X) what X and B do not share. X and Y differ in
+    |D(X)| + |D(Y)| - 2 |D(X) & D(Y)| elements and are linked if that is at most c (|X| + |Y|),
+    c = (100 - percent) / (100 + percent). If X is not linked to B, |D(X)| > c (|X| + |B|), and a
+    link to any Y needs common elements: more than (|D| - c |X| + c |B|) / 2 of X's if Y is not
+    linked to B either, or of Y's if it is, and at least (|D| - c |X| - c |B|) / 2 of X's then. With
+    n needed, two sets in the same order must share one of the first |D| - n + 1 of each.
+    The order puts elements outside B first, since copies seldom share their own changes.
+    """
+    added = np.setdiff1d(other, leader, assume_unique=True)
+    removed = np.setdiff1d(leader, other, assume_unique=True)
+    size, both = len(added) + len(removed), len(leader) - len(removed)
+    linked = 100 * both >= percent * (len(leader) + len(added))
+    up, down = 100 + percent, 100 - percent
+    short = size - (up * size - down * len(other) + down * len(leader)) // (2 * up)
+    most = short
+    if not linked:
+        needed = -(-(up * size - down * (len(other) + len(leader))) // (2 * up))
+        most = size - max(needed, 1) + 1
+    difference = np.concatenate((added, removed))
+    return linked, difference[: max(most, 0)], max(min(short, size), 0)
+
+
+_STAR = "a bigint, b bigint, linked boolean, difference array<bigint>, short int"
+
+
+def _differences(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("left"), batch.column("right")
+            linked, parts, short = [], [], []
+            for i in range(batch.num_rows):
+                found = difference_prefix(
+                    np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64), percent
+                )
+                linked.append(found[0])
+                parts.append(found[1].view(np.int64))
+                short.append(found[2])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("a"),
+                    batch.column("b"),
+                    pa.array(linked, pa.bool_()),
+                    pa.array(parts, pa.list_(pa.int64())),
+                    pa.array(short, pa.int32()),
+                ],
+                ["a", "b", "linked", "difference", "short"],
+            )
+
+    return run
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return stored(joined.mapInArrow(_similar(percent), "a bigint, b bigint"), f"{name}-links")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """Those of the pairs (a, b) whose full shingle sets are similar enough."""
+    return stored(_with_sets(pairs, sets).mapInArrow(_similar(percent), "a bigint, b bigint"), name)
 
 
 def near_duplicates(
@@ -162,12 +215,16 @@ def near_duplicates(
 
     1. Rows with equal sets form a class, and its least doc_id stands for it.
     2. Signatures of 128 slots in 32 bands of 4: a pair at 0.8 shares no band with a
-       probability of 5e-8. In each bucket the least id is compared with all others.
-    3. Buckets that still hold several components then compare every member outside the
-       largest one with all members of other components, so no link inside a bucket is missed
-       and no pairs are made inside a component. Pairs whose sizes or signature bits rule the
-       similarity out are not verified.
-    4. Links are confirmed on full sets; components come from distributed star rounds.
+       probability of 5e-8. Each bucket is led by the member that meets most others in all its
+       buckets, which in a group of copies is the text next to what they have in common. All
+       others are compared with the leader.
+    3. Members outside the component of their bucket's leader choose a leader among themselves.
+    4. What is left are members X that are not linked to the leader. A link from X to another
+       member needs common elements in what each of them does not share with the leader, see
+       :func:`difference_prefix`; a join on these finds every such pair, without making all
+       pairs of a group. Pairs in one component, or whose sizes or signature bits rule a link
+       out, are not verified.
+    5. Links are confirmed on full sets; components come from distributed star rounds.
 
     Rows with a null doc_id form no links: component_id is null and kept false. Repeated rows
     share a component. Columns other than doc_id and text are ignored. An empty table gives an
@@ -176,39 +233,31 @@ def near_duplicates(
     documents = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     signed = stored(documents.mapInArrow(_signed(shingle), _SIGNED), "signed")
     usable = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(
-        usable.groupBy("high", "low").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-        "classes",
-    )
-    one_each = usable.join(classes.select(F.col("rep").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_semi")
-    one_each = stored(one_each.select(F.col("doc_id").alias("rep"), "n_shingles", "bits", "bands").distinct(), "representatives")
-
-    banded = one_each.select("rep", "n_shingles", "bits", F.explode("bands").alias("band"))
-    buckets = one_each.select("rep", F.explode("bands").alias("band")).groupBy("band").agg(
-        F.min("rep").alias("leader"), F.count(F.lit(1)).alias("members")
-    )
-    crowded = stored(buckets.filter("members > 1").select("band", "leader"), "buckets")
-    # Members of the buckets that hold several; everything after reads this, not all bands.
-    members = stored(banded.join(crowded, "band"), "members")
-    leaders = one_each.select(
-        F.col("rep").alias("leader"), F.col("n_shingles").alias("leader_n"), F.col("bits").alias("leader_bits")
-    )
-    candidates = members.filter("rep <> leader").select("rep", "leader", "n_shingles", "bits").distinct()
-    star = (
-        candidates.join(leaders, "leader")
-        .filter(_may_link("n_shingles", "leader_n", "bits", "leader_bits", percent))
-        .select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+    classes = usable.groupBy("high", "low").agg(
+        F.min("doc_id").alias("rep"), F.min_by(F.struct("n_shingles", "bits", "bands"), "doc_id").alias("of")
     )
-    links = _verified(star, documents, shingle, percent, "star")
+    classes = stored(classes.select("high", "low", "rep", "of.*"), "classes")
+    one_each = classes.select("rep", "n_shingles", "bits", "bands")
+
+    buckets = one_each.select("rep", F.explode("bands").alias("band"))
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    members = stored(buckets.join(sizes, "band"), "members")
+    crowds = stored(members.groupBy("rep").agg(F.sum("members").alias("crowd")), "crowds")
+    about = stored(crowds.join(one_each.select("rep", "n_shingles", "bits"), "rep"), "about")
+    texts = documents.join(crowds.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = stored(texts.mapInArrow(_set_bytes(shingle), "doc_id bigint, shingles binary"), "sets")
+
+    members = stored(members.select("band", "rep").join(crowds, "rep"), "bucket-members")
+    star = _leader_pairs(members)
+    compared = stored(_with_sets(star, sets).mapInArrow(_differences(percent), _STAR), "compared")
+    links = compared.filter("linked").select("a", "b")
+
+    second = _plausible(_leader_pairs(_outside_leader(members, links)), about, percent)
+    links = links.union(_linked(second, sets, percent, "second-links"))
     found = stored(components(links), "components")
 
-    rest = _unlinked_pairs(members, found, percent)
-    rest = rest.join(star_pairs(links), ["a", "b"], "left_anti")
-    more = _verified(rest, documents, shingle, percent, "rest")
-    if more.isEmpty():
-        final = found
-    else:
-        final = stored(components(links.union(more)), "components")
+    rest = _plausible(_meeting_pairs(compared, found), about, percent)
+    final = _merged(found, _linked(rest, sets, percent, "rest-links"))
 
     by_rep = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "high", "low", F.coalesce("component", "rep").alias("component_id")
@@ -225,40 +274,70 @@ def near_duplicates(
     )
 
 
-def star_pairs(links: DataFrame) -> DataFrame:
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _leader_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a: a bucket's leader, b: another member)."""
+    order = F.struct("crowd", (-F.col("rep")).alias("last"))
+    leaders = members.groupBy("band").agg(F.max(order).alias("lead"))
+    leaders = leaders.select("band", (-F.col("lead.last")).alias("a"))
+    return members.join(leaders, "band").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
 
 
-def _may_link(n: str, m: str, bits: str, other: str, percent: int):
-    """False only where the sizes exclude a link, or the signature bits all but do."""
-    differing = F.lit(0)
-    for i in range(SLOTS // 64):
-        differing = differing + F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(other)[i]))
-    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return sizes & (differing <= MOST_BITS)
+def _outside_leader(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members that are not linked to their bucket's leader."""
+    order = F.struct("crowd", (-F.col("rep")).alias("last"))
+    leads = members.groupBy("band").agg((-F.max(order)["last"]).alias("a"))
+    with_lead = members.join(leads, "band").filter("rep <> a").withColumnRenamed("rep", "b")
+    return with_lead.join(links, ["a", "b"], "left_anti").select("band", F.col("b").alias("rep"), "crowd")
 
 
-def _unlinked_pairs(members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components, all but those within the largest."""
-    placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", "n_shingles", "bits", F.coalesce("component", "rep").alias("component")
-    )
-    placed = stored(placed, "placed")
-    sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("band").agg(
-        F.max_by("component", F.struct("n", F.col("component"))).alias("main"), F.count(F.lit(1)).alias("parts")
-    )
-    mixed = mixed.filter("parts > 1").select("band", "main")
-    open_rows = stored(placed.join(mixed, "band"), "open")
-    one, two = open_rows.filter("component <> main").alias("x"), open_rows.alias("y")
-    apart = (
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep")))
-        & _may_link("x.n_shingles", "y.n_shingles", "x.bits", "y.bits", percent)
+def _placed(pairs: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
+    place = found.select(F.col("node").alias(node), F.col("component").alias(name))
+    return pairs.join(place, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _merged(found: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after further links: those links join whole components."""
+    if more.isEmpty():
+        return found
+    between = _placed(_placed(more, found, "a", "_ca"), found, "b", "_cb").select("_ca", "_cb").distinct()
+    joined = stored(components(between), "joined-components")
+    # Nodes that had no link before are components of their own.
+    nodes = found.union(joined.select("node", F.col("node").alias("component"))).distinct()
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return stored(
+        nodes.join(moved, "component", "left").groupBy("node").agg(F.min(F.coalesce("to", "component")).alias("component")),
+        "merged-components",
     )
-    return (
-        one.join(two, apart)
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .distinct()
+
+
+def _plausible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """Pairs that neither sizes nor signature bits rule out."""
+    for side in ("a", "b"):
+        pairs = pairs.join(
+            about.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"_n{side}"), F.col("bits").alias(f"_bits{side}")),
+            side,
+        )
+    differing = F.lit(0)
+    for i in range(SLOTS // 64):
+        differing = differing + F.bit_count(F.col("_bitsa")[i].bitwiseXOR(F.col("_bitsb")[i]))
+    sizes = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+    return pairs.filter(sizes & (differing <= MOST_BITS)).select("a", "b")
+
+
+def _meeting_pairs(compared: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of one leader's members in different components that meet in their differences."""
+    lead = compared.select(F.col("a").alias("lead"), F.col("b").alias("x"), "linked", "difference", "short")
+    open_leads = lead.filter("NOT linked").select("lead").distinct()
+    placed = _placed(lead.join(open_leads, "lead", "left_semi"), found, "x", "component")
+    parts = placed.select("lead", "x", "linked", "component", "short", F.posexplode("difference").alias("at", "element"))
+    parts = stored(parts.withColumn("short", F.expr("at < short")).drop("at"), "differences")
+    one = parts.filter("NOT linked").alias("p")
+    two = parts.filter("short").alias("q")
+    meet = (
+        (F.col("p.lead") == F.col("q.lead"))
+        & (F.col("p.element") == F.col("q.element"))
+        & (F.col("p.component") != F.col("q.component"))
+        & (F.col("q.linked") | (F.col("p.short") & (F.col("p.x") < F.col("q.x"))))
     )
+    pairs = one.join(two, meet).select(F.least("p.x", "q.x").alias("a"), F.greatest("p.x", "q.x").alias("b"))
+    return pairs.distinct()

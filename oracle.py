@@ -11,10 +11,13 @@ feed AS (
 
 CATALOG = """
 catalog AS (
-  SELECT p_partkey AS id, trim(p_name) AS title, lower(trim(p_type)) AS category,
-         CAST(p_retailprice AS DECIMAL(10,2)) AS price,
-         CAST(CAST((sq * 10) // n AS DOUBLE) / 100 AS DECIMAL(10,2)) AS rating_rate,
-         CAST(n AS INT) AS rating_count
+  SELECT p_partkey AS id, CASE WHEN p_partkey % 13 = 0 THEN '' ELSE trim(p_name) END AS title,
+         lower(trim(p_type)) AS category,
+         CAST(CASE WHEN p_partkey % 11 = 0 THEN 0 WHEN p_partkey % 17 <> 0 THEN p_retailprice END
+              AS DECIMAL(10,2)) AS price,
+         CASE WHEN p_partkey % 7 <> 0 AND lower(trim(p_type)) <> 'small'
+              THEN CAST(CAST((sq * 10) // n AS DOUBLE) / 100 AS DECIMAL(10,2)) END AS rating_rate,
+         CASE WHEN p_partkey % 7 <> 0 AND lower(trim(p_type)) <> 'small' THEN CAST(n AS INT) END AS rating_count
   FROM part JOIN (
     SELECT l_partkey, sum(CAST(l_quantity AS INT)) AS sq, count(*) AS n
     FROM lineitem GROUP BY l_partkey) r ON p_partkey = l_partkey)"""
@@ -83,11 +86,18 @@ FROM (SELECT u.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, even
       FROM u) x
 WHERE rn = 1"""
 
-CARD = f"""WITH {KPIS}
-SELECT CAST(sum(product_count) AS BIGINT) AS total_products,
-       CAST(round(CAST(sum(avg_rating * product_count) / sum(product_count)
-            AS DECIMAL(14,6)), 2) AS DOUBLE) AS avg_rating
-FROM kpis"""
+# From the items: ratings of the valid ones, each with the same weight.
+CARD = f"""WITH {CATALOG}
+SELECT count(*) AS total_products,
+       CAST(round(sum(rating_rate) / CAST(count(rating_rate) AS DECIMAL(20,6)), 2) AS DOUBLE) AS avg_rating
+FROM catalog WHERE price > 0 AND length(title) > 0"""
+
+REPORT = f"""WITH {CATALOG},
+valid AS (SELECT * FROM catalog WHERE price > 0 AND length(title) > 0)
+SELECT count(*) AS total_products,
+       count(DISTINCT category) FILTER (rating_count > 0) AS reviewed_categories,
+       CAST(sum(rating_count) AS BIGINT) AS total_reviews, CAST(sum(price) AS DOUBLE) AS total_value
+FROM valid"""
 
 SQL: dict[str, str] = {
     "kpis": f"WITH {KPIS} SELECT * FROM kpis",
@@ -163,7 +173,7 @@ SQL: dict[str, str] = {
                CAST(sum(rating_count) AS BIGINT) AS total_reviews
         FROM silver WHERE is_valid GROUP BY category""",
     "serving_buckets": f"WITH {SILVER} {BUCKET_ROWS} FROM silver GROUP BY 1",
-    "report_sql": CARD,
+    "report_sql": REPORT,
     "contract": f"WITH {KPIS} SELECT * FROM kpis",
     "late": """
         SELECT event_id, ingested_on, ingest_date,
@@ -173,4 +183,30 @@ SQL: dict[str, str] = {
         WHERE ingest_date - ingested_on > 3""",
     "incremental": LANDING,
     "incremental_silver": SILVER_ROWS,
+    "incremental_late": "SELECT event_id, CAST(ts AS DATE) AS ingest_date FROM events",
+    "incremental_fields": f"""WITH {RAW_FEED}
+        SELECT event_id, user_id AS id, k AS rating_count FROM raw_feed""",
+    "raw_nested": f"""WITH {RAW_FEED}
+        SELECT event_id, event_id % 3 AS source, k AS rating_count FROM raw_feed""",
+    "raw_mistyped": f"""WITH {RAW_FEED}
+        SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN k END AS rating_count,
+               CASE WHEN event_id % 10 = 0 THEN 4.5::DOUBLE END AS rating_text
+        FROM raw_feed""",
+    "raw_array": RAW_ROWS,
+    "landing_stamped": """
+        SELECT '2024-02-01T12:30:00+00:00' AS _ingested_at, DATE '2024-02-01' AS ingest_date, count(*) AS n
+        FROM events""",
+    "bronze_overwrite": """
+        SELECT event_id, user_id AS id, CAST(NULL AS VARCHAR) AS first_only
+        FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+    "silver_flags": f"""WITH {SILVER}
+        SELECT id, CASE WHEN event_id % 3 = 0 THEN '' ELSE title END AS title, has_rating,
+               event_id % 5 <> 0 AND price > 0 AND event_id % 3 <> 0 AS is_valid
+        FROM silver""",
+    "load_times": f"""WITH {SILVER}, tiers AS ({BUCKET_ROWS} FROM silver GROUP BY 1)
+        SELECT 'bronze' AS layer, count(*) AS n, 0::BIGINT AS missing, 1::BIGINT AS moments FROM events
+        UNION ALL SELECT 'silver', count(*), 0, 1 FROM silver
+        UNION ALL SELECT 'gold', count(*), 0, 1 FROM tiers""",
 }
+SQL["rejects_stored"] = SQL["rejects"]
+SQL["replay"] = SQL["gold_kpis"]

@@ -69,7 +69,8 @@ CATEGORY_KPIS = T.StructType(
         T.StructField("avg_price", T.DecimalType(10, 2)),
         T.StructField("min_price", T.DecimalType(10, 2)),
         T.StructField("max_price", T.DecimalType(10, 2)),
-        T.StructField("total_inventory_value", T.DecimalType(14, 2)),
+        # As wide as Spark makes the sum of decimal(10,2); a narrower database asks for its own type.
+        T.StructField("total_inventory_value", T.DecimalType(20, 2)),
         T.StructField("avg_rating", T.DecimalType(4, 2)),
         T.StructField("total_reviews", T.LongType()),
         T.StructField("_gold_loaded_at", T.TimestampType()),
@@ -104,6 +105,28 @@ SERVING = {
 }
 
 
+def silver_schema_of(roles) -> T.StructType:
+    """The silver columns under the names and types that ``roles`` gives them."""
+    names = {
+        "id": roles.key,
+        "title": roles.title,
+        "price": roles.price,
+        "description": roles.description,
+        "category": roles.category,
+        "_ingested_at": roles.ingested_at,
+    }
+    types = {"id": roles.key_type, "price": roles.price_type}
+    return T.StructType(
+        [
+            T.StructField(
+                names.get(f.name, f.name),
+                T.DataType.fromDDL(types[f.name]) if f.name in types else f.dataType,
+            )
+            for f in SILVER.fields
+        ]
+    )
+
+
 def widened(contract: T.StructType, **types: T.DataType) -> T.StructType:
     """A contract with other types for some columns, such as a wider total."""
     unknown = set(types) - set(contract.names)

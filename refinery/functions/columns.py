@@ -17,7 +17,9 @@ def normalized(text: Column, *, fold_case: bool = False) -> Column:
 # A failed conversion of text costs an exception, many times the price of a good one. The
 # guards below keep the usual junk (``n/a``, ``x9``, ``12 USD``, empty text) away from
 # it by looking at the first and last character only. They are comparisons and not patterns,
-# which would cost more per good row than the conversion itself.
+# which would cost more per good row than the conversion itself. Intended beside that:
+# a number with a type letter, such as ``5d`` or ``3f``, counts as junk, though the
+# plain cast would read it as 5.0 or 3.0.
 
 
 def _ascii_number(text: Column) -> Column:

@@ -45,20 +45,21 @@ def usable(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     Plain conditions instead of reasons: less code to generate, and the scan can apply some.
     """
     complete = require_fields(bronze, roles.required)
-    if CORRUPT in bronze.columns:
-        complete = complete.where(F.col(CORRUPT).isNull())
     return _converted(complete, roles).where(F.col(KEY).isNotNull() & F.col(PRICE).isNotNull())
 
 
 def checked(bronze: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Add the converted key and price, and the reason why silver refuses a row, or NULL.
 
-    The first that applies: ``corrupt`` (unreadable file or line), ``required:<column>``,
-    ``type:<column>`` (text that is no number, or one outside the column's range).
+    The first that applies: ``corrupt`` (unreadable file or line, without a key),
+    ``required:<column>``, ``type:<column>`` (text that is no number, or one outside the column's
+    range). A readable record of which another field has the wrong type is taken without it; bronze
+    keeps its text.
     """
     checks = []
     if CORRUPT in bronze.columns:
-        checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("corrupt")))
+        unreadable = F.col(CORRUPT).isNotNull() & is_absent(bronze, roles.key)
+        checks.append(F.when(unreadable, F.lit("corrupt")))
     for name in roles.required:
         checks.append(F.when(is_absent(bronze, name), F.lit(f"required:{name}")))
     for name, typed in ((roles.key, KEY), (roles.price, PRICE)):

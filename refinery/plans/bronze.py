@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from refinery.sources.tables import read_bronze
-from refinery.storage import publish, recover, table_exists
+from refinery.storage import publish, recover, streamed, table_exists
 
 
 def merge_schema(df: DataFrame, stored: T.StructType) -> DataFrame:
@@ -25,9 +25,12 @@ def write_bronze(
     """Write the table and return its number of rows, counted in the same pass.
 
     ``overwrite`` keeps the columns of the table it replaces and adds new ones;
-    ``append`` adds files under the schema they have.
+    ``append`` adds files under the schema they have. A table that a stream writes is
+    refused, since its readers would not see the rows.
     """
     spark = df.sparkSession
+    if streamed(spark, path):
+        raise ValueError(f"{path} is written by a stream; load it with ingest_new_files")
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     recover(spark, path)

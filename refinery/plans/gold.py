@@ -26,9 +26,9 @@ def category_kpis(silver: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     measures = {
         "product_count": F.count(F.lit(1)),
         "avg_price": _rounded(F.avg(price)),
-        "min_price": _rounded(F.min(price)),
-        "max_price": _rounded(F.max(price)),
-        "total_inventory_value": _rounded(F.sum(price)),
+        "min_price": F.min(price),
+        "max_price": F.max(price),
+        "total_inventory_value": F.sum(price),
         "avg_rating": _rounded(F.avg("rating_rate")),
         "total_reviews": F.sum("rating_count"),
     }

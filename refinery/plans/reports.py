@@ -68,16 +68,15 @@ def best_per_category(top: DataFrame) -> DataFrame:
     return best.sort("category")
 
 
-def totals_card(kpis: DataFrame) -> DataFrame:
-    """The two cards: number of products, and their average rating.
+def totals_card(silver: DataFrame) -> DataFrame:
+    """The two cards: number of valid products, and the average of their ratings.
 
-    The average is weighted by the products of each category that has a rating.
+    Taken from the items, since the rounded averages of the categories cannot be averaged again:
+    a product without a rating has no weight.
     """
-    weight = F.when(F.col("avg_rating").isNotNull(), F.col("product_count"))
-    weighted = F.sum(F.col("avg_rating") * weight) / F.sum(weight)
-    return kpis.agg(
-        F.sum("product_count").alias("total_products"),
-        F.round(weighted, 2).alias("avg_rating"),
+    return silver.where("is_valid").agg(
+        F.count(F.lit(1)).alias("total_products"),
+        F.round(F.avg("rating_rate"), 2).alias("avg_rating"),
     )
 
 

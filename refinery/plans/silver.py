@@ -31,7 +31,13 @@ from refinery.operators.rejects import (
 )
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.tables import read_bronze
-from refinery.storage import publish, together_by
+from refinery.storage import (
+    drop_table,
+    partition_folder,
+    publish,
+    table_exists,
+    together_by,
+)
 
 LOADED_AT = "_silver_loaded_at"
 
@@ -119,6 +125,36 @@ def write_silver(
     return seen.get["rows"]
 
 
+def replace_categories(
+    rows: DataFrame,
+    path: str,
+    staged: str,
+    categories: list[str],
+    roles: Roles = DEFAULT_ROLES,
+    *,
+    arranged: bool = False,
+) -> None:
+    """Replace the folders of ``categories`` by ``rows``, which may read them; leave all others.
+
+    The rows are stored in ``staged`` first. Spark's dynamic overwrite then replaces each folder as
+    it commits, and folders that lost all their rows are removed last, so a run that dies in
+    between leaves no key out. Repeating the batch completes it.
+    """
+    spark = rows.sparkSession
+    (rows if arranged else together_by(rows, roles.category)).write.partitionBy(roles.category).parquet(staged)
+    stored = spark.read.schema(rows.schema).parquet(staged)
+    (
+        stored.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(roles.category)
+        .parquet(path)
+    )
+    for value in categories:
+        folder = partition_folder(spark, roles.category, value)
+        if not table_exists(spark, f"{staged}/{folder}"):
+            drop_table(spark, f"{path.rstrip('/')}/{folder}")
+
+
 @dataclass(frozen=True)
 class SilverRun:
     rejected: int
@@ -135,9 +171,13 @@ def refine(
     schema: T.StructType | None = None,
     fmt: str = "parquet",
     swap: bool = True,
+    allow_empty: bool = False,
 ) -> SilverRun:
     """Build the silver table and the table of rejects from bronze.
 
+    If every row is refused, a silver table that stands already is not replaced by an empty one:
+    the run fails, unless ``allow_empty`` is set. The files of a wrong layout look like that.
+
     The silver pass counts the rejects on its way. Only if there are any is bronze
     scanned again to write them; a task repeated after a lost executor can raise that
     count but not hide a reject, so the number returned is taken from the rejects written.
@@ -146,6 +186,9 @@ def refine(
     refused = Observation()
     watched = labelled.observe(refused, F.count_if(F.col(REASON).isNotNull()).alias("rows"))
     silver = stamp_silver(deduplicated(conform(accepted(watched), roles), roles))
+    if not allow_empty and table_exists(spark, silver_path):
+        if accepted(labelled).isEmpty() and not labelled.isEmpty():
+            raise ValueError("no row of bronze is usable; the silver table is left as it is")
     rows = write_silver(silver, silver_path, roles=roles, fmt=fmt, swap=swap)
     bad = rejected(labelled)
     if refused.get["rows"] == 0:

@@ -28,6 +28,7 @@ class Roles:
     key_type: str = "int"
     price_type: str = "decimal(10,2)"
 
+    # Fixed values, like the tiers above.
     min_reviews: int = 50
     top_n: int = 10
     tier_bounds: tuple = TIER_BOUNDS

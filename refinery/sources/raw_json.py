@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from refinery.contracts import RAW
 
 CORRUPT = "_corrupt_record"
+RESCUED = "_rescued"
 LAYOUTS = ("lines", "array")
 
 
@@ -41,7 +42,8 @@ def discover_schema(
     """``base`` plus every field that occurs in the files but not in it, scalars as text.
 
     Costs a pass over the files (over a share of them with ``sampling_ratio``). A field
-    that ``base`` names keeps its type from there, whatever the files hold.
+    that ``base`` names keeps its type from there, whatever the files hold; a struct gains the
+    members that ``base`` does not name.
     """
     found = (
         _json_options(spark.read, layout)
@@ -50,8 +52,19 @@ def discover_schema(
         .json(_day_path(path, ingest_date))
         .schema
     )
+    return _with_extra(base, found)
+
+
+def _with_extra(base: T.StructType, found: T.StructType) -> T.StructType:
+    """``base`` with the fields, also of nested structs, that only ``found`` has."""
+    fields = []
+    for field in base.fields:
+        other = found[field.name].dataType if field.name in found.names else None
+        if isinstance(field.dataType, T.StructType) and isinstance(other, T.StructType):
+            field = T.StructField(field.name, _with_extra(field.dataType, other), field.nullable)
+        fields.append(field)
     extra = [f for f in found.fields if f.name not in base.names and f.name != CORRUPT]
-    return T.StructType(base.fields + extra)
+    return T.StructType(fields + extra)
 
 
 def read_raw(
@@ -69,7 +82,7 @@ def read_raw(
     if schema is None:
         schema = discover_schema(spark, path, layout=layout, ingest_date=ingest_date)
     reader = _json_options(spark.read, layout).schema(with_corrupt(schema))
-    return shape_raw(reader.json(_day_path(path, ingest_date)))
+    return shape_raw(reader.json(_day_path(path, ingest_date)), layout)
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
@@ -78,17 +91,52 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def shape_raw(scan: DataFrame) -> DataFrame:
-    """Add source file and load time; keep the corrupt text only on rows with no data.
+def _lineage() -> list[Column]:
+    return [
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.current_timestamp().alias("_bronze_loaded_at"),
+    ]
+
 
-    One mistyped field in an array file marks every row of that file, each with the text of the
-    whole file, although the other rows are good.
+def shape_raw(scan: DataFrame, layout: str = "lines") -> DataFrame:
+    """Add source file and load time.
+
+    JSON Lines keep the text of every record that could not be read whole, also where only one
+    field has the wrong type. One mistyped field in an array file marks every row of that file,
+    each with the text of the whole file, although the other rows are good: there the text is
+    kept only on rows with no data.
     """
     data = [F.col(f"`{name}`") for name in scan.columns if name != CORRUPT]
-    unreadable = reduce(and_, [column.isNull() for column in data])
-    return scan.select(
-        *data,
-        F.when(unreadable, F.col(CORRUPT)).alias(CORRUPT),
-        F.col("_metadata.file_path").alias("_source_file"),
-        F.current_timestamp().alias("_bronze_loaded_at"),
+    text = F.col(CORRUPT)
+    if layout == "array":
+        text = F.when(reduce(and_, [column.isNull() for column in data]), text)
+    return scan.select(*data, text.alias(CORRUPT), *_lineage())
+
+
+def _unknown_fields(text: Column, schema: T.StructType) -> Column:
+    """JSON text of the fields, or declared structs with members, that ``schema`` does not name."""
+    with_more = []
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            members = F.json_object_keys(F.get_json_object(text, f"$.{field.name}"))
+            more = F.size(F.array_except(members, F.array(*map(F.lit, field.dataType.names)))) > 0
+            with_more.append(F.when(more, field.name))
+    known = F.array_except(F.array(*map(F.lit, schema.names)), F.array(*with_more, F.lit("")))
+    values = F.from_json(text, "map<string,string>")
+    unknown = F.map_filter(values, lambda name, _: ~F.array_contains(known, name))
+    return F.when(F.size(unknown) > 0, F.to_json(unknown))
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records from a scan of text lines, as :func:`shape_raw` has them, plus ``_rescued``.
+
+    ``_rescued`` holds what ``schema`` does not name: unknown fields, and declared structs with
+    unknown members, as one JSON text; NULL where there is none. Blank lines are no records.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", with_corrupt(schema), options)
+    rows = lines.where(F.trim("value") != "").select(
+        parsed.alias("__row"), _unknown_fields(F.col("value"), schema).alias(RESCUED), *_lineage()
     )
+    data = [F.col(f"__row.`{name}`").alias(name) for name in (*schema.names, CORRUPT)]
+    return rows.select(*data, RESCUED, "_source_file", "_bronze_loaded_at")

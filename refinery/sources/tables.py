@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from refinery.contracts import SILVER
+from refinery.contracts import SILVER, silver_schema_of
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.storage import table_exists
 
@@ -34,14 +34,15 @@ def silver_schema(
 ) -> T.StructType:
     """The stored columns with the partition column as text, in the contract's order.
 
-    A partitioned table without rows has no files to take a schema from: then the contract's.
+    A partitioned table without rows has no files to take a schema from: then the contract's,
+    under the names and types of ``roles``.
     """
     try:
         fields = spark.read.format(fmt).load(path).schema.fields
     except AnalysisException as problem:
         if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return SILVER
+        return silver_schema_of(roles)
     stored = {f.name: f for f in fields}
     stored[roles.category] = T.StructField(roles.category, T.StringType())
     first = [name for name in SILVER.names if name in stored]

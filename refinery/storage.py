@@ -6,7 +6,6 @@ HDFS and object stores.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,29 +42,26 @@ def _drop(spark: SparkSession, uri: str) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for tables that a later step reads back.
 
-    It lies in the folder that ``spark.checkpoint.dir`` names, which every executor
-    can reach. Only a session without that setting (tests on one machine) falls back
-    to a temporary folder.
+    It lies in the folder that ``spark.checkpoint.dir`` names, or that
+    ``setCheckpointDir`` chose, which every executor can reach. A session without one is
+    refused: a folder of one machine would lose what other executors write. Whoever
+    names the folder clears it; nothing in the library does.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="run-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-# Without AQE a large group is cut into at most this many pieces.
-SALTS = 32
-
-
 def together_by(df: DataFrame, column: str) -> DataFrame:
     """Bring rows with equal ``column`` together for a write, without one task for a hot value.
 
     AQE splits what is too large and joins what is too small. In a session without it,
-    rows are salted by the task they come from.
+    each task that reads the rows writes those of one value on its own.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", column)
-    return df.repartition(F.col(column), F.spark_partition_id() % SALTS)
+    return df.repartition(F.col(column), F.spark_partition_id())
 
 
 def publish(
@@ -93,7 +89,8 @@ def publish(
         _writer(df, fmt, partition_by).save(uri)
         return
     recover(spark, uri)
-    staged, retired = f"{uri}__staged", f"{uri}__retired"
+    # Of its own for each run: two runs at a time must not write into one folder.
+    staged, retired = shared_side(uri, "staged"), f"{uri}__retired"
     _writer(df, fmt, partition_by).save(staged)
     if table_exists(spark, uri):
         _drop(spark, retired)
@@ -102,6 +99,28 @@ def publish(
     _drop(spark, retired)
 
 
+def shared_side(uri: str, name: str) -> str:
+    """A folder beside a table, of its own for each call."""
+    return f"{uri.rstrip('/')}__{name}-{uuid.uuid4().hex}"
+
+
+def partition_folder(spark: SparkSession, column: str, value: str) -> str:
+    """The folder's name that Spark gives a partition; an empty value counts as NULL."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    text = utils.escapePathName(value) if value else utils.DEFAULT_PARTITION_NAME()
+    return f"{utils.escapePathName(column)}={text}"
+
+
+def drop_table(spark: SparkSession, uri: str) -> None:
+    """Remove a table of intermediate rows."""
+    _drop(spark, uri)
+
+
+def streamed(spark: SparkSession, uri: str) -> bool:
+    """Whether a stream writes the table: readers then see only the files in its log."""
+    return table_exists(spark, f"{uri.rstrip('/')}/_spark_metadata")
+
+
 def recover(spark: SparkSession, uri: str) -> bool:
     """Put back the old table if a run ended between the renames of :func:`publish`."""
     uri = uri.rstrip("/")

@@ -8,14 +8,30 @@ from pyspark.sql.streaming import StreamingQuery
 from refinery.contracts import BRONZE, RAW
 from refinery.operators.merge import merge_unique
 from refinery.operators.rejects import REASON, accepted, checked, rejected
-from refinery.plans.silver import conform, deduplicated, stamp_silver, write_silver
+from refinery.plans.silver import (
+    conform,
+    deduplicated,
+    replace_categories,
+    stamp_silver,
+    write_silver,
+)
 from refinery.roles import DEFAULT_ROLES, Roles
-from refinery.sources.raw_json import LAYOUTS, shape_raw, with_corrupt
+from refinery.sources.raw_json import LAYOUTS, parse_lines, shape_raw, with_corrupt
 from refinery.sources.tables import read_silver
-from refinery.storage import recover, stored_bytes, table_exists, together_by
-
-# On disk; the rows take a few times as much in memory.
-BROADCAST_BYTES = 10 * 1024 * 1024
+from refinery.storage import (
+    drop_table,
+    recover,
+    shared_side,
+    streamed,
+    table_exists,
+    together_by,
+)
+
+# In memory: rows times the width of a row.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A file older than this, counted from the newest one seen, would be left out without a message.
+# Spark's own default is seven days; late files have to come in whenever they arrive.
+MAX_FILE_AGE = "36500d"
 
 
 def ingest_new_files(
@@ -27,26 +43,41 @@ def ingest_new_files(
     schema: T.StructType = RAW,
     layout: str = "lines",
     max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+    rescue: bool = False,
 ) -> StreamingQuery:
     """Append the raw files that no earlier call has loaded, each exactly once, then stop.
 
     The file sink's log makes a batch visible as a whole or not at all, so a restart after a failure
-    neither loses nor repeats rows. A stream needs a fixed schema: a new field enters
-    by passing a schema that has it. ``max_files`` bounds one batch.
+    neither loses nor repeats rows. A stream needs a fixed schema; with ``rescue`` (JSON Lines only)
+    the fields that ``schema`` does not name are kept as one JSON text in ``_rescued``, at the
+    price of a second parse of each record. ``max_files`` bounds one batch.
+
+    ``max_file_age`` keeps late files: the source remembers all files it has seen within it, so its
+    log grows with their number. A shorter age is for raw zones whose old folders get no more files.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+    if rescue and layout != "lines":
+        raise ValueError("fields can be rescued from JSON Lines only")
+    if table_exists(spark, bronze_path) and not streamed(spark, bronze_path):
+        raise ValueError(f"{bronze_path} was written by write_bronze; a stream cannot add to it")
     reader = (
-        spark.readStream.schema(with_corrupt(schema))
-        .option("multiLine", layout == "array")
-        .option("recursiveFileLookup", True)
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        spark.readStream.option("recursiveFileLookup", True).option("maxFileAge", max_file_age)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if rescue:
+        rows = parse_lines(reader.text(raw_path), schema)
+    else:
+        reader = (
+            reader.schema(with_corrupt(schema))
+            .option("multiLine", layout == "array")
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+        )
+        rows = shape_raw(reader.json(raw_path), layout)
     return (
-        shape_raw(reader.json(raw_path))
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .option("path", bronze_path)
         .option("checkpointLocation", checkpoint)
@@ -65,16 +96,17 @@ def merge_new_rows(
     schema: T.StructType = BRONZE,
     roles: Roles = DEFAULT_ROLES,
     max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Upsert the bronze rows that no earlier call has seen into silver, then stop.
 
     A batch that is repeated after a failure changes nothing: the merge keeps the
     newest row per key, and each batch's rejects have a folder of their own. Plain Parquet
-    has no update in place, so a batch rewrites the table; leave ``max_files`` unset to
-    take all that is new in one batch.
+    has no update in place, so a batch rewrites the categories it touches; leave ``max_files``
+    unset to take all that is new in one batch.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
@@ -100,9 +132,10 @@ def merge_batch(
 ) -> None:
     """Clean one batch and merge it into the silver table.
 
-    The batch is read again only if it holds rejects. Changes whose stored size is at most
-    ``broadcast_bytes`` are broadcast, and the target's rows are written back as they lie,
-    without a shuffle. Larger changes shuffle both sides by key, and the result is arranged by
+    The batch is read again only if it holds rejects. Only the categories that a changed key has
+    or had are read whole and written again; the files of all others stay. Changes of at most
+    ``broadcast_bytes``, rows times row width, are broadcast, and the target's rows are
+    not shuffled. Larger changes shuffle both sides by key, and the result is arranged by
     category again.
     """
     spark = batch.sparkSession
@@ -115,17 +148,47 @@ def merge_batch(
     if not table_exists(spark, silver_path):
         write_silver(changes, silver_path, roles=roles)
     else:
-        # Cleaned once, into a table of its own: the merge reads the changes more than once.
-        changes_path = f"{silver_path.rstrip('/')}__changes"
-        together_by(changes, roles.category).write.mode("overwrite").parquet(changes_path)
-        stored = spark.read.schema(changes.schema).parquet(changes_path)
-        small = stored_bytes(spark, changes_path) <= broadcast_bytes
-        target = read_silver(spark, silver_path, roles=roles)
-        merged = merge_unique(
-            target, stored, roles.key, roles.ingested_at, broadcast_changes=small
-        )
-        write_silver(merged, silver_path, roles=roles, arranged=small)
+        _merge_stored(changes, silver_path, roles, broadcast_bytes)
 
     if refused.get["rows"]:
         folder = f"{rejects_path.rstrip('/')}/batch_id={batch_id}"
         rejected(labelled).write.mode("overwrite").parquet(folder)
+
+
+def _row_bytes(schema: T.StructType) -> int:
+    """What Spark assumes a row of this schema to take in memory, texts by a fixed guess."""
+    return 8 + sum(8 + (100 if f.dataType == T.StringType() else 16) for f in schema.fields)
+
+
+def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_bytes: int) -> None:
+    spark, category = changes.sparkSession, roles.category
+    # Cleaned once, into a table of its own: the merge reads the changes more than once.
+    changes_path, merged_path = (shared_side(silver_path, name) for name in ("changes", "merged"))
+    seen = Observation()
+    counted = together_by(changes, category).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.parquet(changes_path)
+    try:
+        stored = spark.read.schema(changes.schema).parquet(changes_path)
+        small = seen.get["rows"] * _row_bytes(changes.schema) <= broadcast_bytes
+        target = read_silver(spark, silver_path, roles=roles)
+        keys = F.broadcast(stored.select(roles.key)) if small else stored.select(roles.key)
+        known = target.select(roles.key, category).join(keys, roles.key, "left_semi")
+        # At most one value per folder of the table.
+        touched = [
+            row[0]
+            for row in known.select(category)
+            .union(stored.select(F.coalesce(category, F.lit(""))))
+            .distinct()
+            .collect()
+        ]
+        part = target.where(F.col(category).isin(touched)) if touched else target.limit(0)
+        merged = merge_unique(part, stored, roles.key, roles.ingested_at, broadcast_changes=small)
+        if not set(changes.columns) <= set(target.columns):
+            # A new column: the files of every category take part, as in a full rewrite.
+            merged = merge_unique(target, stored, roles.key, roles.ingested_at, broadcast_changes=small)
+            write_silver(merged, silver_path, roles=roles, arranged=small)
+            return
+        replace_categories(merged, silver_path, merged_path, touched, roles, arranged=small)
+    finally:
+        drop_table(spark, changes_path)
+        drop_table(spark, merged_path)

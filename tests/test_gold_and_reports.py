@@ -118,9 +118,13 @@ def test_share_of_total_is_the_same_both_ways(spark):
     assert shares[0] == shares[1] == [14.285714, 28.571429, 57.142857]
 
 
-def test_card_ignores_unrated_categories_in_the_average(gold):
-    [card] = reports.totals_card(gold[0]).collect()
-    assert card.total_products == 5 and float(card.avg_rating) == 3.75
+def test_card_weighs_every_rating_alike(spark):
+    rows = [
+        item(1, category="x", rate=5.0), item(2, category="x", rate=None), item(3, category="x", rate=None),
+        item(4, category="y", rate=1.0), item(5, category="y", rate=4.0, valid=False),
+    ]
+    [card] = reports.totals_card(silver(spark, rows)).collect()
+    assert (card.total_products, card.avg_rating) == (4, 3.0)
 
 
 def test_slicer(gold):

@@ -1,10 +1,13 @@
+import json
+import os
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from records import DAY1, DAY2, T1, T2, by_key, record, write_lines, write_text
 from refinery.contracts import BRONZE, RAW
 from refinery.operators import late_arrivals, merge_unique, upsert
-from refinery.plans import clean
+from refinery.plans import clean, write_bronze
 from refinery.sources import read_bronze, read_raw, read_silver
 from refinery.streaming import ingest_new_files, merge_new_rows
 from refinery.streaming.incremental import merge_batch
@@ -160,3 +163,88 @@ def test_a_repeated_batch_changes_nothing(spark, root):
     assert state_after(second, 1) == once and len(once) == 3
     assert state_after(first, 0) == once
     assert spark.read.parquet(root + "/rejects").count() == 1
+
+
+def merged(spark, root, **more):
+    merge_new_rows(
+        spark, root + "/bronze", root + "/silver", root + "/rejects", root + "/merge_state", schema=BRONZE, **more
+    ).awaitTermination()
+    return by_key(read_silver(spark, root + "/silver"))
+
+
+def files_of(root, category):
+    return sorted(n for n in os.listdir(f"{root}/silver/category={category}") if n.endswith(".parquet"))
+
+
+def test_files_much_older_than_those_loaded_come_in(spark, root):
+    write_lines(root + "/raw", DAY2, "new.json", [record(1)])
+    ingest(spark, root)
+    merged(spark, root)
+    write_lines(root + "/raw", DAY1, "old.json", [record(2)])
+    month_ago = os.path.getmtime(f"{root}/raw/ingest_date={DAY2}/new.json") - 30 * 86400
+    os.utime(f"{root}/raw/ingest_date={DAY1}/old.json", (month_ago, month_ago))
+    assert ingest(spark, root) == ["1", "2"]
+    [file] = [n for n in os.listdir(root + "/bronze") if n.endswith(".parquet")][-1:]
+    os.utime(f"{root}/bronze/{file}", (month_ago, month_ago))
+    assert set(merged(spark, root)) == {1, 2}
+    write_lines(root + "/raw", DAY2, "newer.json", [record(3)])
+    assert ingest(spark, root) == ["1", "2", "3"] and set(merged(spark, root)) == {1, 2, 3}
+
+
+def test_a_streamed_bronze_is_refused_by_the_batch_writer(spark, root):
+    write_lines(root + "/raw", DAY1, "a.json", [record(1)])
+    ingest(spark, root)
+    for mode in ("append", "overwrite"):
+        with pytest.raises(ValueError, match="stream"):
+            write_bronze(spark.range(3).toDF("id"), root + "/bronze", mode=mode)
+    assert ingest(spark, root) == ["1"]
+
+
+def test_a_batch_bronze_is_refused_by_the_stream(spark, root):
+    write_lines(root + "/raw", DAY1, "a.json", [record(1)])
+    write_bronze(read_raw(spark, root + "/raw", schema=RAW), root + "/bronze")
+    with pytest.raises(ValueError, match="write_bronze"):
+        ingest(spark, root)
+    assert read_bronze(spark, root + "/bronze").count() == 1
+
+
+def test_unnamed_fields_are_rescued(spark, root):
+    rows = [record(1, stock=5, rating=(4, 2)), record(2, rating=(1, 1)), {**record(3), "rating": {"rate": 1, "source": "x"}}]
+    write_lines(root + "/raw", DAY1, "a.json", rows)
+    write_text(root + "/raw", DAY1, "b.json", '\n{"id": 4\n')
+    ingest(spark, root, rescue=True)
+    found = {r.id: r for r in read_bronze(spark, root + "/bronze").collect()}
+    assert len(found) == 4 and found[None]._corrupt_record.startswith('{"id": 4')
+    assert found["2"]._rescued is None and found["2"].rating["count"] == "1"
+    assert json.loads(found["1"]._rescued) == {"stock": "5"}
+    assert json.loads(json.loads(found["3"]._rescued)["rating"])["source"] == "x"
+    with pytest.raises(ValueError, match="JSON Lines"):
+        ingest(spark, root, rescue=True, layout="array")
+
+
+def test_only_the_touched_categories_are_written(spark, root):
+    first = [record(n, category=c) for n, c in enumerate(["a", "a", "b", "c", "Ü x/y", ""])]
+    write_lines(root + "/raw", DAY1, "a.json", first)
+    ingest(spark, root)
+    merged(spark, root)
+    untouched = files_of(root, "a")
+    write_lines(root + "/raw", DAY2, "b.json", [record(2, "moved", category="c", at=T2), record(4, "new", category="ü x/y", at=T2)])
+    ingest(spark, root)
+    found = merged(spark, root)
+    assert {k: (r.title, r.category) for k, r in found.items()} == {
+        0: ("Item", "a"), 1: ("Item", "a"), 2: ("moved", "c"), 3: ("Item", "c"), 4: ("new", "ü x/y"), 5: ("Item", "")}
+    assert files_of(root, "a") == untouched
+    assert not os.path.exists(root + "/silver/category=b")
+    assert [n for n in os.listdir(root) if n.startswith("silver")] == ["silver"]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [10**7, 0])
+def test_merge_reads_only_the_touched_categories(spark, root, broadcast_bytes):
+    write_lines(root + "/raw", DAY1, "a.json", [record(n, category="abc"[n % 3]) for n in range(9)])
+    ingest(spark, root)
+    merged(spark, root)
+    kept = {c: files_of(root, c) for c in "bc"}
+    write_lines(root + "/raw", DAY2, "b.json", [record(0, "x", category="a", at=T2), record(99, category="d")])
+    ingest(spark, root)
+    assert len(merged(spark, root, broadcast_bytes=broadcast_bytes)) == 10
+    assert {c: files_of(root, c) for c in "bc"} == kept

@@ -4,7 +4,8 @@ import pytest
 
 from records import DAY1, DAY2, T2, record, write_array, write_lines, write_text
 from refinery.contracts import RAW
-from refinery.plans import land_records, merge_schema, stamped, verify_bronze, write_bronze
+from refinery.operators import label_rejects
+from refinery.plans import clean, land_records, merge_schema, stamped, verify_bronze, write_bronze
 from refinery.sources import discover_schema, read_bronze, read_raw
 
 
@@ -137,3 +138,21 @@ def test_bronze_count_is_verified(spark, root):
         verify_bronze(spark, path, 99)
     with pytest.raises(ValueError):
         write_bronze(spark.range(1), path, mode="ignore")
+
+
+def test_nested_members_are_discovered(spark, root):
+    write_lines(root, DAY1, "a.json", [record(1, rating=(4, 2)), {**record(2), "rating": {"rate": 1, "source": "web"}}])
+    schema = discover_schema(spark, root)
+    assert schema["rating"].dataType.names == ["rate", "count", "source"]
+    rows = {r.id: r for r in read_raw(spark, root).collect()}
+    assert rows["2"].rating.source == "web" and rows["1"].rating.source is None
+
+
+def test_a_mistyped_field_keeps_the_record_and_its_text(spark, root):
+    write_lines(root, DAY1, "a.json", [record(1, rating=(4, 2)), {**record(2), "rating": 4.5}])
+    raw = read_raw(spark, root, schema=RAW)
+    rows = {r.id: r for r in raw.collect()}
+    assert rows["2"].rating is None and '"rating": 4.5' in rows["2"]._corrupt_record
+    assert rows["1"]._corrupt_record is None
+    assert label_rejects(raw).where("_reject_reason IS NOT NULL").count() == 0
+    assert {r.id for r in clean(raw).collect()} == {1, 2}

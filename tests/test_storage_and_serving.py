@@ -1,10 +1,12 @@
 import os
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 import refinery.storage as storage
+from refinery import Roles
 from records import DAY1, DAY2, T2, record, write_array, write_text
 from refinery.contracts import CATEGORY_KPIS, RAW, SERVING, TOP_PRODUCTS, enforce_contract, widened
 from refinery.plans import export_tables, reports, serve_views, write_gold
@@ -220,3 +222,95 @@ def test_reports_as_sql(spark, root):
     )
     top = read_gold(spark, place.serving, "gold_top_products")
     assert best.collect() == reports.best_per_category(top).select("category", "id").collect()
+
+
+def test_a_session_without_a_shared_folder_is_refused():
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(bare, "x")
+    bare.sparkContext.getCheckpointDir = lambda: "hdfs://chosen/"
+    assert storage.shared_dir(bare, "x").startswith("hdfs://chosen/x-")
+
+
+def test_a_wrong_layout_does_not_empty_good_tables(spark, root):
+    landed(root)
+    run(spark, root, layout="array")
+    place = Layout(root)
+    good = tables(spark, place)
+    with pytest.raises(ValueError, match="no row of bronze is usable"):
+        run(spark, root)
+    assert tables(spark, place) == good and read_silver(spark, place.silver).count() == 7
+    assert run(spark, root, allow_empty=True).silver.rows == 0
+    assert read_silver(spark, place.silver).count() == 0
+
+
+def test_an_empty_silver_table_has_the_columns_of_its_roles(spark, root):
+    roles = Roles(key="sku", title="name", price="cost", category="kind", key_type="bigint")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("sku", "name", "cost", "kind", "_ingested_at")])
+    write_array(root + "/raw", DAY1, "a.json", [{"sku": "x", "name": "a", "cost": 1, "kind": "k"}])
+    done = run(spark, root, layout="array", schema=schema, roles=roles, export=False)
+    assert (done.silver.rows, done.silver.rejected) == (0, 1)
+    silver = read_silver(spark, root + "/silver", roles=roles)
+    assert silver.schema["sku"].dataType == T.LongType() and "kind" in silver.columns
+    assert read_gold(spark, root + "/gold", "gold_category_kpis").count() == 0
+
+
+def test_totals_beyond_the_old_type_are_exported(spark, root):
+    kpi = spark.sql(
+        """SELECT 'a' AS category, 1L AS product_count, 1.00BD AS avg_price, 1.00BD AS min_price, 1.00BD AS max_price,
+                  CAST(2000000000000.5 AS decimal(20,2)) AS total_inventory_value, 4.00BD AS avg_rating, 1L AS total_reviews"""
+    )
+    write_gold(kpi, root + "/gold", "gold_category_kpis")
+    export_tables(spark, root + "/gold", directory=root + "/serving")
+    [row] = read_gold(spark, root + "/serving", "gold_category_kpis").collect()
+    assert row.total_inventory_value == Decimal("2000000000000.50")
+    narrow = widened(CATEGORY_KPIS, total_inventory_value=T.DecimalType(14, 2))
+    with pytest.raises(Exception, match="does not fit"):
+        export_tables(spark, root + "/gold", directory=root + "/narrow", contracts={"gold_category_kpis": narrow})
+
+
+NARROW = {"gold_price_buckets": SERVING["gold_price_buckets"]}
+
+
+@pytest.mark.parametrize("chain", [run, run_new])
+def test_options_of_both_chains(spark, root, chain):
+    landed(root)
+    chain(spark, root, layout="array", contracts=NARROW, swap=False)
+    assert os.listdir(root + "/serving") == ["gold_price_buckets"]
+    with pytest.raises(Exception, match="No suitable driver"):
+        chain(spark, root, layout="array", jdbc_url="jdbc:none:x")
+
+
+def test_one_landing_day_through_the_chain(spark, root):
+    landed(root)
+    assert run(spark, root, layout="array", ingest_date=DAY2).bronze == 2
+    assert [r.title for r in read_silver(spark, root + "/silver").collect()] == ["Newer"]
+
+
+def test_discovery_is_a_choice(spark, root):
+    write_array(root + "/raw", DAY1, "a.json", [record(1, stock=5)])
+    run(spark, root, layout="array")
+    assert "stock" not in read_silver(spark, root + "/silver").columns
+    run(spark, root, layout="array", schema=None)
+    assert [r.stock for r in read_silver(spark, root + "/silver").collect()] == ["5"]
+
+
+def test_the_daily_chain_keeps_unnamed_fields(spark, root):
+    batch = spark.createDataFrame([(1, "a", 5.0, "x", 7)], "id int, title string, price double, category string, stock int")
+    run_new(spark, root, records=batch)
+    [row] = read_silver(spark, root + "/silver").collect()
+    assert row._rescued == '{"stock":"7"}'
+
+
+def test_run_and_run_new_refuse_each_others_bronze(spark, root):
+    landed(root + "/1")
+    run(spark, root + "/1", layout="array")
+    with pytest.raises(ValueError, match="write_bronze"):
+        run_new(spark, root + "/1", layout="array")
+    landed(root + "/2")
+    run_new(spark, root + "/2", layout="array")
+    with pytest.raises(ValueError, match="stream"):
+        run(spark, root + "/2", layout="array")

@@ -6,7 +6,10 @@ exercise a source or a sink write into the session's shared folder and read back
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -34,9 +37,9 @@ from refinery.plans import (
     write_gold,
 )
 from refinery.plans import reports
-from refinery.plans.medallion import Layout, load_bronze, run
+from refinery.plans.medallion import Layout, load_bronze, replay as replay_chain, run
 from refinery.plans.silver import flatten_rating
-from refinery.sources import read_bronze, read_gold, read_raw, read_silver
+from refinery.sources import discover_schema, read_bronze, read_gold, read_raw, read_silver
 from refinery.storage import shared_dir
 from refinery.streaming import ingest_new_files, merge_new_rows
 
@@ -47,12 +50,25 @@ MONEY = "decimal(10,2)"
 MIN_REVIEWS = 30
 RAW_EVENTS = T.StructType(RAW.fields + [T.StructField("event_id", T.StringType())])
 HALF = "2024-01-16"
+UNRATED = "small"
+MOMENT = datetime(2024, 2, 1, 12, 30, tzinfo=timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ready(spark: SparkSession) -> None:
+    """Name a shared folder where the session names none: on one machine any folder is shared.
+
+    On a cluster it is left unset, and the library refuses to write.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+
+
 def doubles(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("double") for name in names})
 
@@ -89,7 +105,13 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as silver rows; rating and review count come from their order lines."""
+    """Parts as silver rows; rating and review count come from their order lines.
+
+    One category and every seventh part have no rating, and some parts are not valid: a price of
+    zero, an unknown price, or a blank title.
+    """
+    every = lambda n: F.col("p_partkey") % n == 0
+    unrated = every(7) | (F.lower(F.trim("p_type")) == UNRATED)
     lines = table(spark, sf_dir, "lineitem")
     reviews = lines.groupBy("l_partkey").agg(
         F.sum(F.col("l_quantity").cast("int")).alias("quantity"),
@@ -98,11 +120,11 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     items = parts.join(reviews, parts.p_partkey == reviews.l_partkey).select(
         F.col("p_partkey").alias("id"),
-        normalized(F.col("p_name")).alias("title"),
+        normalized(F.when(every(13), F.lit("  ")).otherwise(F.col("p_name"))).alias("title"),
         normalized(F.col("p_type"), fold_case=True).alias("category"),
-        F.col("p_retailprice").cast(MONEY).alias("price"),
-        (F.expr("quantity * 10 div n").cast(MONEY) / 100).cast(MONEY).alias("rating_rate"),
-        F.col("n").cast("int").alias("rating_count"),
+        F.when(every(11), F.lit(0)).when(~every(17), F.col("p_retailprice")).cast(MONEY).alias("price"),
+        F.when(~unrated, F.expr("quantity * 10 div n").cast(MONEY) / 100).cast(MONEY).alias("rating_rate"),
+        F.when(~unrated, F.col("n")).cast("int").alias("rating_count"),
     )
     return items.withColumns(
         {
@@ -187,7 +209,7 @@ def q6(spark, sf_dir):
 
 
 def card(spark, sf_dir):
-    return doubles(reports.totals_card(_kpis(spark, sf_dir)), "avg_rating")
+    return doubles(reports.totals_card(catalog(spark, sf_dir)), "avg_rating")
 
 
 def slicer(spark, sf_dir):
@@ -292,6 +314,53 @@ def _raw_rows(raw: DataFrame) -> DataFrame:
     )
 
 
+def raw_nested(spark, sf_dir):
+    """A member of the rating that no schema names."""
+    place = Layout(shared_dir(spark, "raw_nested"))
+    source = F.col("rating").withField("source", F.col("event_id") % 3)
+    land_records(raw_feed(spark, sf_dir).withColumn("rating", source), place.raw, keep_stamp=True)
+    raw = read_raw(spark, place.raw, schema=discover_schema(spark, place.raw))
+    return raw.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.col("rating.source").cast("bigint").alias("source"),
+        F.col("rating.count").cast("int").alias("rating_count"),
+    )
+
+
+def raw_mistyped(spark, sf_dir):
+    """Every tenth record has a plain number for its rating: its text has to stay."""
+    place = Layout(shared_dir(spark, "raw_mistyped"))
+    records, plain = raw_feed(spark, sf_dir), F.col("event_id") % 10 == 0
+    land_records(records.where(~plain), place.raw, keep_stamp=True)
+    land_records(records.where(plain).withColumn("rating", F.lit(4.5)), place.raw, keep_stamp=True)
+    raw = read_raw(spark, place.raw, schema=RAW_EVENTS)
+    return raw.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        F.col("rating.count").cast("int").alias("rating_count"),
+        F.get_json_object("_corrupt_record", "$.rating").cast("double").alias("rating_text"),
+    )
+
+
+def raw_array(spark, sf_dir):
+    """Files that hold one JSON array of at most 500 records each."""
+    place = Layout(shared_dir(spark, "raw_array"))
+    records = raw_feed(spark, sf_dir)
+    one = F.to_json(F.collect_list(F.struct(*records.columns))).alias("value")
+    # 500 event numbers fall into one file, whatever the table's size.
+    day, file = F.substring("_ingested_at", 1, 10).alias("ingest_date"), F.expr("event_id div 500").alias("file")
+    arrays = records.groupBy(day, file).agg(one)
+    arrays.repartition("ingest_date", "file").write.partitionBy("ingest_date", "file").option("maxRecordsPerFile", 1).text(place.raw)
+    return _raw_rows(read_raw(spark, place.raw, schema=RAW_EVENTS, layout="array"))
+
+
+def landing_stamped(spark, sf_dir):
+    """Records without a stamp, landed at one moment."""
+    place = Layout(shared_dir(spark, "landing_stamped"))
+    land_records(raw_feed(spark, sf_dir).drop("_ingested_at"), place.raw, moment=MOMENT)
+    raw = read_raw(spark, place.raw, schema=RAW_EVENTS)
+    return raw.groupBy("_ingested_at", _landed_on().alias("ingest_date")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def landing(spark, sf_dir):
     place = _land(spark, sf_dir, shared_dir(spark, "landing"))
     raw = read_raw(spark, place.raw, schema=RAW_EVENTS)
@@ -329,6 +398,17 @@ def bronze_append(spark, sf_dir):
     )
 
 
+def bronze_overwrite(spark, sf_dir):
+    """A second overwrite with other columns keeps those of the table it replaces."""
+    place = _land(spark, sf_dir, shared_dir(spark, "bronze_overwrite"))
+    raw = read_raw(spark, place.raw, schema=RAW_EVENTS)
+    write_bronze(raw.drop("event_id").withColumn("first_only", F.lit("old")), place.bronze)
+    write_bronze(raw.where(F.col("_ingested_at") >= HALF), place.bronze)
+    return read_bronze(spark, place.bronze).select(
+        F.col("event_id").cast("bigint").alias("event_id"), F.col("id").cast("bigint").alias("id"), "first_only"
+    )
+
+
 def bronze_count(spark, sf_dir):
     place = _land(spark, sf_dir, shared_dir(spark, "bronze_count"))
     written = write_bronze(read_raw(spark, place.raw, schema=RAW_EVENTS), place.bronze)
@@ -362,6 +442,59 @@ def silver(spark, sf_dir):
     return _silver_rows(read_silver(spark, place.silver))
 
 
+def silver_flags(spark, sf_dir):
+    """Events of which some have no value and some a blank title."""
+    place = Layout(shared_dir(spark, "silver_flags"))
+    free, blank = F.col("event_id") % 5 == 0, F.col("event_id") % 3 == 0
+    records = raw_feed(spark, sf_dir).withColumns(
+        {
+            "price": F.when(free, F.lit(0)).otherwise(F.col("price")).cast(MONEY),
+            "title": F.when(blank, F.lit("   ")).otherwise(F.col("title")),
+        }
+    )
+    land_records(records, place.raw, keep_stamp=True)
+    load_bronze(spark, place, schema=RAW_EVENTS)
+    refine(spark, place.bronze, place.silver, place.rejects)
+    return read_silver(spark, place.silver).select("id", "title", "has_rating", "is_valid")
+
+
+def rejects_stored(spark, sf_dir):
+    """The table of rejects that the chain writes."""
+    place = Layout(shared_dir(spark, "rejects_stored"))
+    land_records(raw_orders(spark, sf_dir), place.raw, moment=MOMENT)
+    load_bronze(spark, place)
+    refine(spark, place.bronze, place.silver, place.rejects)
+    return spark.read.parquet(place.rejects).select("id", F.col(REASON).alias("reason"))
+
+
+def load_times(spark, sf_dir):
+    """Per layer: rows, rows without a load time, and distinct load times."""
+    place = _refined(spark, sf_dir, "load_times")
+    layers = {
+        "bronze": (read_bronze(spark, place.bronze), "_bronze_loaded_at"),
+        "silver": (read_silver(spark, place.silver), "_silver_loaded_at"),
+    }
+    write_gold(price_buckets(layers["silver"][0]), place.gold, "gold_price_buckets")
+    layers["gold"] = (read_gold(spark, place.gold, "gold_price_buckets"), "_gold_loaded_at")
+    parts = [
+        df.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col(at).isNull()).alias("missing"),
+            F.count_distinct(at).alias("moments"),
+        ).withColumn("layer", F.lit(layer))
+        for layer, (df, at) in layers.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def replay(spark, sf_dir):
+    """Silver and gold built again from the stored bronze table."""
+    place = _refined(spark, sf_dir, "replay")
+    replay_chain(spark, place.root)
+    stored = read_gold(spark, place.gold, "gold_category_kpis").drop("_gold_loaded_at")
+    return doubles(stored, *KPI_MONEY)
+
+
 def gold_kpis(spark, sf_dir):
     place = _refined(spark, sf_dir, "gold_kpis")
     write_gold(category_kpis(read_silver(spark, place.silver)), place.gold, "gold_category_kpis")
@@ -378,17 +511,18 @@ def serving_buckets(spark, sf_dir):
 
 
 def report_sql(spark, sf_dir):
-    """The cards as SQL text over the stored gold tables."""
+    """A report as SQL text over the stored gold tables: the reviewed categories' share of value."""
     place = Layout(shared_dir(spark, "report_sql"))
     write_gold(_kpis(spark, sf_dir), place.gold, "gold_category_kpis")
     serve_views(spark, place.gold)
     report = spark.sql(
         """SELECT sum(product_count) AS total_products,
-                  round(sum(avg_rating * product_count)
-                        / sum(product_count) FILTER (WHERE avg_rating IS NOT NULL), 2) AS avg_rating
+                  count_if(total_reviews > 0) AS reviewed_categories,
+                  sum(total_reviews) AS total_reviews,
+                  sum(total_inventory_value) AS total_value
            FROM gold_category_kpis"""
     )
-    return doubles(report, "avg_rating")
+    return doubles(report, "total_value")
 
 
 def contract(spark, sf_dir):
@@ -409,25 +543,60 @@ def late(spark, sf_dir):
     )
 
 
-def _two_loads(spark, sf_dir, name: str, after_load) -> Layout:
+def _two_loads(
+    spark, sf_dir, name: str, after_load=lambda place: None, schema=RAW_EVENTS, aged=None, **options
+) -> Layout:
     place = Layout(shared_dir(spark, name))
     records = raw_feed(spark, sf_dir)
     before = F.col("_ingested_at") < HALF
-    for part in (records.where(before), records.where(~before)):
+    for number, part in enumerate((records.where(before), records.where(~before))):
         land_records(part, place.raw, keep_stamp=True)
+        if number and aged:
+            aged(place)
         ingest_new_files(
-            spark, place.raw, place.bronze, place.at("ingest_state"), schema=RAW_EVENTS
+            spark, place.raw, place.bronze, place.at("ingest_state"), schema=schema, **options
         ).awaitTermination()
         after_load(place)
     return place
 
 
+def _aged(spark, days: int):
+    """Make the files of the second half look ``days`` older than they are."""
+
+    def age(place: Layout) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        store = path(place.raw).getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder in store.listStatus(path(place.raw)):
+            if folder.isDirectory() and folder.getPath().getName().partition("=")[2] >= HALF:
+                for file in store.listStatus(folder.getPath()):
+                    moment = file.getModificationTime() - days * 86_400_000
+                    store.setTimes(file.getPath(), moment, -1)
+
+    return age
+
+
 def incremental(spark, sf_dir):
-    place = _two_loads(spark, sf_dir, "incremental", lambda place: None)
+    place = _two_loads(spark, sf_dir, "incremental")
     bronze = read_bronze(spark, place.bronze)
     return bronze.groupBy(_landed_on().alias("ingest_date")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def incremental_late(spark, sf_dir):
+    """The second load's files are forty days older than the first's; none may be left out."""
+    place = _two_loads(spark, sf_dir, "incremental_late", aged=_aged(spark, 40))
+    bronze = read_bronze(spark, place.bronze)
+    return bronze.select(F.col("event_id").cast("bigint").alias("event_id"), _landed_on().alias("ingest_date"))
+
+
+def incremental_fields(spark, sf_dir):
+    """A field that the stream's schema does not name."""
+    place = _two_loads(spark, sf_dir, "incremental_fields", schema=RAW, rescue=True)
+    event = F.get_json_object("_rescued", "$.event_id").cast("bigint")
+    return read_bronze(spark, place.bronze).select(
+        event.alias("event_id"), F.col("id").cast("bigint").alias("id"), F.col("rating.count").cast("int").alias("rating_count")
+    )
+
+
 def incremental_silver(spark, sf_dir):
     def merge(place: Layout) -> None:
         merge_new_rows(
@@ -443,7 +612,16 @@ def incremental_silver(spark, sf_dir):
     return _silver_rows(read_silver(spark, place.silver))
 
 
-QUERIES: dict[str, Query] = {
+def _registered(query: Query) -> Query:
+    @wraps(query)
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ready(spark)
+        return query(spark, sf_dir)
+
+    return run_query
+
+
+_QUERIES: dict[str, Query] = {
     "kpis": kpis,
     "top": top,
     "buckets": buckets,
@@ -476,4 +654,17 @@ QUERIES: dict[str, Query] = {
     "late": late,
     "incremental": incremental,
     "incremental_silver": incremental_silver,
+    "incremental_late": incremental_late,
+    "incremental_fields": incremental_fields,
+    "raw_nested": raw_nested,
+    "raw_mistyped": raw_mistyped,
+    "raw_array": raw_array,
+    "landing_stamped": landing_stamped,
+    "bronze_overwrite": bronze_overwrite,
+    "silver_flags": silver_flags,
+    "rejects_stored": rejects_stored,
+    "load_times": load_times,
+    "replay": replay,
 }
+
+QUERIES: dict[str, Query] = {name: _registered(query) for name, query in _QUERIES.items()}

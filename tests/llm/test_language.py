@@ -1,0 +1,81 @@
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from refinery.llm import bitmask_lang as lang
+from refinery.llm.bitmask_lang import LanguageFilters, identify, ngrams, places, plain_letters
+from refinery.llm.queries import op3
+from refinery.llm.textbatch import string_buffers
+
+TEXTS = {
+    "en": "the quick brown fox jumps over the lazy dog and then it was gone with the wind",
+    "de": "der schnelle braune fuchs springt ueber den faulen hund und dann war er nicht mehr",
+    "fr": "le renard brun saute par dessus le chien paresseux et puis il est parti avec le vent",
+}
+
+
+def test_letters_are_folded_and_the_rest_is_space():
+    column = pa.array(["Éa1b!C", None, "", " x "], pa.string())
+    assert plain_letters(column).to_pylist() == [" éa b c ", "  ", "  ", " x "]
+
+
+def test_ngrams_stay_inside_their_rows():
+    texts = ["abcde", "", "ab", "abc", "abcdefg", "x"]
+    data, offsets = string_buffers(pa.array(texts))
+    for order in (1, 2, 3, 5):
+        grams, at = ngrams(data, offsets, order)
+        for i, text in enumerate(texts):
+            expected = [int.from_bytes(bytes([order]) + text[j : j + order].encode(), "big") for j in range(len(text) - order + 1)]
+            found = [int(g) for g in grams[at[i] : at[i + 1]]]
+            assert [g & ((1 << (8 * order)) - 1) for g in found] == [e & ((1 << (8 * order)) - 1) for e in expected]
+
+
+def brute_shares(filters, grams):
+    """Sets in place of Bloom filters cannot do worse than what the filters report."""
+    hits = [sum(all((int(filters.masks[i // 64][p]) >> (i % 64)) & 1 for p in places(np.array([g], np.uint64))[:, 0]) for g in grams) for i in range(len(filters.languages))]
+    chance = filters.chance()
+    return np.clip((np.array(hits) - len(grams) * chance) / (1 - chance) / max(len(grams), 1), 0, 1)
+
+
+def test_shares_equal_bit_by_bit_counting():
+    draw = np.random.default_rng(1)
+    names = [f"l{i:02}" for i in range(70)]  # more than one word of bits
+    masks = draw.integers(0, 2**63, (2, lang.SLOTS), dtype=np.uint64)
+    filters = LanguageFilters(names, masks)
+    texts = ["some text of a few words", "x", ""]
+    data, offsets = string_buffers(plain_letters(pa.array(texts)))
+    found = filters.shares(data, offsets)
+    for i in range(len(texts)):
+        row = np.concatenate([g[at[i] : at[i + 1]] for g, at in (ngrams(data, offsets, n) for n in lang.ORDERS)])
+        assert np.allclose(found[i], brute_shares(filters, row.tolist()))
+
+
+def corpus(spark, extra=()):
+    rows = [(i, f"{TEXTS[n]} {i}", n) for i, n in enumerate(list(TEXTS) * 20)]
+    return spark.createDataFrame([(*r, "a", "b") for r in [*rows, *extra]], "doc_id bigint, text string, lang string, score string, lang_pred string")
+
+
+def test_edge_rows(spark):
+    extra = [
+        (900, None, "en"), (901, "", None), (902, "12 34 !?", "de"), (903, TEXTS["fr"].upper(), None), (904, TEXTS["de"], "fr"),
+        (None, TEXTS["en"], None), (905, TEXTS["en"] * 3000, None), (906, TEXTS["de"], None), (906, TEXTS["de"], None), (907, "日本語", None),
+    ]
+    found = identify(corpus(spark, extra), F.col("doc_id") < 60).collect()
+    assert len(found) == 70
+    by_id = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert by_id[900] == by_id[901] == by_id[902] == ("und", 0.0)
+    assert [by_id[i][0] for i in (903, 904, None, 905, 906)] == ["fr", "de", "en", "en", "de"]
+    assert all(0 <= r.score <= 1 for r in found) and by_id[907] == ("und", 0.0)
+
+
+def test_nothing_learned_and_no_rows(spark):
+    rows = identify(corpus(spark), F.lit(False)).collect()
+    assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
+    assert identify(corpus(spark).limit(0), F.lit(True)).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    found = op3(spark, "/root/testdata/sf0.01")
+    truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = found.join(truth, "doc_id").where("held_out AND lang IS NOT NULL").collect()
+    assert len(rows) > 200 and sum(r.lang_pred == r.lang for r in rows) / len(rows) >= 0.98

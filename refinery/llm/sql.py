@@ -72,10 +72,11 @@ WITH base AS (
   FROM stepped WHERE held AND label IS NOT NULL GROUP BY step
 ), tried AS (
   SELECT s.step, sum(o.allow) AS all_allow, sum(o.block) AS all_block,
-         coalesce(sum(o.allow) FILTER (o.step < s.step), 0) AS lost, coalesce(sum(o.block) FILTER (o.step < s.step), 0) AS stopped
+         coalesce(sum(o.allow) FILTER (o.step < s.step), 0) AS lost, coalesce(sum(o.block) FILTER (o.step < s.step), 0) AS stopped,
+         floor((coalesce(max(o.step) FILTER (o.step < s.step), s.step) + s.step + 1) / 2)::INT AS halfway
   FROM steps s CROSS JOIN steps o GROUP BY s.step
 ), cut AS (
-  SELECT coalesce(arg_min(step, (lost * all_block + (all_block - stopped) * all_allow) * 10000 + step), 0) AS step
+  SELECT coalesce(arg_min(halfway, (lost * all_block + (all_block - stopped) * all_allow) * 10000 + step), 0) AS step
   FROM tried WHERE all_allow > 0 AND all_block > 0
 )
 SELECT page_id, host, path, rule, coalesce(label, CASE WHEN step >= (SELECT step FROM cut) THEN 'allow' ELSE 'block' END) AS verdict,

@@ -30,7 +30,7 @@ HELD_OUT = 5
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) after the first ``://``, and the path up to ``?`` or ``#``."""
     pattern = F.lit("://([^/?#]*)([^?#]*)")
-    host, path = (F.coalesce(F.regexp_extract_all(url, pattern, F.lit(i))[0], F.lit("")) for i in (1, 2))
+    host, path = (F.coalesce(F.get(F.regexp_extract_all(url, pattern, F.lit(i)), F.lit(0)), F.lit("")) for i in (1, 2))
     return F.translate(host, CAPITALS, SMALL), path
 
 
@@ -47,7 +47,7 @@ def rule_column(rules: list[tuple[str, str]], host: Column, path: Column) -> tup
 
 def grams(url: Column) -> Column:
     """The symbol trigrams of what follows ``://``, as numbers; an empty one has the end symbol only."""
-    said = F.coalesce(F.regexp_extract_all(url, F.lit("(?s)://(.*)"), F.lit(1))[0], F.lit(""))
+    said = F.coalesce(F.get(F.regexp_extract_all(url, F.lit("(?s)://(.*)"), F.lit(1)), F.lit(0)), F.lit(""))
     plain = F.regexp_replace(F.translate(said, CAPITALS + "_", SMALL + "-"), "[^a-z0-9./-]", "?")
     plain = F.translate(plain, "123456789", "000000000")
     codes = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
@@ -126,8 +126,9 @@ def _scored(urls: DataFrame, model: list[int]) -> DataFrame:
 def threshold(held: DataFrame) -> DataFrame:
     """One row, column step: the least score that is allowed.
 
-    It minimizes the sum of the two error rates on the held-out URLs, and the lowest of equal ones
-    is taken. Without held-out URLs of both kinds it is 0.
+    It minimizes the sum of the two error rates on the held-out URLs; of all steps that do, it lies
+    halfway between the lowest one that occurs and the next lower score. Without held-out URLs of
+    both kinds it is 0.
     """
     steps = held.groupBy(_step().alias("step")).agg(
         *[F.sum((F.col("label") == x).cast("long")).alias(n) for x, n in (("allow", "allowed"), ("block", "blocked"))]
@@ -141,10 +142,12 @@ def threshold(held: DataFrame) -> DataFrame:
             "stopped": F.coalesce(F.sum("blocked").over(below), F.lit(0)),
             "all_allowed": F.sum("allowed").over(whole),
             "all_blocked": F.sum("blocked").over(whole),
+            "lower": F.lag("step").over(Window.orderBy("step")),
         }
     )
+    halfway = F.floor((F.coalesce("lower", "step") + F.col("step") + 1) / 2).cast("int")
     errors = F.col("lost") * F.col("all_blocked") + (F.col("all_blocked") - F.col("stopped")) * F.col("all_allowed")
-    best = tried.filter("all_allowed > 0 AND all_blocked > 0").agg(F.min_by("step", F.struct(errors, F.col("step"))).alias("step"))
+    best = tried.filter("all_allowed > 0 AND all_blocked > 0").agg(F.min_by(halfway, F.struct(errors, F.col("step"))).alias("step"))
     return best.select(F.coalesce("step", F.lit(0)).alias("step"))
 
 

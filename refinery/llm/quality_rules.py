@@ -157,15 +157,15 @@ def certify(
         F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"), F.collect_list(F.struct("above", "good", "bad")).alias("found")
     )
     chains = stored(chains, "chains")
-    total = chains.agg(F.count(F.lit(1)).alias("chains"))
-    tried = chains.join(F.broadcast(total)).withColumn("above", F.explode(F.sequence(F.lit(1), F.lit(len(CUTOFFS)))))
+    tests = max(chains.count(), 1)
+    tried = chains.withColumn("above", F.explode(F.sequence(F.lit(1), F.lit(len(CUTOFFS)))))
     rejected = {
         name: F.expr(f"aggregate(filter(found, x -> x.above >= above), 0L, (n, x) -> n + x.{name})") for name in ("good", "bad")
     }
     tried = tried.withColumns({"k_good": rejected["good"], "k_bad": rejected["bad"]})
     tail = binomial_tail(F.col("n_good"), F.col("k_good"), limit / len(RULES))
     gain = F.col("k_bad") * F.col("n_good") - F.col("k_good") * F.col("n_bad")
-    certified = tried.filter((tail <= level / F.col("chains")) & (gain > 0))
+    certified = tried.filter((tail <= level / tests) & (gain > 0))
     return certified.groupBy("stratum", "rule").agg(F.max_by("above", F.struct(gain, F.col("above"))).alias("above"))
 
 

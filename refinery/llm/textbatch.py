@@ -96,12 +96,23 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool) -> np.ndarray:
-    """A 64-bit hash of each byte span; with ``fold`` A-Z count as a-z."""
-    up, down = _powers_to(len(data))
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_TABLES[fold][data] * up[: len(data)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each byte span; with ``fold`` A-Z count as a-z.
+
+    The spans are in order. Those of about ``BLOCK_BYTES`` are hashed at a time.
+    """
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        base = starts[first]
+        last = max(int(np.searchsorted(ends, base + BLOCK_BYTES, "right")), first + 1)
+        a, b = starts[first:last] - base, ends[first:last] - base
+        up, down = _powers_to(int(b[-1]))
+        with np.errstate(over="ignore"):
+            sums = np.zeros(b[-1] + 1, np.uint64)
+            np.cumsum(_TABLES[fold][data[base : base + b[-1]]] * up[: b[-1]], out=sums[1:])
+            out[first:last] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        first = last
+    return out
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:

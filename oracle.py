@@ -124,6 +124,9 @@ SQL: dict[str, str] = {
           SELECT 1 FROM top o WHERE o.category = b.category
             AND (-o.rating_rate, -o.rating_count, o.id) < (-b.rating_rate, -b.rating_count, b.id))""",
     "card": CARD,
+    "value_share": f"""WITH {CATALOG}, whole AS (SELECT CAST(sum(rating_count) AS DOUBLE) AS n FROM catalog)
+        SELECT id, round(rating_count * 100 / whole.n, 6) AS pct_of_total
+        FROM catalog, whole WHERE rating_count IS NOT NULL""",
     "slicer": f"WITH {KPIS} SELECT category, total_inventory_value FROM kpis WHERE category = 'promo'",
     "dedup": f"""WITH {FEED}
         SELECT id, lower(trim(category)) AS category, trim(title) AS title,

@@ -23,6 +23,7 @@ from refinery.operators import (
     merge_unique,
     rejected,
     require_fields,
+    share_of_total,
     upsert,
 )
 from refinery.plans import (
@@ -212,6 +213,13 @@ def card(spark, sf_dir):
     return doubles(reports.totals_card(catalog(spark, sf_dir)), "avg_rating")
 
 
+def value_share(spark, sf_dir):
+    """Each part's percentage of all reviews: as many rows as the catalog, so no whole-set window."""
+    items = catalog(spark, sf_dir).where("rating_count IS NOT NULL")
+    share = share_of_total(items, "rating_count")
+    return items.select("id", F.round(share.cast("double"), 6).alias("pct_of_total"))
+
+
 def slicer(spark, sf_dir):
     chosen = reports.category_slicer(_kpis(spark, sf_dir), "promo")
     return doubles(chosen.select("category", "total_inventory_value"), "total_inventory_value")
@@ -633,6 +641,7 @@ _QUERIES: dict[str, Query] = {
     "q6": q6,
     "card": card,
     "slicer": slicer,
+    "value_share": value_share,
     "dedup": dedup,
     "required": required,
     "flags": flags,

@@ -6,6 +6,7 @@ HDFS and object stores.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -53,6 +54,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def on_one_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def name_scratch_locally(spark: SparkSession) -> None:
+    """For test and trial sessions: where none is named, take a temporary folder as the shared one.
+
+    Only a session whose executors all run in its own process shares such a folder; any other is
+    left as it is, and :func:`shared_dir` then refuses it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and on_one_machine(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+
+
 def together_by(df: DataFrame, column: str) -> DataFrame:
     """Bring rows with equal ``column`` together for a write, without one task for a hot value.
 

@@ -6,7 +6,6 @@ exercise a source or a sink write into the session's shared folder and read back
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import wraps
@@ -41,7 +40,7 @@ from refinery.plans import reports
 from refinery.plans.medallion import Layout, load_bronze, replay as replay_chain, run
 from refinery.plans.silver import flatten_rating
 from refinery.sources import discover_schema, read_bronze, read_gold, read_raw, read_silver
-from refinery.storage import shared_dir
+from refinery.storage import name_scratch_locally, shared_dir
 from refinery.streaming import ingest_new_files, merge_new_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,17 +58,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ready(spark: SparkSession) -> None:
-    """Name a shared folder where the session names none: on one machine any folder is shared.
-
-    On a cluster it is left unset, and the library refuses to write.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named and (context.master == "local" or context.master.startswith("local[")):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-
-
 def doubles(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("double") for name in names})
 
@@ -623,7 +611,7 @@ def incremental_silver(spark, sf_dir):
 def _registered(query: Query) -> Query:
     @wraps(query)
     def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ready(spark)
+        name_scratch_locally(spark)
         return query(spark, sf_dir)
 
     return run_query

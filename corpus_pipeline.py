@@ -32,6 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs."""
+    ready(spark)
     return judge(docs, table(spark, sf_dir, "labels")).filter("kept").select(*COLUMNS)
 
 
@@ -60,6 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

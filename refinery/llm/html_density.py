@@ -42,15 +42,19 @@ _ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog "
     "status tablist".split()
 )
+#: Names, as class or id have them, of what is never article text.
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|"
-    r"nav(?:bar|igation)?|menus?|breadcrumbs?|sidebars?|side|aside|widgets?|footers?|foot|masthead|"
-    r"cookies?|consent|gdpr|notices?|notifications?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|"
-    r"subscriptions?|signup|sign-up|login|paywall|comments?|commentlist|disqus|replies|respond|discussion|"
-    r"related|recommended|recommendations|share|sharing|social|toolbar|pagination|pager|search|skip|"
-    r"hidden|sr-only|visually-hidden|copyright|disclaimer)(?=$|[\s_-])",
+    r"(?:^|(?<!no)(?<!has)(?<!with)(?<!without)(?<!overflow)[\s_-])(?:"
+    r"ads?|adverts?|advertisements?|advertising|adsense|leaderboard|skyscraper|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|"
+    r"nav(?:bar|igation)?|menus?|breadcrumbs?|side-?bars?|side-?(?:col|column|nav|menu)|footers?|masthead|top-?bar|site-header|page-header|"
+    r"cookies?|consent|gdpr|notices?|notifications?|alerts?|popups?|pop-up|modals?|overlays?|newsletters?|subscribe|"
+    r"subscriptions?|sign-?up|log-?in|paywall|comments?|comment-?list|disqus|replies|respond|discussion|reader-?comments?|"
+    r"related|recommended|recommendations|share|sharing|social|toolbar|pagination|pager|search|skip-link|"
+    r"hidden|sr-only|visually-hidden|copyright|disclaimer)(?=$|[\s_\d-])",
     re.IGNORECASE,
 )
+_HEADERS = re.compile(r"(?:^|[\s_-])(?:header|top)(?=$|[\s_\d-])", re.IGNORECASE)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SECTIONS = frozenset("article main section div td body".split())
 _ENDS_P = _BLOCK - {"body", "html"}
 #: Tags whose open element a new one of the same group closes.
@@ -113,7 +117,12 @@ class _Events(HTMLParser):
             return True
         if tag in ("html", "body", "article", "main") or re.fullmatch(r"h[1-6]", tag):
             return False
-        return any(_NAMES.search(named.get(key) or "") for key in ("class", "id"))
+        names = [_CAMEL.sub("-", named.get(key) or "") for key in ("class", "id")]
+        if any(_NAMES.search(name) for name in names):
+            return True
+        return not inside & {"article", "main"} and any(
+            _HEADERS.search(name) and not re.search("post|entry|article|content|title", name, re.IGNORECASE) for name in names
+        )
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1

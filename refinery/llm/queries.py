@@ -21,13 +21,16 @@ from refinery.llm.quality_rules import judge
 from refinery.llm.stored import table
 from refinery.llm.superminhash import near_duplicates
 from refinery.llm.url_models import judge_urls
+from refinery.storage import name_scratch_locally
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers of a session on this machine import the library, wherever it was started."""
+    """Let Python workers of a session on this machine import the library, wherever it was started,
+    and name a shared folder for a local session that has none."""
+    name_scratch_locally(spark)
     root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     found = paths.get("PYTHONPATH", "")
     if root not in found.split(os.pathsep):

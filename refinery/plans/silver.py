@@ -137,8 +137,8 @@ def replace_categories(
     """Replace the folders of ``categories`` by ``rows``, which may read them; leave all others.
 
     The rows are stored in ``staged`` first. Spark's dynamic overwrite then replaces each folder as
-    it commits, and folders that lost all their rows are removed last, so a run that dies in
-    between leaves no key out. Repeating the batch completes it.
+    it commits, and folders that lost all their rows are removed last. A run that dies in
+    between leaves no key out, but a key that moved may stand in its old folder as well.
     """
     spark = rows.sparkSession
     (rows if arranged else together_by(rows, roles.category)).write.partitionBy(roles.category).parquet(staged)

@@ -128,6 +128,12 @@ def partition_folder(spark: SparkSession, column: str, value: str) -> str:
     return f"{utils.escapePathName(column)}={text}"
 
 
+def set_mark(spark: SparkSession, uri: str) -> None:
+    """Leave an empty folder that says that a change of the table beside it has begun."""
+    fs, path = _file_system(spark, uri)
+    fs.mkdirs(path)
+
+
 def drop_table(spark: SparkSession, uri: str) -> None:
     """Remove a table of intermediate rows."""
     _drop(spark, uri)

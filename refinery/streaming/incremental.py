@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from pyspark.sql.streaming import StreamingQuery
 
 from refinery.contracts import BRONZE, RAW
-from refinery.operators.merge import merge_unique
+from refinery.operators.merge import merge_unique, upsert
 from refinery.operators.rejects import REASON, accepted, checked, rejected
 from refinery.plans.silver import (
     conform,
@@ -21,6 +21,7 @@ from refinery.sources.tables import read_silver
 from refinery.storage import (
     drop_table,
     recover,
+    set_mark,
     shared_side,
     streamed,
     table_exists,
@@ -162,6 +163,7 @@ def _row_bytes(schema: T.StructType) -> int:
 
 def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_bytes: int) -> None:
     spark, category = changes.sparkSession, roles.category
+    begun = f"{silver_path.rstrip('/')}__merging"
     # Cleaned once, into a table of its own: the merge reads the changes more than once.
     changes_path, merged_path = (shared_side(silver_path, name) for name in ("changes", "merged"))
     seen = Observation()
@@ -171,6 +173,12 @@ def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_
         stored = spark.read.schema(changes.schema).parquet(changes_path)
         small = seen.get["rows"] * _row_bytes(changes.schema) <= broadcast_bytes
         target = read_silver(spark, silver_path, roles=roles)
+        if table_exists(spark, begun):
+            # An earlier run died while it replaced folders: a key that moved may stand in two.
+            whole = upsert(target, stored, roles.key, roles.ingested_at)
+            write_silver(whole, silver_path, roles=roles)
+            drop_table(spark, begun)
+            return
         keys = F.broadcast(stored.select(roles.key)) if small else stored.select(roles.key)
         known = target.select(roles.key, category).join(keys, roles.key, "left_semi")
         # At most one value per folder of the table.
@@ -188,7 +196,9 @@ def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_
             merged = merge_unique(target, stored, roles.key, roles.ingested_at, broadcast_changes=small)
             write_silver(merged, silver_path, roles=roles, arranged=small)
             return
+        set_mark(spark, begun)
         replace_categories(merged, silver_path, merged_path, touched, roles, arranged=small)
+        drop_table(spark, begun)
     finally:
         drop_table(spark, changes_path)
         drop_table(spark, merged_path)

@@ -1,5 +1,6 @@
 import json
 import os
+import shutil
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -248,3 +249,21 @@ def test_merge_reads_only_the_touched_categories(spark, root, broadcast_bytes):
     ingest(spark, root)
     assert len(merged(spark, root, broadcast_bytes=broadcast_bytes)) == 10
     assert {c: files_of(root, c) for c in "bc"} == kept
+
+
+def test_a_run_that_died_between_folders_is_mended(spark, root):
+    write_lines(root + "/raw", DAY1, "a.json", [record(1, category="a"), record(2, category="b")])
+    ingest(spark, root)
+    merged(spark, root)
+    shutil.copytree(root + "/silver/category=b", root + "/old")
+    write_lines(root + "/raw", DAY2, "b.json", [record(2, "moved", category="a", at=T2)])
+    ingest(spark, root)
+    assert merged(spark, root)[2].category == "a" and not os.path.exists(root + "/silver__merging")
+    # As if the run had ended before it removed the emptied folder.
+    shutil.copytree(root + "/old", root + "/silver/category=b")
+    os.mkdir(root + "/silver__merging")
+    write_lines(root + "/raw", DAY2, "c.json", [record(3, category="c", at=T2)])
+    ingest(spark, root)
+    found = merged(spark, root)
+    assert {k: (r.title, r.category) for k, r in found.items()} == {1: ("Item", "a"), 2: ("moved", "a"), 3: ("Item", "c")}
+    assert not os.path.exists(root + "/silver__merging")

@@ -24,6 +24,8 @@ SLOTS = 1 << 19
 HASHES = 3
 #: At most so many labelled documents of each language are learned from, least hash first.
 PER_LANGUAGE = 2000
+#: Tasks that a language's rows are spread over when the sample is chosen.
+PARTS = 64
 #: An n-gram counts for a language if this share of its documents has it, and at least this part
 #: of the share it has in the language that uses it most.
 LEAST_SHARE, LEAST_PART = 0.005, 0.2
@@ -54,10 +56,6 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarra
     return packed[inside[:n].astype(bool)], rows
 
 
-def _short_safe(offsets: np.ndarray) -> bool:
-    return bool((np.diff(offsets) >= max(ORDERS)).all())
-
-
 def _row_ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for order in ORDERS:
         yield ngrams(data, offsets, order)
@@ -102,11 +100,12 @@ def fit(documents: DataFrame, learn_from: Column) -> LanguageFilters:
     """Filters learned from the text and lang of the rows that ``learn_from`` holds for."""
     spark = documents.sparkSession
     rows = documents.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= PER_LANGUAGE).select("doc_id", "lang").distinct()
-    )
+    chosen = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash"))
+    # A language may hold most rows: the least hashes of each of its parts first, then of these.
+    for group in (["lang", F.pmod("_hash", F.lit(PARTS))], ["lang"]):
+        order = Window.partitionBy(*group).orderBy("_hash", "doc_id")
+        chosen = chosen.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= PER_LANGUAGE).drop("_place")
+    chosen = chosen.select("doc_id", "lang").distinct()
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, gram bigint, n bigint")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

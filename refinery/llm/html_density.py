@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -82,24 +82,19 @@ class _Line:
     linked: int
 
 
-@dataclass
-class _Page:
-    lines: list[_Line] = field(default_factory=list)
-
-
 class _Events(HTMLParser):
     """Turns parser events into lines; keeps the stack of open elements only."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.page = _Page()
+        self.lines: list[_Line] = []
         self.open = [_Element("", 0, False, None)]
         self.made, self.parts, self.tags, self.linked, self.links = 0, [], 0, 0, 0
 
     def _end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.page.lines.append(_Line(self.open[-1], text, self.tags, min(self.linked, len(text))))
+            self.lines.append(_Line(self.open[-1], text, self.tags, min(self.linked, len(text))))
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -196,7 +191,7 @@ def lines_of(html: str) -> list[_Line]:
     parser = _Events()
     parser.feed(html)
     parser.close()
-    return parser.page.lines
+    return parser.lines
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

@@ -25,6 +25,9 @@ ROWS = SLOTS // BANDS
 #: 3.4; a pair with more differing bits than this is not verified.
 MOST_BITS = 36
 
+#: Elements whose permutations are held at a time.
+AT_A_TIME = 1 << 17
+
 _SIGNED = "doc_id bigint, n_shingles bigint, high bigint, low bigint, bits array<bigint>, bands array<bigint>"
 
 
@@ -38,8 +41,15 @@ def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
     sizes = np.array([len(s) for s in sets], np.int64)
     if not sizes.sum():
         return out
-    elements = np.concatenate(sets)
-    owners = np.repeat(np.arange(len(sets)), sizes)
+    all_elements, all_owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    for first in range(0, len(all_elements), AT_A_TIME):
+        _fill(out, flat, all_elements[first : first + AT_A_TIME], all_owners[first : first + AT_A_TIME])
+    return out
+
+
+def _fill(out: np.ndarray, flat: np.ndarray, elements: np.ndarray, owners: np.ndarray) -> None:
+    """Lower the slots of ``out`` by these elements, level by level."""
+    slots = out.shape[1]
     order = np.empty((len(elements), slots), np.uint8 if slots <= 256 else np.uint16)
     order[:] = np.arange(slots)
     with np.errstate(over="ignore"):
@@ -51,13 +61,12 @@ def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
             order[lines, pick] = order[:, level]
             value = (np.uint64(level) << np.uint64(32)) | (draw >> np.uint64(32))
             np.minimum.at(flat, owners * slots + slot, value)
-            open_rows = (out >> np.uint64(32) > np.uint64(level)).any(axis=1)
-            going = open_rows[owners]
+            unfilled = (out >> np.uint64(32) > np.uint64(level)).any(axis=1)
+            going = unfilled[owners]
             if not going.any():
                 break
             if not going.all():
                 elements, owners, order = elements[going], owners[going], order[going]
-    return out
 
 
 def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
@@ -139,8 +148,9 @@ def _similar(percent: int):
     return run
 
 
-def difference_prefix(leader: np.ndarray, other: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int]:
-    """Whether two sets are linked; the part of their difference that partners must meet; its short part.
+def difference_prefix(leader: np.ndarray, other: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int, int]:
+    """Whether two sets are linked; the part of their difference that partners must meet; how much of
+    it is the short part; and the size of the whole difference.
 
     Let B be the leader's set and D(X) what X and B do not share. X and Y differ in
     |D(X)| + |D(Y)| - 2 |D(X) & D(Y)| elements and are linked if that is at most c (|X| + |Y|),
@@ -161,33 +171,34 @@ def difference_prefix(leader: np.ndarray, other: np.ndarray, percent: int) -> tu
         needed = -(-(up * size - down * (len(other) + len(leader))) // (2 * up))
         most = size - max(needed, 1) + 1
     difference = np.concatenate((added, removed))
-    return linked, difference[: max(most, 0)], max(min(short, size), 0)
+    return linked, difference[: max(most, 0)], max(min(short, size), 0), size
 
 
-_STAR = "a bigint, b bigint, linked boolean, difference array<bigint>, short int"
+_STAR = "a bigint, b bigint, linked boolean, difference array<bigint>, short int, size int, n int"
 
 
 def _differences(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column("left"), batch.column("right")
-            linked, parts, short = [], [], []
+            linked, parts, short, size, n = [], [], [], [], []
             for i in range(batch.num_rows):
-                found = difference_prefix(
-                    np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64), percent
-                )
+                other = np.frombuffer(right[i].as_buffer(), np.uint64)
+                found = difference_prefix(np.frombuffer(left[i].as_buffer(), np.uint64), other, percent)
                 linked.append(found[0])
                 parts.append(found[1].view(np.int64))
                 short.append(found[2])
+                size.append(found[3])
+                n.append(len(other))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("a"),
                     batch.column("b"),
                     pa.array(linked, pa.bool_()),
                     pa.array(parts, pa.list_(pa.int64())),
-                    pa.array(short, pa.int32()),
+                    *[pa.array(values, pa.int32()) for values in (short, size, n)],
                 ],
-                ["a", "b", "linked", "difference", "short"],
+                ["a", "b", "linked", "difference", "short", "size", "n"],
             )
 
     return run
@@ -256,7 +267,7 @@ def near_duplicates(
     links = links.union(_linked(second, sets, percent, "second-links"))
     found = stored(components(links), "components")
 
-    rest = _plausible(_meeting_pairs(compared, found), about, percent)
+    rest = _plausible(_meeting_pairs(compared, found, percent), about, percent)
     final = _merged(found, _linked(rest, sets, percent, "rest-links"))
 
     by_rep = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
@@ -324,20 +335,30 @@ def _plausible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(sizes & (differing <= MOST_BITS)).select("a", "b")
 
 
-def _meeting_pairs(compared: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of one leader's members in different components that meet in their differences."""
-    lead = compared.select(F.col("a").alias("lead"), F.col("b").alias("x"), "linked", "difference", "short")
+def _meeting_pairs(compared: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one leader's members in different components that meet in their differences.
+
+    Where a pair meets first, what follows in both differences has to hold all the common elements it
+    needs; a pair that meets too late for that is left out.
+    """
+    lead = compared.withColumnsRenamed({"a": "lead", "b": "x"})
     open_leads = lead.filter("NOT linked").select("lead").distinct()
     placed = _placed(lead.join(open_leads, "lead", "left_semi"), found, "x", "component")
-    parts = placed.select("lead", "x", "linked", "component", "short", F.posexplode("difference").alias("at", "element"))
-    parts = stored(parts.withColumn("short", F.expr("at < short")).drop("at"), "differences")
+    parts = placed.select("lead", "x", "linked", "component", "short", "size", "n", F.posexplode("difference").alias("at", "element"))
+    rest = (F.col("size") - F.col("at")).alias("rest")
+    parts = parts.select("lead", "x", "linked", "component", "size", "n", rest, F.expr("at < short").alias("short"), "element")
+    parts = stored(parts, "differences")
     one = parts.filter("NOT linked").alias("p")
     two = parts.filter("short").alias("q")
+    up, down = 100 + percent, 100 - percent
+    needed = up * (F.col("p.size") + F.col("q.size")) - down * (F.col("p.n") + F.col("q.n"))
     meet = (
         (F.col("p.lead") == F.col("q.lead"))
         & (F.col("p.element") == F.col("q.element"))
         & (F.col("p.component") != F.col("q.component"))
         & (F.col("q.linked") | (F.col("p.short") & (F.col("p.x") < F.col("q.x"))))
+        & (2 * up * F.least("p.rest", "q.rest") >= needed)
+        & (100 * F.least("p.n", "q.n") >= percent * F.greatest("p.n", "q.n"))
     )
     pairs = one.join(two, meet).select(F.least("p.x", "q.x").alias("a"), F.greatest("p.x", "q.x").alias("b"))
     return pairs.distinct()

@@ -11,41 +11,60 @@ from pyspark.sql import DataFrame, functions as F
 from refinery.llm.stored import stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Equal for two rounds only if they hold the same edges."""
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-        ).first()
-    )
+#: Edges that one task holds at a time.
+CHUNK = 100_000
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """No more tasks than ``rows`` need; a table with more rows than that keeps its partitions."""
+    return df.coalesce(max(1, -(-rows // CHUNK)))
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch's edges as stars: every node with the least node that the batch links it to."""
+    """The edges of a chunk as stars: every node with the least node that the chunk links it to."""
+    held: list[np.ndarray] = []
     for batch in batches:
-        edges = np.stack([np.asarray(batch.column(c)) for c in ("u", "v")])
-        nodes, index = np.unique(edges, return_inverse=True)
-        root = list(range(len(nodes)))
-        index = index.reshape(2, -1)
-        for i, j in zip(index[0].tolist(), index[1].tolist()):
-            while root[i] != i:
-                root[i] = i = root[root[i]]
-            while root[j] != j:
-                root[j] = j = root[root[j]]
-            if i < j:
-                root[j] = i
-            else:
-                root[i] = j
-        for i in range(len(root)):  # a node's root is never larger than the node
-            root[i] = root[root[i]]
-        least = nodes[root] if len(nodes) else nodes
-        moved = least < nodes
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(least[moved])], ["u", "v"])
-
-
-def _stars(edges: DataFrame) -> DataFrame:
-    return stored(edges.mapInArrow(_forest, "u bigint, v bigint"), "stars")
+        held.append(np.stack([np.asarray(batch.column(c)) for c in ("u", "v")]))
+        if sum(part.shape[1] for part in held) >= CHUNK:
+            yield _least_links(np.concatenate(held, axis=1))
+            held = []
+    if held:
+        yield _least_links(np.concatenate(held, axis=1))
+
+
+def _least_links(edges: np.ndarray) -> pa.RecordBatch:
+    nodes, index = np.unique(edges, return_inverse=True)
+    index = index.reshape(2, -1)
+    root = list(range(len(nodes)))
+    for i, j in zip(index[0].tolist(), index[1].tolist()):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        while root[j] != j:
+            root[j] = j = root[root[j]]
+        if i < j:
+            root[j] = i
+        else:
+            root[i] = j
+    for i in range(len(root)):  # a node's root is never larger than the node
+        root[i] = root[root[i]]
+    least = nodes[root]
+    moved = least < nodes
+    return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(least[moved])], ["u", "v"])
+
+
+def _stars(edges: DataFrame, rows: int) -> DataFrame:
+    return stored(_sized(edges, rows).mapInArrow(_forest, "u bigint, v bigint"), "stars")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one least node, which has none itself."""
+    ends = edges.select(F.col("u").alias("node"), "v").union(
+        edges.select(F.col("v").alias("node"), F.lit(None).cast("bigint").alias("v"))
+    )
+    seen = ends.groupBy("node").agg(
+        F.min("v").alias("least"), F.max("v").alias("most"), F.count_if(F.col("v").isNull()).alias("below")
+    )
+    return seen.filter("least <> most OR (least IS NOT NULL AND below > 0)").count() == 0
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -64,22 +83,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (two bigint columns), component the least node.
 
-    Loops and nulls are ignored. First the edges of each batch become stars. Then, in each round, a
+    Loops and nulls are ignored. First the edges of each chunk become stars. Then, in each round, a
     node's neighbours move to its least neighbour, until all nodes of a component point at its
-    least one. Each round is written to the shared folder; only counts and one checksum reach the
-    driver. A node with many links is met by a join against rows that are unique by node, which
-    AQE can split.
+    least one. Each round is written to the shared folder; only counts reach the driver. A node
+    with many links is met by a join against rows that are unique by node, which AQE can split.
     """
     u, v = edges.columns
     edges = edges.select(F.greatest(u, v).cast("bigint").alias("u"), F.least(u, v).cast("bigint").alias("v"))
-    edges = _stars(edges.filter("u <> v"))
-    before = _state(edges)
-    while before[0]:
-        edges = _stars(_small_star(stored(_large_star(edges), "large-stars")))
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
+    edges = edges.filter("u <> v")
+    rows = edges.count()
+    edges = _stars(edges, rows)
+    while not _settled(edges):
+        moved = stored(_sized(_large_star(edges), rows), "large-stars")
+        edges = _stars(_small_star(moved), rows)
     edges = edges.distinct()
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -132,8 +132,11 @@ def test_edge_rows(spark, documents):
     assert near_duplicates(documents([(1, None)])).collect()[0].component_id == 1
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_connected_components(spark, seed):
+@pytest.mark.parametrize("seed, chunk", [(0, 100_000), (1, 40), (2, 1)])
+def test_connected_components(spark, monkeypatch, seed, chunk):
+    """Small chunks leave the work to the rounds."""
+    monkeypatch.setattr("refinery.llm.components.CHUNK", chunk)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(chunk, 10_000)))
     draw = random.Random(seed)
     edges = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)]
     edges += [(5, 5), (None, 3), (2000, None)]
@@ -151,6 +154,9 @@ def test_connected_components(spark, seed):
                 expected[node] = start
                 stack.extend(near[node])
     frame = spark.createDataFrame(edges, "a bigint, b bigint").repartition(7)
-    rows = components(frame).collect()
+    try:
+        rows = components(frame).collect()
+        assert components(frame.limit(0)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert {r.node: r.component for r in rows} == expected and len(rows) == len(expected)
-    assert components(frame.limit(0)).count() == 0

@@ -16,16 +16,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from refinery.llm.textbatch import blocks, salted
+from refinery.llm.textbatch import blocks, salted, slices
 
 UNKNOWN = "und"
 ORDERS = (3, 5)
 SLOTS = 1 << 19
 HASHES = 3
-#: At most so many labelled documents of each language are learned from, least hash first.
-PER_LANGUAGE = 2000
-#: Tasks that a language's rows are spread over when the sample is chosen.
-PARTS = 64
+#: At most so many labelled documents of each language are learned from: those with the least
+#: hashes in each of so many parts.
+PER_LANGUAGE, PARTS = 2048, 64
 #: An n-gram counts for a language if this share of its documents has it, and at least this part
 #: of the share it has in the language that uses it most.
 LEAST_SHARE, LEAST_PART = 0.005, 0.2
@@ -100,12 +99,11 @@ def fit(documents: DataFrame, learn_from: Column) -> LanguageFilters:
     """Filters learned from the text and lang of the rows that ``learn_from`` holds for."""
     spark = documents.sparkSession
     rows = documents.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash"))
-    # A language may hold most rows: the least hashes of each of its parts first, then of these.
-    for group in (["lang", F.pmod("_hash", F.lit(PARTS))], ["lang"]):
-        order = Window.partitionBy(*group).orderBy("_hash", "doc_id")
-        chosen = chosen.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= PER_LANGUAGE).drop("_place")
-    chosen = chosen.select("doc_id", "lang").distinct()
+    hashed = F.xxhash64("doc_id")
+    # A language may hold most rows: its parts are ranked apart from each other.
+    order = Window.partitionBy("lang", F.pmod(hashed, F.lit(PARTS))).orderBy(hashed, "doc_id")
+    ranked = rows.select("doc_id", "lang", F.row_number().over(order).alias("place"))
+    chosen = ranked.filter(F.col("place") <= PER_LANGUAGE // PARTS).select("doc_id", "lang").distinct()
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, gram bigint, n bigint")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -130,7 +128,7 @@ def fit(documents: DataFrame, learn_from: Column) -> LanguageFilters:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(language, n-gram, rows that hold it), summed within each block of a language."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text")):
         for language in pc.unique(batch.column("lang")):
             texts = batch.column("text").filter(pc.equal(batch.column("lang"), language))
             for _, data, offsets in blocks(plain_letters(texts)):
@@ -172,7 +170,7 @@ def predict(documents: DataFrame, filters: LanguageFilters) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             for row, data, offsets in blocks(plain_letters(batch.column("text"))):
                 rows = len(offsets) - 1
                 shares = model.shares(data, offsets) if model.languages else np.zeros((rows, 1))

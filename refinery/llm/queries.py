@@ -26,11 +26,19 @@ from refinery.storage import name_scratch_locally
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+ARROW_ROWS, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers of a session on this machine import the library, wherever it was started,
-    and name a shared folder for a local session that has none."""
+    """Settings of the session that the queries and the pipeline run in.
+
+    Python workers of a session on this machine can import the library, wherever it was started. A
+    local session without a shared folder gets one. Arrow batches hold fewer rows than by default:
+    the texts may be long, and executors keep the buffers of the largest batch they have seen.
+    """
     name_scratch_locally(spark)
+    if int(spark.conf.get(ARROW_ROWS)) > BATCH:
+        spark.conf.set(ARROW_ROWS, str(BATCH))
     root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     found = paths.get("PYTHONPATH", "")
     if root not in found.split(os.pathsep):

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -43,6 +44,17 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, name: str, limit: int = 4 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``limit`` bytes of text, so that work on a run stays small."""
+    sizes = pc.binary_length(batch.column(name)).fill_null(0).to_numpy(zero_copy_only=False)
+    total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    row = 0
+    while row < batch.num_rows:
+        end = max(int(np.searchsorted(total, total[row] + limit, "right")) - 1, row + 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, bytes and offsets of each run of rows of at most ``limit`` bytes (or one row)."""
     data, offsets = string_buffers(column)

@@ -4,7 +4,9 @@ Streaming parser events cut a page into lines: one for each block of text, with
 opened since the line before. A line's ratio is its characters of running text (text in links
 counts against it) per tag. Ratios are smoothed with a Gaussian over neighbouring lines, and the lines above a share
 of the standard deviation form clusters. The element that holds the heaviest clusters is the
-content region; its lines are the text, a short paragraph between two long ones included.
+content region; its lines are the text, a short paragraph between two long ones included. So are
+those of other elements that hold cluster lines and running text like the region's. ``article`` and
+``main`` are a prior only, see :func:`_region`.
 
 Elements that are never article text (menus, headers and footers of a page, sidebars, notices,
 adverts, forms, comments, anything hidden) are left out by their tag, role or name.
@@ -26,6 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 SIGMA, THRESHOLD = 1.0, 0.25
 #: A section replaces the one around it if it holds this part of its clusters' text.
 MOST = 0.85
+#: Sections marked article or main need only this part of it.
+MARKED = 0.5
+#: An element outside the region is text if it has at least this part of the region's text per element.
+BESIDE = 0.25
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -55,6 +61,7 @@ _NAMES = re.compile(
 )
 _HEADERS = re.compile(r"(?:^|[\s_-])(?:header|top)(?=$|[\s_\d-])", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_MARKS = ("article", "main")
 _SECTIONS = frozenset("article main section div td body".split())
 _ENDS_P = _BLOCK - {"body", "html"}
 #: Tags whose open element a new one of the same group closes.
@@ -72,6 +79,9 @@ class _Element:
     number: int
     skipped: bool
     parent: "_Element | None"
+    #: Start tags before its own content and up to its end.
+    before: int = 0
+    upto: int = 0
 
 
 @dataclass
@@ -89,7 +99,7 @@ class _Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
         self.open = [_Element("", 0, False, None)]
-        self.made, self.parts, self.tags, self.linked, self.links = 0, [], 0, 0, 0
+        self.made, self.parts, self.tags, self.linked, self.links, self.started = 0, [], 0, 0, 0, 0
 
     def _end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
@@ -121,6 +131,7 @@ class _Events(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
+        self.started += 1
         if tag == "br":
             self.parts.append("\n")
         if tag in _BLOCK:
@@ -135,7 +146,7 @@ class _Events(HTMLParser):
             return
         parent = self.open[-1]
         self.made += 1
-        self.open.append(_Element(tag, self.made, parent.skipped or self._is_skipped(tag, attrs), parent))
+        self.open.append(_Element(tag, self.made, parent.skipped or self._is_skipped(tag, attrs), parent, self.started))
         self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -153,8 +164,13 @@ class _Events(HTMLParser):
 
     def _pop_to(self, i: int) -> None:
         self._end_line()
-        self.links -= sum(e.tag == "a" for e in self.open[i:])
-        del self.open[i:]
+        self._end(i, len(self.open))
+
+    def _end(self, i: int, j: int) -> None:
+        for e in self.open[i:j]:
+            e.upto = self.started
+            self.links -= e.tag == "a"
+        del self.open[i:j]
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -164,13 +180,11 @@ class _Events(HTMLParser):
             if self.open[i].tag == tag:
                 if tag not in _BLOCK and any(e.tag in _BLOCK for e in self.open[i + 1 :]):
                     # An inline end inside a block that was opened later: only the inline one ends.
-                    self.links -= tag == "a"
-                    del self.open[i]
+                    self._end(i, i + 1)
                 elif tag in _BLOCK:
                     self._pop_to(i)
                 else:
-                    self.links -= sum(e.tag == "a" for e in self.open[i:])
-                    del self.open[i:]
+                    self._end(i, len(self.open))
                 return
             if tag not in _BLOCK and self.open[i].tag in ("article", "main", "body"):
                 return
@@ -184,7 +198,7 @@ class _Events(HTMLParser):
 
     def close(self) -> None:
         super().close()
-        self._end_line()
+        self._pop_to(0)
 
 
 def lines_of(html: str) -> list[_Line]:
@@ -201,27 +215,43 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / inside
 
 
-def _region(lines: list[_Line], weights: np.ndarray) -> set[int]:
-    """Numbers of the content region's element and of all that hold lines inside it.
+def _region(lines: list[_Line], weights: np.ndarray) -> list[bool]:
+    """Whether each line is content.
 
     Every section gets the weight of the lines of the clusters inside it; from the page inwards,
-    a section that keeps most of the weight of the one around it is taken, an article whole.
+    a section that keeps most of the weight of the one around it is taken, an article whole. Half
+    of the weight is enough for an article or main, if the step does not lead out of another one.
+
+    What the steps left beside the region is content as well where an element holds cluster lines,
+    more plain text than links and, unless it stands in the same main, enough text per element.
     """
     inside: dict[int, float] = {}
+    marked: dict[int, float] = {}
+    plain: dict[int, int] = {}
+    linked: dict[int, int] = {}
     children: dict[int, set[int]] = {}
     element: dict[int, _Element] = {}
     for line, weight in zip(lines, weights.tolist()):
-        e, below = line.holder, None
+        e, below, mark = line.holder, None, 0.0
         while e is not None:
-            element[e.number] = e
-            inside[e.number] = inside.get(e.number, 0.0) + weight
+            n = e.number
+            if e.tag in _MARKS:
+                mark = weight
+            element[n] = e
+            inside[n] = inside.get(n, 0.0) + weight
+            marked[n] = marked.get(n, 0.0) + mark
+            plain[n] = plain.get(n, 0) + len(line.text) - line.linked
+            linked[n] = linked.get(n, 0) + line.linked
             if below is not None:
-                children.setdefault(e.number, set()).add(below)
-            below, e = e.number, e.parent
+                children.setdefault(n, set()).add(below)
+            below, e = n, e.parent
     at = 0
     while True:
         heaviest = max(children.get(at, ()), key=lambda n: (inside[n], -n), default=None)
-        if heaviest is None or inside[heaviest] < MOST * inside[at] or not inside[at]:
+        if heaviest is None or not inside[at]:
+            break
+        by_mark = not _within(element[at], _MARKS) and marked[heaviest] >= MARKED * inside[at]
+        if inside[heaviest] < MOST * inside[at] and not by_mark:
             break
         at = heaviest
         if element[at].tag == "article":
@@ -229,15 +259,27 @@ def _region(lines: list[_Line], weights: np.ndarray) -> set[int]:
     # Out again to the section that holds it: paragraphs have neighbours.
     while at and element[at].tag not in _SECTIONS:
         at = element[at].parent.number
-    taken = {at}
+
+    def per_element(n: int) -> float:
+        return plain[n] / max(element[n].upto - element[n].before, 1)
+
+    path, e = {}, element[at]
+    while e is not None:
+        path[e.number] = _within(e, ("main",))
+        e = e.parent
+    enough = BESIDE * per_element(at)
+    content: dict[int, bool] = {n: False for n in path} | {at: True}
     for line in lines:
-        path, e = [], line.holder
-        while e is not None and e.number not in taken:
-            path.append(e.number)
+        chain, e = [], line.holder
+        while e.number not in content:
+            chain.append(e.number)
             e = e.parent
-        if e is not None:
-            taken.update(path)
-    return taken
+        # Once an element is content, all inside it is.
+        known, free = content[e.number], path.get(e.number, _within(e, ("main",)) and path[at])
+        for n in reversed(chain):
+            known = known or bool(inside[n] and plain[n] > linked[n] and (free or per_element(n) >= enough))
+            content[n] = known
+    return [content[line.holder.number] for line in lines]
 
 
 def main_text(html: str) -> str:
@@ -245,16 +287,13 @@ def main_text(html: str) -> str:
     lines = lines_of(html)
     if not lines:
         return ""
-    articles = [line for line in lines if _within(line.holder, ("article", "main"))]
-    lines = articles or lines
     plain = np.array([len(line.text) - line.linked for line in lines], float)
     ratios = smoothed(plain / np.array([max(line.tags, 1) for line in lines]))
     cluster = ratios > THRESHOLD * ratios.std() if len(lines) > 1 else np.ones(1, bool)
     weights = np.where(cluster, plain, 0.0)
-    taken = _region(lines, weights if weights.any() else plain)
+    content = _region(lines, weights if weights.any() else plain)
     # The title of a page may stand above the section of its text.
-    chosen = [line for line in lines if line.holder.number in taken or line.holder.tag == "h1"]
-    return " ".join(line.text for line in chosen)
+    return " ".join(line.text for line, kept in zip(lines, content) if kept or line.holder.tag == "h1")
 
 
 def _within(element: _Element, tags: tuple[str, ...]) -> bool:

@@ -53,3 +53,23 @@ def test_edge_rows(spark):
     texts = {r.page_id: r.text for r in found}
     assert texts[1] == "" == texts[4] and texts[None] == "x" and texts[2] == "deep" and texts[3].count(LONG) == 2000
     assert extract(frame.limit(0)).count() == 0
+
+
+NINE = "".join(f"<p>{i} {LONG}</p>" for i in range(9))
+NINE_TEXT = " ".join(f"{i} {LONG}" for i in range(9))
+
+
+@pytest.mark.parametrize("around", ["body", "main", "div"])
+def test_a_last_paragraph_in_a_section_of_its_own_stays(around):
+    assert main_text(f"<{around}><div>{NINE}</div><div><p>{LONG}</p></div></{around}>") == f"{NINE_TEXT} {LONG}"
+
+
+def test_a_teaser_article_does_not_replace_the_body():
+    for article in ("<article><h2>More</h2><p>A short teaser.</p></article>", f"<article><p>{LONG}</p></article>"):
+        for page in (f"<body>{article}<div id=content>{NINE}</div></body>", f"<body><div id=content>{NINE}</div>{article}</body>"):
+            assert NINE_TEXT in main_text(page)
+
+
+def test_text_outside_an_article_is_judged_by_its_ratio():
+    links = "<div><a href=/a>Other</a> <a href=/b>pages</a></div>"
+    assert main_text(f"<body>{links}<article>{NINE}</article><div><p>{LONG}</p></div>{links}<div>(c) x</div></body>") == f"{NINE_TEXT} {LONG}"

@@ -8,8 +8,10 @@ content region; its lines are the text, a short paragraph between two long ones
 those of other elements that hold cluster lines and running text like the region's. ``article`` and
 ``main`` are a prior only, see :func:`_region`.
 
-Elements that are never article text (menus, headers and footers of a page, sidebars, notices,
-adverts, forms, comments, anything hidden) are left out by their tag, role or name.
+Elements that are never article text are left out by their tag, role or whole name: menus, headers
+and footers of a page, adverts, cookie banners, readers' comments, anything hidden. Forms, and what a
+name only suggests (sidebars, notices, discussions), are in doubt: they stay in the region if their
+own text per element and their links look like its text, or if they hold the heaviest clusters.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ MOST = 0.85
 MARKED = 0.5
 #: An element outside the region is text if it has at least this part of the region's text per element.
 BESIDE = 0.25
+#: The same for an element in doubt inside the region.
+DOUBTED = 1 / 3
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -41,25 +45,40 @@ _BLOCK = frozenset(
 )
 _SKIPPED = frozenset(
     "head script style noscript template svg math iframe object embed canvas audio video map nav aside footer "
-    "form button select option textarea input dialog menu".split()
+    "button select option textarea input dialog menu".split()
 )
 _RAW = frozenset("script style".split())
 _ROLES = frozenset(
-    "navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog "
+    "navigation banner contentinfo complementary search menu menubar toolbar dialog alert alertdialog "
     "status tablist".split()
 )
-#: Names, as class or id have them, of what is never article text.
-_NAMES = re.compile(
-    r"(?:^|(?<!no)(?<!has)(?<!with)(?<!without)(?<!overflow)[\s_-])(?:"
-    r"ads?|adverts?|advertisements?|advertising|adsense|leaderboard|skyscraper|sponsor(?:ed|s)?|promo(?:tion)?s?|banners?|"
-    r"nav(?:bar|igation)?|menus?|breadcrumbs?|side-?bars?|side-?(?:col|column|nav|menu)|footers?|masthead|top-?bar|site-header|page-header|"
-    r"cookies?|consent|gdpr|notices?|notifications?|alerts?|popups?|pop-up|modals?|overlays?|newsletters?|subscribe|"
-    r"subscriptions?|sign-?up|log-?in|paywall|comments?|comment-?list|disqus|replies|respond|discussion|reader-?comments?|"
-    r"related|recommended|recommendations|share|sharing|social|toolbar|pagination|pager|search|skip-link|"
-    r"hidden|sr-only|visually-hidden|copyright|disclaimer)(?=$|[\s_\d-])",
-    re.IGNORECASE,
+#: Words that say what an element is if its name has no others but these and ``_PLACES``.
+_NEVER = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsors sponsored cookie "
+    "cookies consent gdpr comments disqus hidden sr-only visually-hidden skip-link comment".split()
 )
-_HEADERS = re.compile(r"(?:^|[\s_-])(?:header|top)(?=$|[\s_\d-])", re.IGNORECASE)
+#: Words that only suggest it, where a name ends in them (and in ``_PLACES``).
+_SUGGESTS = _NEVER | frozenset(
+    "leaderboard skyscraper promo promos promotion promotions banner banners nav navbar navigation menu menus "
+    "breadcrumb breadcrumbs sidebar sidebars side-bar side-col side-column side-nav side-menu footer footers "
+    "masthead topbar site-header page-header notice notices notification notifications alert alerts "
+    "popup popups pop-up modal modals overlay overlays newsletter newsletters subscribe subscription "
+    "subscriptions signup sign-up login log-in paywall replies respond discussion related recommended "
+    "recommendations share sharing social toolbar pagination pager search copyright disclaimer".split()
+)
+#: Words that say where or how a thing stands.
+_PLACES = frozenset(
+    "area article articles bar block body bottom box button buttons col column container content dialog form "
+    "google group heading holder icon icons info inner is item items js label left link links list main media next "
+    "outer page panel post posts previous primary reader right row secondary section site slot stories text this "
+    "title top unit user warning widget widgets wp wrap wrapper".split()
+)
+_WORDS, _PLACED = "|".join(sorted(_SUGGESTS)), "|".join(sorted(_PLACES))
+_IS_NEVER = re.compile(f"(?:(?:{_WORDS}|{_PLACED})-)*(?:{'|'.join(sorted(_NEVER))})(?:-(?:{_WORDS}|{_PLACED}))*")
+_NOT_NEGATED = r"(?:^|(?<!\bno)(?<!\bhas)(?<!\bwith)(?<!\bwithout)(?<!\boverflow)-)"
+_IS_SUGGESTED = re.compile(f"{_NOT_NEGATED}(?:{_WORDS})(?:-(?:{_PLACED}))*$")
+_IS_HEADER = re.compile(f"{_NOT_NEGATED}(?:header|top)(?:-(?:{_PLACED}))*$")
+_IS_TITLE = re.compile("post|entry|article|content|title")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _MARKS = ("article", "main")
 _SECTIONS = frozenset("article main section div td body".split())
@@ -73,12 +92,14 @@ _HOLDERS = frozenset("ul ol dl table tbody thead tfoot div section article main
 _SPACE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(eq=False)
 class _Element:
     tag: str
     number: int
     skipped: bool
     parent: "_Element | None"
+    #: Itself and the elements around it, as far as they are in doubt.
+    doubts: "tuple[_Element, ...]" = ()
     #: Start tags before its own content and up to its end.
     before: int = 0
     upto: int = 0
@@ -92,6 +113,12 @@ class _Line:
     linked: int
 
 
+def _tokens(name: str) -> list[str]:
+    """The names in a class or id, small, their words joined by - and without numbers."""
+    found = ["-".join(filter(None, re.split(r"[\d_-]+", token.lower()))) for token in _CAMEL.sub("-", name).split()]
+    return [token for token in found if token]
+
+
 class _Events(HTMLParser):
     """Turns parser events into lines; keeps the stack of open elements only."""
 
@@ -108,26 +135,29 @@ class _Events(HTMLParser):
             self.tags = 0
         self.parts, self.linked = [], 0
 
-    def _is_skipped(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _is_skipped(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether an element is skipped, and whether it is in doubt."""
         if tag in _SKIPPED:
-            return True
+            return True, False
         named = dict(attrs)
         inside = {e.tag for e in self.open}
         if tag == "header" and not inside & {"article", "main"}:
-            return True
-        if "hidden" in named or named.get("aria-hidden") == "true" or (named.get("role") or "").lower() in _ROLES:
-            return True
+            return True, False
+        role = (named.get("role") or "").lower()
+        if "hidden" in named or named.get("aria-hidden") == "true" or role in _ROLES:
+            return True, False
         style = (named.get("style") or "").replace(" ", "").lower()
         if "display:none" in style or "visibility:hidden" in style:
-            return True
+            return True, False
         if tag in ("html", "body", "article", "main") or re.fullmatch(r"h[1-6]", tag):
-            return False
-        names = [_CAMEL.sub("-", named.get(key) or "") for key in ("class", "id")]
-        if any(_NAMES.search(name) for name in names):
-            return True
-        return not inside & {"article", "main"} and any(
-            _HEADERS.search(name) and not re.search("post|entry|article|content|title", name, re.IGNORECASE) for name in names
-        )
+            return False, False
+        tokens = [token for key in ("class", "id") for token in _tokens(named.get(key) or "")]
+        if any(_IS_NEVER.fullmatch(token) for token in tokens):
+            return True, False
+        doubted = tag == "form" or role == "form" or any(_IS_SUGGESTED.search(token) for token in tokens)
+        if not doubted and not inside & {"article", "main"}:
+            doubted = any(_IS_HEADER.search(token) and not _IS_TITLE.search(token) for token in tokens)
+        return False, doubted
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -146,7 +176,11 @@ class _Events(HTMLParser):
             return
         parent = self.open[-1]
         self.made += 1
-        self.open.append(_Element(tag, self.made, parent.skipped or self._is_skipped(tag, attrs), parent, self.started))
+        skipped, doubted = self._is_skipped(tag, attrs)
+        e = _Element(tag, self.made, parent.skipped or skipped, parent, parent.doubts, self.started)
+        if doubted:
+            e.doubts += (e,)
+        self.open.append(e)
         self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -215,8 +249,36 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / inside
 
 
-def _region(lines: list[_Line], weights: np.ndarray) -> list[bool]:
-    """Whether each line is content.
+def _clusters(lines: list[_Line]) -> np.ndarray:
+    """The plain text of each line that belongs to a cluster, or of all lines if none does."""
+    plain = np.array([len(line.text) - line.linked for line in lines], float)
+    ratios = smoothed(plain / np.array([max(line.tags, 1) for line in lines]))
+    cluster = ratios > THRESHOLD * ratios.std() if len(lines) > 1 else np.ones(1, bool)
+    weights = np.where(cluster, plain, 0.0)
+    return weights if weights.any() else plain
+
+
+def _cleared(lines: list[_Line]) -> set[int]:
+    """Numbers of the elements in doubt that hold the heaviest clusters.
+
+    A form needs half of the clusters' text for that, another element as much as a section needs to
+    replace the one around it. If no line is left without them, all are cleared.
+    """
+    doubts = {e.number: e for line in lines for e in line.holder.doubts}
+    held = dict.fromkeys(doubts, 0.0)
+    weights = _clusters(lines) if doubts else np.zeros(0)
+    for line, weight in zip(lines, weights.tolist()):
+        for e in line.holder.doubts:
+            held[e.number] += weight
+    whole = weights.sum()
+    cleared = {n for n, e in doubts.items() if held[n] >= (MARKED if e.tag == "form" else MOST) * whole}
+    if not any(all(e.number in cleared for e in line.holder.doubts) for line in lines):
+        return set(doubts)
+    return cleared
+
+
+def _region(lines: list[_Line], weights: np.ndarray, doubted: list[_Line], cleared: set[int]) -> set[int]:
+    """Numbers of the elements whose lines are content.
 
     Every section gets the weight of the lines of the clusters inside it; from the page inwards,
     a section that keeps most of the weight of the one around it is taken, an article whole. Half
@@ -224,6 +286,7 @@ def _region(lines: list[_Line], weights: np.ndarray) -> list[bool]:
 
     What the steps left beside the region is content as well where an element holds cluster lines,
     more plain text than links and, unless it stands in the same main, enough text per element.
+    An element in doubt has to stand inside content, and to have the same by itself.
     """
     inside: dict[int, float] = {}
     marked: dict[int, float] = {}
@@ -279,7 +342,27 @@ def _region(lines: list[_Line], weights: np.ndarray) -> list[bool]:
         for n in reversed(chain):
             known = known or bool(inside[n] and plain[n] > linked[n] and (free or per_element(n) >= enough))
             content[n] = known
-    return [content[line.holder.number] for line in lines]
+
+    enough = DOUBTED * per_element(at)
+    for line in doubted:
+        e = line.holder
+        while e is not None:
+            element.setdefault(e.number, e)
+            if e in line.holder.doubts:
+                plain[e.number] = plain.get(e.number, 0) + len(line.text) - line.linked
+                linked[e.number] = linked.get(e.number, 0) + line.linked
+            e = e.parent
+    for line in doubted:
+        chain, e = [], line.holder
+        while e.number not in content:
+            chain.append(e)
+            e = e.parent
+        known = content[e.number]
+        for e in reversed(chain):
+            if e in e.doubts and e.number not in cleared:
+                known = known and plain[e.number] > linked[e.number] and per_element(e.number) >= enough
+            content[e.number] = known
+    return {n for n, known in content.items() if known}
 
 
 def main_text(html: str) -> str:
@@ -287,13 +370,17 @@ def main_text(html: str) -> str:
     lines = lines_of(html)
     if not lines:
         return ""
-    plain = np.array([len(line.text) - line.linked for line in lines], float)
-    ratios = smoothed(plain / np.array([max(line.tags, 1) for line in lines]))
-    cluster = ratios > THRESHOLD * ratios.std() if len(lines) > 1 else np.ones(1, bool)
-    weights = np.where(cluster, plain, 0.0)
-    content = _region(lines, weights if weights.any() else plain)
+    cleared = _cleared(lines)
+    sure = [all(e.number in cleared for e in line.holder.doubts) for line in lines]
+    certain = [line for line, is_sure in zip(lines, sure) if is_sure]
+    doubted = [line for line, is_sure in zip(lines, sure) if not is_sure]
+    content = _region(certain, _clusters(certain), doubted, cleared)
     # The title of a page may stand above the section of its text.
-    return " ".join(line.text for line, kept in zip(lines, content) if kept or line.holder.tag == "h1")
+    return " ".join(
+        line.text
+        for line, is_sure in zip(lines, sure)
+        if line.holder.number in content or is_sure and line.holder.tag == "h1"
+    )
 
 
 def _within(element: _Element, tags: tuple[str, ...]) -> bool:

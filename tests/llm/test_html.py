@@ -73,3 +73,31 @@ def test_a_teaser_article_does_not_replace_the_body():
 def test_text_outside_an_article_is_judged_by_its_ratio():
     links = "<div><a href=/a>Other</a> <a href=/b>pages</a></div>"
     assert main_text(f"<body>{links}<article>{NINE}</article><div><p>{LONG}</p></div>{links}<div>(c) x</div></body>") == f"{NINE_TEXT} {LONG}"
+
+
+NAMED = ["section id=discussion", "section id=related-work", "div class=social-history", "p class=notice", "div id=search-algorithms"]
+
+
+@pytest.mark.parametrize("named", NAMED)
+def test_a_name_alone_takes_no_text_from_an_article(named):
+    tag = named.split()[0]
+    inside = LONG if tag == "p" else f"<p>{LONG}</p><p>{LONG}</p>"
+    text = LONG if tag == "p" else f"{LONG} {LONG}"
+    assert main_text(f"<article>{NINE}<{named}>{inside}</{tag}><p>{LONG}</p></article>") == f"{NINE_TEXT} {text} {LONG}"
+
+
+def test_names_and_ratios_together_take_boilerplate_from_an_article():
+    links = "".join(f"<li><a href=/{i}>Another article of this site</a></li>" for i in range(5))
+    for part in ("<div class=share-this>Share <b>it</b></div>", f"<ul class=related>{links}</ul>", f"<div id=comments>{NINE}</div>",
+                 f"<div class='site-ad ad-slot2'>{LONG}</div>", f"<div class=relatedPosts><h4>More</h4><ul>{links}</ul></div>"):
+        assert main_text(f"<article>{NINE}{part}<p>{LONG}</p></article>") == f"{NINE_TEXT} {LONG}"
+
+
+def test_a_page_in_one_form_has_its_text():
+    side = "<div class=sidebar><p>Short.</p></div><form class=search-form><label>Find</label><input></form>"
+    page = f"<body><form action=/x><input type=hidden><nav>no</nav><div id=content>{NINE}</div>{side}</form></body>"
+    assert main_text(page) == NINE_TEXT
+
+
+def test_a_wrapper_named_like_a_part_keeps_the_page():
+    assert main_text(f"<body><div id=top><div>{NINE}</div></div><div>(c) x</div></body>") == NINE_TEXT

@@ -37,10 +37,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least doc_id."""
+    """One row of each group of near-duplicates: the one with the least doc_id, null after all others.
+
+    Rows are told apart by a stored number of their own, so those with a null doc_id are grouped like
+    others, and of repeated rows one stays. Texts that are null or have no words link with nothing:
+    such rows are one group if they share a doc_id, and stay if it is null.
+    """
     ready(spark)
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    # zstd: the table holds all texts once more.
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered", compression="zstd")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("row"), "component_id", (F.col("n_shingles") > 0).alias("linking"))
+    grouped = found.join(rows.select("row", "doc_id"), "row")
+    by_component = F.col("linking") | F.col("doc_id").isNull()
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))["row"]
+    kept = grouped.groupBy(
+        F.when(by_component, F.col("component_id")).alias("component"), F.when(~by_component, F.col("doc_id")).alias("same")
+    ).agg(least.alias("row"))
+    return rows.join(kept.select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from refinery.storage import shared_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, with the writer's ``options``, and read it back.
 
     It cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
     """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

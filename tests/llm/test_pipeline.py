@@ -51,3 +51,23 @@ def test_rules_on_documents_equal_the_stage(spark):
     assert {r.doc_id for r in found.collect()} == {
         r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, SF_DIR).select("doc_id").collect()
     }
+
+
+def test_dedup_keeps_one_row_of_each_group_whatever_its_id(spark):
+    words = [" ".join(f"{name}{i}" for i in range(40)) for name in ("a", "b", "c", "d")]
+    rows = [
+        (5, words[0]), (5, words[0]), (5, words[0]),  # repeated rows
+        (None, words[1]),  # no id, a text of its own
+        (None, words[2]), (None, words[2] + " more"),  # near-duplicates without ids
+        (9, words[3]), (None, words[3]), (7, words[3] + " more"),  # the least id stays, null after it
+        (8, None), (8, None), (None, None), (None, ""), (4, " "), (3, " "),  # texts without words link with nothing
+        (6, words[0].replace("a", "x")), (6, words[0].replace("a", "y")),  # one id, two texts
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "web", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()]
+    without_id = [t for i, t in kept if i is None]
+    assert sorted((i, t or "") for i, t in kept if i is not None) == sorted(
+        [(5, words[0]), (7, words[3] + " more"), (8, ""), (4, " "), (3, " "), rows[-2], rows[-1]]
+    )
+    assert len(without_id) == 4 and words[1] in without_id and None in without_id and "" in without_id
+    assert sum(t in (words[2], words[2] + " more") for t in without_id) == 1

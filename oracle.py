@@ -211,5 +211,6 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'silver', count(*), 0, 1 FROM silver
         UNION ALL SELECT 'gold', count(*), 0, 1 FROM tiers""",
 }
+SQL["batch_fields"] = SQL["incremental_fields"]
 SQL["rejects_stored"] = SQL["rejects"]
 SQL["replay"] = SQL["gold_kpis"]

@@ -15,7 +15,7 @@ from refinery.plans.landing import land_records
 from refinery.plans.serving import export_tables
 from refinery.plans.silver import SilverRun, refine
 from refinery.roles import DEFAULT_ROLES, Roles
-from refinery.sources.raw_json import RESCUED, read_raw
+from refinery.sources.raw_json import RESCUED, read_lines, read_raw
 from refinery.sources.tables import read_silver
 from refinery.streaming.incremental import MAX_FILE_AGE, ingest_new_files, merge_new_rows
 
@@ -71,8 +71,14 @@ def load_bronze(
     fmt: str = "parquet",
     swap: bool = True,
 ) -> int:
-    """Raw files to the bronze table; ``schema=None`` discovers new fields in a pass of its own."""
-    raw = read_raw(spark, place.raw, schema=schema, layout=layout, ingest_date=ingest_date)
+    """Raw files to the bronze table; ``schema=None`` discovers new fields in a pass of its own.
+
+    Fields of JSON Lines that ``schema`` does not name are kept as one JSON text in ``_rescued``.
+    """
+    if layout == "lines" and schema is not None:
+        raw = read_lines(spark, place.raw, schema, ingest_date=ingest_date)
+    else:
+        raw = read_raw(spark, place.raw, schema=schema, layout=layout, ingest_date=ingest_date)
     return verify_bronze(spark, place.bronze, write_bronze(raw, place.bronze, fmt=fmt, swap=swap), fmt=fmt)
 
 

@@ -1,9 +1,10 @@
-from refinery.sources.raw_json import discover_schema, parse_lines, read_raw, shape_raw
+from refinery.sources.raw_json import discover_schema, parse_lines, read_lines, read_raw, shape_raw
 from refinery.sources.tables import read_bronze, read_gold, read_if_exists, read_silver
 
 __all__ = [
     "discover_schema",
     "parse_lines",
+    "read_lines",
     "read_bronze",
     "read_gold",
     "read_if_exists",

@@ -85,6 +85,19 @@ def read_raw(
     return shape_raw(reader.json(_day_path(path, ingest_date)), layout)
 
 
+def read_lines(
+    spark: SparkSession, path: str, schema: T.StructType, *, ingest_date: str | None = None
+) -> DataFrame:
+    """JSON Lines below ``path`` in one pass under ``schema``, with what it does not name in ``_rescued``.
+
+    Rows are those of :func:`read_raw`: the records of an array that stands in one line are rows each.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(_day_path(path, ingest_date))
+    several = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    records = F.explode(F.coalesce(several, F.array("value")))
+    return parse_lines(lines.select(records.alias("value"), "_metadata"), schema)
+
+
 def with_corrupt(schema: T.StructType) -> T.StructType:
     if CORRUPT in schema.names:
         return schema

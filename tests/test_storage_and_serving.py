@@ -1,3 +1,4 @@
+import json
 import os
 from decimal import Decimal
 from types import SimpleNamespace
@@ -7,12 +8,12 @@ from pyspark.sql import functions as F, types as T
 
 import refinery.storage as storage
 from refinery import Roles
-from records import DAY1, DAY2, T2, record, write_array, write_text
+from records import DAY1, DAY2, T2, record, write_array, write_lines, write_text
 from refinery.contracts import CATEGORY_KPIS, RAW, SERVING, TOP_PRODUCTS, enforce_contract, widened
 from refinery.plans import export_tables, reports, serve_views, write_gold
 from refinery.plans.medallion import Layout, replay, run, run_new
 from refinery.plans.serving import jdbc_options
-from refinery.sources import read_gold, read_if_exists, read_silver
+from refinery.sources import read_bronze, read_gold, read_if_exists, read_raw, read_silver
 
 CONTRACT = T.StructType(
     [T.StructField("k", T.StringType(), False), T.StructField("amount", T.DecimalType(5, 2))]
@@ -305,6 +306,24 @@ def test_the_daily_chain_keeps_unnamed_fields(spark, root):
     assert row._rescued == '{"stock":"7"}'
 
 
+def test_the_whole_chain_keeps_unnamed_fields(spark, root):
+    more = record(2, rating=(4.0, 7))
+    more["rating"]["source"] = "x"
+    write_lines(root + "/raw", DAY1, "a.json", [record(1, stock=5), more, record(3, rating=(4.0, 7))])
+    write_text(root + "/raw", DAY1, "b.json", '{"id": 4, "title": \n[{"id": 5, "title": "t"}, {"id": 6, "title": "t", "stock": 6}]\n')
+    plain = read_raw(spark, root + "/raw", schema=RAW)
+    run(spark, root, export=False)
+    bronze = read_bronze(spark, root + "/bronze")
+    same = [c for c in plain.columns if c != "_bronze_loaded_at"]
+    key = lambda r: str(r)
+    assert sorted(bronze.select(same).collect(), key=key) == sorted(plain.select(same).collect(), key=key)
+    rescued = {r.id: r._rescued for r in bronze.collect()}
+    assert rescued["1"] == '{"stock":"5"}' and rescued["6"] == '{"stock":"6"}' and rescued["3"] is None and rescued["5"] is None
+    assert '"source' in json.loads(rescued["2"])["rating"]
+    kept = {r.id: r._rescued for r in read_silver(spark, root + "/silver").collect()}
+    assert kept[1] == rescued["1"]
+
+
 def test_run_and_run_new_refuse_each_others_bronze(spark, root):
     landed(root + "/1")
     run(spark, root + "/1", layout="array")

@@ -593,6 +593,16 @@ def incremental_fields(spark, sf_dir):
     )
 
 
+def batch_fields(spark, sf_dir):
+    """A field that the schema of the whole chain's default does not name."""
+    place = _land(spark, sf_dir, shared_dir(spark, "batch_fields"))
+    run(spark, place.root, export=False)
+    event = F.get_json_object("_rescued", "$.event_id").cast("bigint")
+    return read_bronze(spark, place.bronze).select(
+        event.alias("event_id"), F.col("id").cast("bigint").alias("id"), F.col("rating.count").cast("int").alias("rating_count")
+    )
+
+
 def incremental_silver(spark, sf_dir):
     def merge(place: Layout) -> None:
         merge_new_rows(
@@ -653,6 +663,7 @@ _QUERIES: dict[str, Query] = {
     "incremental_silver": incremental_silver,
     "incremental_late": incremental_late,
     "incremental_fields": incremental_fields,
+    "batch_fields": batch_fields,
     "raw_nested": raw_nested,
     "raw_mistyped": raw_mistyped,
     "raw_array": raw_array,

@@ -28,6 +28,8 @@ PER_LANGUAGE, PARTS = 2048, 64
 #: An n-gram counts for a language if this share of its documents has it, and at least this part
 #: of the share it has in the language that uses it most.
 LEAST_SHARE, LEAST_PART = 0.005, 0.2
+#: An n-gram has to occur in two documents where a language has at least so many to learn from.
+ENOUGH = 20
 
 
 def plain_letters(column: pa.Array) -> pa.Array:
@@ -113,10 +115,10 @@ def fit(documents: DataFrame, learn_from: Column) -> LanguageFilters:
     if not languages:
         return LanguageFilters([], masks)
     share = F.col("n") / F.col("documents")
-    shares = counted.join(F.broadcast(sizes), "lang").select("lang", "gram", share.alias("share"), "n")
+    shares = counted.join(F.broadcast(sizes), "lang").select("lang", "gram", share.alias("share"), "n", "documents")
     most = shares.groupBy("gram").agg(F.max("share").alias("most"))
     kept = shares.join(most, "gram").filter(
-        (F.col("n") >= 2) & (F.col("share") >= LEAST_SHARE) & (F.col("share") >= LEAST_PART * F.col("most"))
+        ((F.col("n") >= 2) | (F.col("documents") < ENOUGH)) & (F.col("share") >= LEAST_SHARE) & (F.col("share") >= LEAST_PART * F.col("most"))
     )
     numbers = {name: i for i, name in enumerate(languages)}
     spots = kept.select("lang", "gram").mapInArrow(_spots(numbers), "word int, place bigint, mask bigint")

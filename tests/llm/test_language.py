@@ -79,3 +79,10 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     rows = found.join(truth, "doc_id").where("held_out AND lang IS NOT NULL").collect()
     assert len(rows) > 200 and sum(r.lang_pred == r.lang for r in rows) / len(rows) >= 0.98
+
+
+def test_a_language_with_a_single_document_is_learned(spark):
+    rare = "szybki brązowy lis przeskakuje nad leniwym psem a potem już go nie było"
+    found = identify(corpus(spark, [(50, rare, "pl"), (950, rare, None), (951, "brązowy lis i leniwy pies", None)]), F.col("doc_id") < 60)
+    by_id = {r.doc_id: (r.lang_pred, r.score) for r in found.where("doc_id >= 950").collect()}
+    assert [by_id[i][0] for i in (950, 951)] == ["pl", "pl"] and by_id[950][1] > 0.9

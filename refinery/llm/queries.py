@@ -14,6 +14,9 @@ from refinery.llm.bitmask_lang import fit, predict
 from refinery.llm.bpe_automaton import encode_decode
 from refinery.llm.chat import digests, format_conversations
 from refinery.llm.epsilon_grid import near_vectors
+from refinery.llm.fill_middle import fill_in_middle, restored
+from refinery.llm.filter_audit import audit, mask_cells
+from refinery.llm.fm_index import build_index, covered_words, find_phrases
 from refinery.llm.html_density import extract
 from refinery.llm.packing import pack_documents
 from refinery.llm.pairwise_quality import fit as fit_ranking, score
@@ -140,3 +143,33 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op9_epsilon_grid")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+@registered("op11_gray_walk")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return audit(mask_cells(documents, table(spark, sf_dir, "labels")))
+
+
+@registered("op12_fm_index")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_phrases(index, table(spark, sf_dir, "benchmark")).withColumn("n_hit", covered_words())
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@registered("op13_fenwick_middle")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )

@@ -215,10 +215,102 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_
 FROM embeddings LEFT JOIN degree d ON d.a = vec_id LEFT JOIN least l ON l.a = vec_id
 """
 
+AUDIT = r"""
+WITH said AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), read AS (
+  SELECT d.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM documents d LEFT JOIN said s ON d.doc_id = s.doc_id
+), split AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM read
+), failing AS (
+  SELECT part, good, toxic,
+         (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask
+  FROM split
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY ALL
+), f(letter, bit) AS (
+  VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, range(1, 6) r(step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM cells CROSS JOIN steps GROUP BY ALL
+)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted
+"""
+
+PHRASES = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, size, array_to_string(words[i:i + size - 1], ' ') AS w
+  FROM (SELECT item, words, least(len(words), 10) AS size, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i
+        FROM items WHERE len(words) > 0)
+), places AS (
+  SELECT rid, size, i, array_to_string(words[i:i + size - 1], ' ') AS w
+  FROM (SELECT rid, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM split, (SELECT DISTINCT size FROM windows))
+), hits AS (
+  SELECT rid, size, i, item FROM places JOIN windows USING (size, w)
+), covered AS (
+  SELECT rid, count(DISTINCT place) AS n FROM (SELECT rid, unnest(range(i, i + size)) AS place FROM hits) GROUP BY rid
+), named AS (
+  SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS joined FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(m.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM split LEFT JOIN covered c USING (rid) LEFT JOIN named m USING (rid)
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), cut AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4,
+         ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y
+  FROM drawn
+), parts AS (
+  SELECT doc_id, text, n, array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(u[greatest(x, y) + 1:n], '') AS s,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
 SQL: dict[str, str] = {
     "op1_url_models": URLS,
     "op4_chat_bytes": CHAT,
     "op6_certified_rules": RULES,
     "op8_superminhash": NEAR_DUPLICATES,
     "op9_epsilon_grid": NEAR_VECTORS,
+    "op11_gray_walk": AUDIT,
+    "op12_fm_index": PHRASES,
+    "op13_fenwick_middle": FILL_IN_MIDDLE,
 }

@@ -18,6 +18,9 @@ COLUMNS = {
     "op8": "doc_id n_shingles component_id kept",
     "op9": "vec_id n_links component_id kept",
     "op10": "page_id url text n_chars",
+    "op11": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op12": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op13": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 

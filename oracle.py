@@ -114,7 +114,7 @@ SQL: dict[str, str] = {
     "q5": f"""WITH {KPIS}
         SELECT category, avg_rating, total_inventory_value,
                CAST(round(CAST(CAST(avg_rating AS DECIMAL(4,2))
-                    * CAST(total_inventory_value AS DECIMAL(14,2)) AS DECIMAL(22,4)), 2) AS DOUBLE)
+                    * CAST(total_inventory_value AS DECIMAL(20,2)) AS DECIMAL(28,4)), 2) AS DOUBLE)
                  AS rating_value_score
         FROM kpis""",
     "q6": f"""WITH {TOP}
@@ -196,6 +196,12 @@ SQL: dict[str, str] = {
                CASE WHEN event_id % 10 = 0 THEN 4.5::DOUBLE END AS rating_text
         FROM raw_feed""",
     "raw_array": RAW_ROWS,
+    "array_fields": f"""WITH {RAW_FEED}
+        SELECT event_id, CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) AS price,
+               CASE WHEN event_id % 10 <> 0 THEN event_id % 3 END AS source,
+               CASE WHEN event_id % 10 <> 0 THEN k END AS rating_count,
+               CASE WHEN event_id % 10 = 0 THEN '4.50' END AS rating_text
+        FROM raw_feed""",
     "landing_stamped": """
         SELECT '2024-02-01T12:30:00+00:00' AS _ingested_at, DATE '2024-02-01' AS ingest_date, count(*) AS n
         FROM events""",

@@ -15,7 +15,7 @@ from refinery.plans.landing import land_records
 from refinery.plans.serving import export_tables
 from refinery.plans.silver import SilverRun, refine
 from refinery.roles import DEFAULT_ROLES, Roles
-from refinery.sources.raw_json import RESCUED, read_lines, read_raw
+from refinery.sources.raw_json import RESCUED, read_raw, read_records
 from refinery.sources.tables import read_silver
 from refinery.streaming.incremental import MAX_FILE_AGE, ingest_new_files, merge_new_rows
 
@@ -73,12 +73,12 @@ def load_bronze(
 ) -> int:
     """Raw files to the bronze table; ``schema=None`` discovers new fields in a pass of its own.
 
-    Fields of JSON Lines that ``schema`` does not name are kept as one JSON text in ``_rescued``.
+    Fields that ``schema`` does not name are kept as one JSON text in ``_rescued``.
     """
-    if layout == "lines" and schema is not None:
-        raw = read_lines(spark, place.raw, schema, ingest_date=ingest_date)
+    if schema is None:
+        raw = read_raw(spark, place.raw, layout=layout, ingest_date=ingest_date)
     else:
-        raw = read_raw(spark, place.raw, schema=schema, layout=layout, ingest_date=ingest_date)
+        raw = read_records(spark, place.raw, schema, layout=layout, ingest_date=ingest_date)
     return verify_bronze(spark, place.bronze, write_bronze(raw, place.bronze, fmt=fmt, swap=swap), fmt=fmt)
 
 
@@ -197,21 +197,18 @@ def run_new(
     """The daily job: load only the raw files no earlier call has seen, and merge them.
 
     Use either this or :func:`run` on a root; each refuses a bronze table of the other. Fields that
-    ``schema`` does not name reach bronze and silver as one JSON text in ``_rescued`` (JSON Lines
-    only). There is no landing day to choose: what is new is known from the files already loaded,
-    whichever day they belong to.
+    ``schema`` does not name reach bronze and silver as one JSON text in ``_rescued``. There is no
+    landing day to choose: what is new is known from the files already loaded, whichever day they
+    belong to.
     """
     place = Layout(root)
     if records is not None:
         land_records(records, place.raw, moment=moment)
-    rescue = layout == "lines"
     ingest_new_files(
         spark, place.raw, place.bronze, place.at("ingest_state"),
-        schema=schema, layout=layout, max_files=max_files, max_file_age=max_file_age, rescue=rescue,
+        schema=schema, layout=layout, max_files=max_files, max_file_age=max_file_age, rescue=True,
     ).awaitTermination()
-    stored = bronze_schema(schema)
-    if rescue:
-        stored = T.StructType(stored.fields + [T.StructField(RESCUED, T.StringType())])
+    stored = T.StructType(bronze_schema(schema).fields + [T.StructField(RESCUED, T.StringType())])
     merge_new_rows(
         spark, place.bronze, place.silver, place.rejects, place.at("merge_state"),
         schema=stored, roles=roles, max_file_age=max_file_age,

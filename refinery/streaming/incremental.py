@@ -16,7 +16,7 @@ from refinery.plans.silver import (
     write_silver,
 )
 from refinery.roles import DEFAULT_ROLES, Roles
-from refinery.sources.raw_json import LAYOUTS, parse_lines, shape_raw, with_corrupt
+from refinery.sources.raw_json import RESCUED, parse_records, shape_raw, text_scan, with_corrupt
 from refinery.sources.tables import read_silver
 from refinery.storage import (
     drop_table,
@@ -50,33 +50,23 @@ def ingest_new_files(
     """Append the raw files that no earlier call has loaded, each exactly once, then stop.
 
     The file sink's log makes a batch visible as a whole or not at all, so a restart after a failure
-    neither loses nor repeats rows. A stream needs a fixed schema; with ``rescue`` (JSON Lines only)
-    the fields that ``schema`` does not name are kept as one JSON text in ``_rescued``, at the
-    price of a second parse of each record. ``max_files`` bounds one batch.
+    neither loses nor repeats rows. A stream needs a fixed schema; with ``rescue`` the fields that
+    ``schema`` does not name are kept as one JSON text in ``_rescued``. ``max_files`` bounds one batch.
 
     ``max_file_age`` keeps late files: the source remembers all files it has seen within it, so its
     log grows with their number. A shorter age is for raw zones whose old folders get no more files.
     """
-    if layout not in LAYOUTS:
-        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    if rescue and layout != "lines":
-        raise ValueError("fields can be rescued from JSON Lines only")
     if table_exists(spark, bronze_path) and not streamed(spark, bronze_path):
         raise ValueError(f"{bronze_path} was written by write_bronze; a stream cannot add to it")
-    reader = (
-        spark.readStream.option("recursiveFileLookup", True).option("maxFileAge", max_file_age)
-    )
+    reader = spark.readStream.option("maxFileAge", max_file_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if rescue:
-        rows = parse_lines(reader.text(raw_path), schema)
+    if rescue or layout != "lines":
+        rows = parse_records(text_scan(reader, raw_path, layout), schema, layout)
+        rows = rows if rescue else rows.drop(RESCUED)
     else:
-        reader = (
-            reader.schema(with_corrupt(schema))
-            .option("multiLine", layout == "array")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-        )
-        rows = shape_raw(reader.json(raw_path), layout)
+        reader = reader.schema(with_corrupt(schema)).option("columnNameOfCorruptRecord", "_corrupt_record")
+        rows = shape_raw(reader.option("recursiveFileLookup", True).json(raw_path))
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")

@@ -1,12 +1,16 @@
+import json
 from datetime import datetime, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import types as T
 
 from records import DAY1, DAY2, T2, record, write_array, write_lines, write_text
 from refinery.contracts import RAW
 from refinery.operators import label_rejects
 from refinery.plans import clean, land_records, merge_schema, stamped, verify_bronze, write_bronze
-from refinery.sources import discover_schema, read_bronze, read_raw
+from refinery.plans.medallion import run
+from refinery.sources import discover_schema, read_bronze, read_raw, read_records
 
 
 def test_array_and_lines_layouts_give_the_same_rows(spark, root):
@@ -53,8 +57,9 @@ def test_truncated_and_empty_files(spark, root):
 def test_one_bad_record_does_not_mark_its_neighbours(spark, root):
     write_array(root, DAY1, "a.json", [record(1), {**record(2), "rating": "oops"}, record(3, rating=(4, 7))])
     rows = {r.id: r for r in read_raw(spark, root, schema=RAW, layout="array").collect()}
-    assert len(rows) == 3 and all(r._corrupt_record is None for r in rows.values())
+    assert len(rows) == 3 and rows["1"]._corrupt_record is None and rows["3"]._corrupt_record is None
     assert rows["2"].rating is None and rows["3"].rating["count"] == "7"
+    assert json.loads(rows["2"]._corrupt_record) == {**record(2), "rating": "oops"}
 
 
 def test_new_fields_are_discovered_as_text(spark, root):
@@ -156,3 +161,93 @@ def test_a_mistyped_field_keeps_the_record_and_its_text(spark, root):
     assert rows["1"]._corrupt_record is None
     assert label_rejects(raw).where("_reject_reason IS NOT NULL").count() == 0
     assert {r.id for r in clean(raw).collect()} == {1, 2}
+
+
+BOTH = pytest.mark.parametrize("layout", ["lines", "array"])
+NUMBERS = ["7.50", "-0.10", "1e5", "0.12345678901234567890", "123456789012345678901234", "-0", "2E-3"]
+
+
+@BOTH
+def test_numbers_keep_the_digits_they_are_written_with(spark, root, layout):
+    texts = [
+        f'{{"id": {i}, "price":{n}, "title": "a {n}, \\"{n}\\" {{x: {n}}}", "rating": {{"rate": {n}, "more": [{n}, {{"x":{n}}}]}}, "extra": {n}}}'
+        for i, n in enumerate(NUMBERS)
+    ]
+    write_text(root, DAY1, "a.json", "\n".join(texts) if layout == "lines" else "\n[" + ",\n ".join(texts) + "]\n")
+    rows = {int(r.id): r for r in read_records(spark, root, RAW, layout=layout).collect()}
+    assert len(rows) == len(NUMBERS)
+    for i, n in enumerate(NUMBERS):
+        assert (rows[i].price, rows[i].rating.rate, rows[i].title) == (n, n, f'a {n}, "{n}" {{x: {n}}}')
+        rescued = json.loads(rows[i]._rescued)
+        assert rescued["extra"] == n
+        assert rescued["rating"].replace(" ", "") == f'{{"rate":{n},"more":[{n},{{"x":{n}}}]}}'
+        assert rows[i]._corrupt_record is None
+
+
+@BOTH
+def test_faults_within_records_are_kept(spark, root, layout):
+    texts = [
+        '{"id": 1, "rating": 4.50, "stock": 7}', '{"id": 2, "rating": {"rate": null}, "title": {"de": 1.10}}', '{"id": 3, "rating": {}}',
+        '{"id": 4, "rating": null, "price": [1.0, "x"]}', "{}", "17", '"text"',
+    ]
+    write_text(root, DAY1, "a.json", "\n".join(texts) if layout == "lines" else "[null, " + ",".join(texts) + "]")
+    rows = read_records(spark, root, RAW, layout=layout).collect()
+    found = {r.id: r for r in rows if r.id}
+    assert found["1"].rating is None and "4.50" in found["1"]._corrupt_record and found["1"]._rescued == '{"stock":"7"}'
+    assert tuple(found["2"].rating) == (None, None) == tuple(found["3"].rating) and found["2"].title == '{"de":1.10}'
+    assert found["4"].rating is None and found["4"].price == '[1.0,"x"]' and found["4"]._corrupt_record is None
+    assert "17" in {r._corrupt_record for r in rows if not r.id} and len(rows) == 7
+
+
+def test_no_file_of_arrays_is_lost(spark, root):
+    """An unreadable file, one that holds a single record, and blank and empty ones beside a good one."""
+    write_array(root, DAY1, "good.json", [record(1, stock=5), record(2, rating=(4, 2))])
+    write_text(root, DAY1, "broken.json", '[\n  {"id": 3, "price": 2.50},\n  {"id": 4, ')
+    write_text(root, DAY1, "one.json", '{\n  "id": 5,\n "price": 1.10}')
+    write_text(root, DAY1, "blank.json", " \n\t\n")
+    write_text(root, DAY1, "none.json", "[ ]")
+    rows = read_records(spark, root, RAW, layout="array").collect()
+    assert sorted(r.id for r in rows if r.id) == ["1", "2", "5"]
+    [broken] = [r for r in rows if not r.id]
+    assert broken._corrupt_record == '[\n  {"id": 3, "price": 2.50},\n  {"id": 4, '
+    assert broken._source_file.endswith("broken.json") and [r.price for r in rows if r.id == "5"] == ["1.10"]
+
+
+def test_the_chain_keeps_all_of_an_array(spark, root):
+    rows = [record(1, image="x.png"), {**record(2), "rating": {"rate": 1, "count": 2, "source": "web"}}, {**record(3), "rating": 4.5}]
+    write_array(root + "/raw", DAY1, "a.json", rows)
+    run(spark, root, layout="array", export=False)
+    found = {r.id: r for r in read_bronze(spark, root + "/bronze").collect()}
+    assert json.loads(found["1"]._rescued) == {"image": "x.png"}
+    assert json.loads(json.loads(found["2"]._rescued)["rating"])["source"] == "web"
+    assert json.loads(found["3"]._corrupt_record)["rating"] == 4.5
+
+
+def test_a_schema_with_numbers_is_read_as_numbers(spark, root):
+    write_lines(root, DAY1, "a.json", [{"id": 1, "price": 2.5, "more": 3}])
+    [row] = read_records(spark, root, T.StructType.fromDDL("id int, price double")).collect()
+    assert (row.id, row.price, row._rescued) == (1, 2.5, '{"more":"3"}')
+
+
+TEXT = st.text(st.sampled_from("a1 \"'\\{}[]:,.-e\u0002é"), max_size=8)
+NUMBER = st.one_of(st.integers(-1000, 10**20), st.sampled_from([0.5, 1e300, -2.25]))
+VALUE = st.one_of(st.none(), TEXT, NUMBER, st.booleans(), st.dictionaries(TEXT, NUMBER, max_size=2), st.lists(NUMBER, max_size=2))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records=st.lists(st.fixed_dictionaries({"id": TEXT, "price": NUMBER, "title": VALUE}, optional={"zz": VALUE, "y": NUMBER}), min_size=1, max_size=12))
+def test_both_layouts_equal_a_plain_parser(spark, tmp_path_factory, records):
+    def text(value):
+        if value is None or isinstance(value, str):
+            return value
+        return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+    expected = [
+        (text(r["id"]), text(r["price"]), text(r["title"]), sorted((k, text(r[k])) for k in ("zz", "y") if k in r)) for r in records
+    ]
+    for layout, write in (("lines", write_lines), ("array", write_array)):
+        root = str(tmp_path_factory.mktemp("raw"))
+        write(root, DAY1, "a.json", records)
+        rows = read_records(spark, root, T.StructType.fromDDL("id string, price string, title string"), layout=layout).collect()
+        found = [(r.id, r.price, r.title, sorted(json.loads(r._rescued or "{}").items())) for r in rows]
+        assert sorted(found, key=repr) == sorted(expected, key=repr)

@@ -349,6 +349,30 @@ def raw_array(spark, sf_dir):
     return _raw_rows(read_raw(spark, place.raw, schema=RAW_EVENTS, layout="array"))
 
 
+def array_fields(spark, sf_dir):
+    """Indented arrays through the chain: a field and a member that no schema names, and every tenth
+    record with a plain number for its rating. Numbers keep the digits they are written with."""
+    place = Layout(shared_dir(spark, "array_fields"))
+    records, pretty = raw_feed(spark, sf_dir), {"pretty": "true"}
+    rest = [name for name in records.columns if name != "rating"]
+    source = F.col("rating").withField("source", F.col("event_id") % 3)
+    plain = F.to_json(F.struct(*rest, F.lit(4.5).cast("decimal(3,2)").alias("rating")), pretty)
+    nested = F.to_json(F.struct(*rest, source.alias("rating")), pretty)
+    text = F.when(F.col("event_id") % 10 == 0, plain).otherwise(nested)
+    day, file = F.substring("_ingested_at", 1, 10).alias("ingest_date"), F.expr("event_id div 500").alias("file")
+    joined = F.concat(F.lit("[\n"), F.array_join(F.collect_list(text), ",\n"), F.lit("\n]")).alias("value")
+    arrays = records.groupBy(day, file).agg(joined)
+    arrays.repartition("ingest_date", "file").write.partitionBy("ingest_date", "file").option("maxRecordsPerFile", 1).text(place.raw)
+    run(spark, place.root, layout="array", export=False)
+    return read_bronze(spark, place.bronze).select(
+        F.get_json_object("_rescued", "$.event_id").cast("bigint").alias("event_id"),
+        "price",
+        F.get_json_object(F.get_json_object("_rescued", "$.rating"), "$.source").cast("bigint").alias("source"),
+        F.col("rating.count").cast("int").alias("rating_count"),
+        F.nullif(F.regexp_extract("_corrupt_record", '"rating":([0-9.]+)', 1), F.lit("")).alias("rating_text"),
+    )
+
+
 def landing_stamped(spark, sf_dir):
     """Records without a stamp, landed at one moment."""
     place = Layout(shared_dir(spark, "landing_stamped"))
@@ -667,6 +691,7 @@ _QUERIES: dict[str, Query] = {
     "raw_nested": raw_nested,
     "raw_mistyped": raw_mistyped,
     "raw_array": raw_array,
+    "array_fields": array_fields,
     "landing_stamped": landing_stamped,
     "bronze_overwrite": bronze_overwrite,
     "silver_flags": silver_flags,

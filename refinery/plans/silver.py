@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -33,7 +34,7 @@ from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.tables import read_bronze
 from refinery.storage import (
     drop_table,
-    partition_folder,
+    has_files,
     publish,
     table_exists,
     together_by,
@@ -125,34 +126,27 @@ def write_silver(
     return seen.get["rows"]
 
 
-def replace_categories(
+def replace_files(
     rows: DataFrame,
     path: str,
-    staged: str,
-    categories: list[str],
+    old: Mapping[str, str],
     roles: Roles = DEFAULT_ROLES,
     *,
     arranged: bool = False,
 ) -> None:
-    """Replace the folders of ``categories`` by ``rows``, which may read them; leave all others.
+    """Add ``rows`` to the table and remove the files they replace; leave all others.
 
-    The rows are stored in ``staged`` first. Spark's dynamic overwrite then replaces each folder as
-    it commits, and folders that lost all their rows are removed last. A run that dies in
-    between leaves no key out, but a key that moved may stand in its old folder as well.
+    ``old`` gives the place of each file by its folder and name. ``rows`` may read those files: they
+    are removed once the new ones are committed. A run that dies in between leaves no key out, but
+    a key may stand in an old and a new file.
     """
     spark = rows.sparkSession
-    (rows if arranged else together_by(rows, roles.category)).write.partitionBy(roles.category).parquet(staged)
-    stored = spark.read.schema(rows.schema).parquet(staged)
-    (
-        stored.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(roles.category)
-        .parquet(path)
-    )
-    for value in categories:
-        folder = partition_folder(spark, roles.category, value)
-        if not table_exists(spark, f"{staged}/{folder}"):
-            drop_table(spark, f"{path.rstrip('/')}/{folder}")
+    (rows if arranged else together_by(rows, roles.category)).write.mode("append").partitionBy(roles.category).parquet(path)
+    for place in old.values():
+        drop_table(spark, place)
+    for folder in {place.rpartition("/")[0] for place in old.values()}:
+        if not has_files(spark, folder):
+            drop_table(spark, folder)
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -9,6 +11,13 @@ from refinery.contracts import SILVER, silver_schema_of
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.storage import table_exists
 
+#: The column that :func:`read_silver` gives the file of a row in: its folder and name.
+FILE = "__file"
+
+
+def file_name(place: str) -> str:
+    return "/".join(place.rsplit("/", 2)[-2:])
+
 
 def read_bronze(
     spark: SparkSession,
@@ -57,17 +66,22 @@ def read_silver(
     schema: T.StructType | None = None,
     roles: Roles = DEFAULT_ROLES,
     fmt: str = "parquet",
+    files: Sequence[str] | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
     """The silver table with its category as text.
 
     Left to itself Spark turns directory names such as ``07`` into numbers, and an empty
-    category into NULL. A filter on the restored column still prunes partitions.
+    category into NULL. A filter on the restored column still prunes partitions. ``files`` reads
+    some of the table's files only; ``with_file`` adds the file of each row.
     """
     schema = schema or silver_schema(spark, path, roles, fmt)
-    stored = spark.read.format(fmt).schema(schema).load(path)
-    return stored.select(*schema.names).withColumn(
-        roles.category, F.coalesce(roles.category, F.lit(""))
-    )
+    reader = spark.read.format(fmt).schema(schema)
+    stored = reader.load(path) if files is None else reader.option("basePath", path).load(list(files))
+    names = [F.col(f"`{name}`") for name in schema.names]
+    if with_file:
+        names.append(F.substring_index("_metadata.file_path", "/", -2).alias(FILE))
+    return stored.select(*names).withColumn(roles.category, F.coalesce(roles.category, F.lit("")))
 
 
 def read_gold(spark: SparkSession, root: str, table: str, *, fmt: str = "parquet") -> DataFrame:

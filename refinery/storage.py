@@ -121,11 +121,11 @@ def shared_side(uri: str, name: str) -> str:
     return f"{uri.rstrip('/')}__{name}-{uuid.uuid4().hex}"
 
 
-def partition_folder(spark: SparkSession, column: str, value: str) -> str:
-    """The folder's name that Spark gives a partition; an empty value counts as NULL."""
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    text = utils.escapePathName(value) if value else utils.DEFAULT_PARTITION_NAME()
-    return f"{utils.escapePathName(column)}={text}"
+def has_files(spark: SparkSession, folder: str) -> bool:
+    """Whether any file of a table lies in the folder."""
+    fs, path = _file_system(spark, folder)
+    names = (status.getPath().getName() for status in fs.listStatus(path))
+    return any(not name.startswith((".", "_")) for name in names)
 
 
 def set_mark(spark: SparkSession, uri: str) -> None:

@@ -8,16 +8,17 @@ from pyspark.sql.streaming import StreamingQuery
 from refinery.contracts import BRONZE, RAW
 from refinery.operators.merge import merge_unique, upsert
 from refinery.operators.rejects import REASON, accepted, checked, rejected
+from refinery.plans.file_index import FileIndex
 from refinery.plans.silver import (
     conform,
     deduplicated,
-    replace_categories,
+    replace_files,
     stamp_silver,
     write_silver,
 )
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.raw_json import RESCUED, parse_records, shape_raw, text_scan, with_corrupt
-from refinery.sources.tables import read_silver
+from refinery.sources.tables import FILE, read_silver
 from refinery.storage import (
     drop_table,
     recover,
@@ -94,7 +95,7 @@ def merge_new_rows(
 
     A batch that is repeated after a failure changes nothing: the merge keeps the
     newest row per key, and each batch's rejects have a folder of their own. Plain Parquet
-    has no update in place, so a batch rewrites the categories it touches; leave ``max_files``
+    has no update in place, so a batch rewrites the files that hold its keys; leave ``max_files``
     unset to take all that is new in one batch.
     """
     reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
@@ -123,8 +124,9 @@ def merge_batch(
 ) -> None:
     """Clean one batch and merge it into the silver table.
 
-    The batch is read again only if it holds rejects. Only the categories that a changed key has
-    or had are read whole and written again; the files of all others stay. Changes of at most
+    The batch is read again only if it holds rejects. Only the files that hold a changed key are
+    read whole and written again, found through the index beside the table; all others stay, also
+    those of the same category. Changes of at most
     ``broadcast_bytes``, rows times row width, are broadcast, and the target's rows are
     not shuffled. Larger changes shuffle both sides by key, and the result is arranged by
     category again.
@@ -155,7 +157,7 @@ def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_
     spark, category = changes.sparkSession, roles.category
     begun = f"{silver_path.rstrip('/')}__merging"
     # Cleaned once, into a table of its own: the merge reads the changes more than once.
-    changes_path, merged_path = (shared_side(silver_path, name) for name in ("changes", "merged"))
+    changes_path = shared_side(silver_path, "changes")
     seen = Observation()
     counted = together_by(changes, category).observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.parquet(changes_path)
@@ -169,26 +171,18 @@ def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_
             write_silver(whole, silver_path, roles=roles)
             drop_table(spark, begun)
             return
-        keys = F.broadcast(stored.select(roles.key)) if small else stored.select(roles.key)
-        known = target.select(roles.key, category).join(keys, roles.key, "left_semi")
-        # At most one value per folder of the table.
-        touched = [
-            row[0]
-            for row in known.select(category)
-            .union(stored.select(F.coalesce(category, F.lit(""))))
-            .distinct()
-            .collect()
-        ]
-        part = target.where(F.col(category).isin(touched)) if touched else target.limit(0)
-        merged = merge_unique(part, stored, roles.key, roles.ingested_at, broadcast_changes=small)
         if not set(changes.columns) <= set(target.columns):
-            # A new column: the files of every category take part, as in a full rewrite.
+            # A new column: all files take part, as in a full rewrite.
             merged = merge_unique(target, stored, roles.key, roles.ingested_at, broadcast_changes=small)
             write_silver(merged, silver_path, roles=roles, arranged=small)
             return
+        index = FileIndex(spark, silver_path, roles, target.schema)
+        keys = F.broadcast(stored.select(roles.key)) if small else stored.select(roles.key)
+        touched = {*index.holding(keys, seen.get["rows"]), *index.crowded(stored)}
+        part = index.scan(sorted(touched)).drop(FILE)
+        merged = merge_unique(part, stored, roles.key, roles.ingested_at, broadcast_changes=small)
         set_mark(spark, begun)
-        replace_categories(merged, silver_path, merged_path, touched, roles, arranged=small)
+        replace_files(merged, silver_path, {name: index.places[name] for name in touched}, roles, arranged=small)
         drop_table(spark, begun)
     finally:
         drop_table(spark, changes_path)
-        drop_table(spark, merged_path)

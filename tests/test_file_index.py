@@ -1,0 +1,123 @@
+"""The index finds the files of a key, and a merge writes those alone."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from records import T1, T2, by_key
+from refinery.plans import file_index
+from refinery.plans.file_index import FileIndex
+from refinery.roles import Roles
+from refinery.sources import read_silver
+from refinery.streaming.incremental import merge_batch
+
+COLUMNS = "id string, title string, price string, category string, _ingested_at string"
+
+
+@pytest.fixture(autouse=True)
+def ask_the_index(monkeypatch):
+    monkeypatch.setattr(file_index, "FEW_FILES", 0)
+
+
+def batch(spark, rows):
+    return spark.createDataFrame([(str(k), t, "1.0", c, at) for k, t, c, at in rows], COLUMNS)
+
+
+def table_of(spark, root, files, rows_each, category="tools"):
+    """A silver table of one category in so many files, keys dealt round by round."""
+    rows = spark.range(files * rows_each, numPartitions=files).select(
+        ((F.col("id") % rows_each) * files + F.expr(f"id div {rows_each}")).cast("int").alias("id"),
+        F.lit("t").alias("title"), F.lit(1).cast("decimal(10,2)").alias("price"), F.lit(category).alias("category"),
+        F.lit(None).cast("double").alias("rating_rate"), F.lit(None).cast("int").alias("rating_count"),
+        F.lit(False).alias("has_rating"), F.lit(True).alias("is_valid"), F.lit(T1).alias("_ingested_at"),
+        F.current_timestamp().alias("_silver_loaded_at"),
+    )
+    rows.write.partitionBy("category").parquet(root + "/silver")
+    return files_of(root, category)
+
+
+def files_of(root, category):
+    return {n for n in os.listdir(f"{root}/silver/category={category}") if n.endswith(".parquet")}
+
+
+def merge(spark, root, rows, number, **more):
+    merge_batch(batch(spark, rows), number, root + "/silver", root + "/rejects", **more)
+    return read_silver(spark, root + "/silver")
+
+
+@pytest.mark.parametrize("broadcast_bytes", [10**7, 0])
+def test_one_key_rewrites_one_of_a_hundred_files(spark, root, broadcast_bytes):
+    before = table_of(spark, root, 100, 50)
+    assert len(before) == 100
+    found = merge(spark, root, [(777, "new", "tools", T2)], 1, broadcast_bytes=broadcast_bytes)
+    after = files_of(root, "tools")
+    assert len(before - after) == 1
+    assert found.count() == 5000 and by_key(found.where("id = 777"))[777].title == "new"
+    # A new key and one that is not newer change no file, or the one that holds the key.
+    merge(spark, root, [(9_000, "added", "tools", T2)], 2)
+    assert after <= files_of(root, "tools")
+    moved = merge(spark, root, [(777, "moved", "garden", "2026-06-01T00:00:00+00:00"), (5, "stale", "tools", "2020-01-01T00:00:00+00:00")], 3)
+    rows = by_key(moved)
+    assert len(rows) == 5001 and (rows[777].category, rows[5].title) == ("garden", "t")
+
+
+def test_ranges_and_filters_name_few_files(spark, root):
+    table_of(spark, root, 40, 400)
+    index = FileIndex(spark, root + "/silver")
+    keys = spark.createDataFrame([(k,) for k in (3, 4_003, 15_999, -7, 99_999)], "id int")
+    held = index.holding(keys, 5)
+    holders = {r[0] for r in index.scan().join(keys, "id", "left_semi").select("__file").distinct().collect()}
+    assert set(held) == holders and len(holders) == 2
+    assert holders <= set(index.may_hold(keys, 5)) and len(index.may_hold(keys, 5)) < 8
+    # No key is ever missed.
+    every = index.scan().select("id", "__file").collect()
+    for key, name in every[:: len(every) // 12]:
+        assert name in index.may_hold(spark.createDataFrame([(key,)], "id int"), 1)
+
+
+def test_a_table_written_anew_is_indexed_anew(spark, root):
+    table_of(spark, root, 3, 10)
+    assert FileIndex(spark, root + "/silver").files().count() == 3
+    read_silver(spark, root + "/silver").where("id < 5").write.partitionBy("category").parquet(root + "/other")
+    os.rename(root + "/silver", root + "/gone")
+    os.rename(root + "/other", root + "/silver")
+    index = FileIndex(spark, root + "/silver")
+    assert {r["__file"] for r in index.files().collect()} == set(index.places)
+    assert index.holding(spark.createDataFrame([(7,)], "id int"), 1) == []
+
+
+def test_more_pairs_than_are_compared(spark, root, monkeypatch):
+    table_of(spark, root, 4, 10)
+    monkeypatch.setattr(file_index, "MOST_PAIRS", 3)
+    index = FileIndex(spark, root + "/silver")
+    keys = spark.createDataFrame([(0,)], "id int")
+    assert set(index.may_hold(keys, 1)) == set(index.places) and len(index.holding(keys, 1)) == 1
+
+
+def test_small_files_of_a_category_are_written_together(spark, root, monkeypatch):
+    table_of(spark, root, 12, 5)
+    monkeypatch.setattr(file_index, "MOST_SMALL", 10)
+    found = merge(spark, root, [(9_000, "added", "tools", T2)], 1)
+    assert found.count() == 61 and len(files_of(root, "tools")) <= 9
+
+
+def test_the_index_stays_in_few_parts(spark, root, monkeypatch):
+    table_of(spark, root, 2, 5)
+    monkeypatch.setattr(file_index, "MOST_PARTS", 2)
+    for number in range(5):
+        found = merge(spark, root, [(number, f"n{number}", "tools", T2), (100 + number, "added", f"c{number}", T2)], number)
+    assert found.count() == 15
+    for name in ("files", "bits"):
+        assert len(os.listdir(f"{root}/silver__index/{name}")) <= 4
+    index = FileIndex(spark, root + "/silver")
+    assert len(index.holding(spark.createDataFrame([(3,)], "id int"), 1)) == 1
+
+
+def test_keys_of_text(spark, root):
+    roles = Roles(key_type="string")
+    rows = spark.createDataFrame([("ä", "x"), ("b", "y")], "id string, category string")
+    rows.write.partitionBy("category").parquet(root + "/silver")
+    index = FileIndex(spark, root + "/silver", roles)
+    [name] = index.holding(spark.createDataFrame([("ä",)], "id string"), 1)
+    assert "category=x" in name

@@ -39,20 +39,14 @@ def category_kpis(silver: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 # The order of the top list: best rating first, then most reviews; ties by the lowest key.
-def _best_first(key: str) -> list[Column]:
+def best_first(key: str) -> list[Column]:
     return [F.desc("rating_rate"), F.desc("rating_count"), F.asc(key)]
 
 
-def top_products(
-    silver: DataFrame,
-    roles: Roles = DEFAULT_ROLES,
-    *,
-    min_reviews: int | None = None,
-    n: int | None = None,
-) -> DataFrame:
-    """The ``n`` best-rated valid rows with at least ``min_reviews`` reviews."""
+def listed(silver: DataFrame, roles: Roles = DEFAULT_ROLES, *, min_reviews: int | None = None) -> DataFrame:
+    """The valid rows with enough reviews for the top list."""
     floor = roles.min_reviews if min_reviews is None else min_reviews
-    listed = silver.where("is_valid").where(F.col("rating_count") >= floor).select(
+    return silver.where("is_valid").where(F.col("rating_count") >= floor).select(
         F.col(roles.key).alias("id"),
         F.col(roles.title).alias("title"),
         F.col(roles.category).alias("category"),
@@ -60,9 +54,19 @@ def top_products(
         "rating_rate",
         "rating_count",
     )
+
+
+def top_products(
+    silver: DataFrame,
+    roles: Roles = DEFAULT_ROLES,
+    *,
+    min_reviews: int | None = None,
+    n: int | None = None,
+) -> DataFrame:
+    """The ``n`` best-rated valid rows with at least ``min_reviews`` reviews."""
     return top_n(
-        listed,
-        _best_first("id"),
+        listed(silver, roles, min_reviews=min_reviews),
+        best_first("id"),
         roles.top_n if n is None else n,
         settled=("id", "rating_rate", "rating_count"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from refinery.contracts import RAW, SERVING, bronze_schema
 from refinery.plans.bronze import verify_bronze, write_bronze
 from refinery.plans.gold import category_kpis, price_buckets, top_products, write_gold
+from refinery.plans.gold_state import refresh
 from refinery.plans.landing import land_records
 from refinery.plans.serving import export_tables
 from refinery.plans.silver import SilverRun, refine
@@ -199,7 +200,7 @@ def run_new(
     Use either this or :func:`run` on a root; each refuses a bronze table of the other. Fields that
     ``schema`` does not name reach bronze and silver as one JSON text in ``_rescued``. There is no
     landing day to choose: what is new is known from the files already loaded, whichever day they
-    belong to.
+    belong to. Gold follows what the merges changed and is not built again from all of silver.
     """
     place = Layout(root)
     if records is not None:
@@ -211,7 +212,7 @@ def run_new(
     stored = T.StructType(bronze_schema(schema).fields + [T.StructField(RESCUED, T.StringType())])
     merge_new_rows(
         spark, place.bronze, place.silver, place.rejects, place.at("merge_state"),
-        schema=stored, roles=roles, max_file_age=max_file_age,
+        schema=stored, roles=roles, max_file_age=max_file_age, gold_state=place.at("gold_state"),
     ).awaitTermination()
-    build_gold(spark, place, roles, swap=swap)
+    refresh(spark, place.silver, place.at("gold_state"), place.gold, roles, swap=swap)
     return _export(spark, place, contracts, jdbc_url, jdbc, "parquet") if export else {}

@@ -128,6 +128,15 @@ def has_files(spark: SparkSession, folder: str) -> bool:
     return any(not name.startswith((".", "_")) for name in names)
 
 
+def numbered(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """The numbers of the folders that are named by ``prefix`` and a number."""
+    fs, path = _file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+
+
 def set_mark(spark: SparkSession, uri: str) -> None:
     """Leave an empty folder that says that a change of the table beside it has begun."""
     fs, path = _file_system(spark, uri)

@@ -9,6 +9,7 @@ from refinery.contracts import BRONZE, RAW
 from refinery.operators.merge import merge_unique, upsert
 from refinery.operators.rejects import REASON, accepted, checked, rejected
 from refinery.plans.file_index import FileIndex
+from refinery.plans.gold_state import forget, write_feed
 from refinery.plans.silver import (
     conform,
     deduplicated,
@@ -90,20 +91,22 @@ def merge_new_rows(
     max_files: int | None = None,
     max_file_age: str = MAX_FILE_AGE,
     broadcast_bytes: int = BROADCAST_BYTES,
+    gold_state: str | None = None,
 ) -> StreamingQuery:
     """Upsert the bronze rows that no earlier call has seen into silver, then stop.
 
     A batch that is repeated after a failure changes nothing: the merge keeps the
     newest row per key, and each batch's rejects have a folder of their own. Plain Parquet
     has no update in place, so a batch rewrites the files that hold its keys; leave ``max_files``
-    unset to take all that is new in one batch.
+    unset to take all that is new in one batch. With ``gold_state`` each batch leaves what it
+    changed in the feed that :func:`refinery.plans.gold_state.refresh` takes up.
     """
     reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, batch_id, silver_path, rejects_path, roles, broadcast_bytes)
+        merge_batch(batch, batch_id, silver_path, rejects_path, roles, broadcast_bytes, gold_state)
 
     return (
         reader.parquet(bronze_path)
@@ -121,6 +124,7 @@ def merge_batch(
     rejects_path: str,
     roles: Roles = DEFAULT_ROLES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    gold_state: str | None = None,
 ) -> None:
     """Clean one batch and merge it into the silver table.
 
@@ -139,9 +143,11 @@ def merge_batch(
 
     recover(spark, silver_path)
     if not table_exists(spark, silver_path):
+        if gold_state:
+            forget(spark, gold_state)
         write_silver(changes, silver_path, roles=roles)
     else:
-        _merge_stored(changes, silver_path, roles, broadcast_bytes)
+        _merge_stored(changes, silver_path, roles, broadcast_bytes, gold_state, batch_id)
 
     if refused.get["rows"]:
         folder = f"{rejects_path.rstrip('/')}/batch_id={batch_id}"
@@ -153,7 +159,9 @@ def _row_bytes(schema: T.StructType) -> int:
     return 8 + sum(8 + (100 if f.dataType == T.StringType() else 16) for f in schema.fields)
 
 
-def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_bytes: int) -> None:
+def _merge_stored(
+    changes: DataFrame, silver_path: str, roles: Roles, broadcast_bytes: int, gold_state: str | None, batch_id: int
+) -> None:
     spark, category = changes.sparkSession, roles.category
     begun = f"{silver_path.rstrip('/')}__merging"
     # Cleaned once, into a table of its own: the merge reads the changes more than once.
@@ -167,20 +175,31 @@ def _merge_stored(changes: DataFrame, silver_path: str, roles: Roles, broadcast_
         target = read_silver(spark, silver_path, roles=roles)
         if table_exists(spark, begun):
             # An earlier run died while it replaced folders: a key that moved may stand in two.
+            if gold_state:
+                forget(spark, gold_state)
             whole = upsert(target, stored, roles.key, roles.ingested_at)
             write_silver(whole, silver_path, roles=roles)
             drop_table(spark, begun)
             return
+        keys = F.broadcast(stored.select(roles.key)) if small else stored.select(roles.key)
+
+        def leave_feed(rows: DataFrame) -> None:
+            if gold_state:
+                before = rows.join(keys, roles.key, "left_semi")
+                after = merge_unique(before, stored, roles.key, roles.ingested_at, broadcast_changes=small)
+                write_feed(before, after, gold_state, batch_id, roles)
+
         if not set(changes.columns) <= set(target.columns):
             # A new column: all files take part, as in a full rewrite.
+            leave_feed(target)
             merged = merge_unique(target, stored, roles.key, roles.ingested_at, broadcast_changes=small)
             write_silver(merged, silver_path, roles=roles, arranged=small)
             return
         index = FileIndex(spark, silver_path, roles, target.schema)
-        keys = F.broadcast(stored.select(roles.key)) if small else stored.select(roles.key)
         touched = {*index.holding(keys, seen.get["rows"]), *index.crowded(stored)}
         part = index.scan(sorted(touched)).drop(FILE)
         merged = merge_unique(part, stored, roles.key, roles.ingested_at, broadcast_changes=small)
+        leave_feed(part)
         set_mark(spark, begun)
         replace_files(merged, silver_path, {name: index.places[name] for name in touched}, roles, arranged=small)
         drop_table(spark, begun)

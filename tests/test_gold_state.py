@@ -1,0 +1,113 @@
+"""Gold from its state equals gold from all of silver, after any changes."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from refinery.plans import category_kpis, price_buckets, top_products
+from refinery.plans import gold_state
+from refinery.plans.gold_state import refresh
+from refinery.roles import Roles
+from refinery.sources import read_gold, read_silver
+from refinery.streaming.incremental import merge_batch
+
+COLUMNS = "id string, title string, price string, category string, rating struct<rate:string,count:string>, _ingested_at string"
+ROLES = Roles(min_reviews=3, top_n=2)
+
+
+def merge(spark, root, rows, number, roles=ROLES):
+    frame = spark.createDataFrame(
+        [(str(k), t, str(p), c, r and tuple(map(str, r)), f"2026-05-08T12:00:{at:02d}+00:00") for k, t, p, c, r, at in rows], COLUMNS
+    )
+    merge_batch(frame, number, root + "/silver", root + "/rejects", roles, gold_state=root + "/state")
+
+
+def tables(spark, root):
+    names = ("gold_category_kpis", "gold_price_buckets", "gold_top_products")
+    return [sorted(map(str, read_gold(spark, root + "/gold", n).drop("_gold_loaded_at").collect())) for n in names]
+
+
+def check(spark, root, roles=ROLES):
+    refresh(spark, root + "/silver", root + "/state", root + "/gold", roles)
+    silver = read_silver(spark, root + "/silver", roles=roles)
+    full = [build(silver, roles) for build in (category_kpis, price_buckets, top_products)]
+    assert tables(spark, root) == [sorted(map(str, df.collect())) for df in full]
+    stored = read_gold(spark, root + "/gold", "gold_category_kpis").drop("_gold_loaded_at")
+    assert [f.dataType for f in stored.schema] == [f.dataType for f in full[0].schema]
+
+
+def test_equals_a_full_build_after_random_batches(spark, root, monkeypatch):
+    monkeypatch.setattr(gold_state, "RESERVE", 2)
+    rng = random.Random(5)
+
+    def row(key, at):
+        rating = rng.choice([None, (rng.choice([1.5, 2.25, 4, 5, "NaN"] if key == 7 else [1.5, 2.25, 4, 5]), rng.randrange(9))])
+        price = rng.choice([0, 5, 24.99, 25, 60, 80, 250, 300])
+        return key, rng.choice(["t", "u", "  "]), price, rng.choice(["a", "b", "Ü x/y"]), rating, at
+
+    merge(spark, root, [row(k, 1) for k in range(25)], 0)
+    check(spark, root)
+    for number in range(1, 5):
+        # Changed, stale and new keys; every second refresh takes up two batches.
+        merge(spark, root, [row(k, rng.choice([0, number + 1])) for k in rng.sample(range(25 + 3 * number), 9)], number)
+        if number % 2 == 0:
+            check(spark, root)
+
+
+def test_withdrawn_extremes_moves_and_emptied_categories(spark, root):
+    first = [(1, "x", 10, "a", (5, 9), 1), (2, "x", 20, "a", (4, 9), 1), (3, "x", 30, "a", (3, 9), 1), (4, "x", 99, "b", (1, 9), 1)]
+    merge(spark, root, first, 0)
+    check(spark, root)
+    # The least of a goes up, its most moves to c, and b is emptied.
+    merge(spark, root, [(1, "x", 25, "a", (1, 1), 2), (3, "x", 30, "c", (2, 9), 2), (4, "x", 99, "c", None, 2)], 1)
+    check(spark, root)
+    kpis = {r.category: r for r in read_gold(spark, root + "/gold", "gold_category_kpis").collect()}
+    assert set(kpis) == {"a", "c"} and (kpis["a"].min_price, kpis["a"].max_price) == (20, 25)
+    # Nothing is left on the top list but what is read again.
+    merge(spark, root, [(2, "x", 1, "a", None, 3), (3, "x", 1, "a", None, 3)], 2)
+    check(spark, root)
+
+
+def test_silver_is_not_read_for_what_only_grows(spark, root, monkeypatch):
+    merge(spark, root, [(k, "x", 10 + k, "ab"[k % 2], (4, 9), 1) for k in range(50)], 0)
+    check(spark, root)
+    merge(spark, root, [(60, "x", 12, "a", (5, 9), 2), (9, "y", 12, "b", (5, 9), 2)], 1)
+    monkeypatch.setattr(gold_state, "_build_list", None)
+    monkeypatch.setattr(gold_state, "_built_categories", None)
+    refresh(spark, root + "/silver", root + "/state", root + "/gold", ROLES)
+    check(spark, root)
+
+
+def test_a_repeated_batch_and_a_refresh_that_died(spark, root):
+    rows = [(k, "x", 10 + k, "ab"[k % 2], (4, 9), 1) for k in range(10)]
+    merge(spark, root, rows, 0)
+    check(spark, root)
+    change = [(3, "y", 77, "a", (5, 9), 2), (50, "n", 5, "c", None, 2)]
+    merge(spark, root, change, 1)
+    merge(spark, root, change, 1)  # the batch ran, but its checkpoint was not written
+    # A version without its mark, as a run leaves it that died while it wrote.
+    spark.range(3).write.parquet(root + "/state/v=1/categories")
+    check(spark, root)
+    merge(spark, root, change, 1)
+    check(spark, root)
+
+
+def test_other_thresholds_and_a_new_column_build_anew(spark, root):
+    merge(spark, root, [(k, "x", 10 * k, "ab"[k % 2], (4, k), 1) for k in range(12)], 0)
+    check(spark, root)
+    check(spark, root, Roles(min_reviews=8, top_n=3, tier_bounds=(50,), tier_labels=("low", "high")))
+    check(spark, root)
+    extra = spark.createDataFrame(
+        [("3", "z", "500", "b", None, "2026-05-09T12:00:00+00:00", "new")], COLUMNS + ", colour string"
+    )
+    merge_batch(extra, 1, root + "/silver", root + "/rejects", ROLES, gold_state=root + "/state")
+    assert "colour" in read_silver(spark, root + "/silver").columns
+    check(spark, root)
+
+
+def test_no_usable_rows(spark, root):
+    merge(spark, root, [("x", "t", 1, "a", None, 1)], 0)
+    check(spark, root)
+    merge(spark, root, [(1, "t", 1, "a", None, 1)], 1)
+    check(spark, root)

@@ -37,6 +37,7 @@ from refinery.plans import (
     write_gold,
 )
 from refinery.plans import reports
+from refinery.plans.gold_state import refresh
 from refinery.plans.medallion import Layout, load_bronze, replay as replay_chain, run
 from refinery.plans.silver import flatten_rating
 from refinery.sources import discover_schema, read_bronze, read_gold, read_raw, read_silver
@@ -642,6 +643,29 @@ def incremental_silver(spark, sf_dir):
     return _silver_rows(read_silver(spark, place.silver))
 
 
+def _followed(spark, sf_dir, name: str) -> Layout:
+    """Two loads; after each, gold follows what the merge changed."""
+
+    def merge(place: Layout) -> None:
+        merge_new_rows(
+            spark, place.bronze, place.silver, place.rejects, place.at("merge_state"),
+            schema=bronze_schema(RAW_EVENTS), gold_state=place.at("gold_state"),
+        ).awaitTermination()
+        refresh(spark, place.silver, place.at("gold_state"), place.gold)
+
+    return _two_loads(spark, sf_dir, name, merge)
+
+
+def incremental_gold(spark, sf_dir):
+    place = _followed(spark, sf_dir, "incremental_gold")
+    return doubles(read_gold(spark, place.gold, "gold_category_kpis").drop("_gold_loaded_at"), *KPI_MONEY)
+
+
+def incremental_top(spark, sf_dir):
+    place = _followed(spark, sf_dir, "incremental_top")
+    return doubles(read_gold(spark, place.gold, "gold_top_products").drop("_gold_loaded_at"), "price", "rating_rate")
+
+
 def _registered(query: Query) -> Query:
     @wraps(query)
     def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -685,6 +709,8 @@ _QUERIES: dict[str, Query] = {
     "late": late,
     "incremental": incremental,
     "incremental_silver": incremental_silver,
+    "incremental_gold": incremental_gold,
+    "incremental_top": incremental_top,
     "incremental_late": incremental_late,
     "incremental_fields": incremental_fields,
     "batch_fields": batch_fields,

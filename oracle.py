@@ -220,6 +220,7 @@ SQL: dict[str, str] = {
 SQL["batch_fields"] = SQL["incremental_fields"]
 SQL["rejects_stored"] = SQL["rejects"]
 SQL["replay"] = SQL["gold_kpis"]
+SQL["bronze_compacted"] = RAW_ROWS
 SQL["incremental_gold"] = SQL["gold_kpis"]
 SQL["incremental_top"] = f"""WITH {SILVER}
     SELECT id, title, category, CAST(price AS DOUBLE) AS price, rating_rate, rating_count

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from refinery.roles import DEFAULT_ROLES, Roles
 from refinery.sources.tables import FILE, file_name, read_silver
-from refinery.storage import drop_table, shared_side, table_exists
+from refinery.storage import drop_table, file_sizes, shared_side, table_exists
 
 BITMAP = 32_768
 #: Ten bits and four positions a key let through about one key in a hundred that a file does not hold.
@@ -78,7 +78,8 @@ class FileIndex:
         key, rows = F.col(self.roles.key), self.scan(names)
         bounds = [end(key).cast("string").alias(name) for end, name in ((F.min, "least"), (F.max, "most"))]
         counted = rows.groupBy(FILE, F.col(self.roles.category).alias("category")).agg(F.count(key).alias("n"), *bounds)
-        sizes = self.spark.createDataFrame(self._sizes(names), f"{FILE} string, bytes bigint")
+        found = file_sizes(self.spark, [self.places[name] for name in names])
+        sizes = self.spark.createDataFrame([(name, found[self.places[name]]) for name in names], f"{FILE} string, bytes bigint")
         bitmaps = F.greatest(F.ceil(F.col("n") * BITS_PER_KEY / BITMAP), F.lit(1)).cast("bigint").alias("bitmaps")
         sized = counted.join(sizes, FILE).select(FILE, "category", "bytes", bitmaps, "least", "most")
         filters = rows.select(FILE, key.alias("key")).join(sized.select(FILE, "bitmaps"), FILE)
@@ -91,11 +92,6 @@ class FileIndex:
         sized.write.parquet(shared_side(f"{self.path}/files/part", "new"))
         self._tidy()
 
-    def _sizes(self, names: list[str]) -> list[tuple[str, int]]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        store = path(self.table).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [(name, store.getFileStatus(path(self.places[name])).getLen()) for name in names]
-
     def _tidy(self) -> None:
         """Write an index of many parts as one, without the files that are gone."""
         present = self.spark.createDataFrame([(name,) for name in self.places], f"{FILE} string")

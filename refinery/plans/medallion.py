@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from refinery.contracts import RAW, SERVING, bronze_schema
 from refinery.plans.bronze import verify_bronze, write_bronze
+from refinery.plans.compaction import compact_bronze
 from refinery.plans.gold import category_kpis, price_buckets, top_products, write_gold
 from refinery.plans.gold_state import refresh
 from refinery.plans.landing import land_records
@@ -194,13 +195,14 @@ def run_new(
     swap: bool = True,
     max_files: int | None = None,
     max_file_age: str = MAX_FILE_AGE,
+    compact: bool = False,
 ) -> dict[str, bool]:
     """The daily job: load only the raw files no earlier call has seen, and merge them.
 
     Use either this or :func:`run` on a root; each refuses a bronze table of the other. Fields that
     ``schema`` does not name reach bronze and silver as one JSON text in ``_rescued``. There is no
     landing day to choose: what is new is known from the files already loaded, whichever day they
-    belong to. Gold follows what the merges changed and is not built again from all of silver.
+    belong to. ``compact`` packs bronze's small files at the end. Gold follows what the merges changed and is not built again from all of silver.
     """
     place = Layout(root)
     if records is not None:
@@ -215,4 +217,6 @@ def run_new(
         schema=stored, roles=roles, max_file_age=max_file_age, gold_state=place.at("gold_state"),
     ).awaitTermination()
     refresh(spark, place.silver, place.at("gold_state"), place.gold, roles, swap=swap)
+    if compact:
+        compact_bronze(spark, place.bronze, schema=stored)
     return _export(spark, place, contracts, jdbc_url, jdbc, "parquet") if export else {}

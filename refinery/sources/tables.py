@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from refinery.contracts import SILVER, silver_schema_of
 from refinery.roles import DEFAULT_ROLES, Roles
+from refinery.sources.packed import current_files, packs_path, read_files, read_manifest, schema_of
 from refinery.storage import table_exists
 
 #: The column that :func:`read_silver` gives the file of a row in: its folder and name.
@@ -30,8 +31,13 @@ def read_bronze(
     """The bronze table.
 
     ``merge_schema`` is for a table that was appended to under different schemas: it opens
-    every file's footer, so a large table is better read with an explicit ``schema``.
+    every file's footer, so a large table is better read with an explicit ``schema``. Of a table that
+    was compacted, the packed files stand for those that they cover.
     """
+    if fmt == "parquet" and not merge_schema and table_exists(spark, packs_path(path)):
+        manifest = read_manifest(spark, path)
+        files = current_files(spark, path, manifest)
+        return read_files(spark, files, schema or schema_of(spark, files, manifest))
     reader = spark.read.format(fmt).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)

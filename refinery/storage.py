@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -128,13 +129,26 @@ def has_files(spark: SparkSession, folder: str) -> bool:
     return any(not name.startswith((".", "_")) for name in names)
 
 
-def numbered(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """The numbers of the folders that are named by ``prefix`` and a number."""
+def folders_of(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the folders directly below ``folder``, which may be missing."""
     fs, path = _file_system(spark, folder)
     if not fs.exists(path):
         return []
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+    return [status.getPath().getName() for status in fs.listStatus(path) if status.isDirectory()]
+
+
+def numbered(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """The numbers of the folders that are named by ``prefix`` and a number."""
+    return sorted(int(name.removeprefix(prefix)) for name in folders_of(spark, folder) if name.startswith(prefix))
+
+
+def file_sizes(spark: SparkSession, places: Iterable[str]) -> dict[str, int]:
+    """Bytes of each of the files."""
+    sizes = {}
+    for place in places:
+        fs, path = _file_system(spark, place)
+        sizes[place] = fs.getFileStatus(path).getLen()
+    return sizes
 
 
 def set_mark(spark: SparkSession, uri: str) -> None:

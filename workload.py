@@ -37,6 +37,7 @@ from refinery.plans import (
     write_gold,
 )
 from refinery.plans import reports
+from refinery.plans.compaction import compact_bronze, vacuum_bronze
 from refinery.plans.gold_state import refresh
 from refinery.plans.medallion import Layout, load_bronze, replay as replay_chain, run
 from refinery.plans.silver import flatten_rating
@@ -643,6 +644,17 @@ def incremental_silver(spark, sf_dir):
     return _silver_rows(read_silver(spark, place.silver))
 
 
+def bronze_compacted(spark, sf_dir):
+    """Two loads, packed after each; the files of the first are removed before the second."""
+
+    def pack(place: Layout) -> None:
+        compact_bronze(spark, place.bronze)
+        vacuum_bronze(spark, place.bronze, keep=1, drop_covered=True)
+
+    place = _two_loads(spark, sf_dir, "bronze_compacted", pack)
+    return _raw_rows(read_bronze(spark, place.bronze))
+
+
 def _followed(spark, sf_dir, name: str) -> Layout:
     """Two loads; after each, gold follows what the merge changed."""
 
@@ -709,6 +721,7 @@ _QUERIES: dict[str, Query] = {
     "late": late,
     "incremental": incremental,
     "incremental_silver": incremental_silver,
+    "bronze_compacted": bronze_compacted,
     "incremental_gold": incremental_gold,
     "incremental_top": incremental_top,
     "incremental_late": incremental_late,

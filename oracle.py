@@ -217,6 +217,49 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'silver', count(*), 0, 1 FROM silver
         UNION ALL SELECT 'gold', count(*), 0, 1 FROM tiers""",
 }
+# One state per user and moment; runs of equal states are one.
+SQL["key_history"] = """
+    WITH states AS (SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY ALL),
+    runs AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS earlier FROM states)
+    SELECT user_id, event_type, epoch_us(ts) AS valid_from,
+           epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts)) AS valid_to
+    FROM runs WHERE event_type IS DISTINCT FROM earlier"""
+SQL["as_of"] = """
+    WITH seen AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)
+    SELECT e.event_id, e.user_id, epoch_us(s.ts) AS as_of, s.value
+    FROM events e ASOF LEFT JOIN seen s ON e.user_id = s.user_id AND e.ts >= s.ts
+    WHERE e.event_type = 'error'"""
+SQL["category_tiers"] = f"""WITH {CATALOG},
+    cut AS (SELECT category, floor(CAST(min(price) AS DOUBLE) + (CAST(max(price) AS DOUBLE) - CAST(min(price) AS DOUBLE)) * 1 / 3) AS a,
+                   floor(CAST(min(price) AS DOUBLE) + (CAST(max(price) AS DOUBLE) - CAST(min(price) AS DOUBLE)) * 2 / 3) AS b
+            FROM catalog GROUP BY category)
+    SELECT category, CASE WHEN price < a THEN 'low' WHEN price < b THEN 'middle' ELSE 'high' END AS label,
+           count(*) AS n, CAST(sum(price) AS DOUBLE) AS total
+    FROM catalog JOIN cut USING (category) GROUP BY ALL"""
+TWO_CATALOGS = f"""{CATALOG},
+earlier AS (SELECT id, category, price FROM catalog),
+later AS (
+  SELECT id, category, CASE WHEN id % 5 = 0 THEN price + 1 ELSE price END AS price FROM earlier WHERE id % 8 <> 0
+  UNION ALL SELECT id + 10000000, category, price FROM earlier WHERE id % 9 = 0)"""
+SQL["catalog_changes"] = f"""WITH {TWO_CATALOGS}
+    SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'insert' WHEN b.id IS NULL THEN 'delete' ELSE 'update' END AS change,
+           CAST(a.price AS DOUBLE) AS before, CAST(b.price AS DOUBLE) AS after
+    FROM earlier a FULL JOIN later b ON a.id = b.id
+    WHERE a.id IS NULL OR b.id IS NULL OR a.price IS DISTINCT FROM b.price"""
+SQL["catalog_applied"] = f"WITH {TWO_CATALOGS} SELECT id, category, CAST(price AS DOUBLE) AS price FROM later"
+SQL["kpi_levels"] = f"""WITH {CATALOG}, rows AS (
+      SELECT category, CASE WHEN price < 25 THEN '0-25' WHEN price < 75 THEN '25-75' WHEN price < 200 THEN '75-200' ELSE '200+' END
+             AS price_bucket, price, rating_rate
+      FROM catalog WHERE price > 0 AND length(title) > 0)
+    SELECT CASE grouping(category, price_bucket) WHEN 0 THEN 'category and tier' WHEN 1 THEN 'category' WHEN 2 THEN 'tier' ELSE 'all' END
+             AS level, category, price_bucket, count(*) AS product_count, CAST(sum(price) AS DOUBLE) AS total_inventory_value,
+           CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price,
+           CAST(round(CAST(sum(rating_rate) / CAST(count(rating_rate) AS DECIMAL(20,6)) AS DECIMAL(18,6)), 2) AS DOUBLE) AS avg_rating
+    FROM rows GROUP BY GROUPING SETS ((category, price_bucket), (category), (price_bucket), ())"""
+SQL["sketch_spans"] = """
+    SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS users_close, true AS median_close
+    FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-16' GROUP BY event_type"""
+SQL["bronze_content"] = "SELECT count(*) AS n, count(*) AS written, true AS found FROM events"
 SQL["batch_fields"] = SQL["incremental_fields"]
 SQL["rejects_stored"] = SQL["rejects"]
 SQL["replay"] = SQL["gold_kpis"]

@@ -82,6 +82,31 @@ def price_buckets(silver: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     )
 
 
+def kpis_by_level(silver: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """Valid rows by category and tier, by category, by tier, and in all, from one pass and one shuffle.
+
+    ``level`` names the columns a row is grouped by; the others are NULL in it. The average rating is
+    that of the rows, not of the groups below.
+    """
+    price = F.col(roles.price)
+    label = tier(price, roles.tier_bounds, roles.tier_labels)
+    rows = silver.where("is_valid").select(
+        F.col(roles.category).alias("category"), label.alias("price_bucket"), price.alias("price"), "rating_rate"
+    )
+    sets = [["category", "price_bucket"], ["category"], ["price_bucket"], []]
+    levels = ("category and tier", "category", "tier", "all")
+    grouped = rows.groupingSets(sets, "category", "price_bucket").agg(
+        F.grouping_id().alias("__level"),
+        F.count(F.lit(1)).alias("product_count"),
+        F.sum("price").alias("total_inventory_value"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        _rounded(F.avg("rating_rate")).alias("avg_rating"),
+    )
+    named = F.element_at(F.array(*map(F.lit, levels)), (F.col("__level") + 1).cast("int")).alias("level")
+    return grouped.select(named, *[name for name in grouped.columns if name != "__level"])
+
+
 def write_gold(
     df: DataFrame, root: str, table: str, *, fmt: str = "parquet", swap: bool = True
 ) -> None:

@@ -1,0 +1,133 @@
+"""Intervals, the state at a moment, range joins and versions against plain Python."""
+
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from refinery.operators.ranges import range_join
+from refinery.operators.timeline import as_of_join, history
+from refinery.operators.versions import apply_rows, diff_keys, diff_rows
+
+EVENTS = "k string, at timestamp_ntz, v int, w string"
+
+
+def frame(spark, rows, schema=EVENTS):
+    """Moments are given in hours from the start of 2024, so that slices of a day are crossed."""
+    raw = schema.replace("timestamp_ntz", "double")
+    hours = spark.createDataFrame([(k, None if h is None else float(h), *rest) for k, h, *rest in rows], raw)
+    moment = F.timestamp_add("SECOND", (F.col("at") * 3600).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    return hours.withColumn("at", moment)
+
+
+def hour(moment):
+    return None if moment is None else (moment.toordinal() - 738886) * 24 + moment.hour + moment.minute / 60
+
+
+def states(rows):
+    """(key, hour) -> the greatest values."""
+    best = {}
+    for k, h, *values in rows:
+        if h is not None:
+            rank = [(x is not None, x if x is not None else 0) for x in values]
+            if (k, h) not in best or rank > best[k, h][0]:
+                best[k, h] = rank, tuple(values)
+    return {place: values for place, (_, values) in best.items()}
+
+
+def brute_history(rows):
+    found = []
+    for key in {k for k, *_ in rows}:
+        moments = sorted((h, values) for (k, h), values in states(rows).items() if k == key)
+        runs = [m for i, m in enumerate(moments) if i == 0 or moments[i - 1][1] != m[1]]
+        for i, (h, values) in enumerate(runs):
+            found.append((key, *values, h, runs[i + 1][0] if i + 1 < len(runs) else None))
+    return sorted(found, key=repr)
+
+
+ROWS = st.lists(
+    st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.sampled_from([0, 0.5, 3, 23.5, 24, 30, 47, 100, 500])),
+              st.one_of(st.none(), st.integers(0, 2)), st.sampled_from(["x", None])), min_size=1, max_size=25,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS)
+def test_history(spark, rows):
+    found = history(frame(spark, rows), "k", "at", ["v", "w"]).collect()
+    got = sorted(((r.k, r.v, r.w, hour(r.valid_from), hour(r.valid_to)) for r in found), key=repr)
+    assert got == brute_history(rows)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=ROWS, right=ROWS)
+def test_as_of_join(spark, left, right):
+    sides = frame(spark, left).withColumnsRenamed({"v": "lv", "w": "lw"}), frame(spark, right)
+    found = as_of_join(*sides, "k", left_at="at", right_at="at", values=["v", "w"]).collect()
+    known, expected = states(right), []
+    for k, h, lv, lw in left:
+        earlier = [(t, v) for (key, t), v in known.items() if key == k and k is not None and h is not None and t <= h]
+        t, values = max(earlier, key=lambda x: x[0]) if earlier else (None, (None, None))
+        expected.append((k, h, lv, lw, t, *values))
+    got = sorted(((r.k, hour(r.at), r.lv, r.lw, hour(r.as_of), r.v, r.w) for r in found), key=repr)
+    assert got == sorted(expected, key=repr)
+
+
+def test_columns_of_both_sides_are_refused(spark):
+    rows = frame(spark, [("a", 1, 1, "x")])
+    with pytest.raises(ValueError, match="both sides"):
+        as_of_join(rows, rows, "k", left_at="at", right_at="at", values=["v"])
+
+
+def test_a_hot_key_is_many_tasks(spark):
+    hot = spark.range(40_000, numPartitions=8).select(
+        F.lit("hot").alias("k"), F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at"),
+        (F.col("id") % 7).cast("int").alias("v"),
+    )
+    changes = hot.where("v = 3").withColumnsRenamed({"v": "price"})
+    found = as_of_join(hot, changes, "k", left_at="at", right_at="at", values=["price"])
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 40_000 and max(r["count"] for r in sizes) < 16_000
+    assert history(hot, "k", "at", ["v"]).count() == 40_000
+
+
+def test_ranges_of_any_length(spark):
+    rng = random.Random(4)
+    ranges = [(g, lo, None if lo is None else lo + rng.choice([0, 0.01, 1, 7, 300, 1e6]), i) for i, (g, lo) in enumerate(
+        (rng.choice("ab"), rng.choice([None, -5.0, 0.0, 3.5, 100.0, 1e5])) for _ in range(30))]
+    ranges += [("a", 2.0, None, 98), ("b", None, 4.0, 99), ("a", 9.0, 1.0, 97)]
+    values = [(rng.choice("abc"), rng.choice([None, -5.0, -4.99, 0.0, 3.505, 99.0, 107.0, 1e5, 2e6]), i) for i in range(60)]
+    left = spark.createDataFrame(values, "g string, x double, id int")
+    right = spark.createDataFrame(ranges, "g string, lower double, upper double, label int")
+    joined = range_join(left, right, "x", by=["g"])
+    expected = sorted(
+        (i, label) for g, x, i in values for h, lo, hi, label in ranges
+        if g == h and (lo is None or x is None or x >= lo) and (hi is None or (x is not None and x < hi))
+        and not (lo is not None and hi is not None and hi <= lo)
+    )
+    assert sorted((r.id, r.label) for r in joined.collect()) == expected
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_differences_of_versions(spark):
+    old = [(1, "a"), (1, "a"), (2, None), (3, "c"), (None, "n"), (None, "n")]
+    new = [(1, "a"), (2, None), (2, None), (3, "d"), (None, "n"), (4, "e")]
+    a, b = (spark.createDataFrame(rows, "k int, v string") for rows in (old, new))
+    changes = diff_rows(a, b)
+    assert {(r.k, r.v): r["__count"] for r in changes.collect()} == {
+        (1, "a"): -1, (2, None): 1, (3, "c"): -1, (3, "d"): 1, (None, "n"): -1, (4, "e"): 1}
+    assert sorted(map(str, apply_rows(a, changes).collect())) == sorted(map(str, b.collect()))
+    assert diff_rows(a, a).count() == 0
+    plan = diff_rows(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(ValueError):
+        diff_rows(a, b.withColumn("z", F.lit(1)))
+
+
+def test_differences_by_key(spark):
+    a = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (None, "n")], "k int, v string")
+    b = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d"), (None, "m")], "k int, v string")
+    found = {r.k: (r.change, r.before and r.before.v, r.after and r.after.v) for r in diff_keys(a, b, "k").collect()}
+    assert found == {2: ("update", None, "b"), 3: ("delete", "c", None), 4: ("insert", None, "d"), None: ("update", "n", "m")}

@@ -16,10 +16,16 @@ from refinery.contracts import CATEGORY_KPIS, RAW, bronze_schema, enforce_contra
 from refinery.functions import has_rating, is_valid, normalized
 from refinery.operators import (
     REASON,
+    apply_rows,
+    as_of_join,
+    diff_keys,
+    diff_rows,
+    history,
     label_rejects,
     late_arrivals,
     latest_per_key,
     merge_unique,
+    range_join,
     rejected,
     require_fields,
     share_of_total,
@@ -37,10 +43,13 @@ from refinery.plans import (
     write_gold,
 )
 from refinery.plans import reports
+from refinery.plans.bronze import content_of, verify_content, write_watched
 from refinery.plans.compaction import compact_bronze, vacuum_bronze
+from refinery.plans.gold import kpis_by_level
 from refinery.plans.gold_state import refresh
 from refinery.plans.medallion import Layout, load_bronze, replay as replay_chain, run
 from refinery.plans.silver import flatten_rating
+from refinery.plans.sketches import daily_sketches, estimates, merged_sketches
 from refinery.sources import discover_schema, read_bronze, read_gold, read_raw, read_silver
 from refinery.storage import name_scratch_locally, shared_dir
 from refinery.streaming import ingest_new_files, merge_new_rows
@@ -288,6 +297,91 @@ def upsert_join(spark, sf_dir):
     return merged.select("user_id", "event_id", "event_type", "value")
 
 
+# --- time, ranges and versions ----------------------------------------------------------
+
+
+def _micros(name: str) -> Column:
+    return F.unix_micros(F.col(name).cast("timestamp")).alias(name)
+
+
+def key_history(spark, sf_dir):
+    """What each user did last, and from when until when."""
+    states = history(table(spark, sf_dir, "events"), "user_id", "ts", ["event_type"])
+    return states.select("user_id", "event_type", _micros("valid_from"), _micros("valid_to"))
+
+
+def as_of(spark, sf_dir):
+    """Each error with the last view of its user before it."""
+    events = table(spark, sf_dir, "events")
+    errors = events.where("event_type = 'error'").select("event_id", "user_id", "ts")
+    views = events.where("event_type = 'view'").withColumnRenamed("ts", "seen")
+    found = as_of_join(errors, views, "user_id", left_at="ts", right_at="seen", values=["value"])
+    return found.select("event_id", "user_id", _micros("as_of"), "value")
+
+
+def category_tiers(spark, sf_dir):
+    """Parts by tiers whose bounds differ by category: thirds of its range of prices."""
+    items = catalog(spark, sf_dir).select("id", "category", "price")
+    low, high = F.min("price").cast("double"), F.max("price").cast("double")
+    cut = items.groupBy("category").agg(*[F.floor(low + (high - low) * k / 3).alias(f"cut{k}") for k in (1, 2)])
+    bounds = [(F.lit(None).cast("bigint"), "cut1", "low"), ("cut1", "cut2", "middle"), ("cut2", F.lit(None).cast("bigint"), "high")]
+    tiers = cut.select(
+        "category",
+        F.inline(F.array(*[
+            F.struct((F.col(a) if isinstance(a, str) else a).alias("lower"), (F.col(b) if isinstance(b, str) else b).alias("upper"), F.lit(label).alias("label"))
+            for a, b, label in bounds
+        ])),
+    )
+    found = range_join(items, tiers, "price", by=["category"])
+    return doubles(found.groupBy("category", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("total")), "total")
+
+
+def _two_catalogs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The catalog, and a later one: parts gone, dearer and new."""
+    old = catalog(spark, sf_dir).select("id", "category", "price")
+    dearer = F.when(F.col("id") % 5 == 0, (F.col("price") + 1).cast(MONEY)).otherwise(F.col("price"))
+    added = old.where("id % 9 = 0").withColumn("id", F.col("id") + 10_000_000)
+    return old, old.where("id % 8 <> 0").withColumn("price", dearer).unionByName(added)
+
+
+def catalog_changes(spark, sf_dir):
+    changes = diff_keys(*_two_catalogs(spark, sf_dir), "id")
+    prices = [F.col(f"{side}.price").cast("double").alias(side) for side in ("before", "after")]
+    return changes.select("id", "change", *prices)
+
+
+def catalog_applied(spark, sf_dir):
+    """The later catalog again, from the earlier one and the rows that differ."""
+    old, new = _two_catalogs(spark, sf_dir)
+    return doubles(apply_rows(old, diff_rows(old, new)), "price")
+
+
+def kpi_levels(spark, sf_dir):
+    return doubles(kpis_by_level(catalog(spark, sf_dir)), "total_inventory_value", "min_price", "max_price", "avg_rating")
+
+
+def sketch_spans(spark, sf_dir):
+    """Users and median value of the first weeks, from sketches by day, beside the exact ones.
+
+    The estimates may be off by 5 percent of the users and 2 percent of the ranks.
+    """
+    place = Layout(shared_dir(spark, "sketch_spans"))
+    events = table(spark, sf_dir, "events")
+    daily_sketches(events, ["event_type"], F.to_date("ts"), "user_id", "value").write.parquet(place.at("sketches"))
+    days = F.col("day") < F.lit(HALF).cast("date")
+    found = estimates(merged_sketches(spark.read.parquet(place.at("sketches")).where(days), ["event_type"]))
+    span = events.where(F.to_date("ts") < F.lit(HALF).cast("date"))
+    compared = span.join(found.select("event_type", "distinct_keys", F.col("quantiles")[0].alias("median")), "event_type")
+    exact = compared.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.any_value("distinct_keys").alias("estimate"),
+        F.avg((F.col("value") < F.col("median")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("int")).alias("up_to"),
+    )
+    users_close = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(0.05 * F.col("users"), F.lit(1))
+    return exact.select(
+        "event_type", "n", "users", users_close.alias("users_close"), ((F.col("below") <= 0.52) & (F.col("up_to") >= 0.48)).alias("median_close")
+    )
+
+
 # --- sources and sinks ------------------------------------------------------------------
 
 
@@ -438,6 +532,17 @@ def bronze_count(spark, sf_dir):
     return read_bronze(spark, place.bronze).agg(F.count(F.lit(1)).alias("n"))
 
 
+def bronze_content(spark, sf_dir):
+    """Rows written, whether they are read back as they were, and whether one altered cell is found."""
+    place = _land(spark, sf_dir, shared_dir(spark, "bronze_content"))
+    written = write_watched(read_raw(spark, place.raw, schema=RAW_EVENTS), place.bronze)
+    stored = read_bronze(spark, place.bronze)
+    verify_content(stored, written)
+    altered = stored.withColumn("price", F.when(F.col("event_id") == "7", F.concat("price", F.lit("0"))).otherwise(F.col("price")))
+    found = content_of(altered) != written
+    return stored.agg(F.count(F.lit(1)).alias("n"), F.lit(written.rows).cast("bigint").alias("written"), F.lit(found).alias("found"))
+
+
 def _silver_rows(silver: DataFrame) -> DataFrame:
     return silver.select(
         "id",
@@ -707,6 +812,14 @@ _QUERIES: dict[str, Query] = {
     "rejects": rejects,
     "upsert": upsert_union,
     "upsert_join": upsert_join,
+    "key_history": key_history,
+    "as_of": as_of,
+    "category_tiers": category_tiers,
+    "catalog_changes": catalog_changes,
+    "catalog_applied": catalog_applied,
+    "kpi_levels": kpi_levels,
+    "sketch_spans": sketch_spans,
+    "bronze_content": bronze_content,
     "landing": landing,
     "raw_scan": raw_scan,
     "raw_discovered": raw_discovered,

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from refinery.llm.stored import stored
 from refinery.llm.textbatch import blocks, salted, slices
 
 UNKNOWN = "und"
@@ -30,6 +31,8 @@ PER_LANGUAGE, PARTS = 2048, 64
 LEAST_SHARE, LEAST_PART = 0.005, 0.2
 #: An n-gram has to occur in two documents where a language has at least so many to learn from.
 ENOUGH = 20
+#: More languages than this are an error: the masks, 4 MB for 64 of them, go to every task.
+MOST_LANGUAGES = 1024
 
 
 def plain_letters(column: pa.Array) -> pa.Array:
@@ -71,14 +74,15 @@ def places(grams: np.ndarray, slots: int = SLOTS) -> np.ndarray:
 class LanguageFilters:
     languages: list[str]
     masks: np.ndarray  # (words of 64 languages, slots)
+    common: int = 0  # the language with the most learned documents
 
     def chance(self) -> np.ndarray:
         """Per language, the probability that an n-gram it never saw seems to be in its filter."""
         fill = [((self.masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(self.languages))]
         return np.array(fill) ** HASHES
 
-    def shares(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Per row and language, the corrected share of n-grams in the language's filter."""
+    def hits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row the number of n-grams, and per row and language how many seem to be in its filter."""
         rows, total = len(offsets) - 1, np.zeros(len(offsets) - 1)
         hits = np.zeros((rows, len(self.languages)))
         for grams, at in _row_ngrams(data, offsets):
@@ -92,40 +96,75 @@ class LanguageFilters:
                     bits = ((found >> np.uint64(i % 64)) & np.uint64(1)).astype(np.int64)
                     sums = np.concatenate(([0], np.cumsum(bits)))
                     hits[:, i] += sums[at[1:]] - sums[at[:-1]]
+        return total, hits
+
+    def shares(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Per row and language, the corrected share of n-grams in the language's filter."""
+        return self._corrected(*self.hits(data, offsets))
+
+    def _corrected(self, total: np.ndarray, hits: np.ndarray) -> np.ndarray:
         chance = self.chance()
         expected = total[:, None] * chance
         return np.clip((hits - expected) / (1 - chance) / np.maximum(total, 1)[:, None], 0, 1)
 
+    def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Language and score of each row of :func:`plain_letters`."""
+        rows = len(offsets) - 1
+        if not self.languages:
+            return [UNKNOWN] * rows, np.zeros(rows)
+        total, hits = self.hits(data, offsets)
+        shares = self._corrected(total, hits)
+        best, score = shares.argmax(axis=1), shares.max(axis=1)
+        # No language above chance: the most hits as they are, or else the most common language.
+        best = np.where(score > 0, best, np.where(hits.max(axis=1) > 0, hits.argmax(axis=1), self.common))
+        # A text without a letter is two spaces, which no n-gram fits in.
+        lettered = np.diff(offsets) > 2
+        return [self.languages[i] if x else UNKNOWN for i, x in zip(best, lettered)], np.where(lettered, score, 0.0)
+
 
 def fit(documents: DataFrame, learn_from: Column) -> LanguageFilters:
-    """Filters learned from the text and lang of the rows that ``learn_from`` holds for."""
-    spark = documents.sparkSession
+    """Filters learned from the text and lang of the rows that ``learn_from`` holds for.
+
+    Rows with a null text or lang teach nothing; a null doc_id is an id like others. Rows that repeat
+    doc_id, lang and text are one document, so they take one place of the sample. The sample is at most
+    ``PER_LANGUAGE`` documents of each language, stored in the shared folder; more than
+    ``MOST_LANGUAGES`` different values of lang are refused.
+    """
     rows = documents.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    hashed = F.xxhash64("doc_id")
+    rows = rows.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("hash"))
     # A language may hold most rows: its parts are ranked apart from each other.
-    order = Window.partitionBy("lang", F.pmod(hashed, F.lit(PARTS))).orderBy(hashed, "doc_id")
-    ranked = rows.select("doc_id", "lang", F.row_number().over(order).alias("place"))
-    chosen = ranked.filter(F.col("place") <= PER_LANGUAGE // PARTS).select("doc_id", "lang").distinct()
-    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
-    counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, gram bigint, n bigint")
-    counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    sizes = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
-    languages = sorted(r.lang for r in sizes.select("lang").collect())
+    order = Window.partitionBy("lang", F.pmod("hash", F.lit(PARTS))).orderBy("hash")
+    ranked = rows.select("lang", "hash").distinct().select("lang", "hash", F.row_number().over(order).alias("place"))
+    chosen = ranked.filter(F.col("place") <= PER_LANGUAGE // PARTS).select("lang", "hash")
+    taken = rows.join(chosen, ["lang", "hash"], "left_semi").groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    sample = stored(taken, "languages")
+    sizes = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
+    learned = {row.lang: row.documents for row in sizes.limit(MOST_LANGUAGES + 1).collect()}
+    if len(learned) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    languages = sorted(learned)
     masks = np.zeros(((len(languages) + 63) // 64, SLOTS), np.uint64)
     if not languages:
         return LanguageFilters([], masks)
+    numbers = {name: i for i, name in enumerate(languages)}
+    spots = kept_ngrams(sample, sizes).mapInArrow(_spots(numbers), "word int, place bigint, mask bigint")
+    spots = stored(spots.groupBy("word", "place").agg(F.bit_or("mask").alias("mask")), "masks")
+    for word in range(len(masks)):
+        # At most one row per table position: the size of the filters, whatever the input.
+        table = spots.where(F.col("word") == word).select("place", "mask").toArrow()
+        masks[word, np.asarray(table["place"])] = np.asarray(table["mask"]).view(np.uint64)
+    return LanguageFilters(languages, masks, max(range(len(languages)), key=lambda i: learned[languages[i]]))
+
+
+def kept_ngrams(sample: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(lang, gram) of the n-grams that speak for a language."""
+    counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, gram bigint, n bigint")
+    counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     share = F.col("n") / F.col("documents")
-    shares = counted.join(F.broadcast(sizes), "lang").select("lang", "gram", share.alias("share"), "n", "documents")
+    shares = counted.join(sizes, "lang").select("lang", "gram", share.alias("share"), "n", "documents")
     most = shares.groupBy("gram").agg(F.max("share").alias("most"))
-    kept = shares.join(most, "gram").filter(
-        ((F.col("n") >= 2) | (F.col("documents") < ENOUGH)) & (F.col("share") >= LEAST_SHARE) & (F.col("share") >= LEAST_PART * F.col("most"))
-    )
-    numbers = {name: i for i, name in enumerate(languages)}
-    spots = kept.select("lang", "gram").mapInArrow(_spots(numbers), "word int, place bigint, mask bigint")
-    # At most one row per table position: the size of the filters, whatever the input.
-    for row in spots.groupBy("word", "place").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
-        masks[row.word, row.place] = np.array(row.mask, np.int64).view(np.uint64)
-    return LanguageFilters(languages, masks)
+    enough = ((F.col("n") >= 2) | (F.col("documents") < ENOUGH)) & (F.col("share") >= LEAST_SHARE)
+    return shares.join(most, "gram").filter(enough & (F.col("share") >= LEAST_PART * F.col("most"))).select("lang", "gram")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +201,11 @@ def _spots(numbers: dict[str, int]):
 def predict(documents: DataFrame, filters: LanguageFilters) -> DataFrame:
     """All columns of ``documents`` and lang_pred, score.
 
-    lang_pred is ``und`` and score 0 if the text is null or has no letter, if no language was
-    learned, or if no language's corrected count is above zero. Ties go to the language first in
-    the alphabet. Columns that already have these names are replaced.
+    lang_pred is ``und`` and score 0 if the text is null or has no letter, or if no language was
+    learned. A text whose counts are no higher than chance has the score 0, and the language with the
+    most hits before correction, or else the one with the most learned documents. Ties go to the
+    language first in the alphabet. A text of any length is read whole. Columns that already have
+    these names are replaced; others pass through, whatever their names.
     """
     shared = documents.sparkSession.sparkContext.broadcast(filters)
     documents = documents.drop("lang_pred", "score")
@@ -174,11 +215,8 @@ def predict(documents: DataFrame, filters: LanguageFilters) -> DataFrame:
         model = shared.value
         for batch in (part for whole in batches for part in slices(whole, "text")):
             for row, data, offsets in blocks(plain_letters(batch.column("text"))):
-                rows = len(offsets) - 1
-                shares = model.shares(data, offsets) if model.languages else np.zeros((rows, 1))
-                best, score = shares.argmax(axis=1), shares.max(axis=1)
-                found = [model.languages[i] if s > 0 else UNKNOWN for i, s in zip(best, score)]
-                part = batch.slice(row, rows)
+                found, score = model.judge(data, offsets)
+                part = batch.slice(row, len(found))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(found, pa.string()), pa.array(score)], [*names, "lang_pred", "score"]
                 )

@@ -1,9 +1,10 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from refinery.llm import bitmask_lang as lang
-from refinery.llm.bitmask_lang import LanguageFilters, identify, ngrams, places, plain_letters
+from refinery.llm.bitmask_lang import LanguageFilters, fit, identify, ngrams, places, plain_letters
 from refinery.llm.queries import op3
 from refinery.llm.textbatch import string_buffers
 
@@ -65,7 +66,8 @@ def test_edge_rows(spark):
     by_id = {r.doc_id: (r.lang_pred, r.score) for r in found}
     assert by_id[900] == by_id[901] == by_id[902] == ("und", 0.0)
     assert [by_id[i][0] for i in (903, 904, None, 905, 906)] == ["fr", "de", "en", "en", "de"]
-    assert all(0 <= r.score <= 1 for r in found) and by_id[907] == ("und", 0.0)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert by_id[907] == ("de", 0.0)  # the first in the alphabet of the languages with the most documents
 
 
 def test_nothing_learned_and_no_rows(spark):
@@ -86,3 +88,62 @@ def test_a_language_with_a_single_document_is_learned(spark):
     found = identify(corpus(spark, [(50, rare, "pl"), (950, rare, None), (951, "brązowy lis i leniwy pies", None)]), F.col("doc_id") < 60)
     by_id = {r.doc_id: (r.lang_pred, r.score) for r in found.where("doc_id >= 950").collect()}
     assert [by_id[i][0] for i in (950, 951)] == ["pl", "pl"] and by_id[950][1] > 0.9
+
+
+def test_texts_with_letters_have_a_language(spark):
+    extra = [(900 + i, text, None) for i, text in enumerate(["漢字仮名", "zzqxj", "x", "1x", "ß", "٣", "...", " \n"])]
+    found = {r.doc_id: r.lang_pred for r in identify(corpus(spark, extra), F.col("doc_id") < 60).where("doc_id >= 900").collect()}
+    assert all(found[i] in TEXTS for i in range(900, 905)) and {found[i] for i in (905, 906, 907)} == {"und"}
+
+
+def test_null_ids_teach_like_others(spark):
+    rows = [(i, f"{TEXTS['en']} {i}", "en") for i in range(30)] + [(None, f"{TEXTS['fr']} {i}", "fr") for i in range(30)]
+    rows += [(900, "le renard est parti avec le vent", None), (901, "the fox is gone", None)]
+    found = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True)).collect()}
+    assert (found[900], found[901]) == ("fr", "en")
+
+
+def expected_grams(rows):
+    """lang -> n-grams, by sets of whole documents."""
+    documents = {}
+    for doc_id, text, language in rows:
+        if text is not None and language is not None:
+            documents.setdefault(language, set()).add((doc_id, text))
+    counts = {}
+    for language, texts in documents.items():
+        for _, text in texts:
+            plain = plain_letters(pa.array([text]))
+            data, offsets = string_buffers(plain)
+            grams = {int(g) for order in lang.ORDERS for g in ngrams(data, offsets, order)[0]}
+            for gram in grams:
+                counts.setdefault(gram, {}).setdefault(language, 0)
+                counts[gram][language] += 1
+    kept = {language: set() for language in documents}
+    for gram, by in counts.items():
+        shares = {language: n / len(documents[language]) for language, n in by.items()}
+        for language, n in by.items():
+            enough = n >= 2 or len(documents[language]) < lang.ENOUGH
+            if enough and shares[language] >= lang.LEAST_SHARE and shares[language] >= lang.LEAST_PART * max(shares.values()):
+                kept[language].add(gram)
+    return kept
+
+
+def test_fit_equals_brute_force(spark):
+    rows = [(i, f"{TEXTS[n]} {'abcdefgh'[i % 8]}{'ijklm'[i % 5]}", n) for i, n in enumerate(list(TEXTS) * 12)]
+    rows += [(None, "ein satz ohne nummer", "de"), (None, "noch ein satz", "de"), (3, "another text of one id", "en"), (70, "rzadki język", "pl")]
+    rows += [rows[0]] * 50 + [(80, None, "en"), (81, "untaught text", None)]
+    filters = fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True))
+    kept = expected_grams(rows)
+    assert filters.languages == sorted(kept)
+    masks = np.zeros_like(filters.masks)
+    for i, language in enumerate(filters.languages):
+        for spot in places(np.array(sorted(kept[language]), np.uint64)).reshape(-1):
+            masks[0, spot] |= np.uint64(1 << i)
+    assert (filters.masks == masks).all()
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(lang, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="languages"):
+        fit(corpus(spark), F.lit(True))
+    fit(corpus(spark).where("lang <> 'fr'"), F.lit(True))

@@ -8,10 +8,12 @@ content region; its lines are the text, a short paragraph between two long ones
 those of other elements that hold cluster lines and running text like the region's. ``article`` and
 ``main`` are a prior only, see :func:`_region`.
 
-Elements that are never article text are left out by their tag, role or whole name: menus, headers
-and footers of a page, adverts, cookie banners, readers' comments, anything hidden. Forms, and what a
-name only suggests (sidebars, notices, discussions), are in doubt: they stay in the region if their
-own text per element and their links look like its text, or if they hold the heaviest clusters.
+Elements that are never article text are left out by their tag or role: menus, headers and footers of
+a page, anything hidden. Adverts, cookie banners and readers' comments by their whole name, and
+``noscript``, are set aside: they are the text only of a page whose other lines hold no running text.
+Forms, and what a name only suggests (sidebars, notices, discussions, a section on consent within an
+article), are in doubt: they stay in the region if their own text per element and their links look
+like its text, or if they hold the heaviest clusters.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ MARKED = 0.5
 BESIDE = 0.25
 #: The same for an element in doubt inside the region.
 DOUBTED = 1 / 3
+#: Characters of clusters outside an article or main from which on a page has running text, half a sentence.
+LEAST_TEXT = 40
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -44,7 +48,7 @@ _BLOCK = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 _SKIPPED = frozenset(
-    "head script style noscript template svg math iframe object embed canvas audio video map nav aside footer "
+    "head script style template svg math iframe object embed canvas audio video map nav aside footer "
     "button select option textarea input dialog menu".split()
 )
 _RAW = frozenset("script style".split())
@@ -57,6 +61,10 @@ _NEVER = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsors sponsored cookie "
     "cookies consent gdpr comments disqus hidden sr-only visually-hidden skip-link comment".split()
 )
+#: Names of what is not shown.
+_HIDDEN = frozenset("hidden sr-only visually-hidden skip-link".split())
+#: Of these words, those that an article may have a section on.
+_TOPICS = frozenset("cookie cookies consent gdpr sponsor sponsors".split())
 #: Words that only suggest it, where a name ends in them (and in ``_PLACES``).
 _SUGGESTS = _NEVER | frozenset(
     "leaderboard skyscraper promo promos promotion promotions banner banners nav navbar navigation menu menus "
@@ -81,7 +89,7 @@ _IS_HEADER = re.compile(f"{_NOT_NEGATED}(?:header|top)(?:-(?:{_PLACED}))*$")
 _IS_TITLE = re.compile("post|entry|article|content|title")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _MARKS = ("article", "main")
-_SECTIONS = frozenset("article main section div td body".split())
+_SECTIONS = frozenset("article main section div td noscript body".split())
 _ENDS_P = _BLOCK - {"body", "html"}
 #: Tags whose open element a new one of the same group closes.
 _CLOSED_BY = {
@@ -100,6 +108,8 @@ class _Element:
     parent: "_Element | None"
     #: Itself and the elements around it, as far as they are in doubt.
     doubts: "tuple[_Element, ...]" = ()
+    #: Whether it or an element around it is set aside.
+    aside: bool = False
     #: Start tags before its own content and up to its end.
     before: int = 0
     upto: int = 0
@@ -127,43 +137,64 @@ class _Events(HTMLParser):
         self.lines: list[_Line] = []
         self.open = [_Element("", 0, False, None)]
         self.made, self.parts, self.tags, self.linked, self.links, self.started = 0, [], 0, 0, 0, 0
+        self.parts_aside, self.tags_aside, self.linked_aside = [], 0, 0
 
     def _end_line(self) -> None:
+        if self.open[-1].aside:
+            self._end_aside()
+        else:
+            self._end_plain(self.open[-1])
+
+    def _end_plain(self, holder: _Element) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append(_Line(self.open[-1], text, self.tags, min(self.linked, len(text))))
-            self.tags = 0
+            self.lines.append(_Line(holder, text, self.tags, min(self.linked, len(text))))
+            self.tags = self.tags_aside = 0
         self.parts, self.linked = [], 0
 
-    def _is_skipped(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
-        """Whether an element is skipped, and whether it is in doubt."""
+    def _end_aside(self) -> None:
+        """A line set aside has its own text and tags: the line around it goes on as if it were not there."""
+        text = _SPACE.sub(" ", "".join(self.parts_aside)).strip()
+        if text:
+            self.lines.append(_Line(self.open[-1], text, self.tags_aside, min(self.linked_aside, len(text))))
+            self.tags_aside = 0
+        self.parts_aside, self.linked_aside = [], 0
+
+    def _judged(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """What becomes of an element: "skipped", "aside", "doubted", or "" for one like others."""
         if tag in _SKIPPED:
-            return True, False
+            return "skipped"
         named = dict(attrs)
         inside = {e.tag for e in self.open}
         if tag == "header" and not inside & {"article", "main"}:
-            return True, False
+            return "skipped"
         role = (named.get("role") or "").lower()
         if "hidden" in named or named.get("aria-hidden") == "true" or role in _ROLES:
-            return True, False
+            return "skipped"
         style = (named.get("style") or "").replace(" ", "").lower()
         if "display:none" in style or "visibility:hidden" in style:
-            return True, False
+            return "skipped"
         if tag in ("html", "body", "article", "main") or re.fullmatch(r"h[1-6]", tag):
-            return False, False
+            return ""
+        if tag == "noscript":
+            return "aside"
         tokens = [token for key in ("class", "id") for token in _tokens(named.get(key) or "")]
-        if any(_IS_NEVER.fullmatch(token) for token in tokens):
-            return True, False
+        if _HIDDEN & set(tokens):
+            return "skipped"
+        topics = _TOPICS if "article" in inside else frozenset()
+        if any(_IS_NEVER.fullmatch(token) and token not in topics for token in tokens):
+            return "aside"
         doubted = tag == "form" or role == "form" or any(_IS_SUGGESTED.search(token) for token in tokens)
         if not doubted and not inside & {"article", "main"}:
             doubted = any(_IS_HEADER.search(token) and not _IS_TITLE.search(token) for token in tokens)
-        return False, doubted
+        return "doubted" if doubted else ""
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
+        self.tags_aside += 1
         self.started += 1
         if tag == "br":
-            self.parts.append("\n")
+            (self.parts_aside if self.open[-1].aside else self.parts).append("\n")
         if tag in _BLOCK:
             self._end_line()
             if tag in _ENDS_P:
@@ -176,9 +207,9 @@ class _Events(HTMLParser):
             return
         parent = self.open[-1]
         self.made += 1
-        skipped, doubted = self._is_skipped(tag, attrs)
-        e = _Element(tag, self.made, parent.skipped or skipped, parent, parent.doubts, self.started)
-        if doubted:
+        judged = self._judged(tag, attrs)
+        e = _Element(tag, self.made, parent.skipped or judged == "skipped", parent, parent.doubts, parent.aside or judged == "aside", self.started)
+        if judged == "doubted":
             e.doubts += (e,)
         self.open.append(e)
         self.links += tag == "a"
@@ -198,9 +229,14 @@ class _Events(HTMLParser):
 
     def _pop_to(self, i: int) -> None:
         self._end_line()
+        if self.open[-1].aside and not self.open[i].aside:
+            # What was set aside ends with the element around it.
+            self._end_plain(next(e for e in reversed(self.open) if not e.aside))
         self._end(i, len(self.open))
 
     def _end(self, i: int, j: int) -> None:
+        if self.open[-1].aside:
+            self._end_aside()
         for e in self.open[i:j]:
             e.upto = self.started
             self.links -= e.tag == "a"
@@ -208,6 +244,7 @@ class _Events(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        self.tags_aside += 1
         if tag in _BLOCK:
             self._end_line()
         for i in range(len(self.open) - 1, 0, -1):
@@ -226,6 +263,10 @@ class _Events(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1].skipped or self.open[-1].tag in _RAW:
             return
+        if self.open[-1].aside:
+            self.parts_aside.append(data)
+            self.linked_aside += len(data) if self.links else 0
+            return
         self.parts.append(data)
         if self.links:
             self.linked += len(data)
@@ -258,6 +299,17 @@ def _clusters(lines: list[_Line]) -> np.ndarray:
     return weights if weights.any() else plain
 
 
+def _without_asides(lines: list[_Line]) -> list[_Line]:
+    """The lines that are not set aside, or all of a page whose text is nowhere else.
+
+    A page has text elsewhere if an article or main has a line, or clusters have half a sentence.
+    """
+    rest = [line for line in lines if not line.holder.aside]
+    if len(rest) == len(lines) or any(_within(line.holder, _MARKS) for line in rest):
+        return rest
+    return rest if rest and _clusters(rest).sum() >= LEAST_TEXT else lines
+
+
 def _cleared(lines: list[_Line]) -> set[int]:
     """Numbers of the elements in doubt that hold the heaviest clusters.
 
@@ -367,7 +419,7 @@ def _region(lines: list[_Line], weights: np.ndarray, doubted: list[_Line], clear
 
 def main_text(html: str) -> str:
     """The text of a page's content region: its blocks in order, joined by one space."""
-    lines = lines_of(html)
+    lines = _without_asides(lines_of(html))
     if not lines:
         return ""
     cleared = _cleared(lines)

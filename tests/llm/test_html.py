@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from refinery.llm import html_density
 from refinery.llm.html_density import extract, main_text, smoothed
 
 LONG = "This is a paragraph of running text that goes on for a while, as articles do."
@@ -101,3 +102,67 @@ def test_a_page_in_one_form_has_its_text():
 
 def test_a_wrapper_named_like_a_part_keeps_the_page():
     assert main_text(f"<body><div id=top><div>{NINE}</div></div><div>(c) x</div></body>") == NINE_TEXT
+
+
+@pytest.mark.parametrize("named", ["div id=comments", "noscript", "div class=comment-list", "div class=ad-container"])
+def test_a_page_whose_text_stands_in_a_named_element_has_it(named):
+    nav, foot = "<nav><a href=/>Home</a></nav>", "<div>(c) x</div>"
+    page = main_text(f"<body>{nav}<{named}>{NINE}</{named.split()[0]}>{foot}</body>")
+    assert page == NINE_TEXT
+    # Beside other text, whatever its length, the same element is left out.
+    for other in (f"<p>{LONG}</p><p>{LONG}</p>", f"<article><p>{LONG}</p></article>", "<main><p>Short.</p></main>"):
+        assert NINE_TEXT not in main_text(f"<body>{nav}{other}<{named}>{NINE}</{named.split()[0]}>{foot}</body>")
+
+
+def test_inline_elements_set_aside_leave_the_line_whole():
+    for inside in ("<span class=ad>Buy <b>this</b></span>", "<noscript>Turn it on<br>now</noscript>", "<span class=comments><a href=/>9</a></span>"):
+        assert main_text(f"<article>{NINE}<p>Half a wo{inside}rd, {LONG}{inside}</p></article>") == f"{NINE_TEXT} Half a word, {LONG}"
+        assert main_text(f"<article><p>One{inside}<p>Two {LONG}</article>") == f"One Two {LONG}"
+
+
+@pytest.mark.parametrize("named", ["section id=consent", "section id=cookies", "div class=sponsors"])
+def test_a_section_of_an_article_on_such_a_topic_stays(named):
+    tag = named.split()[0]
+    assert main_text(f"<article>{NINE}<{named}><p>{LONG}</p><p>{LONG}</p></{tag}><p>{LONG}</p></article>") == f"{NINE_TEXT} {LONG} {LONG} {LONG}"
+    links = "".join(f"<a href=/{i}>Partner {i}</a> " for i in range(9))
+    assert main_text(f"<article>{NINE}<{named}>{links}</{tag}><p>{LONG}</p></article>") == f"{NINE_TEXT} {LONG}"
+
+
+def test_cookie_banners_stay_out():
+    for banner in ("div class=cookie-consent", "div id=cookies", "div class=gdpr", "div id=cookie-banner"):
+        assert main_text(f"<body><{banner}><p>{LONG}</p><button>OK</button></div><div>{NINE}</div></body>") == NINE_TEXT
+
+
+def items(n):
+    """Entries of a list without a name that tells, and without links: many tags, little text in each."""
+    return "".join(f"<div><span><i></i><b>Entry {i}</b><em></em></span><span></span><small>{i} pieces</small></div>" for i in range(n))
+
+
+PAGES = {
+    f"<body><div>{items(60)}</div><div>{NINE}</div><div>{items(40)}</div></body>": NINE_TEXT,
+    f"<body><div><div>{items(90)}</div></div><div><div>{NINE[:len(NINE) // 3 * 2 + 40]}</div></div></body>": None,
+    f"<body><article><h2>Teaser</h2><p>A few words.</p></article><article>{items(80)}</article><div>{NINE}</div></body>": NINE_TEXT,
+    f"<table><tr><td>{items(70)}</td><td>{NINE}</td></tr></table>": NINE_TEXT,
+}
+
+
+def overlap(found, text):
+    a, b = found.split(), text.split()
+    common = sum(min(a.count(w), b.count(w)) for w in set(a))
+    return 2 * common / max(len(a) + len(b), 1)
+
+
+@pytest.mark.parametrize("without", ["lengths", "ones", "random"])
+def test_the_ratios_decide_pages_without_a_single_article(monkeypatch, without):
+    pages = {page: text or re.sub("<[^>]*>", " ", page[page.index("<p>0 ") :]) for page, text in PAGES.items()}
+    right = {page: overlap(main_text(page), text) for page, text in pages.items()}
+    assert all(score >= 0.95 for score in right.values())
+    draw = np.random.default_rng(0)
+    off = {
+        "lengths": lambda lines: np.array([len(x.text) - x.linked for x in lines], float),
+        "ones": lambda lines: np.ones(len(lines)),
+        "random": lambda lines: draw.random(len(lines)),
+    }
+    monkeypatch.setattr(html_density, "_clusters", off[without])
+    wrong = {page: overlap(main_text(page), text) for page, text in pages.items()}
+    assert sum(wrong[page] < right[page] - 0.2 for page in pages) >= 3

@@ -4,67 +4,62 @@ The others have none: learned weights (op2), Bloom filters (op3), local search (
 (op5, op7) and a parser (op10) have no SQL form. Their tests compare with brute force.
 """
 
+def _url_levels(order: int) -> str:
+    """Interpolated probabilities of sequences with contexts of 0 to ``order`` characters."""
+    parts = []
+    for k in range(order + 1):
+        over = f"(PARTITION BY left(gram, {k}))" if k else "()"
+        sums = ", ".join(
+            f"{kind}, (sum({kind}) OVER {over})::BIGINT AS {kind}_n, (count(*) FILTER ({kind} > 0) OVER {over})::BIGINT AS {kind}_t"
+            for kind in ("allow", "block")
+        )
+        shorter = f"JOIN p{k - 1} q ON right(l.gram, {k}) = q.gram" if k else "CROSS JOIN (SELECT 1 / count(*) AS allow_p, 1 / count(*) AS block_p FROM c0) q"
+        mixed = ", ".join(
+            f"CASE WHEN {kind}_n > 0 THEN ({kind} + {kind}_t * q.{kind}_p) / ({kind}_n + {kind}_t) ELSE q.{kind}_p END AS {kind}_p"
+            for kind in ("allow", "block")
+        )
+        parts.append(f"""c{k} AS (
+  SELECT right(gram, {k + 1}) AS gram, sum(allow)::BIGINT AS allow, sum(block)::BIGINT AS block FROM seen GROUP BY 1
+), l{k} AS (
+  SELECT gram, {sums} FROM c{k}
+), p{k} AS (
+  SELECT l.gram, {mixed} FROM l{k} l {shorter}
+)""")
+    return ", ".join(parts)
+
+
 URLS = r"""
 WITH base AS (
   SELECT page_id, url, regexp_extract(url, '://([^/?#]*)([^?#]*)', ['h', 'p']) AS x,
-         coalesce(regexp_extract(url, '(?s)://(.*)', 1), '') AS said
+         translate(coalesce(regexp_extract(url, '(?s)://(.*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS said
   FROM pages
 ), named AS (
-  SELECT page_id, url, translate(coalesce(x.h, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(x.p, '') AS path,
-         translate(regexp_replace(
-           translate(said, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ_', 'abcdefghijklmnopqrstuvwxyz-'), '[^a-z0-9./-]', '?', 'g'),
-           '123456789', '000000000') AS plain
+  SELECT row_number() OVER () AS rid, page_id, url, said, coalesce(x.p, '') AS path,
+         translate(coalesce(x.h, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
   FROM base
 ), rules(verdict, rule, h, p) AS (
   VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
          ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
          ('block', 'com/de/', 'com', '/de/')
-), numbered AS (
-  SELECT row_number() OVER () AS rid, * FROM named
 ), ruled AS (
   SELECT n.rid, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS label
-  FROM numbered n JOIN rules r
+  FROM named n JOIN rules r
     ON (n.host = r.h OR ends_with(n.host, '.' || r.h)) AND starts_with(n.path, r.p)
   GROUP BY n.rid
-), coded AS (
-  SELECT n.*, r.rule, r.label,
-         list_concat([0, 0], list_transform(
-           list_filter(string_split(n.plain, ''), lambda c: c <> ''),
-           lambda c: instr('abcdefghijklmnopqrstuvwxyz0./-?', c)), [0]) AS codes
-  FROM numbered n LEFT JOIN ruled r USING (rid)
 ), listed AS (
-  SELECT rid, url, page_id, host, path, rule, label, ('0x' || md5(url)[1:6])::BIGINT % 5 = 0 AS held,
-         list_transform(range(1, len(codes) - 1), lambda i: codes[i] * 1024 + codes[i + 1] * 32 + codes[i + 2]) AS grams
-  FROM coded
+  SELECT n.*, rule, label, coalesce(('0x' || md5(url)[1:6])::BIGINT % 5 = 0, false) AS held,
+         chr(2) || chr(2) || chr(2) || chr(2) || chr(2) || chr(2) || said || chr(3) AS padded
+  FROM named n LEFT JOIN ruled USING (rid)
+), spread AS (
+  SELECT rid, label, held, substring(padded, unnest(range(1, length(padded) - 5)), 7) AS gram FROM listed
 ), seen AS (
-  SELECT g, count(*) FILTER (label = 'allow') AS allow, count(*) FILTER (label = 'block') AS block
-  FROM (SELECT label, unnest(grams) AS g FROM listed WHERE label IS NOT NULL AND NOT held) GROUP BY g
-), n AS (
-  SELECT kind, g, g // 1024 AS a, g % 1024 // 32 AS b, g % 32 AS c,
-         coalesce(CASE WHEN kind = 'allow' THEN allow ELSE block END, 0) AS n
-  FROM range(32768) r(g) CROSS JOIN (VALUES ('allow'), ('block')) k(kind) LEFT JOIN seen USING (g)
-), two AS (SELECT kind, b, c, sum(n) AS n FROM n GROUP BY ALL
-), one AS (SELECT kind, c, sum(n) AS n FROM two GROUP BY ALL
-), zero AS (SELECT kind, sum(n) AS n, count(*) FILTER (n > 0) AS t FROM one GROUP BY kind
-), after_b AS (SELECT kind, b, sum(n) AS n, count(*) FILTER (n > 0) AS t FROM two GROUP BY ALL
-), after_ab AS (SELECT kind, a, b, sum(n) AS n, count(*) FILTER (n > 0) AS t FROM n GROUP BY ALL
-), p0 AS (
-  SELECT kind, c, CASE WHEN zero.n > 0 THEN (one.n + zero.t * (1 / 32)) / (zero.n + zero.t) ELSE 1 / 32 END AS p
-  FROM one JOIN zero USING (kind)
-), p1 AS (
-  SELECT kind, b, c, CASE WHEN after_b.n > 0 THEN (two.n + after_b.t * p0.p) / (after_b.n + after_b.t) ELSE p0.p END AS p
-  FROM two JOIN after_b USING (kind, b) JOIN p0 USING (kind, c)
-), p2 AS (
-  SELECT kind, g, CASE WHEN after_ab.n > 0 THEN (n.n + after_ab.t * p1.p) / (after_ab.n + after_ab.t) ELSE p1.p END AS p
-  FROM n JOIN after_ab USING (kind, a, b) JOIN p1 USING (kind, b, c)
-), model AS (
-  SELECT list(r ORDER BY g) AS ratios FROM (
-    SELECT g, round(1e6 * (ln(max(p) FILTER (kind = 'allow')) - ln(max(p) FILTER (kind = 'block'))))::BIGINT AS r FROM p2 GROUP BY g)
+  SELECT gram, count(*) FILTER (label = 'allow' AND NOT held) AS allow, count(*) FILTER (label = 'block' AND NOT held) AS block
+  FROM spread GROUP BY gram
+), """ + _url_levels(6) + r""", model AS (
+  SELECT gram, round(1e6 * (ln(allow_p) - ln(block_p)))::BIGINT AS ratio FROM p6
 ), scored AS (
-  SELECT * EXCLUDE (grams, ratios), len(grams) AS size,
-         list_sum(list_transform(grams, lambda g: ratios[g + 1]))::BIGINT AS total
-  FROM listed CROSS JOIN model
+  SELECT l.* EXCLUDE (padded), t.size, t.total FROM listed l
+  JOIN (SELECT rid, count(*) AS size, sum(ratio)::BIGINT AS total FROM spread JOIN model USING (gram) GROUP BY rid) t USING (rid)
 ), stepped AS (
   SELECT *, greatest(least(floor(total / (size * 10000)), 1000), -1000)::INT AS step FROM scored
 ), steps AS (

@@ -1,13 +1,15 @@
 """URL filter: allow and block rules, and a character language-model ratio for what they leave open.
 
-URLs that a rule accepts or rejects train two variable-order Markov models over 32 symbols:
-contexts of two, one and no symbols, interpolated by Witten-Bell weights, so a context counts as
-far as it was seen. A URL's score is the difference of its log-likelihoods under the two models,
-divided by its length. A fifth of the labelled URLs is held out to calibrate the threshold. All
-of it is DataFrame functions.
-
-The models are one dense table of 32 ** 3 log ratios in whole millionths, whatever the input. The
-scan gets it as a constant.
+URLs that a rule accepts or rejects train two variable-order Markov models of their characters:
+contexts of six characters down to none, interpolated by Witten-Bell weights, so a context counts as
+far as it was seen and an unseen one gives way to the next shorter. A URL's score is the difference
+of its log-likelihoods under the two models, divided by its length. A fifth of the labelled URLs is
+held out to calibrate the threshold. All of it is DataFrame functions.
+
+The model is a table with a row for each sequence of seven characters that occurs in the URLs, and
+grows with them. It is made level by level: a level's sequences are joined with their own ends, one
+character shorter, of the level before, so no key of a join has more rows than there are characters.
+URLs are scored by a join of their sequences with that table.
 """
 
 from __future__ import annotations
@@ -17,14 +19,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from refinery.llm.stored import stored
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Symbols 1 to 31; 0 stands before the first and after the last character.
-ALPHABET = SMALL + "0./-?"
-SYMBOLS, ORDER = 32, 2
-GRAMS = SYMBOLS ** (ORDER + 1)
+#: Characters of the longest context.
+ORDER = 6
+#: What stands before the first and after the last character of a text.
+START, END = "\u0002", "\u0003"
 MILLION = 1_000_000
 #: Scores are calibrated in steps of a hundredth within these limits.
 LEAST_STEP, MOST_STEP = -1000, 1000
 HELD_OUT = 5
+KINDS = ("allow", "block")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -45,70 +48,56 @@ def rule_column(rules: list[tuple[str, str]], host: Column, path: Column) -> tup
     return rule, verdict
 
 
-def grams(url: Column) -> Column:
-    """The symbol trigrams of what follows ``://``, as numbers; an empty one has the end symbol only."""
-    said = F.coalesce(F.get(F.regexp_extract_all(url, F.lit("(?s)://(.*)"), F.lit(1)), F.lit(0)), F.lit(""))
-    plain = F.regexp_replace(F.translate(said, CAPITALS + "_", SMALL + "-"), "[^a-z0-9./-]", "?")
-    plain = F.translate(plain, "123456789", "000000000")
-    codes = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    edge = F.array(F.lit(0))
-    padded = F.concat(edge, edge, codes, edge)
-    triples = F.zip_with(
-        F.zip_with(padded, F.slice(padded, 2, F.size(padded)), lambda a, b: a * SYMBOLS + b),
-        F.slice(padded, 3, F.size(padded)),
-        lambda ab, c: ab * SYMBOLS + c,
-    )
-    return F.filter(triples, lambda g: g.isNotNull())
-
+def said(url: Column) -> Column:
+    """What follows the first ``://``, A-Z lower-cased; empty for a null URL or one without it."""
+    rest = F.get(F.regexp_extract_all(url, F.lit("(?s)://(.*)"), F.lit(1)), F.lit(0))
+    return F.translate(F.coalesce(rest, F.lit("")), CAPITALS, SMALL)
 
-def _counts(labelled: DataFrame) -> DataFrame:
-    """(g, allowed, blocked) for each of the ``GRAMS`` trigrams."""
-    seen = labelled.select("label", F.explode("grams").alias("g"))
-    found = seen.groupBy("g").agg(*[F.sum((F.col("label") == x).cast("long")).alias(n) for x, n in (("allow", "allowed"), ("block", "blocked"))])
-    dense = labelled.sparkSession.range(GRAMS).select(F.col("id").cast("int").alias("g"))
-    return dense.join(found, "g", "left").select("g", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("allowed", "blocked")])
 
+def grams(text: Column) -> Column:
+    """Each character of a text, and its end, with the ``ORDER`` characters before it."""
+    characters = F.filter(F.split(text, ""), lambda c: c != "")
+    padded = F.concat(F.array(*[F.lit(START)] * ORDER), characters, F.array(F.lit(END)))
+    return F.transform(F.sequence(F.lit(1), F.size(padded) - ORDER), lambda i: F.array_join(F.slice(padded, i, ORDER + 1), ""))
 
-def _likelihood(df: DataFrame, n: str) -> DataFrame:
-    """Column p_<n>: the interpolated probability of a trigram's last symbol given the two before."""
-    ab, bc, b, c = F.expr("g div 32"), F.expr("g % 1024"), F.expr("(g % 1024) div 32"), F.expr("g % 32")
-    df = df.withColumn("_bc", F.sum(n).over(Window.partitionBy(bc)))
-    # A bigram stands in 32 rows: the row of its first trigram speaks for it.
-    first = F.expr("g < 1024")
-    df = df.withColumn("_c", F.sum(F.when(first, F.col("_bc"))).over(Window.partitionBy(c)))
-    df = df.withColumns(
-        {
-            "_n2": F.sum(n).over(Window.partitionBy(ab)),
-            "_t2": F.sum((F.col(n) > 0).cast("int")).over(Window.partitionBy(ab)),
-            "_n1": F.sum(F.when(first, F.col("_bc"))).over(Window.partitionBy(b)),
-            "_t1": F.sum((first & (F.col("_bc") > 0)).cast("int")).over(Window.partitionBy(b)),
-        }
-    )
-    whole = Window.partitionBy(F.lit(0))  # a table of GRAMS rows
-    unigram = F.expr("g < 32")
-    df = df.withColumns(
-        {
-            "_n0": F.sum(F.when(unigram, F.col("_c"))).over(whole),
-            "_t0": F.sum((unigram & (F.col("_c") > 0)).cast("int")).over(whole),
-        }
-    )
-    p = F.lit(1 / SYMBOLS)
-    for count, seen, kinds in (("_c", "_n0", "_t0"), ("_bc", "_n1", "_t1"), (n, "_n2", "_t2")):
-        mixed = (F.col(count) + F.col(kinds) * p) / (F.col(seen) + F.col(kinds))
-        p = F.when(F.col(seen) > 0, mixed).otherwise(p)
-    return df.withColumn(f"p_{n}", p).drop("_bc", "_c", "_n2", "_t2", "_n1", "_t1", "_n0", "_t0")
 
+def _level(seen: DataFrame, k: int) -> DataFrame:
+    """Sequences with a context of k characters: gram, and per kind how often it was seen."""
+    gram = F.expr(f"right(gram, {k + 1})")
+    return seen.groupBy(gram.alias("gram")).agg(*[F.sum(kind).alias(kind) for kind in KINDS])
 
-def learn(labelled: DataFrame) -> list[int]:
-    """For each of the ``GRAMS`` trigrams ln(p allowed / p blocked) in whole millionths."""
-    both = _likelihood(_likelihood(_counts(labelled), "allowed"), "blocked")
-    ratio = F.round(MILLION * (F.log("p_allowed") - F.log("p_blocked"))).cast("long")
-    return [row.ratio for row in both.select("g", ratio.alias("ratio")).orderBy("g").collect()]
 
+def learn(texts: DataFrame) -> DataFrame:
+    """The model: gram and ratio, ln(p allowed / p blocked) of its last character in whole millionths.
 
-def _as_literal(ratios: list[int]) -> Column:
-    """A constant array: the optimizer evaluates it once, before the scan."""
-    return F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<bigint>")
+    ``texts`` has said and, per kind, how many labelled URLs say so. Every sequence that occurs in
+    them has a row, whether it was labelled or not.
+    """
+    spread = texts.select(*KINDS, F.explode(grams(F.col("said"))).alias("gram"))
+    seen = stored(spread.groupBy("gram").agg(*[F.sum(kind).alias(kind) for kind in KINDS]), "url-grams")
+    model = None
+    for k in range(ORDER + 1):
+        # One context has at most as many rows as there are characters.
+        context = Window.partitionBy(F.expr(f"left(gram, {k})") if k else F.lit(""))
+        level = _level(seen, k)
+        for kind in KINDS:
+            level = level.withColumns(
+                {f"{kind}_n": F.sum(kind).over(context), f"{kind}_t": F.sum((F.col(kind) > 0).cast("int")).over(context)}
+            )
+        if model is None:
+            shorter = {f"{kind}_p": 1 / F.count(F.lit(1)).over(context) for kind in KINDS}
+            level = level.withColumns(shorter)
+        else:
+            level = level.withColumn("end", F.expr(f"right(gram, {k})")).join(model.withColumnRenamed("gram", "end"), "end")
+        model = level.select("gram", *[_mixed(kind).alias(f"{kind}_p") for kind in KINDS])
+    ratio = F.round(MILLION * (F.log(f"{KINDS[0]}_p") - F.log(f"{KINDS[1]}_p"))).cast("long")
+    return stored(model.select("gram", ratio.alias("ratio")), "url-model")
+
+
+def _mixed(kind: str) -> Column:
+    """The probability after a context, given that after the context one character shorter."""
+    n, seen, kinds, shorter = (F.col(name) for name in (kind, f"{kind}_n", f"{kind}_t", f"{kind}_p"))
+    return F.when(seen > 0, (n + kinds * shorter) / (seen + kinds)).otherwise(shorter)
 
 
 def _step() -> Column:
@@ -117,21 +106,23 @@ def _step() -> Column:
     return F.greatest(F.least(step, F.lit(MOST_STEP)), F.lit(LEAST_STEP))
 
 
-def _scored(urls: DataFrame, model: list[int]) -> DataFrame:
-    ratios = _as_literal(model)
-    total = F.aggregate("grams", F.lit(0).cast("long"), lambda t, g: t + F.get(ratios, g))
-    return urls.withColumns({"total": total, "length": F.size("grams")})
+def totals(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """said, total and length: the sum of the ratios of each text's sequences, and their number."""
+    spread = texts.select("id", F.explode(grams(F.col("said"))).alias("gram"))
+    # Of sequences that most texts have, Spark splits the texts' side of the join.
+    summed = spread.join(model, "gram").groupBy("id").agg(F.sum("ratio").alias("total"), F.count(F.lit(1)).alias("length"))
+    return texts.select("id", "said").join(summed, "id").select("said", "total", "length")
 
 
 def threshold(held: DataFrame) -> DataFrame:
-    """One row, column step: the least score that is allowed.
+    """One row, column step: the least score that is allowed, from texts with their held-out labels.
 
     It minimizes the sum of the two error rates on the held-out URLs; of all steps that do, it lies
     halfway between the lowest one that occurs and the next lower score. Without held-out URLs of
     both kinds it is 0.
     """
-    steps = held.groupBy(_step().alias("step")).agg(
-        *[F.sum((F.col("label") == x).cast("long")).alias(n) for x, n in (("allow", "allowed"), ("block", "blocked"))]
+    steps = held.where("held_allow + held_block > 0").groupBy(_step().alias("step")).agg(
+        F.sum("held_allow").alias("allowed"), F.sum("held_block").alias("blocked")
     )
     # At most one row per step, so one task is enough.
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
@@ -164,13 +155,18 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url")
     host, path = host_and_path(F.col(url))
     judged = pages.withColumns({"host": host, "path": path})
     rule, verdict = rule_column(rules, F.col("host"), F.col("path"))
-    judged = judged.withColumns({"rule": rule, "label": verdict, "grams": grams(F.col(url))})
-    held = F.conv(F.substring(F.md5(F.col(url)), 1, 6), 16, 10).cast("long") % HELD_OUT == 0
-    labelled = judged.filter("label IS NOT NULL").select("label", "grams", held.alias("held"))
-    model = learn(labelled.filter("NOT held"))
-    cut = stored(threshold(_scored(labelled.filter("held"), model)), "url-threshold")
-    scored = _scored(judged, model)
-    said = F.when(_step() >= cut.scalar(), "allow").otherwise("block")
-    return scored.withColumns(
-        {"verdict": F.coalesce("label", said), "score": F.col("total") / (F.col("length") * F.lit(float(MILLION)))}
-    ).drop("label", "grams", "total", "length")
+    judged = judged.withColumns({"rule": rule, "__label": verdict, "__said": said(F.col(url))})
+    held = F.coalesce(F.conv(F.substring(F.md5(F.col(url)), 1, 6), 16, 10).cast("long") % HELD_OUT == 0, F.lit(False))
+    told = judged.select(F.col("__said").alias("said"), F.col("__label").alias("label"), held.alias("held"))
+    # Equal texts are one row from here on, however many URLs have them.
+    counts = [F.count_if((F.col("label") == kind) & ~F.col("held")).alias(kind) for kind in KINDS]
+    kept = [F.count_if((F.col("label") == kind) & F.col("held")).alias(f"held_{kind}") for kind in KINDS]
+    texts = told.groupBy("said").agg(*counts, *kept).withColumn("id", F.monotonically_increasing_id())
+    texts = stored(texts, "url-texts")
+    found = stored(totals(texts, learn(texts)), "url-scores")
+    cut = stored(threshold(texts.join(found, "said")), "url-threshold")
+    scores = found.select(F.col("said").alias("__said"), _step().alias("__step"), (F.col("total") / (F.col("length") * F.lit(float(MILLION)))).alias("score"))
+    by_score = F.when(F.col("__step") >= cut.scalar(), "allow").otherwise("block")
+    return judged.join(scores, "__said").select(
+        *[F.col(f"`{name}`") for name in pages.columns], "host", "path", "rule", F.coalesce("__label", by_score).alias("verdict"), "score"
+    )

@@ -2,9 +2,8 @@ import math
 
 from pyspark.sql import functions as F
 
-from refinery.llm import url_models
 from refinery.llm.queries import URL_RULES
-from refinery.llm.url_models import ALPHABET, grams, host_and_path, judge_urls
+from refinery.llm.url_models import ORDER, host_and_path, judge_urls, learn, said, totals
 
 PAGES = "page_id bigint, url string, verdict string, grams string"
 
@@ -55,27 +54,24 @@ def brute_scores(labelled, urls):
     """Witten-Bell interpolation by dictionaries."""
 
     def symbols(url):
-        said = (url or "").partition("://")[2] if url and "://" in url else ""
-        out = []
-        for c in said:
-            c = c.lower() if c.isascii() else c
-            c = "-" if c == "_" else "0" if c in "123456789" else c
-            out.append(ALPHABET.index(c) + 1 if c in ALPHABET and c != "?" else ALPHABET.index("?") + 1)
-        return [0, 0, *out, 0]
+        rest = (url or "").partition("://")[2]
+        return ["\2"] * ORDER + [c.lower() if c.isascii() else c for c in rest] + ["\3"]
+
+    alphabet = {c for url in [u for u, _ in labelled] + urls for c in symbols(url)[ORDER:]}
 
     def model(texts):
         counts = {}
         for text in texts:
             s = symbols(text)
-            for i in range(2, len(s)):
-                for n in range(3):
-                    counts.setdefault((n, tuple(s[i - n : i])), {}).setdefault(s[i], 0)
-                    counts[n, tuple(s[i - n : i])][s[i]] += 1
+            for i in range(ORDER, len(s)):
+                for n in range(ORDER + 1):
+                    counts.setdefault(tuple(s[i - n : i]), {}).setdefault(s[i], 0)
+                    counts[tuple(s[i - n : i])][s[i]] += 1
 
         def p(context, c):
-            value = 1 / 32
-            for n in range(3):
-                seen = counts.get((n, tuple(context[2 - n :])))
+            value = 1 / len(alphabet)
+            for n in range(ORDER + 1):
+                seen = counts.get(tuple(context[ORDER - n :]))
                 if seen:
                     total, kinds = sum(seen.values()), len(seen)
                     value = (seen.get(c, 0) + kinds * value) / (total + kinds)
@@ -87,22 +83,43 @@ def brute_scores(labelled, urls):
     out = []
     for url in urls:
         s = symbols(url)
-        ratios = [round(1e6 * (math.log(good(s[i - 2 : i], s[i])) - math.log(bad(s[i - 2 : i], s[i])))) for i in range(2, len(s))]
+        places = range(ORDER, len(s))
+        ratios = [round(1e6 * (math.log(good(s[i - ORDER : i], s[i])) - math.log(bad(s[i - ORDER : i], s[i])))) for i in places]
         out.append(sum(ratios) / len(ratios) / 1e6)
     return out
 
 
 def test_scores_equal_a_brute_force_model(spark):
     good = [f"http://good{i}.site/page" for i in range(8)]
-    bad = [f"http://spam.bad/{'x' * i}_Ü?q={i}" for i in range(5)]
-    urls = ["http://good.site/x", "http://spam.bad/xx", "no url", None, "http://" + "long/" * 3000]
+    bad = [f"http://spam.bad/{'x' * i}_Ü?q={i}%" for i in range(5)]
+    urls = ["http://good.site/x", "http://spam.bad/xx", "no url", None, "http://" + "long/" * 3000, "http://spam.bad/🙂_Ü?q=4%"]
     labelled = [(u, "allow") for u in good] + [(u, "block") for u in bad]
-    frame = spark.createDataFrame(labelled, "url string, label string").withColumn("grams", grams(F.col("url")))
-    ratios = url_models.learn(frame)
-    scored = url_models._scored(pages(spark, urls).withColumn("grams", grams(F.col("url"))), ratios)
-    found = {r.page_id: r.total / r.length / 1e6 for r in scored.collect()}
-    for i, expected in enumerate(brute_scores(labelled, urls)):
-        assert abs(found[i] - expected) < 2e-6
+    rows = [(u, int(x == "allow"), int(x == "block")) for u, x in labelled] + [(u, 0, 0) for u in urls]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id bigint, url string, allow bigint, block bigint")
+    texts = frame.withColumn("said", said(F.col("url")))
+    found = {r.said: r.total / r.length / 1e6 for r in totals(texts, learn(texts)).collect()}
+    keys = [r.said for r in texts.where(F.col("id") >= len(labelled)).orderBy("id").collect()]
+    for key, expected in zip(keys, brute_scores(labelled, urls)):
+        assert abs(found[key] - expected) < 2e-6
+
+
+def test_every_character_counts(spark):
+    """URLs that differ in one digit, letter or sign are told apart if the labels say so."""
+    for left, right in (("1", "9"), ("ü", "%"), ("_", "-")):
+        urls = [f"http://a.net/{x}/p{s}" for x, s in (("fr", left), ("de", right))]
+        taught = [f"http://h{i}.com/{u[13:15]}/p{s}{i % 3}" for i in range(60) for u, s in zip(urls, (left, right))]
+        asked = [f"http://a.net/p{s}" for s in (left, right)]
+        found = {r.url: (r.verdict, r.score) for r in judge_urls(pages(spark, taught + asked), URL_RULES).collect()}
+        assert found[asked[0]][1] > found[asked[1]][1]
+        assert (found[asked[0]][0], found[asked[1]][0]) == ("allow", "block")
+
+
+def test_the_model_grows_with_the_urls(spark):
+    sizes = []
+    for n in (5, 50):
+        rows = [(i, f"host{i * 7919}.org/{i * 104729}", 1, 0) for i in range(n)]
+        sizes.append(learn(spark.createDataFrame(rows, "id bigint, said string, allow bigint, block bigint")).count())
+    assert sizes[1] > 5 * sizes[0]
 
 
 def test_the_method_tells_unruled_urls_apart(spark):

@@ -3,9 +3,10 @@
 Unit vectors with a cosine of at least t lie within epsilon = sqrt(2 - 2 t) of each other, and so
 do their projections. All vectors are projected on the leading principal dimensions and sorted by
 label and by the grid cells of width epsilon in these dimensions, one dimension after the other.
-Tiles are intervals of this order. Two tiles are joined only if their boxes come within
-epsilon; the join of two tiles halves the intervals again and again, skips every pair of
-intervals whose boxes are farther apart, and compares the vectors of short ones.
+Tiles are intervals of this order. The join recurses over pairs of intervals and skips every pair
+whose boxes are farther apart than epsilon: between tasks by joins of box tables, from the whole
+sequence down to pairs of tiles, and within a pair of tiles by halving, until short ones are left
+whose vectors are compared.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ COSINE = 0.98
 DIMENSIONS = 8
 #: Vectors of a tile, and of an interval that is compared without halving.
 TILE, LEAF = 2048, 256
+#: A tile's number is its task and its place there; an interval of tasks has 2^4 parts.
+TASK_BITS, FAN_BITS = 32, 4
 #: Boxes are drawn a little wider than rounding can matter.
 SLACK = 1e-6
 
@@ -128,7 +131,7 @@ def _tiles(axes: dict[int, np.ndarray], tile: int):
         low[: near.shape[1]], high[: near.shape[1]] = near.min(axis=0), near.max(axis=0)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([TaskContext.get().partitionId() << 32 | number], pa.int64()),
+                pa.array([TaskContext.get().partitionId() << TASK_BITS | number], pa.int64()),
                 pa.array(table["label"].slice(0, 1).to_pylist(), table["label"].type),
                 pa.array([x.shape[1]], pa.int32()),
                 pa.array([low.tolist()], pa.list_(pa.float64())),
@@ -261,6 +264,35 @@ def _joined(axes: dict[int, np.ndarray], cosine: float):
     return run
 
 
+def near_tiles(boxes: DataFrame, epsilon: float) -> DataFrame:
+    """Pairs (a, b), a <= b, of tiles of one label and length whose boxes come within ``epsilon``.
+
+    Tiles are numbered in grid order. So intervals of the sequence, 2^FAN_BITS to the power of k tasks'
+    tiles each, have boxes of their own, and only the parts of two near intervals are compared: from
+    the whole sequence down to single tiles, joined by label, length and interval.
+    """
+    last = boxes.agg(F.max("tile")).first()[0] or 0
+    depth = -(-(last >> TASK_BITS).bit_length() // FAN_BITS)
+    shifts = [0, *[TASK_BITS + FAN_BITS * k for k in range(depth + 1)]]
+    pairs = boxes.select("label", "size", F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).distinct()
+    for above, shift in reversed(list(zip(shifts[1:], shifts))):
+        node, parent = (F.shiftright("tile", by).alias(name) for by, name in ((shift, "node"), (above, "parent")))
+        ends = [
+            F.array(*[end(F.col(name)[i]) for i in range(DIMENSIONS)]).alias(name) for end, name in ((F.min, "low"), (F.max, "high"))
+        ]
+        inside = boxes.groupBy("label", "size", node, parent).agg(*ends) if shift else boxes.select("label", "size", node, parent, "low", "high")
+        sides = {x: inside.select("label", "size", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "parent", "low", "high")]) for x in "ab"}
+        for x, side in sides.items():
+            pairs = pairs.join(side.withColumnRenamed(f"parent_{x}", x), ["label", "size", x])
+        gaps = [
+            F.greatest(F.col("low_a")[i] - F.col("high_b")[i], F.col("low_b")[i] - F.col("high_a")[i], F.lit(0.0)) for i in range(DIMENSIONS)
+        ]
+        near = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) <= (epsilon + SLACK) ** 2
+        pairs = pairs.where((F.col("node_a") <= F.col("node_b")) & near)
+        pairs = pairs.select("label", "size", F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return pairs.select("a", "b")
+
+
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Per row of ``vectors``: vec_id, n_links, component_id, kept.
 
@@ -298,16 +330,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     tiles = stored(tiles, "tiles")
 
-    boxes = tiles.select("tile", "label", "size", "low", "high")
-    one, two = boxes.alias("x"), boxes.alias("y")
-    gaps = [
-        F.greatest(F.col("x.low")[i] - F.col("y.high")[i], F.col("y.low")[i] - F.col("x.high")[i], F.lit(0.0)) for i in range(DIMENSIONS)
-    ]
-    near = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) <= (epsilon + SLACK) ** 2
-    pairs = one.join(
-        two,
-        (F.col("x.label") == F.col("y.label")) & (F.col("x.size") == F.col("y.size")) & (F.col("x.tile") <= F.col("y.tile")) & near,
-    ).select(F.col("x.tile").alias("a"), F.col("y.tile").alias("b"))
+    pairs = near_tiles(tiles.select("tile", "label", "size", "low", "high"), epsilon)
     pairs = stored(pairs, "tile-pairs")
     sides = {
         s: tiles.select(F.col("tile").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("nodes", "copies", "vectors")]) for s in "ab"

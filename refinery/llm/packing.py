@@ -4,10 +4,14 @@ Texts become token ids, ids become pieces of at most the capacity, and pieces ar
 into groups that one task can hold. Each group starts from best-fit decreasing. Then bins are
 emptied: the emptiest bin moves a piece to a fuller bin, exchanges one for a smaller one, or one
 for two smaller ones, whenever this raises the sum of squared fills, until it is empty or stuck.
+Bins of all groups that are not full are then dealt out anew and searched on from where they stand,
+with other bins as partners, until that frees no more.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -23,7 +27,7 @@ from refinery.llm.stored import stored
 from refinery.llm.textbatch import blocks, span_hashes, words
 
 CAPACITY = 2048
-#: Pieces that one task packs at a time; a group wastes at most part of one sequence more.
+#: Pieces that one task packs at a time.
 GROUP = 20_000
 #: Pieces whose ids a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
@@ -314,24 +318,39 @@ class _Search:
         return False
 
 
-def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each item; bins are numbered from 0, offsets are gapless in each bin."""
+def _offsets(lengths: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Gapless offsets of the items within their bins, in the order they are given."""
+    order = np.argsort(bins, kind="stable")
+    ends = np.cumsum(lengths[order])
+    firsts = np.concatenate(([True], np.diff(bins[order]) > 0))
+    base = (ends - lengths[order])[firsts][np.cumsum(firsts) - 1]
+    offsets = np.empty(len(lengths), np.int64)
+    offsets[order] = ends - lengths[order] - base
+    return offsets
+
+
+def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY, bins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and offset of each item; offsets are gapless in each bin.
+
+    Bins are numbered from 0 without gaps, or keep the numbers of a packing ``bins`` to go on from.
+    """
     lengths = np.asarray(lengths, np.int64)
     if not len(lengths):
         return lengths, lengths
     if lengths.min() < 1 or lengths.max() > capacity:
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    bins = _best_fit_decreasing(lengths, capacity)
+    given = None
+    if bins is None:
+        bins = _best_fit_decreasing(lengths, capacity)
+    else:
+        given, bins = np.unique(bins, return_inverse=True)
+        bins = bins.reshape(-1).copy()
     least = -(-int(lengths.sum()) // capacity)
     _Search(lengths, bins, capacity).run(least, steps=4 * len(lengths))
-    bins = np.unique(bins, return_inverse=True)[1]
-    order = np.argsort(bins, kind="stable")
-    ends = np.cumsum(lengths[order])
-    firsts = np.concatenate(([True], np.diff(bins[order]) > 0))
-    base = (ends - lengths[order])[firsts][np.cumsum(firsts) - 1]
-    offsets = np.empty(len(lengths), np.int64)
-    offsets[order] = ends - lengths[order] - base
-    return bins, offsets
+    if given is None:
+        bins = np.unique(bins, return_inverse=True)[1].reshape(-1)
+        return bins, _offsets(lengths, bins)
+    return given[bins], _offsets(lengths, bins)
 
 
 def _pack_group(capacity: int):
@@ -346,15 +365,57 @@ def _pack_group(capacity: int):
     return run
 
 
+def _search_on(capacity: int):
+    def run(pieces: pd.DataFrame) -> pd.DataFrame:
+        bins, offsets = pack_lengths(pieces["length"].to_numpy(), capacity, pieces["sequence_id"].to_numpy())
+        return pieces.assign(sequence_id=bins, offset=offsets).drop(columns="__group")
+
+    return run
+
+
+def _open(placed: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """Pieces of sequences that are full, and of those that are not."""
+    fills = placed.groupBy("sequence_id").agg(F.sum("length").alias("__fill"))
+    filled = placed.join(fills, "sequence_id")
+    full = F.col("__fill") >= capacity
+    return tuple(filled.where(side).select(*placed.columns) for side in (full, ~full))
+
+
+def _left(pieces: DataFrame) -> tuple[int, int, int]:
+    """Sequences, pieces and tokens."""
+    by_sequence = pieces.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), F.count(F.lit(1)).alias("n"))
+    row = by_sequence.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    return int(row[0]), int(row[1]), int(row[2])
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """``pieces`` with sequence_id and offset; ``length`` must lie between 1 and ``capacity``.
 
-    Rows are dealt out evenly, whatever they hold, so no key can make a group large.
+    Rows are dealt out evenly, whatever they hold, so no key can make a group large. With several
+    groups, the sequences that are not full are then dealt out by a hash of their number, another
+    one each time, and searched on. Full ones are left. This ends when a round frees no sequence, or
+    when as few are left as can hold the tokens. Columns called sequence_id, offset, __group or
+    __fill are replaced.
     """
+    pieces = pieces.drop("sequence_id", "offset", "__group", "__fill")
     groups = max(1, -(-pieces.count() // group))
-    dealt = pieces.drop("sequence_id", "offset").repartition(groups)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
-    return dealt.mapInPandas(_pack_group(capacity), f"{kinds}, sequence_id bigint, offset bigint")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id bigint, offset bigint"
+    placed = pieces.repartition(groups).mapInPandas(_pack_group(capacity), kinds)
+    if groups == 1:
+        return placed
+    done: list[DataFrame] = []
+    waiting, before = stored(placed, "packed"), None
+    for turn in itertools.count():
+        full, some = _open(waiting, capacity)
+        done.append(full)
+        some = stored(some, "open")
+        sequences, n, tokens = _left(some)
+        if sequences <= -(-tokens // capacity) or (before is not None and sequences >= before):
+            break
+        before = sequences
+        deal = F.pmod(F.xxhash64("sequence_id", F.lit(turn)), F.lit(max(1, -(-n // group))))
+        waiting = stored(some.withColumn("__group", deal).groupBy("__group").applyInPandas(_search_on(capacity), kinds), "packed")
+    return functools.reduce(DataFrame.unionByName, done, some)
 
 
 def pack_documents(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:

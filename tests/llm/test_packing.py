@@ -82,8 +82,53 @@ def test_pieces_and_sequences(spark, documents):
     assert pack_documents(documents([]), PATH).count() == 0
 
 
+def check_places(found, capacity):
+    found = found.sort_values(["sequence_id", "offset"])
+    ends = found.groupby("sequence_id")["length"].cumsum()
+    assert (ends - found["length"] == found["offset"]).all() and ends.max() <= capacity
+
+
 def test_groups_are_even_whatever_the_key(spark):
     pieces = spark.range(1000).selectExpr("7L AS doc_id", "1 AS piece", "id % 90 + 1 AS length")
     found = pack(pieces, capacity=100, group=100).toPandas()
     assert len(found) == 1000 and found["sequence_id"].floordiv(1 << 40).nunique() == 10
-    assert found.groupby("sequence_id")["length"].sum().max() <= 100
+    check_places(found, 100)
+
+
+def test_groups_come_near_one_group(spark):
+    lengths = np.random.default_rng(1).integers(400, 800, 4000)
+    pieces = spark.createDataFrame([(i, int(n), "x") for i, n in enumerate(lengths)], "doc_id bigint, length bigint, __fill string")
+    whole, split = (pack(pieces, group=size).toPandas() for size in (10_000, 500))
+    for found in (whole, split):
+        assert sorted(found["doc_id"]) == list(range(4000))
+        check_places(found, 2048)
+    assert split["sequence_id"].nunique() <= 1.005 * whole["sequence_id"].nunique()
+    assert split["sequence_id"].nunique() < _best_fit_decreasing(lengths, 2048).max() + 1
+
+
+def best(lengths, capacity):
+    """The least number of bins, by trying all places of the longest first."""
+    lengths, found = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(i, fills):
+        if len(fills) >= found[0]:
+            return
+        if i == len(lengths):
+            found[0] = len(fills)
+            return
+        for j in {fill: j for j, fill in enumerate(fills) if fill + lengths[i] <= capacity}.values():
+            place(i + 1, [*fills[:j], fills[j] + lengths[i], *fills[j + 1 :]])
+        place(i + 1, [*fills, lengths[i]])
+
+    place(0, [])
+    return found[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(lengths=st.lists(st.integers(1, 30), min_size=1, max_size=9))
+def test_small_cases_need_no_more_than_one_bin_over_the_optimum(lengths):
+    assert len(set(pack_lengths(np.array(lengths), 30)[0])) <= best(lengths, 30) + 1
+
+
+def test_no_pieces(spark):
+    assert pack(spark.createDataFrame([], "doc_id bigint, length bigint"), group=5).count() == 0

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from refinery.llm import pairwise_quality
 from refinery.llm.pairwise_quality import CUT, FEATURES, features, fit, learn, score
 from refinery.llm.queries import fold, op2
 from refinery.llm.textbatch import string_buffers
@@ -70,3 +71,31 @@ def test_held_out_accuracy(spark):
     rows = found.join(labels, "doc_id").where(F.col("held_out") & (fold(5) == 0)).collect()
     assert len(rows) > 50
     assert sum(r.predicted == r.quality for r in rows) / len(rows) >= 0.95
+
+
+def test_weights_minimize_the_loss_of_the_pairs():
+    """Two documents a class: all pairs are drawn equally often, so the plain loss is known."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(4, len(FEATURES)))
+    good = np.array([True, True, False, False])
+    ranking = learn(x, good)
+
+    def loss(weights):
+        z = pairwise_quality._expanded(x, ranking.middle, ranking.width) @ weights
+        pairs = [z[i] - z[j] for i in range(2) for j in range(2, 4)]
+        return np.mean(np.log1p(np.exp(-np.array(pairs)))) + pairwise_quality.RIDGE / 2 * weights @ weights
+
+    least = loss(ranking.weights)
+    for i in range(len(ranking.weights)):
+        for step in (-1e-3, 1e-3):
+            moved = ranking.weights.copy()
+            moved[i] += step
+            assert loss(moved) >= least - 1e-12
+
+
+def test_repeated_ids_teach_one_text_whatever_the_order(spark, documents):
+    rows = [(i, f"{GOOD} {i} {k}") for i in range(12) for k in range(4)] + [(100 + i, f"{BAD} {i} {k}") for i in range(12) for k in range(4)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i in [*range(12), *range(100, 112)]], "doc_id bigint, quality int")
+    found = [fit(documents(part).repartition(n), labels, F.lit(True)) for part, n in ((rows, 1), (rows[::-1], 5), (rows * 3, 3))]
+    for other in found[1:]:
+        assert np.array_equal(found[0].weights, other.weights) and found[0].cut == other.cut

@@ -1,10 +1,11 @@
 import math
+import re
 
 import numpy as np
 import pytest
 
 from refinery.llm import epsilon_grid
-from refinery.llm.epsilon_grid import near_vectors
+from refinery.llm.epsilon_grid import DIMENSIONS, near_tiles, near_vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, n_links string, key string"
 
@@ -73,3 +74,26 @@ def test_a_very_common_vector(spark):
     rows = [(i, [1.0, 2.0, 3.0], 0) for i in range(5000)] + [(9000, [1.0, 2.0, 3.01], 0), (9001, [3.0, 1.0, 0.0], 0)]
     result = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame(spark, rows)).collect()}
     assert result[17] == (5000, 0) and result[9000] == (5000, 0) and result[9001] == (0, 9001)
+
+
+def test_near_tiles_by_recursion_over_intervals(spark):
+    """Three hundred tasks' tiles of one label along a curve, and a few of another label."""
+    draw = np.random.default_rng(3)
+    rows = []
+    for task in range(300):
+        for place in range(1 + task % 3):
+            low = np.array([task / 60 - 2.5, math.sin(task / 9), *draw.uniform(-0.02, 0.02, DIMENSIONS - 2)])
+            rows.append((task << 32 | place, int(task % 50 == 0), 4, low.tolist(), (low + 0.03).tolist()))
+    boxes = spark.createDataFrame(rows, "tile bigint, label int, size int, low array<double>, high array<double>")
+    found = near_tiles(boxes, 0.05)
+
+    def gap(x, y):
+        return math.sqrt(sum(max(a - d, c - b, 0) ** 2 for a, b, c, d in zip(x[3], x[4], y[3], y[4])))
+
+    expected = {(x[0], y[0]) for x in rows for y in rows if x[0] <= y[0] and x[1] == y[1] and gap(x, y) <= 0.05 + 1e-6}
+    pairs = [tuple(r) for r in found.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == expected
+    # Every join has an interval among its keys; boxes are never compared by label alone.
+    plan = near_tiles(boxes, 0.05)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2 * 4 == len(re.findall(r"\b[ab]#\d+L = [ab]#\d+L", plan))
+    assert near_tiles(boxes.limit(0), 0.05).count() == 0

@@ -29,6 +29,9 @@ from refinery.llm.textbatch import blocks, span_hashes, words
 CAPACITY = 2048
 #: Pieces that one task packs at a time.
 GROUP = 20_000
+#: Bins are dealt out anew while that frees one in so many; a search among them ends after so many
+#: bins in a row that could not be emptied.
+WORTH, PATIENCE = 200, 128
 #: Pieces whose ids a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
 END_OF_TEXT = 0
@@ -246,11 +249,14 @@ class _Search:
         for i, b in enumerate(self.bin.tolist()):
             self.members.setdefault(b, set()).add(i)
 
-    def run(self, least_bins: int, steps: int) -> None:
-        """Empty bins until as few are left as can hold all, nothing helps, or the steps are used."""
-        used = len(np.unique(self.all_bins))
+    def run(self, least_bins: int, steps: int, patience: int | None = None) -> None:
+        """Empty bins until as few are left as can hold all, nothing helps, or the steps are used.
+
+        With ``patience`` the search ends after so many bins in a row that could not be emptied.
+        """
+        used, failed = len(np.unique(self.all_bins)), 0
         waiting = sorted(self.members, key=lambda b: (self.fill[b], b), reverse=True)
-        while waiting and used > least_bins and steps > 0:
+        while waiting and used > least_bins and steps > 0 and (patience is None or failed < patience):
             victim = waiting.pop()
             if not self.members[victim]:
                 continue
@@ -258,6 +264,7 @@ class _Search:
             while steps > 0 and self.members[victim] and self._improve(victim):
                 steps -= 1
             used -= not self.members[victim]
+            failed = failed + 1 if self.members[victim] else 0
         self.all_bins[self.items] = self.bin
 
     def _pairs(self, victim: int) -> None:
@@ -346,7 +353,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY, bins: np.ndarray
         given, bins = np.unique(bins, return_inverse=True)
         bins = bins.reshape(-1).copy()
     least = -(-int(lengths.sum()) // capacity)
-    _Search(lengths, bins, capacity).run(least, steps=4 * len(lengths))
+    _Search(lengths, bins, capacity).run(least, steps=4 * len(lengths), patience=None if given is None else PATIENCE)
     if given is None:
         bins = np.unique(bins, return_inverse=True)[1].reshape(-1)
         return bins, _offsets(lengths, bins)
@@ -393,8 +400,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
 
     Rows are dealt out evenly, whatever they hold, so no key can make a group large. With several
     groups, the sequences that are not full are then dealt out by a hash of their number, another
-    one each time, and searched on. Full ones are left. This ends when a round frees no sequence, or
-    when as few are left as can hold the tokens. Columns called sequence_id, offset, __group or
+    one each time, and searched on. Full ones are left. This ends when a round frees fewer than one
+    in ``WORTH`` of them, or when as few are left as can hold the tokens. Columns called sequence_id, offset, __group or
     __fill are replaced.
     """
     pieces = pieces.drop("sequence_id", "offset", "__group", "__fill")
@@ -404,17 +411,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     if groups == 1:
         return placed
     done: list[DataFrame] = []
-    waiting, before = stored(placed, "packed"), None
+    waiting, freed = stored(placed, "packed"), None
     for turn in itertools.count():
         full, some = _open(waiting, capacity)
         done.append(full)
         some = stored(some, "open")
         sequences, n, tokens = _left(some)
-        if sequences <= -(-tokens // capacity) or (before is not None and sequences >= before):
+        if sequences <= -(-tokens // capacity) or (freed is not None and WORTH * freed < sequences):
             break
-        before = sequences
         deal = F.pmod(F.xxhash64("sequence_id", F.lit(turn)), F.lit(max(1, -(-n // group))))
         waiting = stored(some.withColumn("__group", deal).groupBy("__group").applyInPandas(_search_on(capacity), kinds), "packed")
+        freed = sequences - waiting.select("sequence_id").distinct().count()
     return functools.reduce(DataFrame.unionByName, done, some)
 
 

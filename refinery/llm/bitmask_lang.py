@@ -135,13 +135,14 @@ def fit(documents: DataFrame, learn_from: Column) -> LanguageFilters:
     # A language may hold most rows: its parts are ranked apart from each other.
     order = Window.partitionBy("lang", F.pmod("hash", F.lit(PARTS))).orderBy("hash")
     ranked = rows.select("lang", "hash").distinct().select("lang", "hash", F.row_number().over(order).alias("place"))
-    chosen = ranked.filter(F.col("place") <= PER_LANGUAGE // PARTS).select("lang", "hash")
-    taken = rows.join(chosen, ["lang", "hash"], "left_semi").groupBy("lang", "hash").agg(F.first("text").alias("text"))
-    sample = stored(taken, "languages")
-    sizes = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
+    chosen = stored(ranked.filter(F.col("place") <= PER_LANGUAGE // PARTS).select("lang", "hash"), "chosen")
+    sizes = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
     learned = {row.lang: row.documents for row in sizes.limit(MOST_LANGUAGES + 1).collect()}
     if len(learned) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    # At most PER_LANGUAGE rows of 16 bytes and a name for each of them, so no text is shuffled.
+    taken = rows.join(F.broadcast(chosen), ["lang", "hash"], "left_semi").groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    sample = stored(taken, "languages")
     languages = sorted(learned)
     masks = np.zeros(((len(languages) + 63) // 64, SLOTS), np.uint64)
     if not languages:

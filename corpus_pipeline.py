@@ -24,14 +24,25 @@ LEAST_LANGUAGE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in a language that the corpus' own lang column teaches."""
+    """Documents whose text is in a language that the corpus' own lang column teaches.
+
+    Rows go whose text is null or has no letter, or of whose n-grams under ``LEAST_LANGUAGE`` belong to
+    one language; those of a language that no, or hardly any, lang value teaches are among them. A null
+    lang or doc_id does not matter for that; repeated rows are judged alike, texts of any length
+    whole. An empty table stays empty; columns other than those of documents are dropped.
+    """
     ready(spark)
     found = identify(docs, fold(3) != 1)
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the certified cutoffs."""
+    """Documents that pass the base rules and the certified cutoffs of their language.
+
+    A null or empty text has no words and goes. A null lang is a stratum of its own, and a null doc_id
+    has no label. Repeated rows are judged alike, texts of any length whole; a value on a cutoff
+    passes. An empty table stays empty; columns other than those of documents are dropped.
+    """
     ready(spark)
     return judge(docs, table(spark, sf_dir, "labels")).filter("kept").select(*COLUMNS)
 
@@ -58,7 +69,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents that are left, and their places in sequences of 2048 tokens."""
+    """The pieces of the documents that are left, and their places in sequences of 2048 tokens.
+
+    A null or empty text is the single id 0; longer texts than a sequence are cut, whatever their
+    length, and nothing is dropped. Repeated rows are packed each, a null doc_id stays null. Pieces of
+    one length are interchangeable. An empty table gives none; other columns are ignored.
+    """
     ready(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 

@@ -1,22 +1,27 @@
-"""Byte-level BPE as a deterministic automaton over tokens, compiled merge by merge.
+"""Byte-level BPE as a deterministic automaton over tokens, compiled merge by merge into a table.
 
 The automaton starts with one arc per byte and accepts every byte string. Each merge (u, v) -> w
-of rank k adds a gadget: the state behind u loses its arc v; a new state for w starts as a copy of
-the state behind v as it was before; and every state that still has an arc u gets an arc w. After
-all merges a path is accepted if, and only if, it is the tokenization of its bytes. The state
-behind an arc depends on its label alone, so a gadget is three entries: which arc left which state
-at k, which state was copied, which arc was copied. Whether a state has an arc follows by undoing
-gadgets from the latest to the first, and is kept once known.
-
-Encoding runs over the bytes of a pre-split word. A prefix of a BPE text is tokenized like the
-text up to the last token, so each place has exactly one state; the byte trie of the arc labels
-proposes tokens, and the automaton's transitions select. Decoding emits arc labels.
+adds a gadget: the state behind u loses its arc v; a new state for w starts as a copy of the state
+behind v as it was before; and every state that still has an arc u gets an arc w. After all merges
+a path is accepted if, and only if, it is the tokenization of its bytes.
+
+States are kept in a list in which a copy stands right after its original, and so are arcs. All
+later copies of a state, and theirs, then lie between it and what followed it when the gadget was
+added: what a gadget removes, together with what inherits that, is a rectangle of states and arcs.
+The table of transitions is the union of all rectangles, one bit for each class of states and class
+of arcs that no gadget tells apart.
+
+Encoding runs once over the bytes of a pre-split word. A prefix of a BPE text is tokenized like
+the text up to the last token, so each place of the word has exactly one state. A matching table
+over the bytes names the arc labels that end at a place, and the table of transitions says which of
+them leaves the state of the place where it begins: exactly one. Decoding emits arc labels.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -31,7 +36,6 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 NEAR = 0x250
 #: Words a worker remembers before it starts anew, and the longest it remembers.
 REMEMBERED, LONGEST = 300_000, 64
-START = -1
 
 
 def byte_letters() -> dict[str, int]:
@@ -63,114 +67,165 @@ def near_split() -> re.Pattern:
     )
 
 
+#: States whose transitions are laid out at a time while the table is built.
+ROWS = 512
+#: Steps of the matching table, besides those of the trie, that are kept once known.
+STEPS = 500_000
+
+
+class _Copies:
+    """A list in which each copy stands right after its original."""
+
+    def __init__(self, originals: list[int]):
+        self.after = dict(zip(originals, [*originals[1:], -1]))
+        self.first = originals[0] if originals else -1
+
+    def copy(self, original: int, made: int) -> None:
+        self.after[made] = self.after[original]
+        self.after[original] = made
+
+    def places(self) -> dict[int, int]:
+        found, item = {}, self.first
+        while item >= 0:
+            found[item] = len(found)
+            item = self.after[item]
+        found[-1] = len(found)
+        return found
+
+
+def _classes(places: dict[int, int], first: list[int], behind: list[int]) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
+    """The class of each item, and the classes from which and before which each gadget holds."""
+    starts = np.array([places[i] for i in first], np.int64)
+    ends = np.array([places[i] for i in behind], np.int64)
+    bounds = np.unique(np.concatenate((starts, ends)))
+    items = list(places)
+    of = np.searchsorted(bounds, [places[i] for i in items], "right")
+    return dict(zip(items, of.tolist())), np.searchsorted(bounds, starts) + 1, np.searchsorted(bounds, ends) + 1
+
+
+class _Steps(dict):
+    """(node << 8 | byte) -> node: the trie's steps; others follow the failure links and are remembered."""
+
+    def close(self, fail: list[int]) -> None:
+        self.fail, self.most = fail, len(self) + STEPS
+
+    def __missing__(self, key: int) -> int:
+        node, byte = key >> 8, key & 255
+        found = 0
+        while node:
+            node = self.fail[node]
+            found = self.get(node << 8 | byte, 0)
+            if found:
+                break
+        if len(self) < self.most:
+            self[key] = found
+        return found
+
+
 class TokenAutomaton:
-    """Arcs are token ids; the state behind an arc has the arc's id, the start is ``START``."""
+    """Arcs are token ids, and the state behind an arc depends on its label alone.
+
+    ``merges`` are (left, right, made) in the order of their ranks. Labels of several bytes that no
+    merge makes are no arcs; of two merges that make one token the first counts.
+    """
 
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]]):
-        self.labels = labels
-        self.lost: dict[tuple[int, int], int] = {}
-        self.born: dict[int, int] = {}
-        self.state_of: dict[int, int] = {}
-        self.arc_of: dict[int, int] = {}
+        singles = [token for token, label in labels.items() if len(label) == 1]
+        states, arcs, made_yet = _Copies(singles), _Copies(singles), set(singles)
+        lefts, rights, state_ends, arc_ends = [], [], [], []
         for rank, (left, right, made) in enumerate(merges):
-            self._gadget(rank, left, right, made)
-        self._has: dict[tuple[int, int], bool] = {}
-        self._trie()
-
-    def _gadget(self, rank: int, left: int, right: int, made: int) -> None:
-        if self.labels[left] + self.labels[right] != self.labels[made]:
-            raise ValueError(f"merge {rank} does not make its token")
-        self.lost.setdefault((left, right), rank)
-        if made not in self.born:
-            self.born[made] = rank
-            self.state_of[made] = right
-            self.arc_of[made] = left
-
-    def _trie(self) -> None:
-        """The byte trie of all labels, the token at each node, and each token's next shorter one."""
-        self.next: list[dict[int, int]] = [{}]
-        self.ends: list[int] = [-1]
-        self.sizes: dict[int, int] = {}
-        self.shorter: dict[int, int] = {}
-        for token, label in sorted(self.labels.items(), key=lambda x: len(x[1])):
-            if len(label) > 1 and token not in self.born:
-                continue
-            node, inside = 0, -1
+            if labels[left] + labels[right] != labels[made]:
+                raise ValueError(f"merge {rank} does not make its token")
+            if left not in made_yet or right not in made_yet:
+                raise ValueError(f"merge {rank} comes before its parts")
+            new = made not in made_yet
+            if new:
+                states.copy(right, made)  # as it was before the gadget
+            lefts.append(left)
+            rights.append(right)
+            state_ends.append(states.after[left])
+            arc_ends.append(arcs.after[right])
+            if new:
+                arcs.copy(left, made)  # after the gadget has removed its arc
+                made_yet.add(made)
+        self.labels = {token: labels[token] for token in made_yet}
+        state_class, top, bottom = _classes(states.places(), lefts, state_ends)
+        arc_class, near, far = _classes(arcs.places(), rights, arc_ends)
+        self._lay_out(top, bottom, near, far, max(state_class.values()) + 1, max(arc_class.values()) + 1)
+        self._match({token: state_class[token] * self.width for token in self.labels}, arc_class)
+
+    def _lay_out(self, top, bottom, near, far, states: int, arcs: int) -> None:
+        """One bit a state and arc, set where a gadget has removed the arc: corners, summed both ways."""
+        self.width = (arcs + 7) // 8
+        rows, cols = np.concatenate((top, top, bottom, bottom)), np.concatenate((near, far, near, far))
+        signs = np.repeat(np.array([1, -1, -1, 1], np.int32), len(top))
+        order = np.argsort(rows, kind="stable")
+        rows, cols, signs = rows[order], cols[order], signs[order]
+        held, table = np.zeros(arcs + 1, np.int32), []
+        for start in range(0, states, ROWS):
+            part = np.zeros((min(ROWS, states - start), arcs + 1), np.int32)
+            part[0] = held
+            a, b = np.searchsorted(rows, (start, start + len(part)))
+            np.add.at(part, (rows[a:b] - start, cols[a:b]), signs[a:b])
+            np.cumsum(part, axis=0, out=part)
+            held = part[-1].copy()
+            np.cumsum(part, axis=1, out=part)
+            table.append(np.packbits(part[:, :arcs] > 0, axis=1, bitorder="little").tobytes())
+        self.removed = b"".join(table)
+
+    def _match(self, state_at: dict[int, int], arc_class: dict[int, int]) -> None:
+        """The byte trie of all labels with its failure links, and the labels that end at each node.
+
+        A label is (token, size, byte of its arc in a state's bits, mask of its bit, state behind it),
+        the longest first. The start is state 0, which has all arcs: no rectangle begins before 1.
+        """
+        self.step = _Steps()
+        ends: list[tuple] = [()]
+        for token, label in self.labels.items():
+            node = 0
             for byte in label:
-                to = self.next[node].get(byte)
-                if to is None:
-                    to = self.next[node][byte] = len(self.next)
-                    self.next.append({})
-                    self.ends.append(-1)
-                elif self.ends[to] >= 0:
-                    inside = self.ends[to]
-                node = to
-            self.ends[node] = token
-            self.sizes[token], self.shorter[token] = len(label), inside
-
-    def has_arc(self, state: int, arc: int) -> bool:
-        """Whether ``arc`` may follow the arc that leads to ``state``."""
-        if state == START:
-            return True
-        key = state << 32 | arc
-        known = self._has.get(key)
-        if known is None:
-            if len(self._has) > 2_000_000:
-                self._has.clear()
-            known = self._has[key] = self._undo(state, arc)
-        return known
-
-    def _undo(self, state: int, arc: int) -> bool:
-        before = len(self.lost) + 1  # gadgets of a lower rank have been applied
-        while True:
-            lost = self.lost.get((state, arc))
-            if lost is not None and lost < before:
-                return False
-            state_born, arc_born = self.born.get(state, -1), self.born.get(arc, -1)
-            if state_born < 0 and arc_born < 0:
-                return True
-            if state_born > arc_born:
-                before, state = state_born, self.state_of[state]
-            else:  # arcs are copied after the gadget has removed its arc
-                before, arc = arc_born + 1, self.arc_of[arc]
+                key = node << 8 | byte
+                if key not in self.step:
+                    self.step[key] = len(ends)
+                    ends.append(())
+                node = self.step[key]
+            ends[node] = ((token, len(label), arc_class[token] >> 3, 1 << (arc_class[token] & 7), state_at[token]),)
+        below: dict[int, list[tuple[int, int]]] = {}
+        for key, node in self.step.items():
+            below.setdefault(key >> 8, []).append((key & 255, node))
+        fail, level = [0] * len(ends), [0]
+        self.step.close(fail)
+        for _ in range(max(map(len, self.labels.values()), default=0)):
+            for parent in level:
+                for byte, node in below.get(parent, ()):
+                    fail[node] = self.step[fail[parent] << 8 | byte] if parent else 0
+                    ends[node] += ends[fail[node]]
+            level = [node for parent in level for _, node in below.get(parent, ())]
+        self.ends = ends
 
     def encode(self, word: bytes) -> list[int]:
-        """The tokens of one pre-split word.
+        """The tokens of one pre-split word: one run over its bytes.
 
-        The path follows the longest arc the automaton has, and takes a shorter one where it
-        ends. The state at a place of the word is the same for every path that gets there, so a
-        place that led nowhere is not entered again.
+        Of the labels that end at a byte exactly one is an arc of the state where it begins.
         """
-        size, following, ends = len(word), self.next, self.ends
-        dead = None
-        tokens: list[int] = []
-        state, place, token = START, 0, -2
-        while place < size:
-            if token == -2:  # the longest label from here on
-                token, node = -1, 0
-                for at in range(place, size):
-                    node = following[node].get(word[at])
-                    if node is None:
-                        break
-                    if ends[node] >= 0:
-                        token = ends[node]
-            while token >= 0:
-                if self.has_arc(state, token) and not (dead and dead[place + self.sizes[token]]):
+        step, ends, removed = self.step, self.ends, self.removed
+        states, reached, node, place = [0], [-1], 0, 0
+        for byte in word:
+            place += 1
+            node = step[node << 8 | byte]
+            for token, size, at, mask, state in ends[node]:
+                if not removed[states[place - size] + at] & mask:
+                    states.append(state)
+                    reached.append(token)
                     break
-                token = self.shorter[token]
-            if token >= 0:
-                tokens.append(token)
-                place += self.sizes[token]
-                state, token = token, -2
             else:
-                if not tokens:
-                    raise ValueError("a byte of the text has no token")
-                dead = dead or bytearray(size + 1)
-                dead[place] = 1
-                token = tokens.pop()
-                place -= self.sizes[token]
-                state, token = (tokens[-1] if tokens else START), self.shorter[token]
-        return tokens
+                raise ValueError("a byte of the text has no token")
+        tokens, labels = [], self.labels
+        while place:
+            token = reached[place]
+            tokens.append(token)
+            place -= len(labels[token])
+        return tokens[::-1]
 
 
 class _Remembered(dict):
@@ -181,7 +236,8 @@ class _Remembered(dict):
         self.automaton = automaton
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
+        tokens = self.automaton.encode(word.encode())
+        ids = struct.pack(f"<{len(tokens)}I", *tokens)
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()

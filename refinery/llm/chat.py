@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from refinery.llm.textbatch import string_buffers
@@ -31,8 +32,12 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
 #: Bytes of contents that are scattered at a time.
 BLOCK_BYTES = 4 << 20
+#: Characters by which rows of one turn and role are dealt to tasks; enough to part texts that differ.
+RANGE_CHARS = 32
+#: Bytes of a conversation's texts that a task holds before it leaves its digest to the next step.
+HELD_BYTES = 4 << 20
 _FRAGMENT = (
-    "conv_id bigint, part int, n_turns bigint, formatted string, n_chars bigint, "
+    "conv_id bigint, part bigint, n_turns bigint, formatted string, n_chars bigint, "
     "loss array<struct<start:bigint,end:bigint>>"
 )
 
@@ -96,8 +101,11 @@ def _characters(data: np.ndarray) -> np.ndarray:
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of one conversation's turns within a batch; a long conversation has several parts."""
-    last, part = object(), 0
+    """Runs of one conversation's turns within a batch; a long conversation has several parts.
+
+    Tasks hold ranges of the sorted rows, so parts numbered within tasks in their order ascend.
+    """
+    part = TaskContext.get().partitionId() << 32
     for batch in batches:
         ids = batch.column("conv_id").to_pylist()
         if not ids:
@@ -106,11 +114,7 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content_end = turn_at[1:] - len(END)
         counts = _characters(data)
         starts = [0, *[i for i in range(1, len(ids)) if ids[i] != ids[i - 1]], len(ids)]
-        parts = []
-        for a in starts[:-1]:
-            part = part + 1 if ids[a] == last else 0
-            last = ids[a]
-            parts.append(part)
+        parts = range(part, part := part + len(starts) - 1)
         firsts, lasts = turn_at[starts[:-1]], turn_at[starts[1:]]
         learned = pc.equal(batch.column("role"), LEARNED).fill_null(False).to_numpy(zero_copy_only=False)
         bases = np.repeat(counts[firsts], np.diff(starts))
@@ -126,7 +130,7 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("conv_id").take(pa.array(starts[:-1], pa.int64())),
-                pa.array(parts, pa.int32()),
+                pa.array(parts, pa.int64()),
                 pa.array(np.diff(starts).astype(np.int64)),
                 texts.cast(pa.string()),
                 pa.array(counts[lasts] - counts[firsts]),
@@ -142,13 +146,17 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     ``turns`` has conv_id, turn, role and text; other columns are ignored. Turns are ordered by
     turn, rows that tie by role and text, nulls first. A null role or text counts as empty, a null
     conv_id is a conversation of its own. ``loss`` lists the code point spans of the assistants'
-    contents within the part. A conversation that an Arrow batch does not hold whole has several
-    parts, numbered in order, so the longest one needs no more memory than others.
+    contents within the part. Rows are dealt to tasks by ranges of that order, so a conversation with
+    many turns is formatted by many tasks. One that a task or an Arrow batch does not hold whole has
+    several parts, whose numbers ascend in its order (with gaps); the longest one needs no more memory
+    than others. Only rows of one conversation, turn and role that begin with the same
+    ``RANGE_CHARS`` characters stay together. An empty table gives an empty result.
     """
     rows = turns.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"
     )
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    ranged = rows.repartitionByRange("conv_id", "turn", "role", F.left("text", F.lit(RANGE_CHARS)))
+    ordered = ranged.sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "role", "text").mapInArrow(_fragments, _FRAGMENT)
 
 
@@ -169,57 +177,119 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 
 
 class _Digest:
-    def __init__(self, conv_id):
+    """Running hashes of one conversation."""
+
+    def __init__(self, conv_id: int | None):
         self.conv_id, self.turns, self.loss_chars, self.chars = conv_id, 0, 0, 0
         self.turn_hash, self.loss_hash = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, formatted: str, loss: list[dict]) -> None:
-        for role, text in read_turns(formatted):
-            self.turns += 1
-            self.turn_hash.update(f"{role}\n{text}\n".encode())
-        for span in loss:
-            text = unescape(formatted[span["start"] : span["end"]])
-            self.loss_chars += len(text)
-            self.loss_hash.update(text.encode())
-        self.chars += len(formatted)
-
-    def row(self) -> tuple:
-        return (self.conv_id, self.turns, self.turn_hash.hexdigest(), self.loss_chars, self.loss_hash.hexdigest(), self.chars)
-
+    def add(self, read: dict) -> None:
+        self.turns += read["n_turns"]
+        self.loss_chars += read["loss_chars"]
+        self.chars += read["formatted_chars"]
+        self.turn_hash.update(read["said"])
+        self.loss_hash.update(read["learned"])
+
+    def row(self) -> dict:
+        return {
+            "conv_id": self.conv_id, "n_turns": self.turns, "turns_sha256": self.turn_hash.hexdigest(),
+            "loss_chars": self.loss_chars, "loss_sha256": self.loss_hash.hexdigest(), "formatted_chars": self.chars,
+        }
+
+
+_DIGESTS = pa.schema(
+    [
+        ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+        ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
+    ]
+)
+_DIGEST_COLUMNS = (
+    "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+)
+#: Either a digest, or (``said`` not null) what a part adds to the running hashes of its conversation.
+_READ = pa.schema([*_DIGESTS, ("part", pa.int64()), ("said", pa.binary()), ("learned", pa.binary())])
+_READ_COLUMNS = f"{_DIGEST_COLUMNS}, part bigint, said binary, learned binary"
 
-_DIGESTS = {
-    "conv_id": pa.int64(), "n_turns": pa.int64(), "turns_sha256": pa.string(),
-    "loss_chars": pa.int64(), "loss_sha256": pa.string(), "formatted_chars": pa.int64(),
-}
 
+def _read(row: dict) -> dict:
+    """What a reader finds in a part: its turns, and the unescaped text under the loss mask."""
+    turns = read_turns(row["formatted"])
+    learned = [unescape(row["formatted"][span["start"] : span["end"]]) for span in row["loss"]]
+    return {
+        "conv_id": row["conv_id"], "part": row["part"], "n_turns": len(turns),
+        "said": "".join(f"{role}\n{text}\n" for role, text in turns).encode(),
+        "learned": "".join(learned).encode(), "loss_chars": sum(map(len, learned)), "formatted_chars": len(row["formatted"]),
+    }
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    current = None
-    done: list[tuple] = []
 
-    def flush() -> pa.RecordBatch:
-        columns = list(zip(*done))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _DIGESTS.values())], list(_DIGESTS))
+def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Digests of the conversations that begin and end in this task, the parts of all others.
 
+    The first and the last conversation of a task may go on in its neighbours. One of over
+    ``HELD_BYTES`` is not held until its end is seen, either.
+    """
+    held: list[dict] = []
+    size, whole, begun, last = 0, False, False, None
     for batch in batches:
         for row in batch.select(["conv_id", "part", "formatted", "loss"]).to_pylist():
-            if row["part"] == 0:
-                if current is not None:
-                    done.append(current.row())
-                current = _Digest(row["conv_id"])
-            current.add(row["formatted"], row["loss"])
-        if len(done) >= 1000:
-            yield flush()
-            done.clear()
-    if current is not None:
-        done.append(current.row())
-        yield flush()
+            if not begun or row["conv_id"] != last:
+                if held:
+                    digest = _Digest(last)
+                    for read in held:
+                        digest.add(read)
+                    yield digest.row()
+                held, size, whole, begun, last = [], 0, begun, True, row["conv_id"]
+            read = _read(row)
+            size += len(read["said"]) + len(read["learned"])
+            if whole and size <= HELD_BYTES:
+                held.append(read)
+                continue
+            whole = False
+            yield from held
+            held = []
+            yield read
+    yield from held
+
+
+def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Digests as they are; parts, which are sorted, in the running hashes of their conversation."""
+    current = None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if current and (row["said"] is None or row["conv_id"] != current.conv_id):
+                yield current.row()
+                current = None
+            if row["said"] is None:
+                yield row
+            else:
+                current = current or _Digest(row["conv_id"])
+                current.add(row)
+    if current:
+        yield current.row()
+
+
+def _batched(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of up to 1,000 rows, or about ``BLOCK_BYTES`` of texts."""
+    done: list[dict] = []
+    size = 0
+    for row in rows:
+        done.append(row)
+        size += len(row.get("said") or b"") + len(row.get("learned") or b"")
+        if len(done) >= 1000 or size >= BLOCK_BYTES:
+            yield pa.RecordBatch.from_pylist(done, schema)
+            done, size = [], 0
+    if done:
+        yield pa.RecordBatch.from_pylist(done, schema)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What a reader of the formatted texts finds, per conversation, in running hashes.
+    """What a reader of the formatted texts finds, per conversation: counts, characters and SHA-256.
 
-    Parts of one conversation have to follow each other, as :func:`format_conversations` writes them.
+    ``formatted`` comes from :func:`format_conversations`. The tasks that format also read back and
+    unescape; a conversation inside one task is digested there. Of those that several tasks share, or
+    that are long, the parts are sent on and hashed in their order, which a running hash needs:
+    reading and unescaping a hot conversation is spread over tasks, only its hash is not.
     """
-    kinds = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return formatted.mapInArrow(_digested, kinds)
+    read = formatted.mapInArrow(lambda batches: _batched(_read_back(batches), _READ), _READ_COLUMNS)
+    sent = read.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return sent.mapInArrow(lambda batches: _batched(_finished(batches), _DIGESTS), _DIGEST_COLUMNS)

@@ -187,6 +187,17 @@ SQL: dict[str, str] = {
     "incremental": LANDING,
     "incremental_silver": SILVER_ROWS,
     "incremental_late": "SELECT event_id, CAST(ts AS DATE) AS ingest_date FROM events",
+    "admitted": """
+        WITH one AS (SELECT event_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_id % 10 <> 0),
+        mark AS (SELECT max(ts) - INTERVAL 3 DAY AS moment FROM one),
+        two AS (
+            SELECT event_id, ts, FALSE AS again FROM events WHERE ts >= TIMESTAMP '2024-01-16' OR event_id % 10 = 0
+            UNION ALL SELECT event_id, ts, TRUE FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_id % 10 = 1
+            UNION ALL SELECT event_id, ts, TRUE FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND event_id % 10 = 2)
+        SELECT event_id, 'accepted' AS outcome, CAST(1 AS BIGINT) AS n FROM one
+        UNION ALL
+        SELECT event_id, CASE WHEN ts < moment THEN 'late' WHEN again THEN 'repeated' ELSE 'accepted' END, 1
+        FROM two, mark""",
     "incremental_fields": f"""WITH {RAW_FEED}
         SELECT event_id, user_id AS id, k AS rating_count FROM raw_feed""",
     "raw_nested": f"""WITH {RAW_FEED}

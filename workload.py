@@ -52,7 +52,14 @@ from refinery.plans.silver import flatten_rating
 from refinery.plans.sketches import daily_sketches, estimates, merged_sketches
 from refinery.sources import discover_schema, read_bronze, read_gold, read_raw, read_silver
 from refinery.storage import name_scratch_locally, shared_dir
-from refinery.streaming import ingest_new_files, merge_new_rows
+from refinery.streaming import (
+    admit_new_rows,
+    ingest_new_files,
+    merge_new_rows,
+    read_accepted,
+    read_aside,
+    read_repeats,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -734,6 +741,26 @@ def batch_fields(spark, sf_dir):
     )
 
 
+def admitted(spark, sf_dir):
+    """Two loads: the second brings records held back from the first, and copies of others."""
+    place, schema = Layout(shared_dir(spark, "admitted")), bronze_schema(RAW_EVENTS)
+    records, lot = raw_feed(spark, sf_dir), F.col("event_id") % 10
+    before = F.col("_ingested_at") < HALF
+    again = records.where(~before & (lot == 2))
+    for part in (records.where(before & (lot != 0)), records.where(~before | lot.isin(0, 1)).unionByName(again)):
+        land_records(part, place.raw, keep_stamp=True)
+        ingest_new_files(spark, place.raw, place.bronze, place.at("ingest_state"), schema=RAW_EVENTS).awaitTermination()
+        admit_new_rows(
+            spark, place.bronze, place.at("admitted"), place.at("admit_state"), key=["event_id"], schema=schema
+        ).awaitTermination()
+    root, event = place.at("admitted"), F.col("event_id").cast("bigint").alias("event_id")
+    once = F.lit(1).cast("bigint").alias("n")
+    accepted = read_accepted(spark, root, schema).select(event, F.lit("accepted").alias("outcome"), once)
+    aside = read_aside(spark, root, schema).select(event, F.col("_admission").alias("outcome"), once)
+    repeats = read_repeats(spark, root, schema, ["event_id"])
+    return accepted.union(aside).union(repeats.select(event, F.lit("repeated"), "copies"))
+
+
 def incremental_silver(spark, sf_dir):
     def merge(place: Layout) -> None:
         merge_new_rows(
@@ -838,6 +865,7 @@ _QUERIES: dict[str, Query] = {
     "incremental_gold": incremental_gold,
     "incremental_top": incremental_top,
     "incremental_late": incremental_late,
+    "admitted": admitted,
     "incremental_fields": incremental_fields,
     "batch_fields": batch_fields,
     "raw_nested": raw_nested,

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts below this character are split by a pattern of explicit ranges, which is faster.
 NEAR = 0x250
-#: Words a worker remembers before it starts anew, and the longest it remembers.
+#: Words a worker remembers in each of two generations, and the longest it remembers.
 REMEMBERED, LONGEST = 300_000, 64
 
 
@@ -229,17 +229,24 @@ class TokenAutomaton:
 
 
 class _Remembered(dict):
-    """Ids of words, as little-endian bytes; a missing word is encoded."""
+    """Ids of words, as little-endian bytes; a missing word is encoded.
+
+    A full generation becomes the older one, from which words that come again are taken over.
+    """
 
     def __init__(self, automaton: TokenAutomaton):
         super().__init__()
         self.automaton = automaton
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        tokens = self.automaton.encode(word.encode())
-        ids = struct.pack(f"<{len(tokens)}I", *tokens)
+        ids = self.older.get(word)
+        if ids is None:
+            tokens = self.automaton.encode(word.encode())
+            ids = struct.pack(f"<{len(tokens)}I", *tokens)
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids

@@ -6,6 +6,7 @@ import public_tokenizers
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from refinery.llm import bpe_automaton
 from refinery.llm.bpe_automaton import TokenAutomaton, byte_bpe, encode_decode
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +68,22 @@ def test_a_byte_without_token_is_an_error():
         TokenAutomaton({0: b"a"}, []).encode(b"ab")
 
 
+def test_words_are_remembered_in_two_generations(library, monkeypatch):
+    monkeypatch.setattr(bpe_automaton, "REMEMBERED", 3)
+    bpe = bpe_automaton.ByteBpe(PATH)
+    text = " one two three four one five six one seven two eight two nine one" * 3
+    assert np.frombuffer(bpe.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(bpe.words) <= 3 and len(bpe.words.older) == 3
+
+
+def test_merges_out_of_order_are_refused():
+    labels = {0: b"a", 1: b"b", 2: b"ab", 3: b"aba"}
+    with pytest.raises(ValueError):
+        TokenAutomaton(labels, [(2, 0, 3), (0, 1, 2)])
+    with pytest.raises(ValueError):
+        TokenAutomaton(labels, [(0, 0, 2)])
+
+
 def test_edge_rows(spark, documents, library):
     texts = {1: "Hello <|endoftext|> world", 2: None, 3: "", 4: "long text, " * 20_000, 5: "=" * 5000}
     rows = [*texts.items(), (5, "x"), (None, "y")]

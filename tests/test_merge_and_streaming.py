@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from records import DAY1, DAY2, T1, T2, by_key, record, write_array, write_lines, write_text
 from refinery.contracts import BRONZE, RAW
 from refinery.operators import late_arrivals, merge_unique, upsert
-from refinery.plans import clean, write_bronze
+from refinery.plans import clean, file_index, write_bronze
 from refinery.sources import read_bronze, read_raw, read_silver
 from refinery.streaming import ingest_new_files, merge_new_rows
 from refinery.streaming.incremental import merge_batch
@@ -222,7 +222,10 @@ def test_unnamed_fields_are_rescued(spark, root, layout, write):
     assert json.loads(json.loads(found["3"]._rescued)["rating"])["source"] == "x"
 
 
-def test_only_the_touched_categories_are_written(spark, root):
+@pytest.mark.parametrize("few_files", [0, file_index.FEW_FILES])
+def test_only_the_touched_categories_are_written(spark, root, monkeypatch, few_files):
+    """With the index, and without it, as in a table of few files."""
+    monkeypatch.setattr(file_index, "FEW_FILES", few_files)
     first = [record(n, category=c) for n, c in enumerate(["a", "a", "b", "c", "Ü x/y", ""])]
     write_lines(root + "/raw", DAY1, "a.json", first)
     ingest(spark, root)
@@ -235,7 +238,8 @@ def test_only_the_touched_categories_are_written(spark, root):
         0: ("Item", "a"), 1: ("Item", "a"), 2: ("moved", "c"), 3: ("Item", "c"), 4: ("new", "ü x/y"), 5: ("Item", "")}
     assert files_of(root, "a") == untouched
     assert not os.path.exists(root + "/silver/category=b")
-    assert sorted(n for n in os.listdir(root) if n.startswith("silver")) == ["silver", "silver__index"]
+    beside = ["silver"] if few_files else ["silver", "silver__index"]
+    assert sorted(n for n in os.listdir(root) if n.startswith("silver")) == beside
 
 
 @pytest.mark.parametrize("broadcast_bytes", [10**7, 0])

@@ -19,9 +19,9 @@ from refinery.llm.filter_audit import audit, mask_cells
 from refinery.llm.fm_index import build_index, covered_words, find_phrases
 from refinery.llm.html_density import extract
 from refinery.llm.packing import pack_documents
-from refinery.llm.pairwise_quality import fit as fit_ranking, score
+from refinery.llm.pairwise_quality import fit as fit_ranking, measured, score
 from refinery.llm.quality_rules import judge
-from refinery.llm.stored import table
+from refinery.llm.stored import stored, table
 from refinery.llm.superminhash import near_duplicates
 from refinery.llm.url_models import judge_urls
 from refinery.storage import name_scratch_locally
@@ -98,6 +98,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op2_bradley_terry")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(5) == 0
+    # Learning and scoring read the stored features, so the texts are read once.
+    documents = stored(measured(documents).drop("text"), "measured")
     ranking = fit_ranking(documents, table(spark, sf_dir, "labels"), ~held_out)
     return score(documents, ranking).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
